@@ -6,8 +6,9 @@ blocks of ``block_pieces`` and split into windows of near-equal sums by multiway
 differencing: partial partitions are kept in a heap by the spread of their
 sums, and the two with the widest spread are merged so that the heavy bins of one
 meet the light bins of the other. If a bin would exceed the window, the block is
-differenced again with one more bin. All of it happens inside a map task: there
-is no shuffle, memory is bounded by a block, and a lost task is simply redone.
+differenced again with more bins. What is left of a document is cut into even
+pieces of at most ``piece_tokens``, as differencing levels many small pieces far better than
+few large ones. All of it happens inside a map task: there is no shuffle, memory is bounded by a block, and a lost task is simply redone.
 
 Only the last block of a task can be too small to fill its bins. Its surplus
 over whole windows is cut off first and written as power-of-two sequences, which
@@ -117,8 +118,8 @@ def _powers(n: int) -> list[int]:
 
 
 class _Packer:
-    def __init__(self, window: int, block: int, seed: int):
-        self.window, self.block, self.next = window, block, seed << 36
+    def __init__(self, window: int, block: int, piece: int, seed: int):
+        self.window, self.block, self.piece, self.next = window, block, piece, seed << 36
         self.rows: list[tuple] = []
         self.held: list[tuple] = []  # (doc_id, start, length, ids, doc_tokens)
 
@@ -134,8 +135,9 @@ class _Packer:
         whole = tokens - tokens % w
         for start in range(0, whole, w):
             self._sequence([(doc, start, w, ids[4 * start : 4 * (start + w)], tokens)])
-        if whole < tokens:
-            self.held.append((doc, whole, tokens - whole, ids[4 * whole :], tokens))
+        n = -(-(tokens - whole) // self.piece)
+        cuts = [whole + (tokens - whole) * k // n for k in range(n + 1)] if n else []
+        self.held += [(doc, a, b - a, ids[4 * a : 4 * b], tokens) for a, b in zip(cuts, cuts[1:], strict=False)]
         if len(self.held) >= self.block:
             self._flush()
 
@@ -166,7 +168,7 @@ class _Packer:
         self._flush()
 
 
-def pack(docs: DataFrame, tokenizer: str, *, id_column: str = "doc_id", text_column: str = "text", end_id: int = 2, window: int = 4096, block_pieces: int = 1024) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, *, id_column: str = "doc_id", text_column: str = "text", end_id: int = 2, window: int = 4096, block_pieces: int = 2048, piece_tokens: int = 1024) -> DataFrame:
     """Pieces of sequences of at most ``window`` tokens.
 
     ``tokenizer`` is a path that exists on every machine. Returns doc_id, start (the document's ids before the
@@ -180,7 +182,7 @@ def pack(docs: DataFrame, tokenizer: str, *, id_column: str = "doc_id", text_col
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encoder, end, types = ChunkEncoder(tokenizer), end_id.to_bytes(4, "little"), None
-        packer = _Packer(window, block_pieces, TaskContext.get().partitionId())
+        packer = _Packer(window, block_pieces, piece_tokens, TaskContext.get().partitionId())
 
         def emit() -> pa.RecordBatch:
             columns = list(zip(*packer.rows, strict=True)) if packer.rows else [()] * 8

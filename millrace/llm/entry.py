@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import packing
+from millrace.llm import packing, quality_cnn, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,5 +18,21 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "sequence_tokens")
 
 
-QUERIES = {"op1_packing": op1_packing}
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    return scored.select("doc_id", quality_cnn.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    scored = quality_cnn.score(docs, quality_cnn.fit(docs, labels))
+    return scored.select("doc_id", quality_cnn.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+QUERIES = {
+    "op1_packing": op1_packing,
+    "op4_toxicity": op4_toxicity,
+    "op8_quality_classifier": op8_quality_classifier,
+}
 ORACLES: dict[str, str] = {}

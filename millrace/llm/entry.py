@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import near_dedup, packing, quality_cnn, toxicity
+from millrace.llm import near_dedup, packing, quality_cnn, quality_rules, toxicity
+from millrace.llm.workspace import Workspace
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,10 +35,17 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality_cnn.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    judged = quality_rules.judge(Workspace(spark, "rules").save(quality_rules.measures(docs).drop("text"), "measured"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op3_near_dedup": op3_near_dedup,
     "op4_toxicity": op4_toxicity,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_quality_rules": op9_quality_rules,
 }
 ORACLES: dict[str, str] = {}

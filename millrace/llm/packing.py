@@ -23,6 +23,8 @@ from __future__ import annotations
 
 import heapq
 import os
+import re
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,35 +34,56 @@ from pyspark.sql import DataFrame
 PIECES = "doc_id {id}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, sequence_tokens long"
 
 
+_SPLIT_PUNCTUATION = re.compile(rb"([a-z0-9])([.,;:!?])")
+_ENCODERS: dict[str, ChunkEncoder] = {}
+
+
 class ChunkEncoder:
-    """Encodes whole texts by the white-space-free chunks they consist of.
+    """Encodes whole texts by the pieces they consist of.
 
-    The tokenizer drops white space and never joins across it, so the ids of a text are those of its
-    ASCII-space-separated chunks in order. Chunks recur, so their ids are remembered, up to a bound.
+    The tokenizer ignores case, drops white space and never joins across it, nor from a letter or digit to a
+    punctuation mark, so the ids of a text are those of its pieces in order. Pieces recur, so their ids are
+    remembered in two generations of at most ``known`` pieces each: when the young one is full it replaces the old.
+    Texts with a special token's opening are encoded as they stand, as those tokens do depend on case.
     """
 
-    def __init__(self, path: str, known: int = 200_000, longest: int = 48):
+    def __init__(self, path: str, known: int = 300_000, longest: int = 48):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known, self.longest, self.ids = known, longest, {}
+        self.known, self.longest, self.young, self.old = known, longest, {}, {}
+
+    @staticmethod
+    def shared(path: str) -> ChunkEncoder:
+        """One encoder for each worker process, whatever task it works on."""
+        if path not in _ENCODERS:
+            _ENCODERS[path] = ChunkEncoder(path)
+        return _ENCODERS[path]
 
-    def _encode(self, chunks: list[bytes]) -> list[bytes]:
-        out = self.tokenizer.encode_batch([c.decode("utf-8", "replace") for c in chunks], add_special_tokens=False)
-        return [pa.array(e.ids, pa.uint32()).buffers()[1].to_pybytes()[: 4 * len(e.ids)] if e.ids else b"" for e in out]
+    def _encode(self, pieces: list[bytes]) -> list[bytes]:
+        out = self.tokenizer.encode_batch_fast([c.decode("utf-8", "replace") for c in pieces], add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in out]
 
     def encode(self, text: bytes) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        chunks, ids = text.split(), self.ids
-        if new := [c for c in dict.fromkeys(chunks) if c not in ids]:
-            if len(ids) + len(new) > self.known:
-                ids.clear()
-                new = list(dict.fromkeys(chunks))
-            made = dict(zip(new, self._encode(new), strict=True))
-            ids.update((c, v) for c, v in made.items() if len(c) <= self.longest)
-            if any(len(c) > self.longest for c in new):
-                return b"".join([made[c] if c in made else ids[c] for c in chunks])
-        return b"".join([ids[c] for c in chunks])
+        if b"<|" in text:
+            return self._encode([text])[0]
+        pieces = _SPLIT_PUNCTUATION.sub(rb"\1 \2", text.lower()).split()
+        found = list(map(self.young.get, pieces))
+        if None in found:
+            missing = dict.fromkeys(p for p, v in zip(pieces, found, strict=True) if v is None)
+            new = []
+            for p in missing:
+                if (v := self.old.get(p)) is None:
+                    new.append(p)
+                else:
+                    missing[p] = v
+            missing.update(zip(new, self._encode(new), strict=True))
+            found = [missing[p] if v is None else v for p, v in zip(pieces, found, strict=True)]
+            if len(self.young) + len(missing) > self.known:
+                self.old, self.young = self.young, {}
+            self.young.update((p, v) for p, v in missing.items() if len(p) <= self.longest)
+        return b"".join(found)
 
 
 def _merge(a: tuple[list, list], b: tuple[list, list], bins: int) -> tuple[list, list]:
@@ -181,7 +204,7 @@ def pack(docs: DataFrame, tokenizer: str, *, id_column: str = "doc_id", text_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder, end, types = ChunkEncoder(tokenizer), end_id.to_bytes(4, "little"), None
+        encoder, end, types = ChunkEncoder.shared(tokenizer), end_id.to_bytes(4, "little"), None
         packer = _Packer(window, block_pieces, piece_tokens, TaskContext.get().partitionId())
 
         def emit() -> pa.RecordBatch:

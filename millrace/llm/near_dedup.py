@@ -1,15 +1,19 @@
 """MinHash near-duplicate detection with sequential Bayesian verification.
 
 1. One Arrow pass gives each text its shingle count, a 128-bit digest of its word sequence and a signature of
-   ``bands * rows`` minhashes. Equal digests form a class; only one row per class goes on.
-2. Classes that agree on a band share a bucket. Every member is compared with the bucket's smallest id (its
-   hub), which is linear in the bucket, never all pairs.
+   ``bands * rows`` minhashes of 16 bits. Equal digests form a class; only one row per class goes on.
+2. Classes that agree on a band share a bucket. Its hub is the member that meets most others over all bands, as
+   the centre of a group of copies does. Members are compared with hubs, first each with its best one, then with
+   the others where that could still join something: linear in the bucket, never all pairs.
 3. Candidates are verified in sequence: after each batch of signature positions the posterior of the similarity
    (uniform prior) is consulted, and a pair is pruned once the chance that it reaches the threshold is under
    ``miss``. Survivors are compared exactly, on the full sets of shingles.
-4. Links give components. Within a bucket a link that avoids the hub can only join members of different components:
-   such members, if not linked to the hub, are compared among themselves; and a member near the hub (by the triangle
-   inequality of the Jaccard distance) is compared with those linked to it. Then components are final.
+4. A link that avoids the hub can only join members of different components: two members not linked to the hub, or one
+   near the hub (by the triangle inequality of the Jaccard distance) and one linked to it. Those members are
+   compared by signature inside bounded chunks of the bucket, and only survivors leave the task.
+
+Steps 2 and 4 take clear survivors (``sure``) for links, so that texts are moved once. Exact verification checks that;
+if one of those fails and its ends are not joined otherwise, the steps are repeated with exact components.
 
 With 32 bands of 5 rows a pair at similarity 0.8 shares no bucket with probability 3e-6, and less above.
 
@@ -71,7 +75,7 @@ def _signatures(docs: DataFrame, id_column: str, text_column: str, k: int, n: in
                 digests: list[bytes | None] = [None] * len(texts)
                 if len(full):
                     for i, row in zip(full, minhash(h, np.append(begins[:-1][full], begins[-1]), n), strict=True):
-                        signs[i] = row.tobytes()
+                        signs[i] = row.astype(np.uint16).tobytes()  # the low half
                         digests[i] = hashlib.blake2b(b" ".join(texts[i].translate(LOWER_BYTES).split()), digest_size=16).digest()
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(distinct), pa.array(digests, pa.binary()), pa.array(signs, pa.binary())], ["doc_id", "n_shingles", "digest", "signature"])
 
@@ -86,7 +90,7 @@ def _band_rows(classes: DataFrame, bands: int, rows: int) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                signs = np.frombuffer(b"".join(part.column(1).to_pylist()), dtype=np.uint32).reshape(-1, bands, rows).astype(np.uint64)
+                signs = np.frombuffer(b"".join(part.column(1).to_pylist()), dtype=np.uint16).reshape(-1, bands, rows).astype(np.uint64)
                 key = np.broadcast_to(np.arange(bands, dtype=np.uint64), signs.shape[:2])
                 for r in range(rows):
                     key = mix(key * np.uint64(0x9E3779B97F4A7C15) + signs[:, :, r])
@@ -110,8 +114,20 @@ def least_matches(n: int, step: int, threshold: float, miss: float) -> dict[int,
     return out
 
 
+def _survive(x: np.ndarray, y: np.ndarray, bounds: dict[int, int], step: int) -> np.ndarray:
+    """Which rows of two signature matrices are never pruned, looking only as far as a row is alive."""
+    live, matches = np.arange(len(x)), np.zeros(len(x), np.int64)
+    for seen, least in bounds.items():
+        matches = matches + (x[live, seen - step : seen] == y[live, seen - step : seen]).sum(1)
+        stay = matches >= least
+        live, matches = live[stay], matches[stay]
+    out = np.zeros(len(x), bool)
+    out[live] = True
+    return out
+
+
 def _sequential(pairs: DataFrame, classes: DataFrame, n: int, threshold: float, miss: float, step: int = 20) -> DataFrame:
-    """pairs(a, b) with ``near``, the share of equal positions when the decision fell, and ``alive``, whether it survived."""
+    """pairs(a, b) with ``near``, the share of equal positions, and ``alive``, whether it survived."""
     bounds = least_matches(n, step, threshold, miss)
     side = lambda c: classes.select(F.col("rep").alias(c), F.col("signature").alias(f"sign_{c}"))
     joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sign_a", "sign_b")
@@ -121,13 +137,9 @@ def _sequential(pairs: DataFrame, classes: DataFrame, n: int, threshold: float,
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
                 part = batch.slice(at, 4096)
-                x, y = (np.frombuffer(b"".join(part.column(i).to_pylist()), dtype=np.uint32).reshape(-1, n) for i in (2, 3))
-                matches, alive, near = np.zeros(len(x), np.int64), np.ones(len(x), bool), np.zeros(len(x))
-                for seen, least in bounds.items():
-                    live = np.flatnonzero(alive)
-                    matches[live] += (x[live, seen - step : seen] == y[live, seen - step : seen]).sum(1)
-                    near[live] = matches[live] / seen
-                    alive[live] = matches[live] >= least
+                x, y = (np.frombuffer(b"".join(part.column(i).to_pylist()), dtype=np.uint16).reshape(-1, n) for i in (2, 3))
+                alive = _survive(x, y, bounds, step)
+                near = (x == y).mean(1)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(near), pa.array(alive)], ["a", "b", "near", "alive"])
 
     return joined.mapInArrow(run, schema)
@@ -156,54 +168,107 @@ def _exact(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFram
     return joined.mapInArrow(run, pairs.select("a", "b").schema)
 
 
-def near_duplicates(docs: DataFrame, *, shingle_words: int = 5, percent: int = 80, bands: int = 32, rows: int = 5, miss: float = 1e-6, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, *, shingle_words: int = 5, percent: int = 80, bands: int = 32, rows: int = 5, miss: float = 1e-6, sure: float = 0.86, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Per row of docs: doc_id, n_shingles, component_id (smallest id reachable over links) and kept."""
     ws, n, threshold = Workspace(docs.sparkSession, "near"), bands * rows, percent / 100
     signed = ws.save(_signatures(docs, id_column, text_column, shingle_words, n), "signed")
     usable = signed.where("doc_id is not null and digest is not null")
     classes = ws.save(usable.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature")), "classes")
-
-    banded = _band_rows(classes, bands, rows)
-    buckets = banded.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).where("hub <> last").drop("last")
-    members = ws.save(banded.join(buckets, "key").select("key", "rep", "hub").distinct(), "members")
+    signed = signed.drop("signature")
+    members = _members(ws, classes, bands, rows)
     texts_all = docs.select(docs[id_column].alias("doc_id"), docs[text_column].alias("text"))
 
-    def verified(pairs: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-        judged = ws.save(_sequential(pairs, classes, n, threshold, miss), f"{name}-judged")
-        alive = judged.where("alive").select("a", "b").distinct()
+    best = members.where("rep <> hub").groupBy(F.col("rep").alias("a")).agg(F.max_by("hub", F.struct("hub_score", "hub")).alias("b"))
+    judged = ws.save(_sequential(best, classes, n, threshold, miss), "best")
+    links, labels, checked = None, components(ws, judged.where(F.col("near") >= sure)), False
+    while True:
+        others = _apart(members.where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct(), labels).join(judged, ["a", "b"], "left_anti")
+        more = ws.save(_sequential(others, classes, n, threshold, miss), "others")
+        judged = judged.unionByName(more)
+        labels = components(ws, judged.where(F.col("near") >= sure)) if links is None else labels
+        rest = ws.save(_around(members, judged, labels, classes, n, threshold, miss), "rest")
+        alive = judged.where("alive").select("a", "b").unionByName(rest.select("a", "b")).distinct()
+        if links is not None:
+            alive = alive.join(tried, ["a", "b"], "left_anti")
+        tried = ws.save(alive, "alive") if links is None else tried.unionByName(ws.save(alive, "alive"))
         needed = alive.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        texts = ws.save(texts_all.join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]), f"{name}-texts")
-        links = ws.save(_exact(alive, texts, shingle_words, percent).distinct(), f"{name}-links")
+        texts = ws.save(texts_all.join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]), "texts")
+        exact = ws.save(_exact(alive, texts, shingle_words, percent).distinct(), "links")
         ws.drop(texts)
-        return judged, links
-
-    hubs = members.where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
-    judged, links = verified(hubs, "hubs")
-    found = components(ws, links)
-
-    rest = _unsettled(ws, members, judged, found, threshold)
-    if not rest.isEmpty():
-        _, more = verified(rest, "rest")
-        if not more.isEmpty():
-            found = components(ws, links.unionByName(more))
-    labels = classes.join(found, classes["rep"] == found["vertex"], "left").select("digest", F.coalesce("root", "rep").alias("root"))
-    out = signed.select("doc_id", "n_shingles", "digest").join(labels, "digest", "left")
+        links = exact if links is None else links.unionByName(exact)
+        found = components(ws, links)
+        if checked or _apart(judged.where(F.col("near") >= sure).select("a", "b"), found).isEmpty():
+            break
+        labels, checked = found, True
+    roots = classes.join(found, classes["rep"] == found["vertex"], "left").select("digest", F.coalesce("root", "rep").alias("root"))
+    out = signed.join(roots, "digest", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id")).alias("component_id")).withColumn("kept", F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id")))
 
 
-def _unsettled(ws: Workspace, members: DataFrame, judged: DataFrame, found: DataFrame, threshold: float, slack: float = 0.15) -> DataFrame:
-    """Pairs (a, b) of bucket members in different components that no hub has decided."""
-    label = lambda c: found.select(F.col("vertex").alias(c), F.col("root").alias(f"{c}_root"))
+def _members(ws: Workspace, classes: DataFrame, bands: int, rows: int) -> DataFrame:
+    """(key, rep, hub, hub_score) of the buckets with two members or more."""
+    banded = _band_rows(classes, bands, rows)
+    buckets = banded.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.count("*").alias("n")).where("low <> high").select("key", "n")
+    shared = ws.save(banded.join(buckets, "key").select("key", "rep", "n").distinct(), "shared")
+    scores = shared.groupBy("rep").agg(F.sum("n").alias("score"))
+    hubs = shared.join(scores, "rep").groupBy("key").agg(F.max(F.struct("score", "rep")).alias("top")).select("key", F.col("top.rep").alias("hub"), F.col("top.score").alias("hub_score"))
+    return ws.save(shared.drop("n").join(hubs, "key"), "members")
+
+
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Those pairs(a, b) whose ends have different labels (vertex, root); unlabelled ones are their own."""
+    side = lambda c: labels.select(F.col("vertex").alias(c), F.col("root").alias(f"root_{c}"))
+    joined = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    return joined.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+
+
+def _around(members: DataFrame, judged: DataFrame, labels: DataFrame, classes: DataFrame, n: int, threshold: float, miss: float, slack: float = 0.15, chunk: int = 2048, step: int = 20) -> DataFrame:
+    """Surviving pairs (a, b) of bucket members with different labels, neither of which is the hub.
+
+    The seekers of a bucket are its members whose label isn't the hub's, if they differ among themselves or one of them
+    is near the hub; what they seek among is each other and, in the latter case, the hub's own. Either side is
+    cut into chunks of about ``chunk`` rows, and every pair of chunks is one unit of work.
+    """
+    label = lambda c: labels.select(F.col("vertex").alias(c), F.col("root").alias(f"{c}_root"))
     near = judged.groupBy(F.col("a").alias("rep"), F.col("b").alias("hub")).agg(F.max("near").alias("near"))
     placed = members.where("rep <> hub").join(label("rep"), "rep", "left").join(label("hub"), "hub", "left").join(near, ["rep", "hub"], "left")
-    placed = ws.save(placed.select("key", "rep", F.coalesce("rep_root", "rep").alias("root"), (F.coalesce("rep_root", "rep") == F.coalesce("hub_root", "hub")).alias("settled"), F.coalesce("near", F.lit(0.0)).alias("near")), "placed")
-    apart = placed.where("not settled").select("key", "rep", "root", "near")
-    mixed = apart.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
-    left = apart.join(mixed, "key", "left_semi").toDF("key", "a", "a_root", "a_near")
-    right = left.toDF("key", "b", "b_root", "b_near")
-    among = left.join(right, "key").where("a > b and a_root <> b_root").select("a", "b")
-    ring = apart.where(F.col("near") >= 2 * threshold - 1 - slack).toDF("key", "a", "a_root", "a_near")
-    linked = placed.where("settled").select("key", F.col("rep").alias("b"), F.col("root").alias("b_root"), F.col("near").alias("b_near"))
-    around = ring.join(linked, "key").where((F.col("a_root") != F.col("b_root")) & (F.col("b_near") - F.col("a_near") <= 1 - threshold + slack)).select("a", "b")
-    done = judged.select("a", "b").union(judged.select("b", "a")).toDF("a", "b")
-    return ws.save(among.unionByName(around).distinct().join(done, ["a", "b"], "left_anti"), "rest")
+    placed = placed.select("key", "rep", F.coalesce("rep_root", "rep").alias("root"), F.coalesce("hub_root", "hub").alias("home"), "near").withColumn("seeks", F.col("root") != F.col("home"))
+    seeking = placed.where("seeks").groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.max("near").alias("ring"), F.count("*").alias("n_seek"))
+    seeking = seeking.where((F.col("x") != F.col("y")) | (F.col("ring") >= 2 * threshold - 1 - slack)).withColumn("ringed", F.col("ring") >= 2 * threshold - 1 - slack)
+    sizes = placed.groupBy("key").agg(F.count("*").alias("n_all")).join(seeking.select("key", "ringed", "n_seek"), "key")
+    used = placed.join(sizes, "key").where("seeks or ringed").select("key", "rep", "root", "seeks", F.ceil(F.col("n_seek") / chunk).cast("int").alias("us"), F.ceil(F.col("n_all") / chunk).cast("int").alias("xs"))
+    spot = F.pmod(F.xxhash64("rep"), F.lit(1 << 30))
+    seekers = used.where("seeks").select("key", "rep", "root", F.lit(True).alias("seeks"), (spot % F.col("us")).cast("int").alias("u"), F.explode(F.sequence(F.lit(0), F.col("xs") - 1)).alias("x"))
+    sought = used.select("key", "rep", "root", F.lit(False).alias("seeks"), F.explode(F.sequence(F.lit(0), F.col("us") - 1)).alias("u"), (spot % F.col("xs")).cast("int").alias("x"))
+    units = seekers.unionByName(sought).join(classes.select("rep", "signature"), "rep").repartition("key", "u", "x").sortWithinPartitions("key", "u", "x")
+    units = units.select("key", "u", "x", "rep", "root", "seeks", "signature")
+    bounds, schema = least_matches(n, step, threshold, miss), members.select(F.col("rep").alias("a"), F.col("rep").alias("b")).schema
+
+    def compare(rows: list[tuple]) -> list[tuple]:
+        seek, among = [r for r in rows if r[2]], [r for r in rows if not r[2]]
+        if not seek or not among:
+            return []
+        y, out = np.frombuffer(b"".join([r[3] for r in among]), np.uint16).reshape(-1, n), []
+        for rep, root, _, sign in seek:
+            x = np.frombuffer(sign, np.uint16)
+            for i in np.flatnonzero(_survive(np.broadcast_to(x, y.shape), y, bounds, step)):
+                if among[i][1] != root:
+                    out.append((max(rep, among[i][0]), min(rep, among[i][0])))
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, rows, out = None, [], []
+        for batch in batches:
+            for key, u, x, *row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if (key, u, x) != unit:
+                    out += compare(rows)
+                    unit, rows = (key, u, x), []
+                rows.append(tuple(row))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], batch.schema.field(3).type) for k in (0, 1)], ["a", "b"])
+                out = []
+            types = batch.schema.field(3).type
+        if out := compare(rows):
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], types) for k in (0, 1)], ["a", "b"])
+
+    return units.mapInArrow(run, schema)

@@ -8,12 +8,11 @@
 3. Candidates are verified in sequence: after each batch of signature positions the posterior of the similarity
    (uniform prior) is consulted, and a pair is pruned once the chance that it reaches the threshold is under
    ``miss``. Survivors are compared exactly, on the full sets of shingles.
-4. A link that avoids the hub can only join members of different components: two members not linked to the hub, or one
-   near the hub (by the triangle inequality of the Jaccard distance) and one linked to it. Those members are
-   compared by signature inside bounded chunks of the bucket, and only survivors leave the task.
-
-Steps 2 and 4 take clear survivors (``sure``) for links, so that texts are moved once. Exact verification checks that;
-if one of those fails and its ends are not joined otherwise, the steps are repeated with exact components.
+4. A link that avoids the hub can only join members of different components. Either both are far from the hub: such
+   members of a bucket are compared by signature in bounded chunks. Or, by the triangle inequality of the
+   Jaccard distance, both are within reach of the hub: groups of texts within reach of each other's hubs that hold several
+   components are dealt out as pairs of bounded chunks and compared there, by signature and then exactly;
+   only links leave the task.
 
 With 32 bands of 5 rows a pair at similarity 0.8 shares no bucket with probability 3e-6, and less above.
 
@@ -26,7 +25,7 @@ are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -168,7 +167,7 @@ def _exact(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFram
     return joined.mapInArrow(run, pairs.select("a", "b").schema)
 
 
-def near_duplicates(docs: DataFrame, *, shingle_words: int = 5, percent: int = 80, bands: int = 32, rows: int = 5, miss: float = 1e-6, sure: float = 0.86, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, *, shingle_words: int = 5, percent: int = 80, bands: int = 32, rows: int = 5, miss: float = 1e-4, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Per row of docs: doc_id, n_shingles, component_id (smallest id reachable over links) and kept."""
     ws, n, threshold = Workspace(docs.sparkSession, "near"), bands * rows, percent / 100
     signed = ws.save(_signatures(docs, id_column, text_column, shingle_words, n), "signed")
@@ -178,28 +177,33 @@ def near_duplicates(docs: DataFrame, *, shingle_words: int = 5, percent: int = 8
     members = _members(ws, classes, bands, rows)
     texts_all = docs.select(docs[id_column].alias("doc_id"), docs[text_column].alias("text"))
 
+    reach = 2 * threshold - 1 - 0.15  # of the hub, for what may be linked to something linked to the hub; less four standard errors
+
+    def exactly(pairs: DataFrame, more: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+        """The linked ones of pairs, and the texts of their ends and of more(doc_id)."""
+        needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
+        needed = (needed if more is None else needed.unionByName(more)).distinct()
+        texts = ws.save(texts_all.join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]), "texts")
+        return ws.save(_exact(pairs, texts, shingle_words, percent).distinct(), "links"), texts
+
+    spokes = members.where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
     best = members.where("rep <> hub").groupBy(F.col("rep").alias("a")).agg(F.max_by("hub", F.struct("hub_score", "hub")).alias("b"))
     judged = ws.save(_sequential(best, classes, n, threshold, miss), "best")
-    links, labels, checked = None, components(ws, judged.where(F.col("near") >= sure)), False
-    while True:
-        others = _apart(members.where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct(), labels).join(judged, ["a", "b"], "left_anti")
-        more = ws.save(_sequential(others, classes, n, threshold, miss), "others")
-        judged = judged.unionByName(more)
-        labels = components(ws, judged.where(F.col("near") >= sure)) if links is None else labels
-        rest = ws.save(_around(members, judged, labels, classes, n, threshold, miss), "rest")
-        alive = judged.where("alive").select("a", "b").unionByName(rest.select("a", "b")).distinct()
-        if links is not None:
-            alive = alive.join(tried, ["a", "b"], "left_anti")
-        tried = ws.save(alive, "alive") if links is None else tried.unionByName(ws.save(alive, "alive"))
-        needed = alive.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        texts = ws.save(texts_all.join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]), "texts")
-        exact = ws.save(_exact(alive, texts, shingle_words, percent).distinct(), "links")
-        ws.drop(texts)
-        links = exact if links is None else links.unionByName(exact)
-        found = components(ws, links)
-        if checked or _apart(judged.where(F.col("near") >= sure).select("a", "b"), found).isEmpty():
-            break
-        labels, checked = found, True
+    others = _apart(spokes, components(ws, judged.where(F.col("near") >= threshold))).join(judged, ["a", "b"], "left_anti")
+    judged = ws.save(judged.unionByName(_sequential(others, classes, n, threshold, miss)), "judged")
+    links, texts = exactly(judged.where("alive").select("a", "b").distinct())
+    ws.drop(texts)
+    found = components(ws, links)
+
+    late = _apart(spokes, found).join(judged, ["a", "b"], "left_anti")
+    judged = judged.unionByName(ws.save(_sequential(late, classes, n, threshold, miss), "late"))
+    far = _far(members, found, classes, n, threshold, miss)
+    alive = ws.save(_apart(judged.where("alive").select("a", "b"), found).join(links, ["a", "b"], "left_anti").unionByName(far).distinct(), "alive")
+    grid = ws.save(_grid(components(ws, judged.where(F.col("near") >= reach)), found), "grid")
+    if not (alive.isEmpty() and grid.isEmpty()):
+        more, texts = exactly(alive, grid.select(F.col("rep").alias("doc_id")))
+        near = _chunk_pairs(grid, classes, texts, shingle_words, n, percent, miss)
+        found = components(ws, links.unionByName(more).unionByName(near))
     roots = classes.join(found, classes["rep"] == found["vertex"], "left").select("digest", F.coalesce("root", "rep").alias("root"))
     out = signed.join(roots, "digest", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id")).alias("component_id")).withColumn("kept", F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id")))
@@ -222,53 +226,92 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return joined.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
 
 
-def _around(members: DataFrame, judged: DataFrame, labels: DataFrame, classes: DataFrame, n: int, threshold: float, miss: float, slack: float = 0.15, chunk: int = 2048, step: int = 20) -> DataFrame:
-    """Surviving pairs (a, b) of bucket members with different labels, neither of which is the hub.
+def _grouped(units: DataFrame, keys: list[str], schema: object, compare: Callable[[list[tuple]], list[tuple]]) -> DataFrame:
+    """compare's pairs (a, b) for the rows, without keys, of each group; the first column left is the id."""
+    k = len(keys)
+    units = units.repartition(*keys).sortWithinPartitions(*keys)
 
-    The seekers of a bucket are its members whose label isn't the hub's, if they differ among themselves or one of them
-    is near the hub; what they seek among is each other and, in the latter case, the hub's own. Either side is
-    cut into chunks of about ``chunk`` rows, and every pair of chunks is one unit of work.
-    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, rows, out, kind = None, [], [], None
+        for batch in batches:
+            kind = batch.schema.field(k).type
+            for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if row[:k] != unit:
+                    out += compare(rows)
+                    unit, rows = row[:k], []
+                rows.append(row[k:])
+        if out := out + compare(rows):
+            yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], kind) for i in (0, 1)], ["a", "b"])
+
+    return units.mapInArrow(run, schema)
+
+
+def _far(members: DataFrame, labels: DataFrame, classes: DataFrame, n: int, threshold: float, miss: float, chunk: int = 2048, step: int = 20) -> DataFrame:
+    """Surviving pairs (a, b) among the members of a bucket that aren't of the hub's component nor of each other's."""
     label = lambda c: labels.select(F.col("vertex").alias(c), F.col("root").alias(f"{c}_root"))
-    near = judged.groupBy(F.col("a").alias("rep"), F.col("b").alias("hub")).agg(F.max("near").alias("near"))
-    placed = members.where("rep <> hub").join(label("rep"), "rep", "left").join(label("hub"), "hub", "left").join(near, ["rep", "hub"], "left")
-    placed = placed.select("key", "rep", F.coalesce("rep_root", "rep").alias("root"), F.coalesce("hub_root", "hub").alias("home"), "near").withColumn("seeks", F.col("root") != F.col("home"))
-    seeking = placed.where("seeks").groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.max("near").alias("ring"), F.count("*").alias("n_seek"))
-    seeking = seeking.where((F.col("x") != F.col("y")) | (F.col("ring") >= 2 * threshold - 1 - slack)).withColumn("ringed", F.col("ring") >= 2 * threshold - 1 - slack)
-    sizes = placed.groupBy("key").agg(F.count("*").alias("n_all")).join(seeking.select("key", "ringed", "n_seek"), "key")
-    used = placed.join(sizes, "key").where("seeks or ringed").select("key", "rep", "root", "seeks", F.ceil(F.col("n_seek") / chunk).cast("int").alias("us"), F.ceil(F.col("n_all") / chunk).cast("int").alias("xs"))
-    spot = F.pmod(F.xxhash64("rep"), F.lit(1 << 30))
-    seekers = used.where("seeks").select("key", "rep", "root", F.lit(True).alias("seeks"), (spot % F.col("us")).cast("int").alias("u"), F.explode(F.sequence(F.lit(0), F.col("xs") - 1)).alias("x"))
-    sought = used.select("key", "rep", "root", F.lit(False).alias("seeks"), F.explode(F.sequence(F.lit(0), F.col("us") - 1)).alias("u"), (spot % F.col("xs")).cast("int").alias("x"))
-    units = seekers.unionByName(sought).join(classes.select("rep", "signature"), "rep").repartition("key", "u", "x").sortWithinPartitions("key", "u", "x")
-    units = units.select("key", "u", "x", "rep", "root", "seeks", "signature")
-    bounds, schema = least_matches(n, step, threshold, miss), members.select(F.col("rep").alias("a"), F.col("rep").alias("b")).schema
+    placed = members.where("rep <> hub").join(label("rep"), "rep", "left").join(label("hub"), "hub", "left")
+    placed = placed.select("key", "rep", F.coalesce("rep_root", "rep").alias("root"), F.coalesce("hub_root", "hub").alias("home")).where("root <> home")
+    sizes = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n")).where("x <> y").select("key", F.ceil(F.col("n") / chunk).cast("int").alias("chunks"))
+    units = _dealt(placed.join(sizes, "key").select("key", "rep", "root", "chunks"), "key").join(classes.select("rep", "signature"), "rep")
+    bounds = least_matches(n, step, threshold, miss)
 
     def compare(rows: list[tuple]) -> list[tuple]:
-        seek, among = [r for r in rows if r[2]], [r for r in rows if not r[2]]
-        if not seek or not among:
-            return []
-        y, out = np.frombuffer(b"".join([r[3] for r in among]), np.uint16).reshape(-1, n), []
-        for rep, root, _, sign in seek:
-            x = np.frombuffer(sign, np.uint16)
-            for i in np.flatnonzero(_survive(np.broadcast_to(x, y.shape), y, bounds, step)):
-                if among[i][1] != root:
-                    out.append((max(rep, among[i][0]), min(rep, among[i][0])))
+        y, out = np.frombuffer(b"".join([r[2] for r in rows]), np.uint16).reshape(-1, n), []
+        for i in range(len(rows) - 1):
+            for j in np.flatnonzero(_survive(np.broadcast_to(y[i], (len(y) - i - 1, n)), y[i + 1 :], bounds, step)) + i + 1:
+                if rows[i][1] != rows[j][1]:
+                    out.append((max(rows[i][0], rows[j][0]), min(rows[i][0], rows[j][0])))
         return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit, rows, out = None, [], []
-        for batch in batches:
-            for key, u, x, *row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if (key, u, x) != unit:
-                    out += compare(rows)
-                    unit, rows = (key, u, x), []
-                rows.append(tuple(row))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], batch.schema.field(3).type) for k in (0, 1)], ["a", "b"])
-                out = []
-            types = batch.schema.field(3).type
-        if out := compare(rows):
-            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], types) for k in (0, 1)], ["a", "b"])
+    return _grouped(units.select("key", "u", "x", "rep", "root", "signature"), ["key", "u", "x"], members.select(F.col("rep").alias("a"), F.col("rep").alias("b")).schema, compare)
 
-    return units.mapInArrow(run, schema)
+
+def _dealt(rows: DataFrame, key: str) -> DataFrame:
+    """rows(key, rep, chunks, ...) once for each pair (u, x), u <= x, of chunks of its group that has the row's own."""
+    own = F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")
+    out = rows.withColumn("__own", own).withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    return out.withColumn("u", F.least("__own", "__other")).withColumn("x", F.greatest("__own", "__other")).drop("__own", "__other", "chunks")
+
+
+def _grid(groups: DataFrame, labels: DataFrame, chunk: int = 1024) -> DataFrame:
+    """(group, rep, root, chunks) of the members of groups(vertex, root) that hold more than one component."""
+    held = groups.toDF("rep", "group").join(labels.toDF("rep", "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    sizes = held.groupBy("group").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).where("low <> high")
+    return held.join(sizes, "group").select("group", "rep", "root", F.ceil(F.col("n") / chunk).cast("int").alias("chunks"))
+
+
+def _chunk_pairs(grid: DataFrame, classes: DataFrame, texts: DataFrame, k: int, n: int, percent: int, miss: float, step: int = 20) -> DataFrame:
+    """Links (a, b) that join different components within the groups of grid, enough of them to connect what is connected."""
+    units = _dealt(grid, "group").join(classes.select("rep", "signature"), "rep").join(texts.select(F.col("doc_id").alias("rep"), "text"), "rep")
+    bounds = least_matches(n, step, percent / 100, miss)
+
+    def compare(rows: list[tuple]) -> list[tuple]:
+        y, out = np.frombuffer(b"".join([r[2] for r in rows]), np.uint16).reshape(-1, n), []
+        sets: dict[int, np.ndarray] = {}
+        parent: dict = {}
+
+        def own(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = np.unique(shingles(Words([(rows[i][3] or "").encode("utf-8", "replace")], lower=True), k)[0])
+            return sets[i]
+
+        def root(x: object) -> object:
+            while x in parent:
+                x = parent[x]
+            return x
+
+        for i in range(len(rows) - 1):
+            for j in np.flatnonzero(_survive(np.broadcast_to(y[i], (len(y) - i - 1, n)), y[i + 1 :], bounds, step)) + i + 1:
+                p, q = root(rows[i][1]), root(rows[j][1])
+                if p != q:
+                    a, b = own(i), own(j)
+                    common = len(np.intersect1d(a, b, assume_unique=True))
+                    if 100 * common >= percent * (len(a) + len(b) - common):
+                        s, t = shingle_set(rows[i][3], k), shingle_set(rows[j][3], k)
+                        if 100 * len(s & t) >= percent * len(s | t):
+                            parent[p] = q
+                            out.append((max(rows[i][0], rows[j][0]), min(rows[i][0], rows[j][0])))
+        return out
+
+    schema = grid.select(F.col("rep").alias("a"), F.col("rep").alias("b")).schema
+    return _grouped(units.select("group", "u", "x", "rep", "root", "signature", "text"), ["group", "u", "x"], schema, compare)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import near_dedup, packing, quality_cnn, quality_rules, toxicity
+from millrace.llm import near_dedup, packing, quality_cnn, quality_rules, secret_scan, toxicity
 from millrace.llm.workspace import Workspace
 
 
@@ -41,11 +41,17 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_novel")
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op3_near_dedup": op3_near_dedup,
     "op4_toxicity": op4_toxicity,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_quality_rules": op9_quality_rules,
+    "op10_secret_scan": op10_secret_scan,
 }
 ORACLES: dict[str, str] = {}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import near_dedup, packing, quality_cnn, quality_rules, secret_scan, toxicity
+from millrace.llm import ann, html_extract, line_dedup, mixing, near_dedup, packing, quality_cnn, quality_rules, secret_scan, toxicity
 from millrace.llm.workspace import Workspace
 
 
@@ -19,6 +19,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "sequence_tokens")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"), F.length("text").cast("long").alias("n_chars"))
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
 
@@ -29,6 +34,19 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality_cnn.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(_table(spark, sf_dir, "pages"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixed.select("doc_id", "source", "n_tokens", "weight", "epoch", "block", "position")
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     scored = quality_cnn.score(docs, quality_cnn.fit(docs, labels))
@@ -48,8 +66,12 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_line_dedup": op2_line_dedup,
     "op3_near_dedup": op3_near_dedup,
     "op4_toxicity": op4_toxicity,
+    "op5_nearest_neighbours": op5_nearest_neighbours,
+    "op6_html_extraction": op6_html_extraction,
+    "op7_mixing": op7_mixing,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_quality_rules": op9_quality_rules,
     "op10_secret_scan": op10_secret_scan,

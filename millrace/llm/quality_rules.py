@@ -12,6 +12,7 @@ of their own; null ids pass through; repeated rows are judged each; empty tables
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -29,20 +30,29 @@ RATES = {
 }
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once however often use names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _windows(words: Column) -> Column:
     """Hashes of the 8-word windows, by doubling: words, pairs, fours, eights."""
     h = F.transform(words, lambda w: F.xxhash64(w))
+
+    def joined(step: int) -> Callable[[Column], Column]:
+        return lambda x: F.zip_with(F.slice(x, 1, F.size(x) - step), F.slice(x, step + 1, F.size(x) - step), lambda a, b: F.xxhash64(a, b))
+
     for step in (1, 2, 4):
-        h = F.zip_with(F.slice(h, 1, F.size(h) - step), F.slice(h, step + 1, F.size(h) - step), lambda a, b: F.xxhash64(a, b))
+        h = _bound(h, joined(step))
     return h
 
 
 def _covered(hashes: Column) -> Column:
     """Words inside windows whose hash occurs twice or more: of each such window, those before the next one begins, at most 8."""
-    n = F.size(hashes)
-    tagged = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    pairs = F.zip_with(F.slice(tagged, 1, n - 1), F.slice(tagged, 2, n - 1), lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"])).otherwise(F.array().cast("array<int>")))
-    places = F.array_sort(F.array_distinct(F.flatten(pairs)))
+    tagged = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    match = lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"])).otherwise(F.array().cast("array<int>"))
+    pairs = _bound(tagged, lambda t: F.zip_with(F.slice(t, 1, F.size(t) - 1), F.slice(t, 2, F.size(t) - 1), match))
+    places = F.sort_array(F.array_distinct(F.flatten(pairs)))
     state = F.struct(F.lit(0).cast("long").alias("n"), F.lit(-WINDOW).alias("last"))
     return F.aggregate(places, state, lambda s, i: F.struct((s["n"] + F.least(F.lit(WINDOW), i - s["last"])).cast("long").alias("n"), i.alias("last")), lambda s: s["n"])
 

@@ -1,7 +1,7 @@
 """Secret scans: base patterns plus dictionary-primed zstandard novelty.
 
-Base spans are found by three fixed patterns. Beyond them, every token-like string whose near context names something
-sensitive is a candidate. Its novelty is the number of bytes it adds when it is compressed after its own
+Base spans are found by three fixed patterns. Beyond them, every token-like string (with letters and digits) whose near context
+names something sensitive is a candidate. Its novelty is the number of bytes it adds when it is compressed after its own
 surroundings, with a dictionary of code words and identifiers: ordinary words, identifiers and anything that already
 stands nearby cost little, random keys cost close to their entropy. Candidates over a rate of
 marginal bits per character are reported as ``novel`` unless they overlap a base span.
@@ -26,6 +26,7 @@ _ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x2
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _SENSITIVE = re.compile(r"pass(?:word|wd|phrase)|secret|token|api[_-]?key|credential|private|auth|bearer|signature|access[_-]?key|client[_-]?id", re.IGNORECASE | re.ASCII)
+_DIGIT, _LETTER = re.compile(r"[0-9]"), re.compile(r"[A-Za-z]")
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=\-]{16,}")
 
 # Common code words, identifiers and encodings that a candidate may be made of.
@@ -42,7 +43,7 @@ getElementById addEventListener toString valueOf hashCode createElement querySel
 
 
 class Scanner:
-    def __init__(self, *, context: int = 160, near: int = 48, bits: float = 3.6, level: int = 3):
+    def __init__(self, *, context: int = 160, near: int = 48, bits: float = 7.0, level: int = 3):
         self.context, self.near, self.bits = context, near, bits
         primed = zstandard.ZstdCompressionDict(IDENTIFIERS.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         primed.precompute_compress(level=level)
@@ -74,6 +75,8 @@ class Scanner:
                     continue
                 seen.add(start)
                 value = text[start:end]
+                if not (_DIGIT.search(value) and _LETTER.search(value)):
+                    continue
                 if self.novelty(text[max(0, start - self.context) : start], value, text[end : end + self.context]) >= self.bits:
                     out.append(("novel", start, end))
         return out

@@ -25,7 +25,7 @@ WINDOW = 8
 RATES = {
     "symbol_rate": ("n_symbols / greatest(word_chars, 1)", 0.05),
     "dup_line_rate": ("n_dup_lines / greatest(n_lines, 1)", 0.5),
-    "repeat_rate": ("n_repeat_words / greatest(n_words, 1)", 0.15),
+    "repeat_rate": ("n_repeat_words / greatest(n_words, 1)", 0.3),
     "word_length": ("word_chars / greatest(n_words, 1)", 14.0),
 }
 

@@ -4,15 +4,16 @@
    ``bands * rows`` minhashes of 16 bits. Equal digests form a class; only one row per class goes on.
 2. Classes that agree on a band share a bucket. Its hub is the member that meets most others over all bands, as
    the centre of a group of copies does. Members are compared with hubs, first each with its best one, then with
-   the others where that could still join something: linear in the bucket, never all pairs.
+   the others where that could still join something: linear in the bucket, never all pairs. Members far from
+   the hub are compared among themselves by signature, in bounded chunks.
 3. Candidates are verified in sequence: after each batch of signature positions the posterior of the similarity
    (uniform prior) is consulted, and a pair is pruned once the chance that it reaches the threshold is under
    ``miss``. Survivors are compared exactly, on the full sets of shingles.
-4. A link that avoids the hub can only join members of different components. Either both are far from the hub: such
-   members of a bucket are compared by signature in bounded chunks. Or, by the triangle inequality of the
-   Jaccard distance, both are within reach of the hub: groups of texts within reach of each other's hubs that hold several
-   components are dealt out as pairs of bounded chunks and compared there, by signature and then exactly;
-   only links leave the task.
+4. What no hub has joined can still be linked past it. By the triangle inequality of the Jaccard distance, both ends then
+   are within reach of the hub. Groups of texts within reach of hubs that still hold several components are
+   dealt out as pairs of bounded chunks and compared there, by signature and then exactly; only links leave the task.
+
+Texts are moved once, and only those of groups.
 
 With 32 bands of 5 rows a pair at similarity 0.8 shares no bucket with probability 3e-6, and less above.
 
@@ -179,31 +180,23 @@ def near_duplicates(docs: DataFrame, *, shingle_words: int = 5, percent: int = 8
 
     reach = 2 * threshold - 1 - 0.15  # of the hub, for what may be linked to something linked to the hub; less four standard errors
 
-    def exactly(pairs: DataFrame, more: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-        """The linked ones of pairs, and the texts of their ends and of more(doc_id)."""
-        needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
-        needed = (needed if more is None else needed.unionByName(more)).distinct()
-        texts = ws.save(texts_all.join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]), "texts")
-        return ws.save(_exact(pairs, texts, shingle_words, percent).distinct(), "links"), texts
-
     spokes = members.where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
     best = members.where("rep <> hub").groupBy(F.col("rep").alias("a")).agg(F.max_by("hub", F.struct("hub_score", "hub")).alias("b"))
     judged = ws.save(_sequential(best, classes, n, threshold, miss), "best")
     others = _apart(spokes, components(ws, judged.where(F.col("near") >= threshold))).join(judged, ["a", "b"], "left_anti")
     judged = ws.save(judged.unionByName(_sequential(others, classes, n, threshold, miss)), "judged")
-    links, texts = exactly(judged.where("alive").select("a", "b").distinct())
-    ws.drop(texts)
-    found = components(ws, links)
+    far = _far(members, components(ws, judged.where(F.col("near") >= threshold)), classes, n, threshold, miss)
+    alive = ws.save(judged.where("alive").select("a", "b").unionByName(far).distinct(), "alive")
+    groups = components(ws, judged.where(F.col("near") >= reach).select("a", "b").unionByName(alive))
 
-    late = _apart(spokes, found).join(judged, ["a", "b"], "left_anti")
-    judged = judged.unionByName(ws.save(_sequential(late, classes, n, threshold, miss), "late"))
-    far = _far(members, found, classes, n, threshold, miss)
-    alive = ws.save(_apart(judged.where("alive").select("a", "b"), found).join(links, ["a", "b"], "left_anti").unionByName(far).distinct(), "alive")
-    grid = ws.save(_grid(components(ws, judged.where(F.col("near") >= reach)), found), "grid")
-    if not (alive.isEmpty() and grid.isEmpty()):
-        more, texts = exactly(alive, grid.select(F.col("rep").alias("doc_id")))
-        near = _chunk_pairs(grid, classes, texts, shingle_words, n, percent, miss)
-        found = components(ws, links.unionByName(more).unionByName(near))
+    needed = groups.select(F.col("vertex").alias("doc_id")).hint("merge")  # no broadcast at any size: the groups grow with the table
+    texts = ws.save(texts_all.join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]), "texts")
+    links = ws.save(_exact(alive, texts, shingle_words, percent).distinct(), "links")
+    found = components(ws, links)
+    grid = ws.save(_grid(groups, found), "grid")
+    if not grid.isEmpty():
+        found = components(ws, links.unionByName(_chunk_pairs(grid, classes, texts, shingle_words, n, percent, miss)))
+    ws.drop(texts)
     roots = classes.join(found, classes["rep"] == found["vertex"], "left").select("digest", F.coalesce("root", "rep").alias("root"))
     out = signed.join(roots, "digest", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id")).alias("component_id")).withColumn("kept", F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id")))

@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType
 
 #: Exactly the characters that count as white space (``\\s`` misses NBSP, ``(?U)\\s`` misses U+001C to U+001F).
 SPACE = "[\\s\\x1c-\\x1f\\x85\\p{Z}]+"
@@ -17,12 +18,12 @@ def collapse(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, SPACE, " "))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfc(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _bare(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else "".join(c for c in unicodedata.normalize("NFD", t) if not unicodedata.combining(c)))
 
@@ -101,6 +102,6 @@ def osa(a: str, b: str) -> int:
     return last[-1]
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(LongType())
 def osa_distance(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else osa(x, y) for x, y in zip(a, b, strict=True)], dtype="Int64")

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from millrace.plans import corpus
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+QUERIES = {**corpus.QUERIES}
+ORACLES = {**corpus.ORACLES}

@@ -24,6 +24,7 @@ from __future__ import annotations
 import heapq
 import os
 import re
+import unicodedata
 from array import array
 from collections.abc import Iterator
 
@@ -35,6 +36,9 @@ PIECES = "doc_id {id}, start long, length long, ids binary, doc_tokens long, seq
 
 
 _SPLIT_PUNCTUATION = re.compile(rb"([a-z0-9])([.,;:!?])")
+#: How byte-level tokenizers write bytes as characters: printable ones as themselves, the others from U+0100 on.
+_PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_CHARS = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in set(_PRINTABLE))}
 _ENCODERS: dict[str, ChunkEncoder] = {}
 
 
@@ -47,10 +51,11 @@ class ChunkEncoder:
     Texts with a special token's opening are encoded as they stand, as those tokens do depend on case.
     """
 
-    def __init__(self, path: str, known: int = 300_000, longest: int = 48):
+    def __init__(self, path: str, known: int = 600_000, longest: int = 48):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.known, self.longest, self.young, self.old = known, longest, {}, {}
 
     @staticmethod
@@ -60,6 +65,19 @@ class ChunkEncoder:
             _ENCODERS[path] = ChunkEncoder(path)
         return _ENCODERS[path]
 
+    def _piece(self, piece: bytes) -> bytes | None:
+        """The ids of a piece that is one word in composed form, plain to lower: those go to the model directly."""
+        word = piece.decode("utf-8", "replace")
+        if word.isascii():
+            if not word.isalpha():
+                return None
+        else:
+            low = word.lower()
+            if not word.isalpha() or "Σ" in word or len(low) != len(word) or not (low.isalpha() and unicodedata.is_normalized("NFC", word) and unicodedata.is_normalized("NFC", low)):
+                return None
+            word = low.encode().decode("latin-1").translate(_BYTE_CHARS)
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+
     def _encode(self, pieces: list[bytes]) -> list[bytes]:
         out = self.tokenizer.encode_batch_fast([c.decode("utf-8", "replace") for c in pieces], add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in out]
@@ -78,7 +96,11 @@ class ChunkEncoder:
                     new.append(p)
                 else:
                     missing[p] = v
-            missing.update(zip(new, self._encode(new), strict=True))
+            made = list(map(self._piece, new))
+            if None in made:
+                other = iter(self._encode([p for p, v in zip(new, made, strict=True) if v is None]))
+                made = [next(other) if v is None else v for v in made]
+            missing.update(zip(new, made, strict=True))
             found = [missing[p] if v is None else v for p, v in zip(pieces, found, strict=True)]
             if len(self.young) + len(missing) > self.known:
                 self.old, self.young = self.young, {}

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 PIECES = "doc_id {id}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, sequence_tokens long"
 
 
-_SPLIT_PUNCTUATION = re.compile(rb"([a-z0-9])([.,;:!?])")
+_SPLIT_PUNCTUATION = re.compile(rb"([a-z0-9])([!-/:-@\[-`{-~])")
 #: How byte-level tokenizers write bytes as characters: printable ones as themselves, the others from U+0100 on.
 _PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _BYTE_CHARS = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in set(_PRINTABLE))}

@@ -123,3 +123,21 @@ def shard_quotas(capacity: list[int], target: int) -> list[int]:
         i = max((i for i in range(len(out)) if out[i] < capacity[i]), key=lambda i: (capacity[i] - out[i], -i))
         out[i] += 1
     return out
+
+
+def greedy_quota_select(reserve: DataFrame, quotas: dict[tuple[str, str], int]) -> DataFrame:
+    """Groups in order of (split, tag); each takes its best ranked pairs that no group before it took, up to its quota.
+
+    What a group takes depends on all groups before it. reserve holds a bounded number of rows per group (``top_k``), so
+    the fold runs on the driver over (group, rank, pair) only, and never over the candidates themselves.
+    """
+    keys = reserve.select("split", "tag", "rank", "pair_id", F.xxhash64("source_text", "target_text").alias("p"), F.xxhash64("target_text", "source_text").alias("q"))
+    taken, out, filled = set(), [], dict.fromkeys(quotas, 0)
+    for r in sorted(keys.collect(), key=lambda r: (r.split, r.tag, r.rank, r.pair_id)):
+        group = (r.split, r.tag)
+        if filled.get(group, 0) < quotas.get(group, 0) and (r.p, r.q) not in taken:
+            taken.add((r.p, r.q))
+            filled[group] += 1
+            out.append((r.split, r.tag, r.pair_id))
+    chosen = reserve.sparkSession.createDataFrame(out, "split string, tag string, pair_id string")
+    return reserve.join(chosen, ["split", "tag", "pair_id"], "left_semi")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.plans import corpus
+from millrace.plans import corpus, pairs
 
-QUERIES = {**corpus.QUERIES}
-ORACLES = {**corpus.ORACLES}
+QUERIES = {**corpus.QUERIES, **pairs.QUERIES}
+ORACLES = {**corpus.ORACLES, **pairs.ORACLES}

@@ -19,11 +19,11 @@ from pyspark.sql import functions as F
 
 from millrace.llm.workspace import Workspace
 
-_TRIM = "^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$"
+_BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
 
 
 def _clean(line: Column) -> Column:
-    return F.regexp_replace(line, _TRIM, "")
+    return F.trim(line, F.lit(_BLANKS))
 
 
 def _hash(line: Column) -> Column:
@@ -37,9 +37,8 @@ def _lines(docs: DataFrame, id_column: str, text_column: str, site_column: str)
     return lines.select("id", "site", _hash(F.col("line")).alias("h")).where("h is not null").select("id", "site", F.col("h.x").alias("x"), F.col("h.y").alias("y"))
 
 
-def boilerplate(docs: DataFrame, ws: Workspace, *, min_sites: int = 10, margin: float = 0.25, lg_k: int = 10, id_column: str = "doc_id", text_column: str = "text", site_column: str = "source") -> DataFrame:
-    """(x, y, sites, exact): hashes of the lines spread over min_sites sites or more."""
-    lines = _lines(docs, id_column, text_column, site_column)
+def boilerplate(lines: DataFrame, ws: Workspace, *, min_sites: int = 10, margin: float = 0.25, lg_k: int = 10) -> DataFrame:
+    """(x, y, sites, exact): hashes of lines(site, x, y) that are spread over min_sites sites or more."""
     sketches = lines.groupBy("x", "y").agg(F.hll_sketch_agg("site", lg_k).alias("sketch"))
     spread = sketches.select("x", "y", F.hll_sketch_estimate("sketch").alias("estimate")).where(F.col("estimate") >= min_sites * (1 - margin))
     spread = ws.save(spread, "spread")
@@ -52,10 +51,11 @@ def boilerplate(docs: DataFrame, ws: Workspace, *, min_sites: int = 10, margin:
 def dedup_lines(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", site_column: str = "source", **options: float) -> DataFrame:
     """docs with the boilerplate lines cut out of the text, and n_lines (before) and n_removed."""
     ws = Workspace(docs.sparkSession, "lines")
-    found = boilerplate(docs, ws, id_column=id_column, text_column=text_column, site_column=site_column, **options)
-    lines = _lines(docs, id_column, text_column, site_column).select("id", "x", "y").distinct()
-    own = lines.join(found.select("x", "y"), ["x", "y"]).groupBy(F.col("id").alias("__id")).agg(F.collect_set(F.struct("x", "y")).alias("__found"))
+    lines = ws.save(_lines(docs, id_column, text_column, site_column), "lines")  # hashes only: split once, read three times
+    found = boilerplate(lines, ws, **options)
+    own = lines.join(found.select("x", "y"), ["x", "y"], "left_semi").groupBy(F.col("id").alias("__id")).agg(F.collect_set(F.struct("x", "y")).alias("__found"))
     own = ws.save(own, "found")
+    ws.drop(lines)
     joined = docs.join(own, docs[id_column].eqNullSafe(own["__id"]), "left").drop("__id")
     split = F.split(F.col(text_column), "\n")
     kept = F.when(F.col("__found").isNull(), split).otherwise(F.filter(split, lambda line: ~F.coalesce(F.array_contains("__found", _hash(line)), F.lit(False))))

@@ -163,7 +163,7 @@ ORACLES = {
     "gen_change_punct": f"WITH {EN_SQL}, r AS (SELECT DISTINCT left(text, length(text) - 1) AS context FROM en WHERE text LIKE '%.' ORDER BY 1 LIMIT 50) SELECT clean_id, '$CHANGE_PUNC_PERIOD' AS tag, 'punctuation' AS family, 'change_mark' AS kind, NULL::BIGINT AS position, '.' AS correct, '?' AS wrong, context || '?' AS source_text, text AS target_text, 'reviewed' AS confidence FROM en JOIN r ON text = context || '.'",
     "gen_construction": f"""WITH {EN_SQL}, r(correct, wrong, tag, family) AS (VALUES {_TUPLES(CONSTRUCTIONS)}),
         p AS (SELECT *, string_split(text, correct) AS pieces, unnest(range(1, len(string_split(text, correct)))) AS k FROM en JOIN r ON contains(text, correct)),
-        q AS (SELECT *, array_to_string(pieces[1:k], correct) AS l FROM p), s AS (SELECT *, text[length(l) + length(correct) + 1:] AS rr FROM q)
+        q AS (SELECT *, left(text, (list_sum(list_transform(pieces[1:k], lambda x: length(x))) + (k - 1) * length(correct))::BIGINT) AS l FROM p), s AS (SELECT *, text[length(l) + length(correct) + 1:] AS rr FROM q)
         SELECT clean_id, tag, family, 'construction' AS kind, length(l) AS position, correct, wrong, l || wrong || rr AS source_text, text AS target_text, 'reviewed' AS confidence FROM s
         WHERE NOT regexp_matches(l, '[\\p{{L}}\\p{{N}}]$') AND NOT regexp_matches(rr, '^[\\p{{L}}\\p{{N}}]')""",
     "gen_morphology": f"""WITH {TOKENS_SQL}, v(lemma, surface, state) AS (VALUES {_TUPLES(PARADIGM)})

@@ -88,6 +88,13 @@ def length_bucket(text: Column) -> Column:
 
 def osa(a: str, b: str) -> int:
     """Edit distance with adjacent transpositions, none of which is edited again."""
+    head = 0
+    while head < min(len(a), len(b)) and a[head] == b[head]:
+        head += 1
+    head = max(0, head - 1)  # a transposition may reach back over one equal character
+    a, b = a[head:], b[head:]
+    while len(a) > 1 and len(b) > 1 and a[-2:] == b[-2:]:
+        a, b = a[:-1], b[:-1]
     if a == b:
         return 0
     before, last = None, list(range(len(b) + 1))

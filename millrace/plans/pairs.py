@@ -42,7 +42,7 @@ def _kind_sql(branch: str) -> str:
 def gen_change_punct(spark: SparkSession, d: str) -> DataFrame:
     sentences = split_sentences(spark, d)
     text = F.col("text")
-    reviewed = sentences.where("text like '%.'").select(F.left(text, F.length(text) - 1).alias("context"), F.lit(".").alias("correct"), F.lit("?").alias("wrong"), F.lit("$CHANGE_PUNC_PERIOD").alias("tag")).distinct().orderBy("context").limit(50)
+    reviewed = sentences.where("text like '%.'").select(F.left(text, F.length(text) - 1).alias("context"), F.lit(".").alias("correct"), F.lit("?").alias("wrong"), F.lit("$CHANGE_PUNC_PERIOD").alias("tag")).distinct()
     return generate.changed_marks(sentences, reviewed).select(*generate.CANDIDATE)
 
 
@@ -160,7 +160,7 @@ _LENGTH = "CASE WHEN len(string_split(target_text, ' ')) < 10 THEN '<10' WHEN le
 _CONTEXTS = "('" + "', '".join(ENGLISH.edit_contexts) + "')"
 ORACLES = {
     **{f"gen_{k}": _kind_sql(b) for k, b in {"swap": "swap", "pronoun": "pronoun", "contextual": "contextual", "duplicate": "duplicate", "missing": "missing", "add_punct": "add_mark", "case_cap": "case_capital", "case_lower": "case_lower"}.items()},
-    "gen_change_punct": f"WITH {EN_SQL}, r AS (SELECT DISTINCT left(text, length(text) - 1) AS context FROM en WHERE text LIKE '%.' ORDER BY 1 LIMIT 50) SELECT clean_id, '$CHANGE_PUNC_PERIOD' AS tag, 'punctuation' AS family, 'change_mark' AS kind, NULL::BIGINT AS position, '.' AS correct, '?' AS wrong, context || '?' AS source_text, text AS target_text, 'reviewed' AS confidence FROM en JOIN r ON text = context || '.'",
+    "gen_change_punct": f"WITH {EN_SQL}, r AS (SELECT DISTINCT left(text, length(text) - 1) AS context FROM en WHERE text LIKE '%.') SELECT clean_id, '$CHANGE_PUNC_PERIOD' AS tag, 'punctuation' AS family, 'change_mark' AS kind, NULL::BIGINT AS position, '.' AS correct, '?' AS wrong, context || '?' AS source_text, text AS target_text, 'reviewed' AS confidence FROM en JOIN r ON text = context || '.'",
     "gen_construction": f"""WITH {EN_SQL}, r(correct, wrong, tag, family) AS (VALUES {_TUPLES(CONSTRUCTIONS)}),
         p AS (SELECT *, string_split(text, correct) AS pieces, unnest(range(1, len(string_split(text, correct)))) AS k FROM en JOIN r ON contains(text, correct)),
         q AS (SELECT *, left(text, (list_sum(list_transform(pieces[1:k], lambda x: length(x))) + (k - 1) * length(correct))::BIGINT) AS l FROM p), s AS (SELECT *, text[length(l) + length(correct) + 1:] AS rr FROM q)

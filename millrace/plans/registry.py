@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.plans import corpus, pairs
+from millrace.plans import corpus, evaluation, pairs
 
-QUERIES = {**corpus.QUERIES, **pairs.QUERIES}
-ORACLES = {**corpus.ORACLES, **pairs.ORACLES}
+QUERIES = {**corpus.QUERIES, **pairs.QUERIES, **evaluation.QUERIES}
+ORACLES = {**corpus.ORACLES, **pairs.ORACLES, **evaluation.ORACLES}

@@ -51,7 +51,7 @@ class ChunkEncoder:
     Texts with a special token's opening are encoded as they stand, as those tokens do depend on case.
     """
 
-    def __init__(self, path: str, known: int = 600_000, longest: int = 48):
+    def __init__(self, path: str, known: int = 150_000, longest: int = 48):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)

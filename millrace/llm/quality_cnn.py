@@ -26,6 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.functions import ArrowUDFType
+from pyspark.sql.types import DoubleType
 
 from millrace.llm.bytewords import Words, sub_batches
 
@@ -161,19 +163,19 @@ def score_texts(net: ByteConvolution | float, texts: list[bytes]) -> np.ndarray:
 
 
 def score(docs: DataFrame, net: ByteConvolution | float, *, keep: list[str] | None = None) -> DataFrame:
-    """The ``keep`` columns of docs (by default doc_id) and ``score``, the probability of good quality of the whole text."""
-    keep = keep or ["doc_id"]
-    source = docs.select(*[docs[c] for c in keep], docs["text"].alias("__text"))
-    schema = source.drop("__text").schema.add("score", "double")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                scores = [score_texts(net, texts) for _, texts in sub_batches(batch, "__text", 1 << 18)]
-                arrays = [*batch.columns[:-1], pa.array(np.concatenate(scores), pa.float64())]
-                yield pa.RecordBatch.from_arrays(arrays, [*keep, "score"])
-
-    return source.mapInArrow(run, schema)
+    """The ``keep`` columns of docs (by default doc_id) and ``score``, the probability of good quality of the whole text.
+
+    Only texts go to Python and only scores come back; the other columns stay on the JVM side.
+    """
+
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for array in texts:
+            batch = pa.RecordBatch.from_arrays([array], ["text"])
+            scores = [score_texts(net, part) for _, part in sub_batches(batch, "text", 1 << 18)]
+            yield pa.array(np.concatenate(scores) if scores else [], pa.float64())
+
+    scored = F.arrow_udf(run, DoubleType(), ArrowUDFType.SCALAR_ITER)
+    return docs.select(*[docs[c] for c in keep or ["doc_id"]], scored(docs["text"]).alias("score"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, sample_rows: int = 3000) -> ByteConvolution | float:

@@ -37,13 +37,14 @@ password passwd secret token api_key apikey access_key secret_key client_id clie
 username user_name email address config configuration settings environment production development staging localhost endpoint service database
 connection session request response header cookie content type application json text html charset utf-8 http https www example com org net
 abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 00000000000000000000 xxxxxxxxxxxxxxxxxxxx XXXXXXXXXXXXXXXXXXXX 1234567890
+version release build date 2023-01-01 2024-12-31 v1.0.0 alpha beta stable latest main master branch commit
 your_password_here your_token_here changeme placeholder redacted undefined null none true false test sample dummy
 getElementById addEventListener toString valueOf hashCode createElement querySelector innerHTML setAttribute getAttribute
 """.strip()
 
 
 class Scanner:
-    def __init__(self, *, context: int = 160, near: int = 48, bits: float = 7.0, level: int = 3):
+    def __init__(self, *, context: int = 160, near: int = 48, bits: float = 5.5, level: int = 3):
         self.context, self.near, self.bits = context, near, bits
         primed = zstandard.ZstdCompressionDict(IDENTIFIERS.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         primed.precompute_compress(level=level)

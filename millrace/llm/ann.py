@@ -147,7 +147,7 @@ def search(vectors: DataFrame, is_query: Column, *, k: int = 20, id_column: str
     spark, ws = vectors.sparkSession, Workspace(vectors.sparkSession, "ann")
     usable = _usable(vectors, id_column, vector_column)
     kind = usable.schema["id"].dataType.simpleString()
-    rows = usable.select("v").orderBy(F.xxhash64("v"), F.xxhash64("id")).limit(sample_rows).collect()
+    rows = usable.orderBy(F.xxhash64("id"), "id", "v").limit(sample_rows).select("v").collect()
     schema = f"query_id {kind}, rank int, vec_id {kind}, score double"
     if not rows:
         return spark.createDataFrame([], schema)

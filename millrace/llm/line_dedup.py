@@ -56,7 +56,8 @@ def dedup_lines(docs: DataFrame, *, id_column: str = "doc_id", text_column: str
     own = lines.join(found.select("x", "y"), ["x", "y"], "left_semi").groupBy(F.col("id").alias("__id")).agg(F.collect_set(F.struct("x", "y")).alias("__found"))
     own = ws.save(own, "found")
     ws.drop(lines)
-    joined = docs.join(own, docs[id_column].eqNullSafe(own["__id"]), "left").drop("__id")
+    # The texts are shuffled at every size: how many documents hold boilerplate grows with the table, so it is no side to broadcast.
+    joined = docs.join(own.hint("merge"), docs[id_column].eqNullSafe(own["__id"]), "left").drop("__id")
     split = F.split(F.col(text_column), "\n")
     kept = F.when(F.col("__found").isNull(), split).otherwise(F.filter(split, lambda line: ~F.coalesce(F.array_contains("__found", _hash(line)), F.lit(False))))
     out = joined.withColumns({"__kept": kept, "n_lines": F.coalesce(F.size(split), F.lit(0)).cast("long")})

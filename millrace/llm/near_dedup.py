@@ -199,7 +199,8 @@ def near_duplicates(docs: DataFrame, *, shingle_words: int = 5, percent: int = 8
     ws.drop(texts)
     roots = classes.join(found, classes["rep"] == found["vertex"], "left").select("digest", F.coalesce("root", "rep").alias("root"))
     out = signed.join(roots, "digest", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id")).alias("component_id")).withColumn("kept", F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id")))
+    out = out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id")).alias("component_id"))
+    return ws.keep(out.withColumn("kept", F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id"))))
 
 
 def _members(ws: Workspace, classes: DataFrame, bands: int, rows: int) -> DataFrame:

@@ -21,6 +21,7 @@ class Workspace:
             root = tempfile.mkdtemp(prefix="millrace-")
         self.root = f"{root.rstrip('/')}/millrace-{name}-{uuid.uuid4().hex}"
         self.n = 0
+        self.saved: list[DataFrame] = []
 
     def save(self, df: DataFrame, name: str = "step") -> DataFrame:
         """df, computed once."""
@@ -29,6 +30,14 @@ class Workspace:
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._millrace_path = path
+        self.saved.append(out)
+        return out
+
+    def keep(self, df: DataFrame, name: str = "result") -> DataFrame:
+        """df, computed once, after which all tables saved before are deleted."""
+        before, self.saved = self.saved, []
+        out = self.save(df, name)
+        self.drop(*before)
         return out
 
     def drop(self, *frames: DataFrame) -> None:

@@ -29,11 +29,10 @@ def _bare(text: pd.Series) -> pd.Series:
 
 
 def with_normalised(df: DataFrame, column: str, to: str) -> DataFrame:
-    """df with ``to``: column in NFC with single spaces. Only rows that hold a character over U+02FF can need
-    composing, and only those pass through Python."""
+    """df with ``to``: column in NFC with single spaces. Only texts that hold a character over U+02FF can need
+    composing; only those are sent to Python, in the same scan (the others go as nulls)."""
     needs = F.coalesce(F.col(column).rlike("[^\\x{0}-\\x{2FF}]"), F.lit(False))
-    plain = df.where(~needs).withColumn(to, collapse(F.col(column)))
-    return plain.unionByName(df.where(needs).withColumn(to, collapse(_nfc(column))))
+    return df.withColumn(to, collapse(F.coalesce(_nfc(F.when(needs, F.col(column))), F.col(column))))
 
 
 def tokens(text: Column) -> Column:

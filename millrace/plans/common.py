@@ -27,7 +27,8 @@ def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.posexplode(F.split("text", "\n")).alias("pos", "line"),
     )
     lines = lines.withColumn("clean_id", F.concat_ws(":", "source_doc_id", F.col("pos").cast("string"))).drop("pos")
-    return with_normalised(lines, "line", "text").where("text <> ''").drop("line")
+    written = lines.where(F.col("line").rlike("[^\\s\\x1c-\\x1f\\x85\\p{Z}]"))  # the same as text <> '', said before Python is involved
+    return with_normalised(written, "line", "text").drop("line")
 
 
 def split_column() -> object:

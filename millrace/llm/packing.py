@@ -213,7 +213,7 @@ class _Packer:
         self._flush()
 
 
-def pack(docs: DataFrame, tokenizer: str, *, id_column: str = "doc_id", text_column: str = "text", end_id: int = 2, window: int = 4096, block_pieces: int = 2048, piece_tokens: int = 1024) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, *, id_column: str = "doc_id", text_column: str = "text", end_id: int = 2, window: int = 4096, block_pieces: int = 1024, piece_tokens: int = 1024) -> DataFrame:
     """Pieces of sequences of at most ``window`` tokens.
 
     ``tokenizer`` is a path that exists on every machine. Returns doc_id, start (the document's ids before the

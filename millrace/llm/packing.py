@@ -51,11 +51,12 @@ class ChunkEncoder:
     Texts with a special token's opening are encoded as they stand, as those tokens do depend on case.
     """
 
-    def __init__(self, path: str, known: int = 150_000, longest: int = 48):
+    def __init__(self, path: str, known: int = 300_000, longest: int = 48):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        self.written = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.known, self.longest, self.young, self.old = known, longest, {}, {}
 
     @staticmethod
@@ -67,16 +68,16 @@ class ChunkEncoder:
 
     def _piece(self, piece: bytes) -> bytes | None:
         """The ids of a piece that is one word in composed form, plain to lower: those go to the model directly."""
-        word = piece.decode("utf-8", "replace")
-        if word.isascii():
-            if not word.isalpha():
-                return None
+        if piece.isalpha():  # ASCII letters only
+            word = piece.decode("ascii")
         else:
+            word = piece.decode("utf-8", "replace")
             low = word.lower()
-            if not word.isalpha() or "Σ" in word or len(low) != len(word) or not (low.isalpha() and unicodedata.is_normalized("NFC", word) and unicodedata.is_normalized("NFC", low)):
+            if word.isascii() or not word.isalpha() or "Σ" in word or len(low) != len(word) or not (low.isalpha() and unicodedata.is_normalized("NFC", word) and unicodedata.is_normalized("NFC", low)):
                 return None
             word = low.encode().decode("latin-1").translate(_BYTE_CHARS)
-        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+        written = self.written
+        return b"".join([written[t.id] for t in self.model.tokenize(word)])
 
     def _encode(self, pieces: list[bytes]) -> list[bytes]:
         out = self.tokenizer.encode_batch_fast([c.decode("utf-8", "replace") for c in pieces], add_special_tokens=False)
@@ -87,24 +88,23 @@ class ChunkEncoder:
         if b"<|" in text:
             return self._encode([text])[0]
         pieces = _SPLIT_PUNCTUATION.sub(rb"\1 \2", text.lower()).split()
-        found = list(map(self.young.get, pieces))
+        young, old = self.young, self.old
+        found = list(map(young.get, pieces))
         if None in found:
-            missing = dict.fromkeys(p for p, v in zip(pieces, found, strict=True) if v is None)
-            new = []
-            for p in missing:
-                if (v := self.old.get(p)) is None:
-                    new.append(p)
+            other, long = [], {}
+            for p in {p for p, v in zip(pieces, found, strict=True) if v is None}:
+                v = old.get(p) or self._piece(p)
+                if v is None:
+                    other.append(p)
+                elif len(p) <= self.longest:
+                    young[p] = v
                 else:
-                    missing[p] = v
-            made = list(map(self._piece, new))
-            if None in made:
-                other = iter(self._encode([p for p, v in zip(new, made, strict=True) if v is None]))
-                made = [next(other) if v is None else v for v in made]
-            missing.update(zip(new, made, strict=True))
-            found = [missing[p] if v is None else v for p, v in zip(pieces, found, strict=True)]
-            if len(self.young) + len(missing) > self.known:
-                self.old, self.young = self.young, {}
-            self.young.update((p, v) for p, v in missing.items() if len(p) <= self.longest)
+                    long[p] = v
+            for p, v in zip(other, self._encode(other) if other else [], strict=True):
+                (young if len(p) <= self.longest else long)[p] = v
+            found = map(young.__getitem__, pieces) if not long else [long[p] if p in long else young[p] for p in pieces]
+            if len(young) > self.known:
+                self.old, self.young = young, {}
         return b"".join(found)
 
 

@@ -23,10 +23,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts lines found on ten sites or more out of the texts; documents left without any word go."""
-    cut = line_dedup.dedup_lines(docs.select(COLUMNS))
-    left = (F.col("n_removed") == 0) | F.col("text").rlike("[^\\x20\\x09-\\x0D]")
-    return cut.where(left).withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(COLUMNS)
+    """Cuts lines found on ten sites or more out of the texts; copied documents stay whole for the next stage, and none goes."""
+    cut = line_dedup.dedup_lines(docs.select(COLUMNS), spare_copies=True)
+    return cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -78,6 +78,17 @@ def test_line_dedup(spark):
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
 
 
+def test_line_stage_leaves_copied_documents(spark):
+    body = [f"a long line {k} of the copied article" for k in range(8)]
+    rows = [(i, "\n".join(body), "en", f"s{i % 12}", 0) for i in range(24)]
+    rows += [(100 + i, "\n".join([*[f"{x} on the same pages" for x in body], f"edited {i}", "the footer"]), "en", f"s{i}", 0) for i in range(15)]
+    rows += [(200 + i, f"its own words {i} and more of them {i}\nthe footer", "en", f"s{i}", 0) for i in range(10)]
+    rows += [(300, "the footer\n\nthe footer", "en", "s1", 0), (301, " ", "en", "s1", 0)]
+    got = {r.doc_id: r.text for r in corpus_pipeline.lines(spark, spark.createDataFrame(rows, SCHEMA), "").collect()}
+    wanted = {i: t if i in (300, 301) else t.replace("\nthe footer", "") for i, t, *_ in rows}
+    assert got == wanted
+
+
 def test_mixing(spark):
     rows = [(i, "a b c d", "en", "big" if i < 800 else f"small{i % 4}" if i < 990 else None, 0) for i in range(1000)] + [(None, "a b", "en", "big", 0), (5, None, "en", "big", 0), (5, None, "en", "big", 0)]
     df = spark.createDataFrame(rows, SCHEMA).withColumns({"p": F.lit(1), "rows": F.lit(2)})

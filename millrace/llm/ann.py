@@ -174,7 +174,7 @@ def search(vectors: DataFrame, is_query: Column, *, k: int = 20, id_column: str
                 yield pa.RecordBatch.from_arrays([pa.array(lists.astype(np.int32)), part.column(0).take(pa.array(r)), part.column(1).take(pa.array(r))], ["list", "id", "v"])
 
     placed = ws.save(usable.mapInArrow(place, f"list int, id {kind}, v array<double>"), "lists")
-    chunks = ws.save(placed.groupBy("list").agg(F.count("*").alias("n")).select("list", "n", F.ceil(F.col("n") / chunk).cast("int").alias("chunks")), "sizes")
+    chunks = ws.save(placed.groupBy("list").agg(F.countDistinct("id").alias("n"), F.count("*").alias("rows")).select("list", "n", F.ceil(F.col("rows") / chunk).cast("int").alias("chunks")), "sizes")
     sizes = np.zeros(len(index.centres), np.int64)
     for r in chunks.collect():  # at most one row per centroid
         sizes[r["list"]] = r.n
@@ -189,14 +189,21 @@ def search(vectors: DataFrame, is_query: Column, *, k: int = 20, id_column: str
     def best(q_ids: list, q: np.ndarray, ids: list, v: np.ndarray) -> list[tuple]:
         out, scores = [], q @ v.T
         for i, q_id in enumerate(q_ids):
-            row = scores[i]
-            if len(row) > k + 1:
-                edge = np.partition(row, len(row) - k - 1)[len(row) - k - 1]
-                picked = np.flatnonzero(row >= edge - 1e-9 * max(1.0, abs(edge)))
-            else:
-                picked = np.arange(len(row))
-            exact = (v[picked] * q[i]).sum(1)
-            found = sorted(((-s, ids[j]) for s, j in zip(exact.tolist(), picked, strict=True) if ids[j] != q_id))
+            row, take = scores[i], k + 1
+            while True:  # rows that repeat an id are one candidate: more are picked until there are k ids
+                if len(row) > take:
+                    edge = np.partition(row, len(row) - take)[len(row) - take]
+                    picked = np.flatnonzero(row >= edge - 1e-9 * max(1.0, abs(edge)))
+                else:
+                    picked = np.arange(len(row))
+                top: dict = {}
+                for s, j in zip((v[picked] * q[i]).sum(1).tolist(), picked, strict=True):
+                    if ids[j] != q_id and s > top.get(ids[j], -np.inf):
+                        top[ids[j]] = s
+                if len(top) >= k or len(picked) == len(row):
+                    break
+                take *= 4
+            found = sorted((-s, vec) for vec, s in top.items())
             out += [(q_id, vec, -s) for s, vec in found[:k]]
         return out
 

@@ -139,6 +139,15 @@ def test_nearest_neighbours(spark):
     assert sorted(r.vec_id for r in few) == [1, 2, 3, 4] and ann.search(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_nearest_neighbours_with_repeated_ids(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(60, 8)) + 5
+    rows = [(i, v.tolist()) for i, v in enumerate(x) for _ in range(2)] + [(1, (x[0] * 1.5).tolist())] * 400
+    got = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, k=20).orderBy("rank").collect()
+    scores = {i: float(v @ x[0]) for i, v in enumerate(x)} | {1: float(1.5 * x[0] @ x[0])}
+    assert [r.vec_id for r in got] == sorted(set(scores) - {0}, key=lambda i: -scores[i])[:20]
+
+
 def test_pipeline_stages(spark, tmp_path):
     rng = random.Random(8)
     words = [a + b for a in ("the", "an", "er", "on") for b in ("st", "nd", "ing", "ed", "or")]

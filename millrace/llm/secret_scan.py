@@ -15,6 +15,7 @@ points; empty tables give empty results; other columns pass only if asked for.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -65,18 +66,24 @@ class Scanner:
         return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
     def novel(self, text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-        """Candidates within ``near`` characters after a sensitive word whose novelty is over the limit."""
-        out, seen = [], set()
-        for mark in _SENSITIVE.finditer(text):
-            for m in _CANDIDATE.finditer(text, mark.end(), min(len(text), mark.end() + self.near)):
-                start, end = m.span()
-                if end == min(len(text), mark.end() + self.near):  # the window may have cut it
-                    end = _CANDIDATE.match(text, start).end()
-                if start in seen or any(s < end and start < e for _, s, e in base):
-                    continue
-                seen.add(start)
+        """Candidates within ``near`` characters after or before a sensitive word, and lines that go on after such a one, whose novelty is over the limit."""
+        marks = [m.span() for m in _SENSITIVE.finditer(text)]
+        if not marks:
+            return []
+        out, opens, closes, last, follows = [], [s for s, _ in marks], [e for _, e in marks], 0, False
+        for m in _CANDIDATE.finditer(text):
+            start, end = m.span()
+            k, after = bisect_right(closes, start), bisect_left(opens, end)
+            held = [x for x in marks[k:after] if x[0] >= start]  # words inside are cut off
+            ahead = end if after < len(marks) and opens[after] - end <= self.near else None
+            follows = (k > 0 and start - closes[k - 1] <= self.near) or (follows and "\n" in text[last:start] and not text[last:start].strip())
+            spans = [(start, end)] if follows or (ahead and not held) else []
+            spans += [(start, held[0][0])] if held and not follows else []
+            spans += [(e, end) for _, e in held]
+            last, follows = end, follows or bool(held)
+            for start, end in spans:
                 value = text[start:end]
-                if not (_DIGIT.search(value) and _LETTER.search(value)):
+                if len(value) < 16 or any(s < end and start < e for _, s, e in base) or not (_DIGIT.search(value) and _LETTER.search(value)):
                     continue
                 if self.novelty(text[max(0, start - self.context) : start], value, text[end : end + self.context]) >= self.bits:
                     out.append(("novel", start, end))

@@ -1,7 +1,7 @@
 """Secret scans: base patterns plus dictionary-primed zstandard novelty.
 
-Base spans are found by three fixed patterns. Beyond them, every token-like string (with letters and digits) whose near context
-names something sensitive is a candidate. Its novelty is the number of bytes it adds when it is compressed after its own
+Base spans are found by three fixed patterns. Beyond them, every token-like string (with letters and digits) whose near context,
+before or after it, names something sensitive is a candidate, and so are the lines that follow one. Its novelty is the number of bytes it adds when it is compressed after its own
 surroundings, with a dictionary of code words and identifiers: ordinary words, identifiers and anything that already
 stands nearby cost little, random keys cost close to their entropy. Candidates over a rate of
 marginal bits per character are reported as ``novel`` unless they overlap a base span.

@@ -7,8 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import ann, html_extract, line_dedup, mixing, near_dedup, packing, quality_cnn, quality_rules, secret_scan, toxicity
+from millrace.llm.oracles import ORACLES
 from millrace.llm.workspace import Workspace
 
+__all__ = ["ORACLES", "QUERIES"]
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -76,16 +79,3 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_secret_scan": op10_secret_scan,
 }
-_BLANKS = "[\\x20\\x09-\\x0D]+"
-_TRIMMED = f"regexp_replace(l, '^{_BLANKS}|{_BLANKS}$', '', 'g')"
-
-#: Sketches, networks, hashes of this library and compressors have no SQL; those queries are tested against brute force.
-ORACLES: dict[str, str] = {
-    "op2_line_dedup": f"""
-        WITH lines AS (SELECT source, {_TRIMMED} AS line FROM (SELECT source, unnest(string_split(text, chr(10))) AS l FROM documents)),
-        bad AS (SELECT coalesce(list(line), []) AS found FROM (SELECT line FROM lines WHERE line <> '' GROUP BY line HAVING count(DISTINCT coalesce(source, chr(1))) >= 10)),
-        cut AS (SELECT doc_id, string_split(text, chr(10)) AS a, list_filter(string_split(text, chr(10)), lambda l: NOT list_contains(found, {_TRIMMED})) AS b FROM documents, bad)
-        SELECT doc_id, coalesce(len(a), 0)::BIGINT AS n_lines, coalesce(len(a) - len(b), 0)::BIGINT AS n_removed,
-            sha256(array_to_string(b, chr(10))) AS text_sha256, length(array_to_string(b, chr(10)))::BIGINT AS n_chars FROM cut
-    """,
-}

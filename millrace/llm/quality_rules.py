@@ -1,13 +1,20 @@
 """Quality rules with adaptive thresholds from mergeable quantile sketches, in DataFrame functions only.
 
 Each text gets base measures (words, characters in words, symbols, repeated lines, words in repeated 8-word windows)
-and rates of them. KLL sketches of the rates are built per language and source, a partial sketch per task and
-group, and merged; their quartiles give the upper fences ``q75 + spread * (q75 - q25)``, never under a floor that no
-ordinary text reaches. A small group borrows the fence of its language, then that of the whole table, by merging
-sketches upwards, not by reading the texts again. The fences are joined back and filter.
-
-Defined cases: null text has no words and fails the base rules, like empty text; null languages and sources are groups
-of their own; null ids pass through; repeated rows are judged each; empty tables give empty results; other columns pass only if asked for.
+and rates of them, in parts per million. The sketch of a rate is a log-linear histogram: a value falls into the bucket of
+its leading ``SKETCH_BITS`` binary digits, so a quantile is off by less than one part in 64, counts of equal buckets add up
+in any order, and the result never depends on partitions, retries or the order of merging. Sketches are built per
+language and source before the shuffle; those of languages and of the whole table come from merging them, not from the texts.
+
+The upper fence of a group is ``q75 + spread * (q75 - q25)`` of its own sketch. Nothing is floored: in sketches, counts are
+smoothed by a few symbols or words or half a line, so that a group of clean texts has the spread that its texts' lengths
+imply. What is held against the fence is the text's plain rate, so a text without the fault is never over. Groups under ``least`` texts borrow the
+sketch of their language, small languages that of the table. Fences are joined back and filter.
+
+Defined cases: null text has no words and fails the base rules, like empty text; very long texts are measured whole; a rate
+equal to its fence is kept (ties pass); null languages and sources are groups of their own; null ids pass through; repeated
+rows are judged each and counted each; a group without texts that pass the base rules has no fence and nothing of it is
+kept; empty tables give empty results; other columns pass unless they have the name of a measure, which then replaces them.
 """
 
 from __future__ import annotations
@@ -17,16 +24,18 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 SPACES = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
-#: rate -> (expression, floor of its fence)
+SKETCH_BITS = 7
+#: rate -> (count, what it is a share of, pseudo-count in halves); the sketches hold (2 * count + halves) / (2 * size + 2).
 RATES = {
-    "symbol_rate": ("n_symbols / greatest(word_chars, 1)", 0.05),
-    "dup_line_rate": ("n_dup_lines / greatest(n_lines, 1)", 0.5),
-    "repeat_rate": ("n_repeat_words / greatest(n_words, 1)", 0.3),
-    "word_length": ("word_chars / greatest(n_words, 1)", 14.0),
+    "symbol_rate": ("n_symbols", "word_chars", 6),
+    "dup_line_rate": ("n_dup_lines", "n_lines", 1),
+    "repeat_rate": ("n_repeat_words", "n_words", 8),
+    "word_length": ("word_chars", "n_words", 0),
 }
 
 
@@ -77,25 +86,56 @@ def measures(docs: DataFrame, *, text_column: str = "text") -> DataFrame:
     return out.withColumn("base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
 
 
-def fences(measured: DataFrame, *, spread: float = 6.0, least: int = 200) -> DataFrame:
-    """lang, source, and the fence of each rate, from the texts that pass the base rules."""
-    rated = measured.where("not base_failed").select("lang", "source", *[F.expr(f"double({e})").alias(k) for k, (e, _) in RATES.items()])
-    fine = rated.groupBy("lang", "source").agg(F.count("*").alias("n"), *[F.expr(f"kll_sketch_agg_double({k})").alias(k) for k in RATES])
-    coarse = fine.groupBy("lang").agg(F.sum("n").alias("lang_n"), *[F.expr(f"kll_merge_agg_double({k})").alias(f"lang_{k}") for k in RATES])
-    whole = coarse.agg(*[F.expr(f"kll_merge_agg_double(lang_{k})").alias(f"all_{k}") for k in RATES])
+def rate(name: str) -> Column:
+    """A rate in whole parts per million (exact integer arithmetic)."""
+    count, size, _ = RATES[name]
+    return F.expr(f"(1000000 * {count}) div greatest({size}, 1)")
+
+
+def smoothed(name: str) -> Column:
+    """The rate as sketches hold it: with pseudo-counts, so that it says how much one more would weigh in a text of this length."""
+    count, size, halves = RATES[name]
+    return F.expr(f"(1000000 * (2 * {count} + {halves})) div (2 * {size} + 2)")
+
+
+def bucket(value: Column) -> Column:
+    """The least value with the same leading SKETCH_BITS binary digits."""
+    drop = F.greatest(F.length(F.bin(value)) - SKETCH_BITS, F.lit(0))
+    return F.call_function("shiftleft", F.call_function("shiftright", value, drop), drop)
+
+
+def sketches(measured: DataFrame, *by: str) -> DataFrame:
+    """(by..., rate, bucket, n) over the texts that pass the base rules; adding up n of equal buckets merges sketches."""
+    passing = measured.where("not base_failed")
+    rates = F.array(*[F.struct(F.lit(k).alias("rate"), bucket(smoothed(k)).alias("bucket")) for k in RATES])
+    return passing.select(*by, F.inline(rates)).groupBy(*by, "rate", "bucket").agg(F.count("*").alias("n"))
+
+
+def quartile_fence(sketch: DataFrame, by: list[str], spread: int) -> DataFrame:
+    """(by..., rate, texts, fence) of each group's sketch; a group has at most a few thousand buckets."""
+    running = Window.partitionBy(*by, "rate").orderBy("bucket")
+    placed = sketch.withColumns({"__through": F.sum("n").over(running), "__texts": F.sum("n").over(Window.partitionBy(*by, "rate"))})
+    at = lambda q: F.min(F.when(4 * F.col("__through") >= q * F.col("__texts"), F.col("bucket")))
+    return placed.groupBy(*by, "rate").agg(F.max("__texts").alias("texts"), (at(3) + spread * (at(3) - at(1))).alias("fence"))
 
-    def fence(k: str) -> Column:
-        sketch = f"case when n >= {least} then {k} when lang_n >= {least} then lang_{k} else all_{k} end"
-        q = lambda p: F.expr(f"kll_sketch_get_quantile_double({sketch}, {p}d)")
-        return F.greatest(q(0.75) + spread * (q(0.75) - q(0.25)), F.lit(RATES[k][1])).alias(f"{k}_fence")
 
-    joined = fine.alias("f").join(coarse.alias("c"), F.col("f.lang").eqNullSafe(F.col("c.lang"))).drop(F.col("c.lang")).join(whole)
-    return joined.select("lang", "source", *[fence(k) for k in RATES])
+def fences(measured: DataFrame, *, spread: int = 6, least: int = 200) -> DataFrame:
+    """lang, source, n_texts, borrowed (own, language or table) and the fence of each rate."""
+    fine = sketches(measured, "lang", "source")
+    coarse = fine.groupBy("lang", "rate", "bucket").agg(F.sum("n").alias("n"))
+    whole = coarse.groupBy("rate", "bucket").agg(F.sum("n").alias("n"))
+    own, language = quartile_fence(fine, ["lang", "source"], spread), quartile_fence(coarse, ["lang"], spread)
+    table = quartile_fence(whole, [], spread).select(F.col("rate").alias("t_rate"), F.col("fence").alias("t_fence"))
+    language = language.select(F.col("lang").alias("l_lang"), F.col("rate").alias("l_rate"), F.col("texts").alias("l_texts"), F.col("fence").alias("l_fence"))
+    joined = own.join(language, F.col("lang").eqNullSafe(F.col("l_lang")) & (F.col("rate") == F.col("l_rate"))).join(table, F.col("rate") == F.col("t_rate"))
+    lender = F.when(F.col("texts") >= least, "own").when(F.col("l_texts") >= least, "language").otherwise("table")
+    chosen = joined.select("lang", "source", "rate", "texts", lender.alias("borrowed"), F.when(lender == "own", F.col("fence")).when(lender == "language", F.col("l_fence")).otherwise(F.col("t_fence")).alias("fence"))
+    return chosen.groupBy("lang", "source").agg(F.max("texts").alias("n_texts"), F.max("borrowed").alias("borrowed"), *[F.max(F.when(F.col("rate") == k, F.col("fence"))).alias(f"{k}_fence") for k in RATES])
 
 
-def judge(measured: DataFrame, **options: float) -> DataFrame:
+def judge(measured: DataFrame, **options: int) -> DataFrame:
     """measured (from ``measures``, best saved first, as it is read twice) with ``kept``."""
     limits = fences(measured, **options).withColumnsRenamed({"lang": "__lang", "source": "__source"})
     joined = measured.join(limits, F.col("lang").eqNullSafe(F.col("__lang")) & F.col("source").eqNullSafe(F.col("__source")), "left").drop("__lang", "__source")
-    over = reduce(lambda a, b: a | b, [F.coalesce(F.expr(e) > F.col(f"{k}_fence"), F.lit(False)) for k, (e, _) in RATES.items()])
-    return joined.withColumn("kept", ~F.col("base_failed") & ~over)
+    under = reduce(lambda a, b: a & b, [rate(k) <= F.col(f"{k}_fence") for k in RATES])
+    return joined.withColumn("kept", ~F.col("base_failed") & F.coalesce(under, F.lit(False)))

@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -60,14 +61,15 @@ def _measure(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
     windows = [tuple(words[k : k + 8]) for k in range(len(words) - 7)]
-    covered = {j for k, w in enumerate(windows) if windows.count(w) > 1 for j in range(k, k + 8)}
+    counts = Counter(windows)
+    covered = {j for k, w in enumerate(windows) if counts[w] > 1 for j in range(k, k + 8)}
     n = len(words)
     return n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(covered), n < 20 or 100 * len(covered) > 30 * n
 
 
 def test_quality_rules(spark):
     rng = random.Random(1)
-    texts = [t for t in ODD if t is None or len(t) < 9000] + [" ".join(rng.choice("abc") for _ in range(n)) for n in (7, 8, 9, 30, 90)] + ["a b\na b\n\n \nc #*$%&|<>", " ".join(f"w{i}" for i in range(40))]
+    texts = ODD + [" ".join(rng.choice("abc") for _ in range(n)) for n in (7, 8, 9, 30, 90)] + ["a b\na b\n\n \nc #*$%&|<>", " ".join(f"w{i}" for i in range(40))]
     got = quality_rules.judge(quality_rules.measures(docs(spark, texts, extra=True)).drop("text", "kept")).collect()
     assert len(got) == len(texts)
     for r in got:
@@ -76,11 +78,51 @@ def test_quality_rules(spark):
     assert quality_rules.judge(quality_rules.measures(docs(spark, [])).drop("text")).count() == 0
 
 
-def test_adaptive_fence_drops_an_outlier(spark):
-    texts = [" ".join(f"word{i}x{k}" for i in range(30)) for k in range(300)] + [" ".join("#|#|#" + str(i) for i in range(30))]
-    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)]
-    got = quality_rules.judge(quality_rules.measures(spark.createDataFrame(rows, SCHEMA)).drop("text")).where("not kept").collect()
-    assert [r.doc_id for r in got] == [300]
+def _plain_fences(rows, spread=6, least=200):
+    """{(lang, source): {rate: fence}} by sorting, and each row's measures."""
+    held, groups = {}, {}
+    for i, text, lang, source, _ in rows:
+        n, chars, symbols, dups, repeats, failed = _measure(text)
+        lines = sum(1 for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x))
+        held[i] = ({"n_words": n, "word_chars": chars, "n_symbols": symbols, "n_dup_lines": dups, "n_repeat_words": repeats, "n_lines": lines}, failed, (lang, source))
+        if not failed:
+            for key in ((lang, source), (lang,), ()):
+                groups.setdefault(key, []).append(held[i][0])
+
+    def fence(key, k):
+        c, size, halves = quality_rules.RATES[k]
+        values = sorted((1000000 * (2 * m[c] + halves)) // (2 * m[size] + 2) for m in groups[key])
+        values = [v >> max(0, v.bit_length() - 7) << max(0, v.bit_length() - 7) for v in values]
+        q = lambda p: values[-(-p * len(values) // 4) - 1]
+        return q(3) + spread * (q(3) - q(1))
+
+    lender = {key: next((k for k in (key, key[:1]) if len(groups[k]) >= least), ()) for key in groups if len(key) == 2}
+    return {key: {k: fence(lent, k) for k in quality_rules.RATES} for key, lent in lender.items()}, held
+
+
+def test_fences_and_verdicts_match_brute_force(spark):
+    """One language is tidy, the other uses many symbols: the same text is dropped in one and kept in the other."""
+    rng, rows = random.Random(3), []
+    for k in range(900):
+        lang, source = ("tidy", "a") if k % 3 == 0 else ("wild", "b") if k % 3 == 1 else (None, None if k % 2 else f"rare{k % 4}")
+        words = [f"word{rng.randint(0, 9999)}" for _ in range(rng.randint(20, 60))]
+        if lang == "wild":
+            words = [w + "#" * rng.choice((0, 0, 1, 2, 4)) for w in words]
+        rows.append((k, " ".join(words), lang, source, 0))
+    odd = " ".join(f"word{i}#" for i in range(30))
+    rows += [(1000, odd, "tidy", "a", 0), (1001, odd, "wild", "b", 0), (1002, odd, "wild", "b", 0), (1002, odd, "wild", "b", 0), (1003, None, "tidy", "a", 0), (1004, "few words", "only", "short", 0)]
+    rows += [(1005, "\n".join(["the very same line of words here"] * 40 + [f"another{i}" for i in range(2000)]), "tidy", "a", 0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    measured = quality_rules.measures(df).drop("text").cache()
+    fences, held = _plain_fences(rows)
+    got = {(r.lang, r.source): {k: r[f"{k}_fence"] for k in quality_rules.RATES} for r in quality_rules.fences(measured).collect()}
+    assert got == fences and got[("tidy", "a")]["symbol_rate"] * 2 < got[("wild", "b")]["symbol_rate"]
+    kept = {r.doc_id: r.kept for r in quality_rules.judge(measured).collect()}
+    for i, (m, failed, key) in held.items():
+        under = not failed and all((1000000 * m[c]) // max(1, m[size]) <= fences[key][k] for k, (c, size, _) in quality_rules.RATES.items())
+        assert kept[i] == under, i
+    assert (kept[1000], kept[1001], kept[1002], kept[1003], kept[1004], kept[1005]) == (False, True, True, False, False, False)
+    assert quality_rules.judge(measured).count() == len(rows)
 
 
 def _secrets(text):

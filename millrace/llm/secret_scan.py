@@ -1,21 +1,22 @@
 """Secret scans: base patterns plus dictionary-primed zstandard novelty.
 
-Base spans are found by three fixed patterns. Beyond them, every token-like string (with letters and digits) whose near context,
-before or after it, names something sensitive is a candidate, and so are the lines that follow one. Its novelty is the number of bytes it adds when it is compressed after its own
-surroundings, with a dictionary of code words and identifiers: ordinary words, identifiers and anything that already
+Base spans are found by three fixed patterns. Beyond them, every token-like string (with letters and digits) that stands within ``near``
+characters after or before a word for something sensitive is a candidate, and so are the lines that follow one (``near=None``: all
+strings of a text that has such a word). Its novelty is the number of bytes it adds when it is compressed after ``context`` characters
+of its own surroundings, with a dictionary of code words and identifiers: ordinary words, identifiers and anything that already
 stands nearby cost little, random keys cost close to their entropy. Candidates over a rate of
-marginal bits per character are reported as ``novel`` unless they overlap a base span.
+marginal bits per character are reported as ``novel`` unless they overlap a base span; novel spans never overlap each other.
 
 One Arrow map: no shuffle, no state between rows but the dictionary.
 
-Defined cases: null text is empty and has no spans; null ids pass through; repeated rows are scanned each; spans count code
+Defined cases: null text is empty and has no spans; very long texts are scanned whole, in time linear in their length; spans that start
+together are listed in the order assign, access, hex, novel; null ids pass through; repeated rows are scanned each; spans count code
 points; empty tables give empty results; other columns pass only if asked for.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,6 +30,7 @@ _HEX = re.compile(r"[0-9a-f]{16,}")
 _SENSITIVE = re.compile(r"pass(?:word|wd|phrase)|secret|token|api[_-]?key|credential|private|auth|bearer|signature|access[_-]?key|client[_-]?id", re.IGNORECASE | re.ASCII)
 _DIGIT, _LETTER = re.compile(r"[0-9]"), re.compile(r"[A-Za-z]")
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=\-]{16,}")
+_GAP = re.compile(r"[^\S\n]*\n\s*")  # a line break and nothing but white space
 
 # Common code words, identifiers and encodings that a candidate may be made of.
 IDENTIFIERS = """
@@ -45,7 +47,7 @@ getElementById addEventListener toString valueOf hashCode createElement querySel
 
 
 class Scanner:
-    def __init__(self, *, context: int = 160, near: int = 48, bits: float = 5.5, level: int = 3):
+    def __init__(self, *, context: int = 160, near: int | None = 48, bits: float = 5.5, level: int = 3):
         self.context, self.near, self.bits = context, near, bits
         primed = zstandard.ZstdCompressionDict(IDENTIFIERS.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         primed.precompute_compress(level=level)
@@ -66,27 +68,42 @@ class Scanner:
         return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
     def novel(self, text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-        """Candidates within ``near`` characters after or before a sensitive word, and lines that go on after such a one, whose novelty is over the limit."""
+        """Candidates within ``near`` characters after or before a sensitive word, and lines that go on after such a one, whose novelty is over the limit.
+
+        One pass over runs, sensitive words and base spans, each by its own pointer: linear in the text. A run that a sensitive word
+        leads to is judged once, as a whole; otherwise words inside it cut it into pieces that don't overlap.
+        """
         marks = [m.span() for m in _SENSITIVE.finditer(text)]
         if not marks:
             return []
-        out, opens, closes, last, follows = [], [s for s, _ in marks], [e for _, e in marks], 0, False
+        out: list[tuple[str, int, int]] = []
+        passed, held, last, follows, reach = 0, 0, 0, False, 0  # marks that end before the run; base spans that begin before it, and how far they reach
         for m in _CANDIDATE.finditer(text):
             start, end = m.span()
-            k, after = bisect_right(closes, start), bisect_left(opens, end)
-            held = [x for x in marks[k:after] if x[0] >= start]  # words inside are cut off
-            ahead = end if after < len(marks) and opens[after] - end <= self.near else None
-            follows = (k > 0 and start - closes[k - 1] <= self.near) or (follows and "\n" in text[last:start] and not text[last:start].strip())
-            spans = [(start, end)] if follows or (ahead and not held) else []
-            spans += [(start, held[0][0])] if held and not follows else []
-            spans += [(e, end) for _, e in held]
-            last, follows = end, follows or bool(held)
-            for start, end in spans:
-                value = text[start:end]
-                if len(value) < 16 or any(s < end and start < e for _, s, e in base) or not (_DIGIT.search(value) and _LETTER.search(value)):
+            while passed < len(marks) and marks[passed][1] <= start:
+                passed += 1
+            inside = passed
+            while inside < len(marks) and marks[inside][1] <= end:
+                inside += 1
+            within = [x for x in marks[passed:inside] if x[0] >= start]
+            ahead = inside < len(marks) and (self.near is None or marks[inside][0] - end <= self.near)
+            behind = passed > 0 and (self.near is None or start - marks[passed - 1][1] <= self.near)
+            follows = behind or (follows and _GAP.fullmatch(text, last, start) is not None)
+            if follows or (ahead and not within):
+                spans = [(start, end)]
+            else:
+                cuts = [start, *[e for x in within for e in x], end]
+                spans = list(zip(cuts[::2], cuts[1::2], strict=True)) if within else []
+            last, follows = end, follows or bool(within)
+            for a, b in spans:
+                while held < len(base) and base[held][1] < b:
+                    reach = max(reach, base[held][2])
+                    held += 1
+                value = text[a:b]
+                if len(value) < 16 or reach > a or not (_DIGIT.search(value) and _LETTER.search(value)):
                     continue
-                if self.novelty(text[max(0, start - self.context) : start], value, text[end : end + self.context]) >= self.bits:
-                    out.append(("novel", start, end))
+                if self.novelty(text[max(0, a - self.context) : a], value, text[b : b + self.context]) >= self.bits:
+                    out.append(("novel", a, b))
         return out
 
     def scan(self, text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:

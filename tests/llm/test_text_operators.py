@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -155,6 +156,58 @@ def test_secrets_anywhere_near_a_sensitive_word():
     assert scanner.scan("password " + "of the house " * 9 + key)[1] == []
 
 
+def _slow_novel(text, scanner):
+    """Novel spans by looking at every pair of run and sensitive word, run and base span."""
+    marks, base, out, last, follows = [m.span() for m in secret_scan._SENSITIVE.finditer(text)], scanner.base(text), [], None, False
+    for m in re.finditer(r"[A-Za-z0-9+/_=\\-]{16,}", text):
+        s, e = m.span()
+        within = [(a, b) for a, b in marks if s <= a and b <= e]
+        behind = any(b <= s and s - b <= scanner.near for a, b in marks)
+        follows = behind or (follows and text[last:s].strip() == "" and "\n" in text[last:s])
+        ahead = any(a + 0 >= s and b > e and a - e <= scanner.near for a, b in marks)
+        if follows or (ahead and not within):
+            spans = [(s, e)]
+        else:
+            edges = sorted([s, e, *[x for w in within for x in w]])
+            spans = [(edges[k], edges[k + 1]) for k in range(0, len(edges), 2)] if within else []
+        last, follows = e, follows or bool(within)
+        for a, b in spans:
+            v = text[a:b]
+            if len(v) >= 16 and re.search("[0-9]", v) and re.search("[A-Za-z]", v) and not any(x < b and a < y for _, x, y in base):
+                if scanner.novelty(text[max(0, a - 160) : a], v, text[b : b + 160]) >= scanner.bits:
+                    out.append(("novel", a, b))
+    return out
+
+
+def test_novel_spans_match_a_plain_reading():
+    rng, scanner, found = random.Random(12), secret_scan.Scanner(), 0
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    for _ in range(300):
+        parts = []
+        for _ in range(rng.randint(1, 14)):
+            key = "".join(rng.choice(letters) for _ in range(rng.randint(10, 40)))
+            parts.append(rng.choice([key, key, "password", "auth", "the token is", f"{key}auth{key}", f"secret = {key}", "deadbeef" * 3, "plain words of no note " * 2, "\n", "\n", "x" * 30, f"my_private_{key}_auth1"]))
+        text = rng.choice([" ", "", "\n"]).join(parts)
+        got = scanner.novel(text, scanner.base(text))
+        assert got == _slow_novel(text, scanner), text
+        assert all(a[2] <= b[1] for a, b in zip(got, got[1:], strict=False))
+        found += len(got)
+    assert found > 100
+    text = "secret Zx9fauthQ2mZp7LkTn4RbVw8sYcPq1W"
+    assert scanner.scan(text)[1] == [("novel", 7, 38)]
+
+
+def test_secret_scan_is_linear_in_the_text():
+    rng, scanner = random.Random(2), secret_scan.Scanner()
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    many = " ".join(f"token = {''.join(rng.choice(letters) for _ in range(24))} auth {''.join(rng.choice(letters) for _ in range(24))}" for _ in range(16_000))
+    for text in ("auth1" * 200_000, many):
+        began = time.process_time()
+        base, spans = scanner.scan(text)
+        assert time.process_time() - began < 10 and len(text) >= 1_000_000
+    assert len(base) == 16_000 and len(spans) > 30_000
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body><header><h1>Site</h1></header><nav><ul><li><a href=x>Home</a></li></ul></nav>
 <div class="ad">Buy this now, a very good thing.</div><article><h1>A headline &amp; more</h1><p><b>First text, with <a href="y">a link</a> in  it and 5 &lt; 6.<br><p>Second&nbsp;one.</p>
 <aside>See also this.</aside><div class="cookie-notice"><p>We use cookies here for you.</p></div><form><input><label>Mail</label></form></article><section id="comments"><p>I do like this text very much indeed.</p></section><footer>&copy; x</footer></body></html>"""

@@ -1,14 +1,19 @@
 """Main text of web pages from flat text blocks and a decision tree.
 
 A page is read once into flat blocks: runs of text between block-level tags, each with its word count and
-link density. A block is described by its own figures, those of its neighbours, and what
+link density. A block is described by its own figures, those of its neighbours (the block before and the one after), and what
 encloses it (an article, or something whose tag, class, id or role names page furniture). A decision tree, grown in
 numpy on the small labelled table below, tells main text from the rest; blocks it accepts are joined in page order.
 
+Names of furniture are whole class tokens, or the first or last part of one (``ad-slot``, ``site-footer``), not any part
+(``has-sidebar``, ``tag-economy``); they don't count on html, body, main and article, nor, like ``form``, on a wrapper that holds
+the main heading or article and most words of the page.
+
 One Arrow map: no shuffle, memory bounded by a batch. Reading is linear in the page: every pattern is possessive.
 
-Defined cases: null html is empty and gives an empty text; a page without main text gives an empty text; null ids and urls
-pass through; repeated rows are extracted each; empty tables give empty results; other columns are ignored.
+Defined cases: null html is empty and gives an empty text; very long pages are read whole; a page without main text gives an
+empty text; a leaf of the tree that holds as many blocks of either kind accepts; null ids and urls pass through; repeated rows
+are extracted each; empty tables give empty results; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,31 +38,69 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 FURNITURE_TAGS = frozenset("nav footer aside form menu dialog".split())
 MAIN_TAGS = frozenset("article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-_FURNITURE_NAME = re.compile(
-    r"(?:^|[^a-z])(?:ads?|adv|advert\w*|banner|sponsor\w*|promo\w*|comments?|comment-?\w*|disqus|repl(?:y|ies)|respond|cookies?|consent|gdpr|notices?|alert|popup|modal|newsletter|subscri\w+|sign-?up|sidebar|side|widget|related|recommend\w*|more-?links|share|sharing|social|nav|navbar|navigation|menu|breadcrumbs?|footer|masthead|site-?header|topbar|toolbar|pagination|pager|tags?|search|login|complementary|contentinfo)(?:$|[^a-z])",
-    re.IGNORECASE,
+FURNITURE_NAMES = frozenset(
+    "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion comment comments commentlist disqus reply replies respond "
+    "cookie cookies consent gdpr notice notices alert popup modal newsletter subscribe subscription signup sidebar side widget related recommended recommendations "
+    "share sharing social nav navbar navigation menu breadcrumb breadcrumbs footer masthead topbar toolbar pagination pager tags search login complementary contentinfo".split()
 )
+#: A name that begins with one of these says something about the page, not about the element.
+STATE_PARTS = frozenset("has have no not with without is js tag tags category".split())
+WRAPPERS = frozenset("html body main article".split())
 
 #: What describes a block, in this order.
 FEATURES = ("words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after", "in_main", "furniture", "heading", "page_has_main")
 
-# The labelled table: blocks of typical pages, described as above, with whether they are main text.
-LABELLED = [
-    # words, links, before, links, after, links, main, furniture, heading, has_main -> main text
-    *[((w, 0.0, b, 0.0, a, 0.0, 1, 0, 0, 1), 1) for w, b, a in ((3, 9, 40), (7, 8, 90), (60, 7, 45), (120, 60, 30), (25, 120, 4), (4, 25, 12), (15, 0, 80), (210, 15, 9), (1, 33, 50), (9, 12, 0))],
-    *[((w, ld, b, 0.0, a, 0.0, 1, 0, 0, 1), 1) for w, ld, b, a in ((40, 0.2, 30, 60), (18, 0.35, 44, 20), (6, 1.0, 52, 47), (75, 0.1, 6, 31), (12, 0.5, 80, 65))],
-    *[((w, 0.0, b, 0.0, a, 0.0, 1, 0, 1, 1), 1) for w, b, a in ((8, 10, 8), (5, 70, 60), (12, 0, 33), (2, 90, 25))],
-    *[((w, ld, b, lb, a, la, 1, 1, h, 1), 0) for w, ld, b, lb, a, la, h in ((12, 0.0, 55, 0.0, 40, 0.0, 0), (30, 0.1, 90, 0.0, 3, 1.0, 0), (3, 1.0, 40, 0.0, 3, 1.0, 0), (2, 0.0, 60, 0.0, 14, 0.0, 1), (85, 0.0, 70, 0.0, 25, 0.0, 0), (6, 0.5, 20, 0.0, 0, 0.0, 0))],
-    *[((w, ld, b, lb, a, la, 0, 1, h, m), 0) for m in (0, 1) for w, ld, b, lb, a, la, h in ((1, 1.0, 1, 1.0, 1, 1.0, 0), (2, 1.0, 0, 0.0, 1, 1.0, 0), (12, 0.0, 1, 1.0, 8, 0.0, 0), (14, 0.1, 80, 0.0, 0, 0.0, 0), (9, 0.0, 120, 0.0, 2, 1.0, 0), (45, 0.0, 30, 0.0, 22, 0.0, 0), (22, 0.2, 45, 0.0, 0, 0.0, 0), (3, 0.0, 12, 0.0, 5, 1.0, 1), (70, 0.0, 3, 1.0, 66, 0.0, 0))],
-    *[((w, ld, b, lb, a, la, 0, 0, h, 1), 0) for w, ld, b, lb, a, la, h in ((4, 0.0, 0, 0.0, 2, 1.0, 0), (5, 1.0, 2, 1.0, 8, 0.0, 0), (10, 0.3, 100, 0.0, 0, 0.0, 0), (3, 0.0, 0, 0.0, 1, 1.0, 1), (28, 0.0, 90, 0.0, 6, 0.5, 0), (16, 0.0, 2, 1.0, 9, 0.0, 0), (60, 0.0, 40, 0.0, 12, 0.0, 0))],
-    *[((w, ld, b, lb, a, la, 0, 0, 0, 0), 1) for w, ld, b, lb, a, la in ((80, 0.0, 60, 0.0, 45, 0.0), (45, 0.05, 7, 0.0, 70, 0.0), (30, 0.1, 40, 0.0, 35, 0.0), (120, 0.0, 4, 1.0, 50, 0.0), (22, 0.0, 90, 0.0, 30, 0.0), (8, 0.0, 60, 0.0, 75, 0.0), (14, 0.0, 35, 0.0, 28, 0.1), (55, 0.2, 30, 0.0, 10, 0.4))],
-    *[((w, 0.0, b, 0.0, a, 0.0, 0, 0, 1, 0), 1) for w, b, a in ((7, 3, 60), (4, 80, 45), (9, 20, 33))],
-    *[((w, ld, b, lb, a, la, 0, 0, 0, 0), 0) for w, ld, b, lb, a, la in ((2, 1.0, 1, 1.0, 2, 1.0), (6, 0.9, 3, 1.0, 4, 1.0), (12, 0.7, 6, 0.8, 9, 0.6), (5, 0.0, 2, 1.0, 3, 1.0), (7, 0.0, 4, 1.0, 0, 0.0), (10, 0.4, 8, 0.6, 5, 1.0), (20, 0.8, 5, 1.0, 12, 0.5), (4, 0.0, 6, 0.5, 2, 1.0))],
-    *[((w, 0.0, b, lb, a, la, 0, 0, 1, 0), 0) for w, b, lb, a, la in ((2, 3, 1.0, 4, 1.0), (3, 0, 0.0, 3, 1.0), (2, 5, 0.6, 2, 1.0))],
-]
-
-
-def grow(x: np.ndarray, y: np.ndarray, depth: int = 6) -> tuple | float:
+# The labelled table: pages as their blocks in order, each "words links where label" with where m (in an article or main), f (furniture),
+# a (article's furniture), h / mh (heading, outside or inside an article), or . (nothing known); label + is main text.
+LABELLED = """
+1 1 f -, 1 1 f -, 2 2 f -, 1 1 f -, 8 0 f -, 7 0 mh +, 60 0 m +, 34 2 m +, 5 0 m +, 90 0 m +, 12 0 f -
+1 1 f -, 1 1 f -, 54 0 f -, 9 0 mh +, 20 0 m +, 3 0 m +, 41 6 m +, 6 6 m +, 52 0 m +, 18 0 a -, 30 0 m +, 54 0 f -
+4 4 . -, 8 0 mh +, 120 0 m +, 15 0 m +, 2 0 m +, 33 1 m +, 62 0 . -, 9 9 . -
+1 1 . -, 1 1 . -, 3 0 h -, 11 0 mh +, 45 0 m +, 70 0 m +, 1 1 m -, 2 2 m -, 1 1 m -, 40 0 . -, 25 0 . -
+5 0 mh +, 7 0 m +, 9 0 m +, 6 0 m +, 12 0 m +, 3 3 a -, 3 3 a -, 85 0 a -, 2 0 a -, 14 0 f -
+6 6 . -, 12 0 mh +, 25 0 m +, 4 0 mh +, 210 0 m +, 8 8 m +, 44 0 m +, 2 2 m -, 2 2 m -, 3 3 m -, 30 4 f -, 70 0 f -
+10 0 m +, 22 5 m +, 3 0 mh +, 18 0 m +, 1 0 m +, 5 5 m +, 66 0 m +, 4 0 . -, 60 0 . -, 28 0 . -, 16 0 h -
+1 1 . -, 1 1 . -, 2 2 . -, 1 1 . -, 9 0 h +, 40 0 . +, 62 3 . +, 33 0 . +, 21 0 . +, 5 5 . -, 4 4 . -, 3 3 . -
+1 1 . -, 2 2 . -, 1 1 . -, 20 0 . +, 20 0 . +, 20 0 . +, 20 0 . +, 20 0 . +, 20 0 . +, 20 0 . +, 20 0 . +
+20 0 . +, 22 0 . +, 19 0 . +, 24 0 . +, 12 0 f -
+7 0 h +, 16 0 . +, 28 2 . +, 3 0 h +, 55 0 . +, 14 0 . +, 90 0 . +, 6 4 . -, 8 7 . -, 2 2 . -
+1 1 . -, 1 1 . -, 150 0 . +, 48 9 . +, 11 0 . +, 75 0 . +, 2 0 f -, 54 0 f -, 3 0 f -
+3 3 . -, 3 3 . -, 5 5 . -, 3 0 h -, 2 2 . -, 4 4 . -, 9 7 . -, 2 0 h -, 3 3 . -, 2 2 . -
+12 12 . -, 14 12 . -, 11 11 . -, 30 27 . -, 8 0 h +, 65 0 . +, 38 1 . +, 47 0 . +, 25 22 . -, 18 18 . -, 40 36 . -
+4 0 h +, 100 4 . +, 30 0 . +, 8 0 . +, 26 0 . +, 1 1 . -, 1 1 . -, 3 0 . -, 1 1 . -, 2 0 . -
+1 1 . -, 1 1 . -, 1 1 . -, 12 0 . +, 17 0 . +, 10 0 . +, 15 0 . +, 13 0 . +, 4 3 . -, 5 4 . -
+2 2 . -, 2 0 . -, 2 2 . -, 6 0 h +, 31 0 . +, 9 0 . +, 27 0 . +, 18 6 . +, 24 0 . +, 3 0 . -, 2 2 . -, 2 2 . -
+30 0 f -, 60 0 f -, 45 0 f -, 10 0 mh +, 4 0 m +, 35 0 m +, 15 4 m +, 5 5 m +, 28 0 m +, 90 0 f -, 20 0 f -, 20 20 f -
+""".strip()
+
+
+def described(rows: list[tuple]) -> list[tuple]:
+    """The features of each of a page's blocks (words, link density, in main, furniture, heading), in order."""
+    has_main, out = any(r[2] for r in rows), []
+    for i, (words, links, main, furniture, heading) in enumerate(rows):
+        b = rows[i - 1] if i else (0, 0.0)
+        a = rows[i + 1] if i + 1 < len(rows) else (0, 0.0)
+        out.append((words, links, b[0], b[1], a[0], a[1], main, furniture, heading, has_main))
+    return out
+
+
+#: Each labelled page is taken at several sizes: inside and around a marked article, blocks of any length are what they are;
+#: elsewhere length is evidence, and varies less.
+SIZES_MARKED, SIZES_BARE = (0.1, 0.25, 0.5, 1, 2, 4), (0.8, 1, 1.4)
+
+
+def labelled_table() -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of the blocks of LABELLED."""
+    x, y = [], []
+    for line in LABELLED.split("\n"):
+        blocks = [b.split() for b in line.split(", ")]
+        for size in SIZES_MARKED if any(b[2] in ("m", "mh") for b in blocks) else SIZES_BARE:
+            x += described([(max(1, round(int(w) * size)), int(links) / int(w), "m" in where or where == "a", where in "fa", "h" in where) for w, links, where, _ in blocks])
+            y += [label == "+" for *_, label in blocks]
+    return np.array(x, float), np.array(y, float)
+
+
+def grow(x: np.ndarray, y: np.ndarray, depth: int = 8) -> tuple | float:
     """A decision tree by Gini impurity: (feature, threshold, below, above) or the share of ones at a leaf."""
     share = float(y.mean())
     if depth == 0 or share in (0.0, 1.0):
@@ -79,7 +122,7 @@ def grow(x: np.ndarray, y: np.ndarray, depth: int = 6) -> tuple | float:
 
 @lru_cache(maxsize=1)
 def default_tree() -> tuple | float:
-    return grow(np.array([r[0] for r in LABELLED], float), np.array([r[1] for r in LABELLED], float))
+    return grow(*labelled_table())
 
 
 def accepts(tree: tuple | float, row: tuple) -> bool:
@@ -88,22 +131,37 @@ def accepts(tree: tuple | float, row: tuple) -> bool:
     return tree >= 0.5
 
 
-def _furniture(tag: str, attributes: str, in_main: bool) -> bool:
-    if tag in FURNITURE_TAGS or (tag == "header" and not in_main):
-        return True
-    if "=" not in attributes:
-        return False
-    return any(_FURNITURE_NAME.search(a or b or c) for a, b, c in _NAMED.findall(attributes))
+_CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
+
+
+@lru_cache(maxsize=4096)
+def _named(names: str) -> bool:
+    """Whether a class, id, role or label names furniture."""
+    for token in names.split():
+        parts = [x for x in re.split(r"[-_:]+", _CAMEL.sub("-", token).lower()) if x]
+        if parts and (parts in (["tag"], ["tags"]) or parts[0] not in STATE_PARTS) and (parts[0] in FURNITURE_NAMES or parts[-1] in FURNITURE_NAMES):
+            return True
+    return False
+
+
+def _furniture(tag: str, attributes: str, in_main: bool) -> tuple[bool, bool]:
+    """Whether an element is furniture, and whether only by its name or as a form, which a wrapper of the article may be too."""
+    if tag in SKIPPED or (tag in FURNITURE_TAGS and tag != "form") or (tag == "header" and not in_main):
+        return True, False
+    named = tag == "form" or (tag not in WRAPPERS and "=" in attributes and any(_named(a or b or c) for a, b, c in _NAMED.findall(attributes)))
+    return named, named
 
 
 class Blocks:
     """Flat blocks of a page: text, words, link density, and what encloses them."""
 
     def __init__(self, page: str):
-        self.rows: list[tuple[str, int, float, bool, bool, bool]] = []
+        self.rows: list[tuple[str, int, float, bool, tuple[int, ...], bool]] = []
         self.parts: list[str] = []
         self.link_words = 0
-        self.stack: list[tuple[str, bool, bool]] = []  # tag, in main, in furniture
+        self.stack: list[tuple[str, bool, tuple[int, ...]]] = []  # tag, in main, furniture around (numbers of wrappers; -1: certain)
+        self.own: tuple[int, ...] = ()  # of a paragraph or heading
+        self.wrappers: list[list] = []  # words inside, whether a main heading or article is inside
         self.links = 0
         self.heading = False
         self.page = page
@@ -114,15 +172,31 @@ class Blocks:
         if self.links:
             self.link_words += len(raw.split())
 
+    def _around(self) -> tuple[bool, tuple[int, ...]]:
+        return self.stack[-1][1:] if self.stack else (False, ())
+
     def _end_block(self) -> None:
         if self.parts:
             text = " ".join(entities.unescape("".join(self.parts)).split())
             if text:
                 words = text.count(" ") + 1
-                _, main, furniture = self.stack[-1] if self.stack else ("", False, False)
-                self.rows.append((text, words, min(1.0, self.link_words / words), main, furniture, self.heading))
+                main, around = self._around()
+                around += self.own
+                self.rows.append((text, words, min(1.0, self.link_words / words), main, around, self.heading))
+                for k in set(around):
+                    if k >= 0:
+                        self.wrappers[k][0] += words
             self.parts, self.link_words = [], 0
 
+    def _enclosing(self, tag: str, attributes: str, main: bool) -> tuple[int, ...]:
+        furniture, doubtful = _furniture(tag, attributes, main)
+        if not furniture:
+            return ()
+        if not doubtful:
+            return (-1,)
+        self.wrappers.append([0, False])
+        return (len(self.wrappers) - 1,)
+
     def _read(self) -> None:
         page, at = self.page, 0
         while (m := _TOKEN.search(page, at)) is not None:
@@ -135,7 +209,7 @@ class Blocks:
                 continue
             closing, tag, attributes = bool(m[1]), m[2].lower(), m[3]
             if tag in RAW and not closing and not attributes.rstrip().endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}[^>]*+(?:>|\Z)", re.IGNORECASE).search(page, at)
+                end = _closing(tag).search(page, at)
                 at = end.end() if end else len(page)
                 self._end_block()
                 continue
@@ -146,9 +220,16 @@ class Blocks:
             if tag in INLINE:
                 continue
             self._end_block()
-            self.links = 0
+            self.links, self.own = 0, ()
             self.heading = tag in HEADINGS and not closing
-            if tag in VOID or tag == "p" or tag in HEADINGS:
+            main, around = self._around()
+            if tag == "p" or tag in HEADINGS:
+                if not closing:
+                    self.own = self._enclosing(tag, attributes, main)
+                    if tag == "h1" and not self.own:
+                        self._holds_main(around)
+                continue
+            if tag in VOID:
                 continue
             if closing:
                 for k in range(len(self.stack) - 1, -1, -1):
@@ -156,22 +237,28 @@ class Blocks:
                         del self.stack[k:]
                         break
             else:
-                _, main, furniture = self.stack[-1] if self.stack else ("", False, False)
-                furniture = furniture or tag in SKIPPED or _furniture(tag, attributes, main or tag in MAIN_TAGS)
-                self.stack.append((tag, main or tag in MAIN_TAGS, furniture))
+                if tag in MAIN_TAGS:
+                    self._holds_main(around)
+                self.stack.append((tag, main or tag in MAIN_TAGS, around + self._enclosing(tag, attributes, main or tag in MAIN_TAGS)))
         if at < len(page):
             self._text(page[at:])
         self._end_block()
 
+    def _holds_main(self, around: tuple[int, ...]) -> None:
+        for k in around:
+            if k >= 0:
+                self.wrappers[k][1] = True
+
     def described(self) -> list[tuple]:
         """The features of each block."""
-        rows, has_main = self.rows, any(r[3] for r in self.rows)
-        out = []
-        for i, (_, words, links, main, furniture, heading) in enumerate(rows):
-            b = rows[i - 1] if i else ("", 0, 0.0)
-            a = rows[i + 1] if i + 1 < len(rows) else ("", 0, 0.0)
-            out.append((words, links, b[1], b[2], a[1], a[2], main, furniture, heading, has_main))
-        return out
+        most = sum(r[1] for r in self.rows) / 2
+        cleared = {k for k, (words, main) in enumerate(self.wrappers) if main and words > most}
+        return described([(words, links, main, any(k not in cleared for k in around), heading) for _, words, links, main, around, heading in self.rows])
+
+
+@lru_cache(maxsize=64)
+def _closing(tag: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(tag)}[^>]*+(?:>|\Z)", re.IGNORECASE)
 
 
 def extract_text(page: str | None, tree: tuple | float | None = None) -> str:

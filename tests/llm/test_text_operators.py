@@ -1,12 +1,15 @@
 import hashlib
+import os
 import random
 import re
 import time
 import zlib
 from collections import Counter
+from html.parser import HTMLParser
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -221,6 +224,90 @@ def test_html(spark):
     assert html_extract.extract(pages.limit(0)).count() == 0
 
 
+def _words(n, k=0):
+    return " ".join(f"w{k}x{i}" for i in range(n))
+
+
+@pytest.mark.parametrize(
+    ("page", "wanted"),
+    [
+        (f"<article><p>{_words(60)}</p></article><footer>{_words(54, 9)}</footer>", [_words(60)]),
+        (f"<article><p>{_words(60)}</p></article><div>{_words(54, 9)}</div>", [_words(60)]),
+        (f"<div class='hero'><a>Click here to win</a></div><article><p>{_words(60)}</p></article>", [_words(60)]),
+        (f"<ul><li><a>News</a></li><li><a>World</a></li></ul><p>{_words(60)}</p><p>{_words(50, 1)}</p>", [_words(60), _words(50, 1)]),
+        ("".join(f"<div><p>{_words(20, k)}</p></div>" for k in range(8)), [_words(20, k) for k in range(8)]),
+        (f"<article><p>{_words(40)}</p><p class='advert'>{_words(12, 5)}</p><h2 class=related>More</h2><p>{_words(30, 1)}</p></article>", [_words(40), _words(30, 1)]),
+        (f"<html class=no-search><body class='has-sidebar'><article class='post tag-economy'><h1>T</h1><p>{_words(40)}</p></article></body></html>", ["T", _words(40)]),
+        (f"<form id=f><div class=search-page><h1>Title here</h1><p>{_words(40)}</p><p>{_words(50, 1)}</p></div></form>", ["Title here", _words(40), _words(50, 1)]),
+        (f"<h1>Title of this</h1><p>{_words(40)}</p><div class=siteFooter>{_words(30, 3)}</div><div class=comment-list><p>{_words(90, 4)}</p></div>", ["Title of this", _words(40)]),
+        (f"<article><p>{_words(3)}</p><p><a>{_words(4, 1)}</a></p><p>{_words(50_000, 2)}</p><ul><li><a>one</a><li><a>two</a><li><a>three</a></ul></article>", [_words(3), _words(4, 1), _words(50_000, 2)]),
+    ],
+)
+def test_html_page_shapes(page, wanted):
+    assert html_extract.extract_text(page) == "\n".join(wanted)
+
+
+def test_html_link_densities_and_neighbours_decide():
+    """Blinding the tree to a feature changes what it says of its own table."""
+    x, y = html_extract.labelled_table()
+    said = np.array([html_extract.accepts(html_extract.default_tree(), r) for r in x])
+    assert (said == y).all()
+    for feature in ("link_density", "link_density_before", "link_density_after", "words", "words_after"):
+        blind = x.copy()
+        blind[:, html_extract.FEATURES.index(feature)] = np.random.default_rng(1).permutation(blind[:, html_extract.FEATURES.index(feature)])
+        assert any(html_extract.accepts(html_extract.default_tree(), r) != v for r, v in zip(blind, said, strict=True)), feature
+
+
+class _SlowReader(HTMLParser):
+    """Blocks inside an article or main and outside furniture, read by the standard library."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.stack, self.blocks, self.parts = [], [], []
+
+    def _flush(self):
+        text = " ".join("".join(self.parts).split())
+        if text and any(t in ("article", "main") for t, _ in self.stack) and not any(bad for _, bad in self.stack):
+            self.blocks.append(text)
+        self.parts = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in html_extract.INLINE:
+            self.parts += [" "] if tag == "br" else []
+            return
+        self._flush()
+        named = any(html_extract._named(v or "") for k, v in attrs if k in ("class", "id", "role"))
+        bad = tag in html_extract.SKIPPED | html_extract.FURNITURE_TAGS or (named and tag not in html_extract.WRAPPERS) or (tag == "header" and not any(t == "article" for t, _ in self.stack))
+        if tag == "p":
+            self.stack = [x for x in self.stack if x[0] != "p"]
+        if tag not in html_extract.VOID:
+            self.stack.append((tag, bad))
+
+    def handle_endtag(self, tag):
+        if tag in html_extract.INLINE:
+            return
+        self._flush()
+        for k in range(len(self.stack) - 1, -1, -1):
+            if self.stack[k][0] == tag:
+                del self.stack[k:]
+                break
+
+    def handle_data(self, data):
+        self.parts.append(data)
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.01/pages.parquet"), reason="no tables here")
+def test_html_matches_a_second_parser():
+    pages = pq.read_table("/root/testdata/sf0.01/pages.parquet").column("html").to_pylist()
+    assert len(pages) > 100
+    for page in pages:
+        reader = _SlowReader()
+        reader.feed(page)
+        reader.close()
+        reader._flush()
+        assert html_extract.extract_text(page) == "\n".join(reader.blocks)
+
+
 def _corpus(n, mark):
     rng = random.Random(3)
     words = [a + b for a in ("the", "an", "er", "on", "re", "ti") for b in ("st", "nd", "ing", "ed", "or", "ha")]

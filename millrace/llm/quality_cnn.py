@@ -7,12 +7,13 @@ embedding of its value and of one bit telling whether its word repeats the word
 before it, which no filter of bounded width could see by itself.
 
 Training happens on the driver, on a bounded sample of labelled rows
-(``sample_rows``, chosen by a hash of the id). Scoring is one Arrow map over the
+(``sample_rows``, chosen by a hash of the id), of whole texts. Scoring is one Arrow map over the
 table: no shuffle, memory bounded by a batch, lost tasks are redone.
 
 Defined cases: null text counts as empty; the empty text is scored like any other
-(it has one padded chunk); null ids pass through; repeated rows are scored each;
-labels that are null or not 0/1 are not used; with labels of one class only (or none)
+(it has one padded chunk); very long texts are read chunk by chunk to their end; null ids pass through; repeated rows are scored
+each and learned from once; labels that are null or not 0/1 are not used; an id with both labels counts as either; a score equal
+to a cutoff is over it; with labels of one class only (or none)
 the score is that class's share (0.5 without any); empty tables give empty results;
 other columns are ignored.
 """
@@ -28,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import ArrowUDFType
 from pyspark.sql.types import DoubleType
+from pyspark.sql.window import Window
 
 from millrace.llm.bytewords import Words, sub_batches
 
@@ -40,20 +42,23 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, rows: int, max_chars: int = 50_000) -> list[tuple[str, int]]:
-    """A bounded, class-balanced sample of labelled texts outside the evaluation fold, by hash of the id.
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> list[tuple[str, int]]:
+    """A bounded, class-balanced sample of labelled whole texts outside the evaluation fold, by hash of the id.
 
-    At most ``rows`` labelled ids are drawn, and texts over ``max_chars`` are not trained on, so that what reaches
-    the driver is bounded. (Scoring has no such bound.)
+    At most ``rows`` labelled ids are drawn, half of each class, from those whose documents exist; of rows that repeat an id, the text
+    that is least by hash is taken once. That is the only bound on what is learned from; scoring has none.
     """
-    usable = labels.select(labels["doc_id"].alias("doc_id"), labels[label].alias("y")).where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("doc_id"))).distinct()
-    keys = None
-    for y in (0, 1):
-        part = usable.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows // 2)
-        keys = part if keys is None else keys.unionByName(part)
+    usable = labels.select(labels["doc_id"].alias("doc_id"), labels[label].cast("int").alias("y")).where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("doc_id"))).distinct()
     texts = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"))
-    found = texts.where(F.coalesce(F.length("text"), F.lit(0)) <= max_chars).join(F.broadcast(keys), "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), "y", "doc_id")  # keys: at most `rows` rows
-    return [(r.text, r.y) for r in sorted(found.collect(), key=lambda r: (r.doc_id, r.text))]
+    there = usable.join(texts.select("doc_id"), "doc_id", "left_semi")
+    place = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    drawn = there.withColumn("n", place).where(F.col("n") <= rows // 2).select("doc_id", "y").collect()
+    if not drawn:
+        return []
+    keys = docs.sparkSession.createDataFrame([tuple(r) for r in drawn], there.schema)  # at most `rows` rows
+    found = texts.join(F.broadcast(keys), "doc_id").select("doc_id", "y", F.coalesce("text", F.lit("")).alias("text"))
+    chosen = found.groupBy("doc_id", "y").agg(F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text"))
+    return [(r.text, r.y) for r in sorted(chosen.collect(), key=lambda r: (r.doc_id, r.text))]
 
 
 def _symbols(words: Words) -> np.ndarray:

@@ -8,12 +8,13 @@ on labelled rows set apart from training. The language is guessed from the text'
 own function words, never read from a column, and the threshold is folded into
 the score: 0.5 is the calibrated threshold of the guessed language.
 
-Training happens on the driver, on a bounded sample (``sample_rows``). Scoring is one
+Training happens on the driver, on a bounded sample (``sample_rows``) of whole texts. Scoring is one
 Arrow map: no shuffle, memory bounded by a batch.
 
-Defined cases: null or wordless text has one empty window and is scored like any other;
-null ids pass through; repeated rows are scored each; labels that are null or not 0/1
-are not used; with one class only (or none) the score is that class's share (0.5
+Defined cases: null or wordless text has one empty window and is scored like any other; very long texts
+are scored whole; null ids pass through; repeated rows are scored each and learned from once; labels that are null or not 0/1
+are not used; an id with both labels counts as either; a score equal to the threshold is over it; languages that tie in
+function words go to the first in the list; with one class only (or none) the score is that class's share (0.5
 without any); empty tables give empty results; other columns are ignored.
 """
 

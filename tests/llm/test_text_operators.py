@@ -332,6 +332,19 @@ def test_classifiers_generalise(spark, module, label, mark):
     assert np.mean([(got[i] >= 0.5) == bool(y[i]) for i in held]) >= 0.95
 
 
+def test_training_rows_are_whole_bounded_and_drawn_once(spark):
+    """Labels without documents don't use up the sample, long texts are learned from whole, repeated rows once."""
+    long = "a very long text " * 20_000
+    rows = [(i, long if i == 7 else f"text {i}") for i in range(200)] + [(7, long)] * 5 + [(8, "text 8 again")]
+    labels = [(i, i % 2) for i in range(5000)] + [(7, 1)] * 3 + [(8, 0), (None, 1)]
+    df, labelled = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int")
+    got = quality_cnn.training_rows(df, labelled, "quality", 1000)
+    free = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5]
+    assert len(got) == len(free) and sum(y for _, y in got) == sum(i % 2 for i in free) and (long, 1) in got
+    assert len(quality_cnn.training_rows(df, labelled, "quality", 20)) == 20
+    assert quality_cnn.training_rows(df.limit(0), labelled, "quality", 20) == []
+
+
 def test_classifier_edges(spark):
     odd = docs(spark, ODD, extra=True)
     for module, label in ((quality_cnn, "quality"), (toxicity, "toxic")):

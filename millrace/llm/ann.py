@@ -1,7 +1,8 @@
 """Approximate nearest neighbours by inner product over balanced posting lists.
 
-Centroids are fitted on the driver to a bounded, hash-ordered sample by k-means with a penalty on
-crowded clusters. Every vector of the table is indexed: it goes to the list of its nearest centroid and is replicated to those
+Centroids are fitted on the driver by k-means with a penalty on crowded clusters, to a sample that is chosen by a hash of the id before
+anything is ordered: at most ``sample_rows`` ids, or ``per_list`` for each list where that is more. There is a list for every
+``4 * sqrt(n)`` vectors of n, so lists grow neither faster nor slower than their number. Every vector of the table is indexed: it goes to the list of its nearest centroid and is replicated to those
 almost as near. Centroids are searched through an in-memory neighbour graph, best first. A query visits
 the lists whose centroids are within a ratio of its nearest one's distance; the ratio is the smallest at which
 sampled queries reach ``recall`` against brute force over the sample, which is the harder case, as its neighbours are
@@ -13,13 +14,12 @@ work; a unit scores its queries in double precision and passes on at most k rows
 pair, so that equal vectors tie exactly.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite components, rows without id, and vectors not of the commonest
-length of the sample take no part; rows that repeat an id are one candidate with the best of their scores (as a query, the least of their vectors); ties go to
+length of the table (of equally common ones, the greatest) take no part; vectors of any length are read whole; rows that repeat an id are one candidate with the best of their scores (as a query, the least of their vectors); ties go to
 the smaller id; with fewer candidates than k all are returned; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,6 +40,11 @@ def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum((x * x).sum(1)[:, None] - 2 * x @ y.T + (y * y).sum(1), 0))
 
 
+def _nearest(x: np.ndarray, y: np.ndarray, scale: np.ndarray, block: int = 2048) -> np.ndarray:
+    """For each row of x the row of y at the least scaled distance, block by block."""
+    return np.concatenate([(_distances(x[at : at + block], y) * scale).argmin(1) for at in range(0, len(x), block)])
+
+
 def balanced_kmeans(x: np.ndarray, k: int, rounds: int = 12, pressure: float = 0.3, seed: int = 3) -> np.ndarray:
     """Centroids of k clusters; a cluster over its fair share looks farther away in the next round."""
     rng = np.random.default_rng(seed)
@@ -47,11 +52,10 @@ def balanced_kmeans(x: np.ndarray, k: int, rounds: int = 12, pressure: float = 0
     k = min(k, len(distinct))
     centres, size = distinct[rng.choice(len(distinct), k, replace=False)].copy(), np.full(k, len(x) / k)
     for _ in range(rounds):
-        d = _distances(x, centres)
-        own = (d * (1 + pressure * (size * k / len(x) - 1).clip(-0.5, 2))).argmin(1)
-        size = np.bincount(own, minlength=k)
-        for c in np.flatnonzero(size):
-            centres[c] = x[own == c].mean(0)
+        own = _nearest(x, centres, 1 + pressure * (size * k / len(x) - 1).clip(-0.5, 2))
+        size, order = np.bincount(own, minlength=k), own.argsort(kind="stable")
+        full = np.flatnonzero(size)
+        centres[full] = np.add.reduceat(x[order], (np.cumsum(size) - size)[full]) / size[full][:, None]
         if len(empty := np.flatnonzero(size == 0)):
             centres[empty] = distinct[rng.choice(len(distinct), len(empty))]
     return centres
@@ -68,10 +72,10 @@ class Index:
     @classmethod
     def build(cls, sample: np.ndarray, k: int, top_norm: float, degree: int = 12) -> Index:
         centres = balanced_kmeans(lift(sample, top_norm), k)
-        order = _distances(centres, centres).argsort(1)
+        order = np.concatenate([_distances(centres[at : at + 1024], centres).argsort(1)[:, : degree + 1] for at in range(0, len(centres), 1024)])
         rng = np.random.default_rng(5)
         far = rng.integers(0, len(centres), (len(centres), 4))  # long links keep the graph in one piece
-        graph = np.concatenate([order[:, 1 : degree + 1], far, np.roll(np.arange(len(centres)), 1)[:, None]], 1)
+        graph = np.concatenate([order[:, 1:], far, np.roll(np.arange(len(centres)), 1)[:, None]], 1)
         return cls(centres, graph, np.unique(np.linspace(0, len(centres) - 1, 8).astype(int)), top_norm)
 
     def search(self, x: np.ndarray, beam: int) -> np.ndarray:
@@ -122,13 +126,15 @@ class Index:
             return
         truth = np.argpartition(-scores, k - 1, 1)[:, :k]
         rows, lists = self.homes(lifted, copies, closure)
-        placed = np.zeros((len(sample), len(self.centres)), bool)
-        placed[rows, lists] = True
-        flat = np.concatenate([q, np.zeros((len(q), 1))], 1)
+        homes = np.full((len(sample), copies), -1)
+        homes[rows, np.arange(len(rows)) - np.searchsorted(rows, rows)] = lists
+        d = self.search(np.concatenate([q, np.zeros((len(q), 1))], 1), 64)
+        near, held = d.min(1, keepdims=True), homes[truth]  # queries x k x copies
+        reach = np.take_along_axis(d, np.maximum(held, 0).reshape(len(q), -1), 1).reshape(held.shape)
+        best = np.where(held >= 0, reach, np.inf).min(2)
         for ratio in (*np.arange(1.0, 2.0, 0.01), np.inf):
             self.ratio = float(ratio)
-            visited = self.lists(flat, ratio)
-            if (placed[truth] & visited[:, None, :]).any(2).mean() >= recall:
+            if (best <= near * ratio).mean() >= recall:
                 return
 
 
@@ -142,20 +148,25 @@ def _usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame
     return vectors.select(vectors[id_column].alias("id"), vectors[vector_column].cast("array<double>").alias("v")).where(F.col("id").isNotNull() & v.isNotNull()).where(F.coalesce(finite, F.lit(False)))
 
 
-def search(vectors: DataFrame, is_query: Column, *, k: int = 20, id_column: str = "vec_id", vector_column: str = "embedding", recall: float = 0.97, copies: int = 3, closure: float = 1.1, sample_rows: int = 8000, chunk: int = 8192) -> DataFrame:
+def search(vectors: DataFrame, is_query: Column, *, k: int = 20, id_column: str = "vec_id", vector_column: str = "embedding", recall: float = 0.97, copies: int = 3, closure: float = 1.1, sample_rows: int = 8000, per_list: int = 16, chunk: int = 8192) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best candidates found for each row of vectors that is_query holds for."""
     spark, ws = vectors.sparkSession, Workspace(vectors.sparkSession, "ann")
     usable = _usable(vectors, id_column, vector_column)
     kind = usable.schema["id"].dataType.simpleString()
-    rows = usable.orderBy(F.xxhash64("id"), "id", "v").limit(sample_rows).select("v").collect()
     schema = f"query_id {kind}, rank int, vec_id {kind}, score double"
-    if not rows:
+    norm = F.max(F.aggregate("v", F.lit(0.0), lambda t, c: t + c * c))
+    lengths = usable.groupBy(F.size("v").alias("dim")).agg(norm.alias("top"), F.count("*").alias("n"), F.approx_count_distinct("id").alias("ids"))
+    stats = lengths.orderBy(F.desc("n"), F.desc("dim")).first()
+    if stats is None:
         return spark.createDataFrame([], schema)
-    dim = Counter(len(r.v) for r in rows).most_common(1)[0][0]
-    usable = usable.where(F.size("v") == dim)
-    sample = np.array([r.v for r in rows if len(r.v) == dim])
-    stats = usable.agg(F.max(F.aggregate("v", F.lit(0.0), lambda s, c: s + c * c)).alias("top"), F.count("*").alias("n")).first()
-    index = Index.build(sample, int(np.clip(np.sqrt(stats.n) / 4, 64, 4096)), float(np.sqrt(stats.top)) * (1 + 1e-12))
+    usable = usable.where(F.size("v") == stats.dim)
+    n_lists = int(max(64, np.sqrt(stats.n) / 4))
+    wanted = max(sample_rows, per_list * n_lists)
+    share = min(1.0, 1.3 * wanted / max(1, stats.ids))  # of the ids, before anything is ordered: what reaches the driver doesn't grow with tasks
+    spot = F.pmod(F.xxhash64("id"), F.lit(1 << 20))
+    drawn = usable.where(spot < int(np.ceil(share * (1 << 20)))).groupBy("id").agg(F.min("v").alias("v"))
+    sample = np.array([r.v for r in drawn.orderBy(F.xxhash64("id"), "id").limit(wanted).select("v").collect()])
+    index = Index.build(sample, n_lists, float(np.sqrt(stats.top)) * (1 + 1e-12))
     index.calibrate(sample, k, recall, copies, closure)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

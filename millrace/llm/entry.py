@@ -47,7 +47,7 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
-    return mixed.select("doc_id", "source", "n_tokens", "weight", "epoch", "block", "position")
+    return mixed.select("doc_id", "source", "n_tokens", F.round("weight", 9).alias("weight"), "epoch", "block", "position")
 
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

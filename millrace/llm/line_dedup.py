@@ -11,8 +11,10 @@ With ``spare_copies`` copied documents are told from boilerplate. Rows with one
 documents of which such lines make up less than half the characters: lines that copies or near copies share with nothing else are then
 no boilerplate, and the copies stay whole, for near dedup to choose among. A text that would be left without words stays whole too.
 
-Defined cases: null text stays null with no lines; a null site counts as a site of its own; null ids are a document like any other
-(all rows of one id, null included, are cleaned by the same set of hashes); repeated rows are cleaned each and count once per site; an
+What was found of a document goes back to it by a 128-bit hash of id and text, so that rows without id, or with one id, don't meet.
+
+Defined cases: null text stays null with no lines; a null site counts as a site of its own; null ids are documents like any other;
+very long texts are split and cut whole; a line on exactly ``min_sites`` sites goes; repeated rows are cleaned each and count once per site; an
 empty table gives an empty result; other columns are passed on.
 """
 
@@ -36,9 +38,16 @@ def _hash(line: Column) -> Column:
     return F.when(cut != "", F.struct(F.xxhash64(cut).alias("x"), F.xxhash64(F.lit(17), cut).alias("y")))
 
 
+def _key(id_column: Column, text: Column) -> list[Column]:
+    """A 128-bit hash of id and text."""
+    return [F.xxhash64(F.lit(1), id_column, text).alias("kx"), F.xxhash64(F.lit(2), id_column, text).alias("ky")]
+
+
 def _lines(docs: DataFrame, id_column: str, text_column: str, site_column: str) -> DataFrame:
-    lines = docs.select(docs[id_column].alias("id"), F.coalesce(docs[site_column].cast("string"), F.lit("\x00null")).alias("site"), F.explode(F.split(docs[text_column], "\n")).alias("line"))
-    return lines.select("id", "site", _hash(F.col("line")).alias("h")).where("h is not null").select("id", "site", F.col("h.x").alias("x"), F.col("h.y").alias("y"))
+    # The hashes in their own select, as what stands beside a generator is computed for each line.
+    texts = docs.select(*_key(docs[id_column], docs[text_column]), F.coalesce(docs[site_column].cast("string"), F.lit("\x00null")).alias("site"), F.split(docs[text_column], "\n").alias("parts"))
+    lines = texts.select("kx", "ky", "site", F.explode("parts").alias("line"))
+    return lines.select("kx", "ky", "site", _hash(F.col("line")).alias("h")).where("h is not null").select("kx", "ky", "site", F.col("h.x").alias("x"), F.col("h.y").alias("y"))
 
 
 def boilerplate(lines: DataFrame, ws: Workspace, *, min_sites: int = 10, margin: float = 0.25, lg_k: int = 10) -> DataFrame:
@@ -49,7 +58,9 @@ def boilerplate(lines: DataFrame, ws: Workspace, *, min_sites: int = 10, margin:
     over = spread.where(F.col("estimate") > min_sites * (1 + margin)).select("x", "y", F.col("estimate").alias("sites"), F.lit(False).alias("exact"))
     close = spread.where(F.col("estimate") <= min_sites * (1 + margin)).select("x", "y")
     counted = lines.select("site", "x", "y").join(close, ["x", "y"], "left_semi").groupBy("x", "y").agg(F.countDistinct("site").alias("sites"))
-    return ws.save(over.unionByName(counted.where(F.col("sites") >= min_sites).select("x", "y", "sites", F.lit(True).alias("exact"))), "boilerplate")
+    out = ws.save(over.unionByName(counted.where(F.col("sites") >= min_sites).select("x", "y", "sites", F.lit(True).alias("exact"))), "boilerplate")
+    ws.drop(spread)
+    return out
 
 
 def _placed_lines(docs: DataFrame, id_column: str, text_column: str, site_column: str) -> DataFrame:
@@ -57,9 +68,9 @@ def _placed_lines(docs: DataFrame, id_column: str, text_column: str, site_column
     text, site = docs[text_column], F.coalesce(docs[site_column].cast("string"), F.lit("\x00null"))
     size = F.aggregate("parts", F.lit(0), lambda s, line: s + F.length(_clean(line)))
     # In its own select, as what stands beside a generator is computed for each line.
-    texts = docs.select(docs[id_column].alias("id"), site.alias("site"), F.xxhash64(text).alias("tx"), F.xxhash64(F.lit(17), text).alias("ty"), F.split(text, "\n").alias("parts")).withColumn("total", size)
-    lines = texts.select("id", "site", "tx", "ty", "total", F.posexplode("parts").alias("at", "line"))
-    return lines.select("id", "site", "tx", "ty", "total", "at", F.length(_clean(F.col("line"))).alias("size"), _hash(F.col("line")).alias("h")).where("h is not null").select("id", "site", "tx", "ty", "total", "at", "size", F.col("h.x").alias("x"), F.col("h.y").alias("y"))
+    texts = docs.select(*_key(docs[id_column], text), site.alias("site"), F.xxhash64(text).alias("tx"), F.xxhash64(F.lit(17), text).alias("ty"), F.split(text, "\n").alias("parts")).withColumn("total", size)
+    lines = texts.select("kx", "ky", "site", "tx", "ty", "total", F.posexplode("parts").alias("at", "line"))
+    return lines.select("kx", "ky", "site", "tx", "ty", "total", "at", F.length(_clean(F.col("line"))).alias("size"), _hash(F.col("line")).alias("h")).where("h is not null").select("kx", "ky", "site", "tx", "ty", "total", "at", "size", F.col("h.x").alias("x"), F.col("h.y").alias("y"))
 
 
 def outside_copies(lines: DataFrame, found: DataFrame, ws: Workspace, *, min_sites: int = 10) -> DataFrame:
@@ -68,7 +79,9 @@ def outside_copies(lines: DataFrame, found: DataFrame, ws: Workspace, *, min_sit
     held = ws.save(held, "held")  # one row per line of each distinct text
     bodies = held.groupBy("tx", "ty").agg(F.sum("size").alias("size"), F.min("total").alias("total")).where("2 * size < total").select("tx", "ty")
     spread = held.join(bodies, ["tx", "ty"], "left_semi").groupBy("x", "y").agg(F.countDistinct("site").alias("sites"))
-    return ws.save(spread.where(F.col("sites") >= min_sites), "outside")
+    out = ws.save(spread.where(F.col("sites") >= min_sites), "outside")
+    ws.drop(held)
+    return out
 
 
 def dedup_lines(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", site_column: str = "source", spare_copies: bool = False, **options: float) -> DataFrame:
@@ -78,11 +91,12 @@ def dedup_lines(docs: DataFrame, *, id_column: str = "doc_id", text_column: str
     found = boilerplate(lines, ws, **options)
     if spare_copies:
         found = outside_copies(lines, found, ws, **{k: v for k, v in options.items() if k == "min_sites"})
-    own = lines.join(found.select("x", "y"), ["x", "y"], "left_semi").groupBy(F.col("id").alias("__id")).agg(F.collect_set(F.struct("x", "y")).alias("__found"))
+    own = lines.join(found.select("x", "y"), ["x", "y"], "left_semi").groupBy("kx", "ky").agg(F.collect_set(F.struct("x", "y")).alias("__found"))
     own = ws.save(own, "found")
     ws.drop(lines)
     # The texts are shuffled at every size: how many documents hold boilerplate grows with the table, so it is no side to broadcast.
-    joined = docs.join(own.hint("merge"), docs[id_column].eqNullSafe(own["__id"]), "left").drop("__id")
+    keyed = docs.select("*", *[k.alias(f"__{c}") for c, k in zip(("kx", "ky"), _key(docs[id_column], docs[text_column]), strict=True)])
+    joined = keyed.join(own.withColumnsRenamed({"kx": "__ox", "ky": "__oy"}).hint("merge"), (F.col("__kx") == F.col("__ox")) & (F.col("__ky") == F.col("__oy")), "left").drop("__kx", "__ky", "__ox", "__oy")
     split = F.split(F.col(text_column), "\n")
     kept = F.when(F.col("__found").isNull(), split).otherwise(F.filter(split, lambda line: ~F.coalesce(F.array_contains("__found", _hash(line)), F.lit(False))))
     if spare_copies:

@@ -5,14 +5,16 @@ as far as the target entropy asks for, but not so far that a source would be rep
 ``max_epochs``. Both bounds are found by bisection, four halvings per pass over the small table of sources. The weights become token
 budgets: as many epochs of each source as its weight asks for, with the source of the least epochs at ``least_epochs``.
 
-Budgets are realised as block permutations. A source is dealt by hash into blocks of about ``block_rows`` rows;
-each block is permuted by hash and gives its whole epochs plus, for the fraction, the rows at the front of its
-permutation until its share of the budget is filled. So no window is larger than a block, whatever the source's size, and
+Budgets are realised as block permutations. A source is dealt by a hash of id and text into blocks of about ``block_rows`` rows;
+each block is permuted by the rest of the hash and gives its whole epochs plus, for the fraction, the rows at the front of its
+permutation until its share of the budget is filled. Rows that repeat id and text more often than a block is long are told by
+counting hashes first and are dealt round robin, so no window grows beyond a few blocks, whatever the source's size, and
 each source misses its budget by less than one row per block.
 
-Defined cases: null text has no tokens and costs nothing; a null source is a source of its own; null ids are permuted like any other; repeated
-rows are rows of their own; one source has weight 1; a source without tokens keeps its rows for ``least_epochs``; an empty table gives an
-empty result; other columns are passed on.
+Defined cases: null text has no tokens and costs nothing; a null source is a source of its own; null ids are permuted by their texts;
+very long texts count whole, and a text longer than what is left of a fraction isn't taken once more; repeated
+rows are rows of their own (equal ones tie: which of them stands first makes no difference); one source has weight 1; a source without tokens
+keeps its rows for ``least_epochs``; an empty table gives an empty result; other columns are passed on, but for those named as an added one.
 """
 
 from __future__ import annotations
@@ -63,10 +65,19 @@ def temperature(sources: DataFrame, *, entropy: float = 0.98, max_epochs: float
     return min(1.0, _bisect(shares, spread > max_epochs, wanted, 1.0) + 16.0**-8)
 
 
-def budgets(docs: DataFrame, ws: Workspace, *, source_column: str = "source", text_column: str = "text", block_rows: int = 1024, least_epochs: float = 1.0, **targets: float) -> tuple[DataFrame, float]:
-    """(source, tokens, rows, p, weight, epochs, blocks) of each source, and the exponent."""
-    counted = docs.select(docs[source_column].alias("source"), n_tokens(docs[text_column]).alias("n")).groupBy("source").agg(F.sum("n").alias("tokens"), F.count("*").alias("rows"))
-    counted = ws.save(counted, "sources")
+def _digest(seed: int, id_column: Column, text: Column) -> Column:
+    """MD5 of seed, id and text: the same in any engine."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(id_column.cast("string"), F.lit("")), F.coalesce(text, F.lit(""))))
+
+
+def _number(digest: Column, at: int) -> Column:
+    """15 of its hexadecimal digits as a number."""
+    return F.conv(F.substring(digest, at, 15), 16, 10).cast("long")
+
+
+def budgets(rows: DataFrame, ws: Workspace, *, block_rows: int = 1024, least_epochs: float = 1.0, **targets: float) -> tuple[DataFrame, float]:
+    """(source, tokens, rows, p, weight, epochs, blocks) of each source of rows(source, n), and the exponent."""
+    counted = ws.save(rows.groupBy("source").agg(F.sum("n").alias("tokens"), F.count("*").alias("rows")), "sources")
     total = counted.agg(F.sum("tokens")).first()[0] or 0
     shares = counted.withColumn("p", F.col("tokens") / F.lit(float(max(total, 1))))
     a = temperature(shares, least_epochs=least_epochs, **targets)
@@ -77,21 +88,27 @@ def budgets(docs: DataFrame, ws: Workspace, *, source_column: str = "source", te
     return ws.save(out, "budgets"), a
 
 
-def mix(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", seed: int = 42, **options: float) -> DataFrame:
+def mix(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", seed: int = 42, block_rows: int = 1024, **options: float) -> DataFrame:
     """docs repeated to budget, with n_tokens, weight, epoch (from 0), block, and position (in the block's permutation, from 1)."""
     ws = Workspace(docs.sparkSession, "mix")
-    plan, _ = budgets(docs, ws, source_column=source_column, text_column=text_column, **options)
+    digest = _digest(seed, F.col(id_column), F.col(text_column))
+    counts = ws.save(docs.select(F.col(source_column).alias("source"), n_tokens(F.col(text_column)).alias("n"), _number(digest, 1).alias("spot")), "counts")
+    plan, _ = budgets(counts, ws, block_rows=block_rows, **options)
+    often = ws.save(counts.groupBy("spot").agg(F.count("*").alias("n")).where(F.col("n") > block_rows).select(F.col("spot").alias("__often")), "often")
+    ws.drop(counts)
     plan = plan.select(F.col("source").alias("__source"), "weight", F.col("epochs").alias("__epochs"), F.col("blocks").alias("__blocks"))
-    rows = docs.withColumn("n_tokens", n_tokens(F.col(text_column))).join(plan, F.col(source_column).eqNullSafe(F.col("__source"))).drop("__source")
-    spot = F.xxhash64(F.lit(seed), F.col(id_column), F.col("n_tokens"))
-    rows = rows.withColumns({"block": F.pmod(spot, F.col("__blocks")).cast("int"), "__order": F.xxhash64(F.lit(seed + 1), spot)})
+    clean = docs.drop("n_tokens", "weight", "epoch", "block", "position")
+    rows = clean.withColumns({"n_tokens": n_tokens(F.col(text_column)), "__digest": digest}).join(plan, F.col(source_column).eqNullSafe(F.col("__source"))).drop("__source")
+    rows = rows.withColumns({"__spot": _number(F.col("__digest"), 1), "__order": _number(F.col("__digest"), 16)})
+    rows = rows.join(often, F.col("__spot") == F.col("__often"), "left")
+    spread = F.when(F.col("__often").isNotNull(), F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 31))).otherwise(0)
+    rows = rows.withColumn("block", F.pmod(F.col("__spot") + spread, F.col("__blocks")).cast("int"))
     block = Window.partitionBy(source_column, "block")
-    running = block.orderBy("__order", id_column).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.withColumns({"position": F.row_number().over(block.orderBy("__order", id_column)), "__through": F.sum("n_tokens").over(running)})
-    tail = block.orderBy("__order", id_column).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    rows = rows.withColumn("__all", F.sum("n_tokens").over(tail))
+    order = block.orderBy("__order", "__spot")
+    running, tail = order.rowsBetween(Window.unboundedPreceding, Window.currentRow), order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.withColumns({"position": F.row_number().over(order), "__through": F.sum("n_tokens").over(running), "__all": F.sum("n_tokens").over(tail)})
     whole = F.floor(F.col("__epochs") + 1e-9)
     extra = (F.col("__through") <= (F.col("__epochs") - whole) * F.col("__all")) & (F.col("n_tokens") > 0)
     copies = whole.cast("int") + extra.cast("int")
-    rows = rows.withColumn("epoch", F.explode(F.sequence(F.lit(0), copies - 1))) if options.get("least_epochs", 1.0) >= 1 else rows.where(copies > 0).withColumn("epoch", F.explode(F.sequence(F.lit(0), copies - 1)))
-    return rows.drop("__epochs", "__blocks", "__order", "__through", "__all")
+    rows = rows.where(copies > 0).withColumn("epoch", F.explode(F.sequence(F.lit(0), copies - 1)))
+    return rows.drop("__digest", "__epochs", "__blocks", "__order", "__spot", "__often", "__through", "__all")

@@ -63,4 +63,34 @@ QUALITY_RULES = f"""
     FROM measured m LEFT JOIN limits f ON f.lang IS NOT DISTINCT FROM m.lang AND f.source IS NOT DISTINCT FROM m.source
 """
 
-ORACLES: dict[str, str] = {"op2_line_dedup": LINE_DEDUP, "op3_near_dedup": NEAR_DEDUP, "op9_quality_rules": QUALITY_RULES}
+_Z = "list_sum(list_transform(ps, lambda p: pow(p, {a})))"
+_ENTROPY = f"ln({_Z}) - {{a}} * list_sum(list_transform(ps, lambda p: pow(p, {{a}}) * ln(p))) / {_Z}"
+_SPREAD = "pow(list_max(ps) / list_min(ps), 1 - {a})"
+
+
+def _bisect_sql(name: str, start: str, holds: str, source: str) -> str:
+    """32 halvings; the last low is the exponent."""
+    middle = "(low + (high - low) / 2)"
+    return f"""{name}(k, ps, low, high) AS (SELECT 0, ps, {start}, 1.0::DOUBLE FROM {source}
+        UNION ALL SELECT k + 1, ps, CASE WHEN {holds.format(a=middle)} THEN {middle} ELSE low END, CASE WHEN {holds.format(a=middle)} THEN high ELSE {middle} END FROM {name} WHERE k < 32)"""
+
+
+MIXING = f"""
+    WITH RECURSIVE rows AS (SELECT doc_id, source, len({_WORDS})::BIGINT AS n, md5('42:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')) AS d FROM documents),
+    sources AS (SELECT source, sum(n)::BIGINT AS tokens, count(*) AS rows FROM rows GROUP BY source),
+    shares AS (SELECT *, tokens / greatest(sum(tokens) OVER (), 1)::DOUBLE AS p FROM sources),
+    flat AS (SELECT coalesce(list(p ORDER BY p) FILTER (p > 0), []) AS ps FROM shares),
+    {_bisect_sql('warm', '0.0::DOUBLE', f'({_ENTROPY}) >= 0.98 * ln(len(ps))', 'flat')},
+    wanted AS (SELECT ps, low AS a FROM warm WHERE k = 32),
+    {_bisect_sql('limited', 'a', f'{_SPREAD} > 2.0', 'wanted')},
+    exponent AS (SELECT CASE WHEN len(w.ps) < 2 OR {_ENTROPY.format(a='1.0').replace('ps', 'w.ps')} >= 0.98 * ln(len(w.ps)) THEN 1.0
+        WHEN {_SPREAD.format(a='w.a').replace('ps', 'w.ps')} <= 2.0 THEN w.a ELSE least(1.0, l.low + pow(16.0, -8)) END AS a FROM wanted w, limited l WHERE l.k = 32),
+    raised AS (SELECT s.*, CASE WHEN p > 0 THEN pow(p, a) ELSE 0 END AS r FROM shares s, exponent),
+    plan AS (SELECT source, r / sum(r) OVER () AS weight, CASE WHEN p > 0 THEN r / p / min(CASE WHEN p > 0 THEN r / p END) OVER () ELSE 1.0 END AS epochs, ceil(rows / 1024.0)::BIGINT AS blocks FROM raised),
+    dealt AS (SELECT r.*, weight, epochs, ('0x' || d[1:15])::BIGINT AS spot, ('0x' || d[16:30])::BIGINT AS place, (('0x' || d[1:15])::BIGINT % blocks)::INTEGER AS block FROM rows r JOIN plan p ON p.source IS NOT DISTINCT FROM r.source),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY source, block ORDER BY place, spot) AS position, sum(n) OVER (PARTITION BY source, block ORDER BY place, spot ROWS UNBOUNDED PRECEDING) AS through, sum(n) OVER (PARTITION BY source, block) AS everything FROM dealt),
+    counted AS (SELECT *, floor(epochs + 1e-9)::INTEGER + CASE WHEN through <= (epochs - floor(epochs + 1e-9)) * everything AND n > 0 THEN 1 ELSE 0 END AS copies FROM placed)
+    SELECT doc_id, source, n AS n_tokens, round(weight, 9) AS weight, unnest(range(copies))::INTEGER AS epoch, block, position::INTEGER AS position FROM counted
+"""
+
+ORACLES: dict[str, str] = {"op2_line_dedup": LINE_DEDUP, "op3_near_dedup": NEAR_DEDUP, "op7_mixing": MIXING, "op9_quality_rules": QUALITY_RULES}

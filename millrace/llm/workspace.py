@@ -2,11 +2,13 @@
 
 Lineage is cut by writing Parquet under ``spark.checkpoint.dir`` of the session and
 reading it back, so that a lost executor costs at most the running step. Where the
-setting is absent (single-machine use), a temporary folder is used.
+setting is absent, one process on one machine (``local[...]``, as in tests) uses a temporary folder;
+any cluster refuses, as its executors would write to disks that the others don't see.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -17,8 +19,9 @@ class Workspace:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         root = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
-        if not root:
-            root = tempfile.mkdtemp(prefix="millrace-")
+        if not root and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the whole cluster shares")
+        root = root or tempfile.mkdtemp(prefix="millrace-")
         self.root = f"{root.rstrip('/')}/millrace-{name}-{uuid.uuid4().hex}"
         self.n = 0
         self.saved: list[DataFrame] = []

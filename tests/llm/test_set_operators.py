@@ -1,7 +1,9 @@
+import hashlib
 import itertools
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -92,7 +94,7 @@ def test_line_stage_leaves_copied_documents(spark):
 def test_mixing(spark):
     rows = [(i, "a b c d", "en", "big" if i < 800 else f"small{i % 4}" if i < 990 else None, 0) for i in range(1000)] + [(None, "a b", "en", "big", 0), (5, None, "en", "big", 0), (5, None, "en", "big", 0)]
     df = spark.createDataFrame(rows, SCHEMA).withColumns({"p": F.lit(1), "rows": F.lit(2)})
-    plan, a = mixing.budgets(df, Workspace(spark, "t"), max_epochs=2.0, block_rows=64)
+    plan, a = mixing.budgets(df.select("source", mixing.n_tokens(F.col("text")).alias("n")), Workspace(spark, "t"), max_epochs=2.0, block_rows=64)
     held = {r.source: r for r in plan.collect()}
     shares = np.array([r.p for r in held.values()])
     weights = shares**a / (shares**a).sum()
@@ -106,6 +108,75 @@ def test_mixing(spark):
     assert mixing.mix(df.limit(0)).count() == 0 and mixing.mix(df.where("source = 'big'")).count() == 803
 
 
+def test_mixing_splits_rows_that_repeat(spark):
+    rows = [(None, "the same text", "en", "hot", 0)] * 6000 + [(i, f"text {i} of its own", "en", "hot", 0) for i in range(2000)] + [(None, f"no id {i}", "en", "b", 0) for i in range(900)]
+    mixed = mixing.mix(spark.createDataFrame(rows, SCHEMA).repartition(8), block_rows=256)
+    sizes = mixed.where("epoch = 0").groupBy("source", "block").agg(F.count("*").alias("n"), F.max("position").alias("last")).collect()
+    assert sum(r.n for r in sizes) == len(rows) and all(r.n == r["last"] for r in sizes)
+    assert max(r.n for r in sizes) < 3 * 256
+
+
+def test_block_permutations_match_a_plain_reading(spark):
+    rng = random.Random(6)
+    rows = [(i, "w " * rng.randint(0, 40), "en", rng.choice(["a", "a", "a", "a", "a", "b", None]), 0) for i in range(1500)]
+    mixed = mixing.mix(spark.createDataFrame(rows, SCHEMA), block_rows=200, max_epochs=1.7).select("doc_id", "source", "n_tokens", "weight", "epoch", "block", "position").collect()
+    tokens, blocks = {}, {}
+    for i, t, _, source, _ in rows:
+        tokens[source] = tokens.get(source, 0) + len(t.split())
+        blocks[source] = blocks.get(source, 0) + 1
+    weights, total = {r.source: r.weight for r in mixed}, sum(tokens.values())
+    ratio = {s: weights[s] / (tokens[s] / total) for s in tokens}
+    wanted = []
+    groups = {}
+    for i, t, _, source, _ in rows:
+        d = hashlib.md5(f"42:{i}:{t}".encode()).hexdigest()
+        groups.setdefault((source, int(d[:15], 16) % -(-blocks[source] // 200)), []).append((int(d[15:30], 16), i, len(t.split())))
+    for (source, block), held in groups.items():
+        epochs, through, everything = ratio[source] / min(ratio.values()), 0, sum(n for *_, n in held)
+        for position, (_, i, n) in enumerate(sorted(held), 1):
+            through += n
+            copies = int(epochs + 1e-9) + (n > 0 and through <= (epochs - int(epochs + 1e-9)) * everything)
+            wanted += [(i, source, n, e, block, position) for e in range(copies)]
+    assert sorted(((r.doc_id, r.source, r.n_tokens, r.epoch, r.block, r.position) for r in mixed), key=str) == sorted(wanted, key=str)
+
+
+def test_workspace_refuses_a_cluster_without_a_shared_folder():
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext, conf = Context(), {}
+
+    with pytest.raises(RuntimeError):
+        Workspace(Session(), "t")
+    Context.master = "local-cluster[2,1,512]"
+    with pytest.raises(RuntimeError):
+        Workspace(Session(), "t")
+
+
+def test_line_dedup_of_rows_without_id_and_long_texts(spark):
+    rows = [(None, f"everywhere\nonly {i}", "en", f"s{i}", 0) for i in range(12)] + [(None, None, "en", "s1", 0), (3, "\n".join(["everywhere"] * 20_000 + ["end"]), "en", "s3", 0)]
+    rows += [(4, "nine only", "en", f"s{i}", 0) for i in range(9)]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((str(r.doc_id), str(r.text), r.n_removed) for r in got) == sorted([("None", f"only {i}", 1) for i in range(12)] + [("None", "None", 0), ("3", "end", 20_000)] + [("4", "nine only", 0)] * 9)
+
+
+def test_sample_of_the_index_ignores_repeats_and_lengths(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(400, 6))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(5, x[5].tolist())] * 3000 + [(9000 + i, [1.0] * 3) for i in range(3000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.search(df, F.col("vec_id") < 20, k=5, sample_rows=100, per_list=1).collect():
+        got.setdefault(r.query_id, {})[r.rank] = r.vec_id
+    scores = x @ x.T
+    hits = sum(len({i for i in scores[q].argsort()[::-1][:6] if i != q} & set(found.values())) for q, found in got.items())
+    assert set(got) == set(range(20)) and all(sorted(f) == [1, 2, 3, 4, 5] for f in got.values()) and hits >= 90
+
+
 def test_temperature_meets_the_entropy(spark):
     p = np.array([0.5, 0.3, 0.15, 0.05])
     sources = spark.createDataFrame([(float(x),) for x in p], "p double")

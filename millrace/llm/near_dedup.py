@@ -4,21 +4,21 @@
    ``bands * rows`` minhashes of 16 bits. Equal digests form a class; only one row per class goes on.
 2. Classes that agree on a band share a bucket. Its hub is the member that meets most others over all bands, as
    the centre of a group of copies does. Members are compared with hubs, first each with its best one, then with
-   the others where that could still join something: linear in the bucket, never all pairs. Members far from
-   the hub are compared among themselves by signature, in bounded chunks.
+   the others where that could still join something: linear in the bucket, never all pairs.
 3. Candidates are verified in sequence: after each batch of signature positions the posterior of the similarity
    (uniform prior) is consulted, and a pair is pruned once the chance that it reaches the threshold is under
-   ``miss``. Survivors are compared exactly, on the full sets of shingles.
-4. What no hub has joined can still be linked past it. By the triangle inequality of the Jaccard distance, both ends then
-   are within reach of the hub. Groups of texts within reach of hubs that still hold several components are
-   dealt out as pairs of bounded chunks and compared there, by signature and then exactly; only links leave the task.
+   ``miss``. Survivors are compared exactly, on the full sets of shingles, and give components.
+4. What is left are buckets that still hold members of several components. Of these, members of the largest component meet
+   only members of the others, and no two of one component meet: one straggler beside n near copies costs n comparisons. They are dealt
+   out in bounded chunks with their signatures alone; survivors are compared exactly.
 
-Texts are moved once, and only those of groups.
+A pair over the threshold that shares a bucket is so compared unless its ends are connected already.
+Texts are moved once, and only those of members of buckets.
 
 With 32 bands of 5 rows a pair at similarity 0.8 shares no bucket with probability 3e-6, and less above.
 
 Defined cases: null text counts as empty; a text without words has no shingles and is linked with nothing; a row
-with a null id has no component and is kept; repeated rows are returned as often as they occur; if an id occurs with different texts, each row keeps
+with a null id has no component and is kept; very long texts are read whole; a pair at exactly the threshold is linked; repeated rows are returned as often as they occur; if an id occurs with different texts, each row keeps
 its own shingle count and the id has the links of all its texts; empty tables give empty results; other columns
 are ignored.
 """
@@ -177,25 +177,19 @@ def near_duplicates(docs: DataFrame, *, shingle_words: int = 5, percent: int = 8
     signed = signed.drop("signature")
     members = _members(ws, classes, bands, rows)
     texts_all = docs.select(docs[id_column].alias("doc_id"), docs[text_column].alias("text"))
-
-    reach = 2 * threshold - 1 - 0.15  # of the hub, for what may be linked to something linked to the hub; less four standard errors
+    needed = members.select(F.col("rep").alias("doc_id")).distinct().hint("merge")  # no broadcast at any size: the members grow with the table
+    texts = ws.save(texts_all.join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]), "texts")
 
     spokes = members.where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
     best = members.where("rep <> hub").groupBy(F.col("rep").alias("a")).agg(F.max_by("hub", F.struct("hub_score", "hub")).alias("b"))
     judged = ws.save(_sequential(best, classes, n, threshold, miss), "best")
     others = _apart(spokes, components(ws, judged.where(F.col("near") >= threshold))).join(judged, ["a", "b"], "left_anti")
-    judged = ws.save(judged.unionByName(_sequential(others, classes, n, threshold, miss)), "judged")
-    far = _far(members, components(ws, judged.where(F.col("near") >= threshold)), classes, n, threshold, miss)
-    alive = ws.save(judged.where("alive").select("a", "b").unionByName(far).distinct(), "alive")
-    groups = components(ws, judged.where(F.col("near") >= reach).select("a", "b").unionByName(alive))
-
-    needed = groups.select(F.col("vertex").alias("doc_id")).hint("merge")  # no broadcast at any size: the groups grow with the table
-    texts = ws.save(texts_all.join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]), "texts")
+    alive = judged.unionByName(_sequential(others, classes, n, threshold, miss)).where("alive").select("a", "b").distinct()
     links = ws.save(_exact(alive, texts, shingle_words, percent).distinct(), "links")
     found = components(ws, links)
-    grid = ws.save(_grid(groups, found), "grid")
-    if not grid.isEmpty():
-        found = components(ws, links.unionByName(_chunk_pairs(grid, classes, texts, shingle_words, n, percent, miss)))
+    rest = ws.save(_across(members, found, classes, n, threshold, miss).distinct(), "rest")
+    if not rest.isEmpty():
+        found = components(ws, links.unionByName(_exact(rest, texts, shingle_words, percent)))
     ws.drop(texts)
     roots = classes.join(found, classes["rep"] == found["vertex"], "left").select("digest", F.coalesce("root", "rep").alias("root"))
     out = signed.join(roots, "digest", "left")
@@ -240,72 +234,38 @@ def _grouped(units: DataFrame, keys: list[str], schema: object, compare: Callabl
     return units.mapInArrow(run, schema)
 
 
-def _far(members: DataFrame, labels: DataFrame, classes: DataFrame, n: int, threshold: float, miss: float, chunk: int = 2048, step: int = 20) -> DataFrame:
-    """Surviving pairs (a, b) among the members of a bucket that aren't of the hub's component nor of each other's."""
-    label = lambda c: labels.select(F.col("vertex").alias(c), F.col("root").alias(f"{c}_root"))
-    placed = members.where("rep <> hub").join(label("rep"), "rep", "left").join(label("hub"), "hub", "left")
-    placed = placed.select("key", "rep", F.coalesce("rep_root", "rep").alias("root"), F.coalesce("hub_root", "hub").alias("home")).where("root <> home")
-    sizes = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n")).where("x <> y").select("key", F.ceil(F.col("n") / chunk).cast("int").alias("chunks"))
-    units = _dealt(placed.join(sizes, "key").select("key", "rep", "root", "chunks"), "key").join(classes.select("rep", "signature"), "rep")
+def _across(members: DataFrame, labels: DataFrame, classes: DataFrame, n: int, threshold: float, miss: float, chunk: int = 512, step: int = 20) -> DataFrame:
+    """Surviving pairs (a, b) among the members of a bucket that are of different components(vertex, root), as labels has them.
+
+    In each bucket the largest component is the base. The other members are cut into chunks; each chunk meets each chunk of the base, and
+    each other chunk. Base rows are copied once per chunk of the others, never per chunk of the base.
+    """
+    rooted = members.select("key", "rep").join(labels.select(F.col("vertex").alias("rep"), "root"), "rep", "left").select("key", "rep", F.coalesce("root", "rep").alias("root"))
+    shares = rooted.groupBy("key", "root").agg(F.count("*").alias("n"))
+    plan = shares.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("base"), F.max("n").alias("n_base"), F.sum("n").alias("n_all"), F.count("*").alias("roots")).where("roots > 1")
+    plan = plan.select("key", "base", F.ceil(F.col("n_base") / chunk).cast("int").alias("bases"), F.ceil((F.col("n_all") - F.col("n_base")) / chunk).cast("int").alias("others"), (F.col("roots") > 2).alias("mixed"))
+    placed = rooted.join(plan, "key").join(classes.select("rep", "signature"), "rep").withColumn("is_base", F.col("root") == F.col("base"))
+    own = F.pmod(F.xxhash64("rep"), F.when(F.col("is_base"), F.col("bases")).otherwise(F.col("others"))).cast("int")
+    placed = placed.withColumn("own", own)
+    unit = lambda u, x: F.struct(u.cast("int").alias("u"), x.cast("int").alias("x"))
+    with_base = F.transform(F.sequence(F.lit(0), F.col("bases") - 1), lambda j: unit(F.col("own"), j))
+    with_others = F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda k: unit(F.least(F.col("own"), k), F.col("bases") + F.greatest(F.col("own"), k)))
+    of_base = F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda i: unit(i, F.col("own")))
+    none = F.array().cast("array<struct<u:int,x:int>>")
+    units = placed.withColumn("unit", F.explode(F.when(F.col("is_base"), of_base).otherwise(F.concat(with_base, F.when(F.col("mixed"), with_others).otherwise(none)))))
     bounds = least_matches(n, step, threshold, miss)
 
     def compare(rows: list[tuple]) -> list[tuple]:
-        y, out = np.frombuffer(b"".join([r[2] for r in rows]), np.uint16).reshape(-1, n), []
-        for i in range(len(rows) - 1):
-            for j in np.flatnonzero(_survive(np.broadcast_to(y[i], (len(y) - i - 1, n)), y[i + 1 :], bounds, step)) + i + 1:
-                if rows[i][1] != rows[j][1]:
-                    out.append((max(rows[i][0], rows[j][0]), min(rows[i][0], rows[j][0])))
-        return out
-
-    return _grouped(units.select("key", "u", "x", "rep", "root", "signature"), ["key", "u", "x"], members.select(F.col("rep").alias("a"), F.col("rep").alias("b")).schema, compare)
-
-
-def _dealt(rows: DataFrame, key: str) -> DataFrame:
-    """rows(key, rep, chunks, ...) once for each pair (u, x), u <= x, of chunks of its group that has the row's own."""
-    own = F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")
-    out = rows.withColumn("__own", own).withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    return out.withColumn("u", F.least("__own", "__other")).withColumn("x", F.greatest("__own", "__other")).drop("__own", "__other", "chunks")
-
-
-def _grid(groups: DataFrame, labels: DataFrame, chunk: int = 1024) -> DataFrame:
-    """(group, rep, root, chunks) of the members of groups(vertex, root) that hold more than one component."""
-    held = groups.toDF("rep", "group").join(labels.toDF("rep", "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    sizes = held.groupBy("group").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).where("low <> high")
-    return held.join(sizes, "group").select("group", "rep", "root", F.ceil(F.col("n") / chunk).cast("int").alias("chunks"))
-
-
-def _chunk_pairs(grid: DataFrame, classes: DataFrame, texts: DataFrame, k: int, n: int, percent: int, miss: float, step: int = 20) -> DataFrame:
-    """Links (a, b) that join different components within the groups of grid, enough of them to connect what is connected."""
-    units = _dealt(grid, "group").join(classes.select("rep", "signature"), "rep").join(texts.select(F.col("doc_id").alias("rep"), "text"), "rep")
-    bounds = least_matches(n, step, percent / 100, miss)
-
-    def compare(rows: list[tuple]) -> list[tuple]:
-        y, out = np.frombuffer(b"".join([r[2] for r in rows]), np.uint16).reshape(-1, n), []
-        sets: dict[int, np.ndarray] = {}
-        parent: dict = {}
-
-        def own(i: int) -> np.ndarray:
-            if i not in sets:
-                sets[i] = np.unique(shingles(Words([(rows[i][3] or "").encode("utf-8", "replace")], lower=True), k)[0])
-            return sets[i]
-
-        def root(x: object) -> object:
-            while x in parent:
-                x = parent[x]
-            return x
-
-        for i in range(len(rows) - 1):
-            for j in np.flatnonzero(_survive(np.broadcast_to(y[i], (len(y) - i - 1, n)), y[i + 1 :], bounds, step)) + i + 1:
-                p, q = root(rows[i][1]), root(rows[j][1])
-                if p != q:
-                    a, b = own(i), own(j)
-                    common = len(np.intersect1d(a, b, assume_unique=True))
-                    if 100 * common >= percent * (len(a) + len(b) - common):
-                        s, t = shingle_set(rows[i][3], k), shingle_set(rows[j][3], k)
-                        if 100 * len(s & t) >= percent * len(s | t):
-                            parent[p] = q
-                            out.append((max(rows[i][0], rows[j][0]), min(rows[i][0], rows[j][0])))
+        if not rows:
+            return []
+        y = np.frombuffer(b"".join([r[3] for r in rows]), np.uint16).reshape(-1, n)
+        base, roots = np.array([r[2] for r in rows], bool), np.unique([r[1] for r in rows], return_inverse=True)[1]
+        against, out = np.flatnonzero(base), []
+        for i in np.flatnonzero(~base):
+            j = against if len(against) else np.flatnonzero(roots[i + 1 :] != roots[i]) + i + 1
+            for k in j[_survive(np.broadcast_to(y[i], (len(j), n)), y[j], bounds, step)]:
+                out.append((max(rows[i][0], rows[k][0]), min(rows[i][0], rows[k][0])))
         return out
 
-    schema = grid.select(F.col("rep").alias("a"), F.col("rep").alias("b")).schema
-    return _grouped(units.select("group", "u", "x", "rep", "root", "signature", "text"), ["group", "u", "x"], schema, compare)
+    schema = members.select(F.col("rep").alias("a"), F.col("rep").alias("b")).schema
+    return _grouped(units.select("key", F.col("unit.u").alias("u"), F.col("unit.x").alias("x"), "rep", "root", "is_base", "signature"), ["key", "u", "x"], schema, compare)

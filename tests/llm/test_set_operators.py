@@ -243,3 +243,53 @@ def test_pipeline_stages(spark, tmp_path):
     assert len(ids) == len(set(ids)) and 200 not in ids and good <= set(ids) and None in ids
     assert set(ids) == {r.doc_id for r in seen[3]}
     assert corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").distinct().count() == len(set(ids))
+
+
+def test_near_duplicates_of_many_copies_and_stragglers(spark):
+    """Near copies of one text, one straggler that only some of them reach, a second family: links are kept, and what is compared stays linear."""
+    rng = random.Random(31)
+    base = [f"w{i}" for i in range(120)]
+
+    def edited(words, n):
+        out = list(words)
+        for _ in range(n):
+            out[rng.randrange(len(out))] = f"e{rng.randint(0, 10**9)}"
+        return " ".join(out)
+
+    texts = [edited(base, 2) for _ in range(2500)]
+    straggler = edited(base, 24)  # about 0.6 similar to the copies
+    bridge = edited(straggler.split(), 4)
+    texts += [straggler, bridge, *[edited([f"v{i}" for i in range(60)] + base[60:], 1) for _ in range(30)]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    near_dedup_across, seen = near_dedup._across, []
+    try:
+        near_dedup._across = lambda *a, **k: seen.append(near_dedup_across(*a, **k)) or seen[-1]
+        got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(df, shingle_words=2).collect()}
+    finally:
+        near_dedup._across = near_dedup_across
+    sets = [near_dedup.shingle_set(t, 2) for t in texts]
+    near = lambda a, b: 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    assert all(got[i] == 0 for i in range(2500))  # all within reach of a common centre
+    for i in range(2500, len(texts)):
+        linked = {j for j in range(len(texts)) if j != i and near(i, j)}
+        assert all(got[j] == got[i] for j in linked) and (linked or got[i] == i)
+    assert got[2501] == got[2500] and got[2502] == min(got[i] for i in range(2502, 2532))
+
+
+def test_across_compares_in_proportion_to_the_rows(spark):
+    """5000 members of one component and one straggler in a bucket: each member is dealt once, not once per chunk."""
+    rng = np.random.default_rng(3)
+    common = rng.integers(0, 1 << 16, 160).astype(np.uint16)
+    other = np.where(np.arange(160) < 100, common, rng.integers(0, 1 << 16, 160)).astype(np.uint16)
+    classes = spark.createDataFrame([(i, bytearray((other if i == 5000 else common).tobytes())) for i in range(5001)], "rep long, signature binary")
+    members = spark.createDataFrame([(1, i) for i in range(5001)], "key long, rep long")
+    labels = spark.createDataFrame([(i, 0) for i in range(5000)], "vertex long, root long")
+    dealt = []
+    grouped = near_dedup._grouped
+    try:
+        near_dedup._grouped = lambda units, *a: dealt.append(units.count()) or grouped(units, *a)
+        found = near_dedup._across(members, labels, classes, 160, 0.6, 1e-4, chunk=512).collect()
+    finally:
+        near_dedup._grouped = grouped
+    assert sorted((r.a, r.b) for r in found) == [(5000, i) for i in range(5000)]
+    assert dealt == [5000 + 10]  # the straggler goes to each of the ten chunks

@@ -1,7 +1,11 @@
 """From raw documents to packed training sequences, in five stages.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again
-as the next stage's docs. All but the last return the columns of documents.
+as the next stage's docs. All but the last return the columns of documents; further columns of the table go in the first.
+
+Defined cases, besides those of the operators: an empty table passes through every stage and gives no pieces; null texts are scored,
+cleaned, mixed and packed as empty ones and in no group of near duplicates; rows without id are kept by near dedup; very long texts are
+handled whole by every stage; ties follow the operators' rules.
 """
 
 from __future__ import annotations
@@ -29,12 +33,16 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest id of each group of near duplicates (five-word shingles, similarity 0.8 or more)."""
+    """Keeps the smallest id of each group of near duplicates (five-word shingles, similarity 0.8 or more).
+
+    Rows without id are in no group and stay. Of rows that repeat a kept id, the one whose text is least by hash stays.
+    """
     marked = near_dedup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("__id"))
-    kept = Workspace(spark, "kept").save(marked.groupBy("__id").count(), "ids")
-    out = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi").select(COLUMNS)
-    repeated = kept.where("count > 1 and __id is not null").isEmpty()
-    return out if repeated else out.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(out.where("doc_id is null"))
+    kept = Workspace(spark, "kept").save(marked.groupBy("__id").agg(F.count("*").alias("__rows")), "ids")
+    several = F.col("__id").isNotNull() & (F.col("__rows") > 1)
+    held = lambda ids: docs.join(ids, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi").select(COLUMNS)
+    first = F.min_by(F.struct(*COLUMNS), F.struct(F.xxhash64("text"), *[F.col(c) for c in COLUMNS]))
+    return held(kept.where(~several)).unionByName(held(kept.where(several)).groupBy("doc_id").agg(first.alias("row")).select("row.*"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,7 +14,8 @@ Only the last block of a task can be too small to fill its bins. Its surplus
 over whole windows is cut off first and written as power-of-two sequences, which
 need no padding.
 
-Defined cases: null text counts as empty (its end id only); null document ids pass
+Defined cases: null text counts as empty (its end id only); very long texts are cut into whole windows and one
+rest; partial partitions with equal spread, and bins with equal sums, are taken in the order they were made; null document ids pass
 through; repeated rows are packed as often as they occur; an empty table gives an
 empty result; columns other than the id and the text are ignored.
 """

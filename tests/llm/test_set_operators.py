@@ -1,13 +1,17 @@
 import hashlib
 import itertools
 import random
+import re
+import zlib
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from millrace.llm import ann, line_dedup, mixing, near_dedup
+from millrace.llm import ann, entry, line_dedup, mixing, near_dedup
 from millrace.llm.components import components
 from millrace.llm.workspace import Workspace
 
@@ -293,3 +297,54 @@ def test_across_compares_in_proportion_to_the_rows(spark):
         near_dedup._grouped = grouped
     assert sorted((r.a, r.b) for r in found) == [(5000, i) for i in range(5000)]
     assert dealt == [5000 + 10]  # the straggler goes to each of the ten chunks
+
+
+def test_pipeline_stages_on_empty_tables_and_odd_rows(spark, tmp_path):
+    empty = spark.createDataFrame([], SCHEMA + ", score double, kept string")
+    empty.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, empty, str(tmp_path))
+        assert out.columns == corpus_pipeline.COLUMNS and out.count() == 0
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_duplicate_stage_takes_one_row_of_a_repeated_id(spark):
+    rows = [(1, f"one of several texts of an id, number {k}", "en", f"s{k}", 0) for k in range(4)] + [(2, "its own words and nothing else at all", "en", "a", 0), (None, "same", "en", "a", 0), (None, "same", "en", "a", 0), (3, None, None, None, None), (3, None, None, None, None)]
+    rows += [(10 + k, "a long enough text that is there again and again", "en", "a", 0) for k in range(50)]
+    df = spark.createDataFrame(rows, SCHEMA).withColumns({"__id": F.lit(1), "kept": F.lit("x")})
+    got = [[(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, df.repartition(n).select(corpus_pipeline.COLUMNS), "").collect()] for n in (1, 3)]
+    assert sorted(got[0], key=str) == sorted(got[1], key=str)
+    assert sorted((str(i) for i, _ in got[0])) == sorted(["1", "2", "3", "10", "None", "None"])
+
+
+def test_every_registered_query(spark, tmp_path):
+    """The thin queries: their columns, and the digests they derive from what the operators return."""
+    rng, words = random.Random(4), [a + b for a in ("the", "an", "er", "on") for b in ("st", "nd", "ing", "ed", "or")]
+    rows = [(i, " ".join(rng.choice(words) + str(rng.randint(0, 30)) for _ in range(40)) + (" token = abcdef0123456789abcd" if i % 7 == 0 else ""), "en", f"s{i % 4}", 0) for i in range(150)] + [(150, None, None, None, None)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, i % 3 and 1, int(i % 5 == 0)) for i in range(150)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(i, [rng.gauss(0, 1) for _ in range(8)]) for i in range(100)], "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    spark.createDataFrame([(1, "u", "<article><p>a b c d e f</p></article>"), (2, "v", None)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    out = {name: query(spark, str(tmp_path)).collect() for name, query in entry.QUERIES.items()}
+    texts, fold = {i: t or "" for i, t, *_ in rows}, lambda i: zlib.crc32(str(i).encode()) % 5 == 0
+    tokenizer = Tokenizer.from_file(str(public_tokenizers.path("word_bpe_49k.json")))
+    for r in out["op1_packing"]:
+        ids = np.array([*tokenizer.encode(texts[r.doc_id], add_special_tokens=False).ids, 2], dtype="<u4")
+        assert r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes())
+    assert sum(r.length for r in out["op1_packing"]) == sum(len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for t in texts.values())
+    for name, least in (("op4_toxicity", 0.5), ("op8_quality_classifier", 0.3)):
+        assert {r.doc_id for r in out[name]} == set(texts)
+        assert all(r.held_out == fold(r.doc_id) and r.predicted == int(r.score >= least) and 0 <= r.score <= 1 for r in out[name])
+    for r in out["op10_secret_scan"]:
+        spans = [(m.start(), m.end(), k) for k, p in enumerate((r"(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]{12,}", r"AKIA[A-Z0-9]{14,}", r"[0-9a-f]{16,}")) for m in re.finditer(p, texts[r.doc_id])]
+        said = ",".join(f"{('assign', 'access', 'hex')[k]}:{s}:{e}" for s, e, k in sorted(spans, key=lambda x: (x[0], x[2])))
+        assert r.base_sha256 == hashlib.sha256(said.encode()).hexdigest() and (r.n_assign, r.n_hex) == (sum(k == 0 for *_, k in spans), sum(k == 2 for *_, k in spans))
+    assert [(r.query_id, r["rank"]) for r in sorted(out["op5_nearest_neighbours"], key=lambda r: (r.query_id, r["rank"]))] == [(q, k) for q in range(0, 100, 20) for k in range(1, 21)]
+    assert sorted((r.page_id, r.text, r.n_chars) for r in out["op6_html_extraction"]) == [(1, "a b c d e f", 11), (2, "", 0)]
+    sets = {i: near_dedup.shingle_set(t, 2) for i, t in texts.items()}
+    assert {r.doc_id: r.n_shingles for r in out["op3_near_dedup"]} == {i: len(x) for i, x in sets.items()}
+    assert all(r.kept == (r.doc_id == r.component_id) for r in out["op3_near_dedup"])
+    for name in ("op2_line_dedup", "op9_quality_rules"):
+        assert sorted(r.doc_id for r in out[name]) == sorted(texts)
+    assert {r.doc_id for r in out["op7_mixing"]} == set(texts)

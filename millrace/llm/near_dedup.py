@@ -10,10 +10,12 @@
    ``miss``. Survivors are compared exactly, on the full sets of shingles, and give components.
 4. What is left are buckets that still hold members of several components. Of these, members of the largest component meet
    only members of the others, and no two of one component meet: one straggler beside n near copies costs n comparisons. They are dealt
-   out in bounded chunks with their signatures alone; survivors are compared exactly.
+   out in bounded chunks, first with their signatures alone, to find which of them survive against any other and what those
+   survivors would join; then the survivors only, once each with their texts, to be compared exactly. No task passes on
+   more than two rows for each row that it read, however many pairs survive.
 
 A pair over the threshold that shares a bucket is so compared unless its ends are connected already.
-Texts are moved once, and only those of members of buckets.
+Texts are moved once, and only those of members of buckets; those of survivors once more.
 
 With 32 bands of 5 rows a pair at similarity 0.8 shares no bucket with probability 3e-6, and less above.
 
@@ -189,7 +191,7 @@ def near_duplicates(docs: DataFrame, *, shingle_words: int = 5, percent: int = 8
     found = components(ws, links)
     rest = ws.save(_across(members, found, classes, n, threshold, miss).distinct(), "rest")
     if not rest.isEmpty():
-        found = components(ws, links.unionByName(_exact(rest, texts, shingle_words, percent)))
+        found = components(ws, links.unionByName(_joining(_survivors(ws, rest, found), classes, texts, shingle_words, n, percent, miss)))
     ws.drop(texts)
     roots = classes.join(found, classes["rep"] == found["vertex"], "left").select("digest", F.coalesce("root", "rep").alias("root"))
     out = signed.join(roots, "digest", "left")
@@ -234,38 +236,115 @@ def _grouped(units: DataFrame, keys: list[str], schema: object, compare: Callabl
     return units.mapInArrow(run, schema)
 
 
-def _across(members: DataFrame, labels: DataFrame, classes: DataFrame, n: int, threshold: float, miss: float, chunk: int = 512, step: int = 20) -> DataFrame:
-    """Surviving pairs (a, b) among the members of a bucket that are of different components(vertex, root), as labels has them.
+def _rooted(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """rows(rep, ...) with root, as labels(vertex, root) has it; unlabelled ones are their own."""
+    return rows.join(labels.select(F.col("vertex").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+
+
+def _units(rows: DataFrame, extra: DataFrame, chunk: int) -> DataFrame:
+    """rows(key, rep, root) of the keys that hold several roots, with what extra(rep, ...) has of them, dealt to units (key, u, x).
 
-    In each bucket the largest component is the base. The other members are cut into chunks; each chunk meets each chunk of the base, and
+    In each key the largest component is the base. The other members are cut into chunks; each chunk meets each chunk of the base, and
     each other chunk. Base rows are copied once per chunk of the others, never per chunk of the base.
     """
-    rooted = members.select("key", "rep").join(labels.select(F.col("vertex").alias("rep"), "root"), "rep", "left").select("key", "rep", F.coalesce("root", "rep").alias("root"))
-    shares = rooted.groupBy("key", "root").agg(F.count("*").alias("n"))
+    shares = rows.groupBy("key", "root").agg(F.count("*").alias("n"))
     plan = shares.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("base"), F.max("n").alias("n_base"), F.sum("n").alias("n_all"), F.count("*").alias("roots")).where("roots > 1")
     plan = plan.select("key", "base", F.ceil(F.col("n_base") / chunk).cast("int").alias("bases"), F.ceil((F.col("n_all") - F.col("n_base")) / chunk).cast("int").alias("others"), (F.col("roots") > 2).alias("mixed"))
-    placed = rooted.join(plan, "key").join(classes.select("rep", "signature"), "rep").withColumn("is_base", F.col("root") == F.col("base"))
-    own = F.pmod(F.xxhash64("rep"), F.when(F.col("is_base"), F.col("bases")).otherwise(F.col("others"))).cast("int")
-    placed = placed.withColumn("own", own)
+    placed = rows.join(plan, "key").join(extra, "rep").withColumn("is_base", F.col("root") == F.col("base"))
+    placed = placed.withColumn("own", F.pmod(F.xxhash64("rep"), F.when(F.col("is_base"), F.col("bases")).otherwise(F.col("others"))).cast("int"))
     unit = lambda u, x: F.struct(u.cast("int").alias("u"), x.cast("int").alias("x"))
     with_base = F.transform(F.sequence(F.lit(0), F.col("bases") - 1), lambda j: unit(F.col("own"), j))
     with_others = F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda k: unit(F.least(F.col("own"), k), F.col("bases") + F.greatest(F.col("own"), k)))
     of_base = F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda i: unit(i, F.col("own")))
     none = F.array().cast("array<struct<u:int,x:int>>")
-    units = placed.withColumn("unit", F.explode(F.when(F.col("is_base"), of_base).otherwise(F.concat(with_base, F.when(F.col("mixed"), with_others).otherwise(none)))))
+    dealt = placed.withColumn("unit", F.explode(F.when(F.col("is_base"), of_base).otherwise(F.concat(with_base, F.when(F.col("mixed"), with_others).otherwise(none)))))
+    return dealt.select("key", F.col("unit.u").alias("u"), F.col("unit.x").alias("x"), "rep", "root", "is_base", *[c for c in extra.columns if c != "rep"])
+
+
+def _surviving(rows: list[tuple], n: int, bounds: dict[int, int], step: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, those of other components that row i may be linked to, likeliest first) over the rows (rep, root, is_base, signature) of a unit."""
+    y = np.frombuffer(b"".join([r[3] for r in rows]), np.uint16).reshape(-1, n)
+    base, roots = np.array([r[2] for r in rows], bool), np.unique([r[1] for r in rows], return_inverse=True)[1]
+    against = np.flatnonzero(base)
+    for i in np.flatnonzero(~base):
+        j = against if len(against) else np.flatnonzero(roots[i + 1 :] != roots[i]) + i + 1
+        j = j[_survive(np.broadcast_to(y[i], (len(j), n)), y[j], bounds, step)]
+        if len(j):
+            yield i, j[np.argsort(-(y[j] == y[i]).sum(1), kind="stable")]
+
+
+class _Joined:
+    """Which components a unit has connected."""
+
+    def __init__(self) -> None:
+        self.parent: dict = {}
+
+    def root(self, x: object) -> object:
+        while x in self.parent:
+            x = self.parent[x]
+        return x
+
+    def join(self, x: object, y: object) -> None:
+        self.parent[self.root(x)] = self.root(y)
+
+
+def _across(members: DataFrame, labels: DataFrame, classes: DataFrame, n: int, threshold: float, miss: float, chunk: int = 512, step: int = 20) -> DataFrame:
+    """Among the members of a bucket that are of different components(vertex, root): (a, a) of each that survives against one
+    of another component, and surviving pairs (a, b), enough of them to connect the components that survivors connect."""
+    rooted = _rooted(members.select("key", "rep"), labels).select("key", "rep", "root")
     bounds = least_matches(n, step, threshold, miss)
 
     def compare(rows: list[tuple]) -> list[tuple]:
         if not rows:
             return []
-        y = np.frombuffer(b"".join([r[3] for r in rows]), np.uint16).reshape(-1, n)
-        base, roots = np.array([r[2] for r in rows], bool), np.unique([r[1] for r in rows], return_inverse=True)[1]
-        against, out = np.flatnonzero(base), []
-        for i in np.flatnonzero(~base):
-            j = against if len(against) else np.flatnonzero(roots[i + 1 :] != roots[i]) + i + 1
-            for k in j[_survive(np.broadcast_to(y[i], (len(j), n)), y[j], bounds, step)]:
-                out.append((max(rows[i][0], rows[k][0]), min(rows[i][0], rows[k][0])))
-        return out
+        joined, touched, out = _Joined(), set(), []
+        for i, survivors in _surviving(rows, n, bounds, step):
+            touched.add(rows[i][0])
+            touched.update(rows[j][0] for j in survivors)
+            for j in survivors:
+                if joined.root(rows[i][1]) != joined.root(rows[j][1]):
+                    joined.join(rows[i][1], rows[j][1])
+                    out.append((rows[i][0], rows[j][0]))
+        return out + [(t, t) for t in touched]
 
     schema = members.select(F.col("rep").alias("a"), F.col("rep").alias("b")).schema
-    return _grouped(units.select("key", F.col("unit.u").alias("u"), F.col("unit.x").alias("x"), "rep", "root", "is_base", "signature"), ["key", "u", "x"], schema, compare)
+    return _grouped(_units(rooted, classes.select("rep", "signature"), chunk), ["key", "u", "x"], schema, compare)
+
+
+def _survivors(ws: Workspace, rest: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, rep, root) of the survivors (a, a) of rest; key is what their components would become if its pairs (a, b) were links."""
+    ends = _rooted(_rooted(rest.where("a <> b").select(F.col("a").alias("rep"), "b"), labels).select(F.col("root").alias("ra"), F.col("b").alias("rep")), labels)
+    joined = components(ws, ends.select(F.col("ra").alias("a"), F.col("root").alias("b"))).select(F.col("vertex").alias("root"), F.col("root").alias("key"))
+    return ws.save(_rooted(rest.where("a = b").select(F.col("a").alias("rep")), labels).join(joined, "root").select("key", "rep", "root"), "survivors")
+
+
+def _joining(rows: DataFrame, classes: DataFrame, texts: DataFrame, k: int, n: int, percent: int, miss: float, chunk: int = 512, step: int = 20) -> DataFrame:
+    """Links (a, b) between different components of a key of rows(key, rep, root), enough of them to connect what links connect."""
+    extra = classes.select("rep", "signature").join(texts.select(F.col("doc_id").alias("rep"), "text").join(rows.select("rep").distinct(), "rep", "left_semi"), "rep")
+    bounds = least_matches(n, step, percent / 100, miss)
+
+    def compare(rows: list[tuple]) -> list[tuple]:
+        if not rows:
+            return []
+        sets: dict[int, np.ndarray] = {}
+        joined, out = _Joined(), []
+
+        def own(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = np.unique(shingles(Words([(rows[i][4] or "").encode("utf-8", "replace")], lower=True), k)[0])
+            return sets[i]
+
+        for i, survivors in _surviving(rows, n, bounds, step):
+            for j in survivors:
+                if joined.root(rows[i][1]) != joined.root(rows[j][1]):
+                    a, b = own(i), own(j)
+                    common = len(np.intersect1d(a, b, assume_unique=True))
+                    if 100 * common >= percent * (len(a) + len(b) - common):
+                        s, t = shingle_set(rows[i][4], k), shingle_set(rows[j][4], k)
+                        if 100 * len(s & t) >= percent * len(s | t):
+                            joined.join(rows[i][1], rows[j][1])
+                            out.append((max(rows[i][0], rows[j][0]), min(rows[i][0], rows[j][0])))
+        return out
+
+    schema = rows.select(F.col("rep").alias("a"), F.col("rep").alias("b")).schema
+    return _grouped(_units(rows, extra, chunk), ["key", "u", "x"], schema, compare)

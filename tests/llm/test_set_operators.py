@@ -295,7 +295,8 @@ def test_across_compares_in_proportion_to_the_rows(spark):
         found = near_dedup._across(members, labels, classes, 160, 0.6, 1e-4, chunk=512).collect()
     finally:
         near_dedup._grouped = grouped
-    assert sorted((r.a, r.b) for r in found) == [(5000, i) for i in range(5000)]
+    touched, pairs = {r.a for r in found if r.a == r.b}, [r for r in found if r.a != r.b]
+    assert touched == set(range(5001)) and 1 <= len(pairs) <= 10 and all(5000 in (r.a, r.b) for r in pairs)
     assert dealt == [5000 + 10]  # the straggler goes to each of the ten chunks
 
 

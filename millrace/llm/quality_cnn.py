@@ -20,6 +20,7 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -51,8 +52,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, rows: int) ->
     usable = labels.select(labels["doc_id"].alias("doc_id"), labels[label].cast("int").alias("y")).where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("doc_id"))).distinct()
     texts = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"))
     there = usable.join(texts.select("doc_id"), "doc_id", "left_semi")
-    place = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    drawn = there.withColumn("n", place).where(F.col("n") <= rows // 2).select("doc_id", "y").collect()
+    # Thinned by hash before anything is ordered: what is sorted in one task doesn't grow with the labels.
+    share = {r.y: min(1.0, 1.5 * (rows // 2) / r.n) for r in there.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    spot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
+    thin = there.where(spot < F.when(F.col("y") == 1, math.ceil(share.get(1, 1.0) * (1 << 20))).otherwise(math.ceil(share.get(0, 1.0) * (1 << 20))))
+    place = F.row_number().over(Window.partitionBy("y").orderBy(spot, "doc_id"))
+    drawn = thin.withColumn("n", place).where(F.col("n") <= rows // 2).select("doc_id", "y").collect()
     if not drawn:
         return []
     keys = docs.sparkSession.createDataFrame([tuple(r) for r in drawn], there.schema)  # at most `rows` rows

@@ -32,10 +32,10 @@ def export(spark: SparkSession, a: argparse.Namespace) -> None:
     """SQLite to base, validated and quarantined Parquet, if normalised texts are unique."""
     scan = readers.sentence_scan(*(readers.read_sqlite(spark, a.input, t) for t in ("sentences", "articles", "sources")))
     rows = with_normalised(scan, "raw_text", "text").drop("raw_text")
-    n = rows.agg(F.count("*").alias("n"), F.countDistinct(F.sha2("text", 256)).alias("d")).first()
-    if n.n != n.d:
-        raise Refused(f"{n.n - n.d} rows repeat a text")
-    print(json.dumps(readers.export_gate(quality.with_reasons(rows, PROFILES[a.profile].rules), a.output)))
+    try:
+        print(json.dumps(readers.export_gate(quality.with_reasons(rows, PROFILES[a.profile].rules), a.output, kind=a.format)))
+    except readers.Blocked as why:
+        raise Refused(str(why)) from why
 
 
 def split(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -69,6 +69,7 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("input")
     parser.add_argument("output", nargs="?")
     parser.add_argument("--profile", choices=PROFILES, default="fil")
+    parser.add_argument("--format", choices=("parquet", "json"), default="parquet")
     parser.add_argument("--seed", type=int, default=20260905)
     a = parser.parse_args(arguments)
     try:

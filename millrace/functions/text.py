@@ -11,7 +11,8 @@ from pyspark.sql.types import LongType, StringType
 
 #: Exactly the characters that count as white space (``\\s`` misses NBSP, ``(?U)\\s`` misses U+001C to U+001F).
 SPACE = "[\\s\\x1c-\\x1f\\x85\\p{Z}]+"
-PUNCTUATION = "\\p{Punct}…“”‘’—–"
+# Fixed value: what may stand around a word.
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~…“”‘’—–"
 
 
 def collapse(text: Column) -> Column:
@@ -41,15 +42,15 @@ def tokens(text: Column) -> Column:
 
 
 def core(token: Column) -> Column:
-    return F.regexp_replace(token, f"^[{PUNCTUATION}]+|[{PUNCTUATION}]+$", "")
+    return F.btrim(token, F.lit(PUNCTUATION))
 
 
 def prefix(token: Column) -> Column:
-    return F.regexp_extract(token, f"^([{PUNCTUATION}]*)", 1)
+    return F.left(token, F.length(token) - F.length(F.ltrim(token, F.lit(PUNCTUATION))))
 
 
 def suffix(token: Column) -> Column:
-    return F.when(core(token) == "", "").otherwise(F.regexp_extract(token, f"([{PUNCTUATION}]*)$", 1))
+    return F.when(core(token) == "", "").otherwise(F.right(token, F.length(token) - F.length(F.rtrim(token, F.lit(PUNCTUATION)))))
 
 
 #: Accented Latin letters and what they are without accents (fixed values).
@@ -86,7 +87,10 @@ def length_bucket(text: Column) -> Column:
 
 
 def osa(a: str, b: str) -> int:
-    """Edit distance with adjacent transpositions, none of which is edited again."""
+    """Edit distance with adjacent transpositions, none of which is edited again.
+
+    Only a band around the diagonal is filled; it is doubled until the distance found lies inside it, so the work is the length times the distance.
+    """
     head = 0
     while head < min(len(a), len(b)) and a[head] == b[head]:
         head += 1
@@ -96,16 +100,24 @@ def osa(a: str, b: str) -> int:
         a, b = a[:-1], b[:-1]
     if a == b:
         return 0
-    before, last = None, list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        row = [i]
-        for j, y in enumerate(b, 1):
-            best = min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (x != y))
-            if before is not None and j > 1 and x == b[j - 2] and y == a[i - 2]:
-                best = min(best, before[j - 2] + 1)
-            row.append(best)
-        before, last = last, row
-    return last[-1]
+    band, far = max(2, abs(len(a) - len(b))), len(a) + len(b)
+    while True:
+        before, last = None, [j if j <= band else far for j in range(len(b) + 1)]
+        for i, x in enumerate(a, 1):
+            low, high = max(1, i - band), min(len(b), i + band)
+            row = [far] * (len(b) + 1)
+            row[0] = i if i <= band else far
+            for j in range(low, high + 1):
+                y = b[j - 1]
+                best = last[j - 1] + (x != y)
+                best = min(best, last[j] + 1, row[j - 1] + 1)
+                if before is not None and j > 1 and x == b[j - 2] and y == a[i - 2]:
+                    best = min(best, before[j - 2] + 1)
+                row[j] = best
+            before, last = last, row
+        if last[-1] <= band or band >= max(len(a), len(b)):
+            return last[-1]
+        band *= 2
 
 
 @F.pandas_udf(LongType())

@@ -7,12 +7,15 @@ import random
 from collections.abc import Callable
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
+from millrace.functions.text import osa_distance
+
 EDIT = StructType([StructField("op", StringType()), StructField("start", LongType()), StructField("end", LongType()), StructField("words", StringType())])
 SPAN = StructType([StructField("start", LongType()), StructField("end", LongType()), StructField("target", StringType())])
 
@@ -76,6 +79,61 @@ def scores(df: DataFrame, *by: str) -> DataFrame:
     return out.withColumns({"precision": p, "recall": r, "f_half": f_half(p, r)})
 
 
+def summary(df: DataFrame, source: str, gold: str, output: str, *by: str) -> DataFrame:
+    """One row per group: scores of word edits, exact matches, errors before and after, their reduction, and mean distances of output to gold."""
+    counted = with_edit_counts(df, source, gold, output)
+    changed = F.col(output) != F.col(gold)
+    left = token_edits(F.when(changed, F.col(output)), F.when(changed, F.col(gold)))
+    counted = counted.withColumns(
+        {
+            "__exact": (~changed).cast("long"),
+            "__before": F.col("tp") + F.col("fn"),
+            "__after": F.when(changed, F.size(F.array_distinct(left))).otherwise(0),
+            "__levenshtein": F.when(changed, F.levenshtein(output, gold)).otherwise(0),
+            "__osa": F.coalesce(osa_distance(F.when(changed, F.col(output)), F.col(gold)), F.lit(0)),
+        }
+    )
+    sums = {"tp": "tp", "fp": "fp", "fn": "fn", "n_exact": "__exact", "errors_before": "__before", "errors_after": "__after", "__l": "__levenshtein", "__o": "__osa"}
+    out = counted.groupBy(*by).agg(F.count("*").alias("n"), *[F.coalesce(F.sum(v), F.lit(0)).cast("long").alias(k) for k, v in sums.items()])
+    p, r = precision(F.col("tp"), F.col("fp"), F.col("fn")), recall(F.col("tp"), F.col("fn"))
+    share = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0))
+    return out.withColumns(
+        {
+            "precision": p,
+            "recall": r,
+            "f_half": f_half(p, r),
+            "exact_rate": share(F.col("n_exact"), F.col("n")),
+            "error_reduction_rate": share(F.col("errors_before") - F.col("errors_after"), F.col("errors_before")),
+            "mean_distance": share(F.col("__l"), F.col("n")),
+            "mean_osa_distance": share(F.col("__o"), F.col("n")),
+        }
+    ).drop("__l", "__o")
+
+
+BASELINES = {"raw_to_final": "raw", "gec_input": "gec_input"}
+
+
+def breakdown(routed: DataFrame, field: str, *, baseline: str = "raw_to_final") -> DataFrame:
+    """summary of routed(raw, gec_input, gec_output, gold, source_type, field) per condition and value of field (each of an array's), without clean controls.
+
+    The baseline is what edits are counted from: the raw text (end to end), or what the corrector was given.
+    """
+    rows = routed.where(~F.coalesce(F.col("source_type") == "clean_control", F.lit(False)))
+    value = F.explode(field) if isinstance(rows.schema[field].dataType, ArrayType) else F.col(field)
+    return summary(rows.withColumn("value", value), BASELINES[baseline], "gold", "gec_output", "condition", "value")
+
+
+def normalization_breakdowns(samples: DataFrame, predictions: DataFrame) -> DataFrame:
+    """summary of normaliser outputs (condition B) against gold normalisations: whole, by type and by whether the rule was seen.
+
+    samples: sample_id, source_type, raw, gold_normalised, normalization_types, normalization_rule_seen_status. The exact rate is accuracy at 1.
+    """
+    rows = samples.where(~F.coalesce(F.col("source_type") == "clean_control", F.lit(False))).join(predictions.where("condition = 'B'").select("sample_id", "normalizer_output"), "sample_id")
+    status = F.coalesce("normalization_rule_seen_status", F.lit("unknown"))
+    kinds = F.concat(F.array(F.struct(F.lit("all").alias("breakdown"), F.lit("").alias("value")), F.struct(F.lit("seen_status").alias("breakdown"), status.alias("value"))), F.transform("normalization_types", lambda t: F.struct(F.lit("type").alias("breakdown"), t.alias("value"))))
+    return summary(rows.withColumn("__kind", F.explode(kinds)).select("*", "__kind.*"), "raw", "gold_normalised", "normalizer_output", "breakdown", "value")
+
+
 def tag_scores(gold: DataFrame, predicted: DataFrame, tags: DataFrame) -> DataFrame:
     """Per tag of tags(tag): matches of gold and predicted (sample_id, tag, span, replacement) as multisets; all zero without support."""
     key = ["sample_id", "tag", "start", "end", "target"]
@@ -106,37 +164,79 @@ def key_faults(samples: DataFrame, predictions: DataFrame) -> DataFrame:
     return both.select("sample_id", "condition", fault.alias("fault")).where("fault is not null")
 
 
+def mcnemar_p(x: int, y: int) -> float:
+    """Exact two-sided p of x against y discordant pairs.
+
+    Terms are summed from the largest one down, each from the one before it, until they no longer count: about the square root of x + y of them.
+    """
+    n, k = x + y, min(x, y)
+    if n == 0:
+        return 1.0
+    term = math.exp(math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) - n * math.log(2))
+    total, i = 0.0, k
+    while i >= 0 and term > total * 1e-18:
+        total += term
+        term *= i / (n - i + 1)
+        i -= 1
+    return min(1.0, 2 * total)
+
+
 def mcnemar(df: DataFrame, a: str, b: str) -> tuple[int, int, float]:
     """(only a right, only b right, exact two-sided p) over paired booleans."""
     row = df.agg(F.count_if(F.col(a) & ~F.col(b)).alias("x"), F.count_if(~F.col(a) & F.col(b)).alias("y")).first()
-    n, k = row.x + row.y, min(row.x, row.y)
-    p = 1.0 if n == 0 else min(1.0, 2 * sum(math.comb(n, i) for i in range(k + 1)) / 2**n)
-    return row.x, row.y, p
+    return row.x, row.y, mcnemar_p(row.x, row.y)
 
 
-def bootstrap(df: DataFrame, n_samples: int, *, resamples: int = 2000, seed: int = 7, hashed: bool = False, level: float = 0.95) -> DataFrame:
-    """Mean and interval of F0.5(b) - F0.5(a) over paired resamples of df(i from 0, tp_a, fp_a, fn_a, tp_b, fp_b, fn_b).
+COUNTS = ["tp_a", "fp_a", "fn_a", "tp_b", "fp_b", "fn_b"]
 
-    Edit counts are additive, so a resample is a weighted sum and no edit is computed twice. Indexes come from Python's
-    generator (exactly reproducible) or, hashed, from MD5 (reproducible in SQL, and made by the executors).
+
+def bootstrap(df: DataFrame, *, resamples: int = 2000, seed: int = 7, indexes: str = "vectors", level: float = 0.95) -> DataFrame:
+    """Mean and interval of F0.5(b) - F0.5(a) over paired resamples of df(sample_id, tp_a, fp_a, fn_a, tp_b, fp_b, fn_b).
+
+    Edit counts are additive, so a resample is a weighted sum and no edit is computed twice. ``indexes`` says how samples are drawn:
+
+    * ``vectors``: samples with equal counts are interchangeable, so a resample is one multinomial draw over the distinct count vectors.
+      Their number depends on how many edits sentences have, not on how many sentences there are: this is the way for large sets.
+    * ``hashed``: indexes from MD5, over samples numbered by id. Reproducible in SQL; work is samples times resamples, spread over the executors.
+    * ``mersenne``: indexes from Python's generator over samples in order of id, drawn on the driver; for sets of a few thousand samples.
     """
-    spark = df.sparkSession
-    if hashed:
-        drawn = spark.range(resamples).select(F.col("id").alias("resample"), F.explode(F.sequence(F.lit(0), F.lit(n_samples - 1))).alias("k"))
-        drawn = drawn.select("resample", (F.conv(F.left(F.md5(F.concat_ws(":", F.lit(str(seed)), "resample", "k")), F.lit(8)), 16, 10).cast("long") % n_samples).alias("i"))
+    spark, c = df.sparkSession, F.col
+    if indexes == "vectors":
+        held = [tuple(r) for r in df.groupBy(*COUNTS).agg(F.count("*").alias("n")).orderBy(*COUNTS).collect()]
+        vectors, weights = np.array([r[:6] for r in held], dtype=np.float64).reshape(-1, 6), np.array([r[6] for r in held], dtype=np.int64)
+        draws = np.random.default_rng(seed).multinomial(weights.sum(), weights / max(1, weights.sum()), resamples) if len(held) else np.zeros((0, 0))
+        sums = spark.createDataFrame([tuple(int(v) for v in row) for row in draws @ vectors], ", ".join(f"{k} long" for k in COUNTS))
     else:
-        rng = random.Random(seed)
-        rows = [(r, [rng.randrange(n_samples) for _ in range(n_samples)]) for r in range(resamples)]
-        drawn = spark.createDataFrame(rows, "resample long, ix array<long>").select("resample", F.explode("ix").alias("i"))
-    counts = ["tp_a", "fp_a", "fn_a", "tp_b", "fp_b", "fn_b"]
-    sums = drawn.join(df.select("i", *counts), "i").groupBy("resample").agg(*[F.sum(c).alias(c) for c in counts])
-    score = lambda s: f_half(precision(F.col(f"tp_{s}"), F.col(f"fp_{s}"), F.col(f"fn_{s}")), recall(F.col(f"tp_{s}"), F.col(f"fn_{s}")))
+        numbered = _numbered(df.select("sample_id", *COUNTS))
+        n = numbered.count()
+        if indexes == "hashed":
+            drawn = spark.range(resamples).select(c("id").alias("resample"), F.explode(F.sequence(F.lit(0), F.lit(max(0, (n + 3) // 4 - 1)))).alias("k")).repartition(2 * spark.sparkContext.defaultParallelism, "resample")
+            drawn = drawn.withColumn("h", F.md5(F.concat_ws(":", F.lit(str(seed)), "resample", "k")))
+            drawn = drawn.select("resample", "k", F.posexplode(F.array(*[F.conv(F.substring("h", 8 * j + 1, 8), 16, 10).cast("long") % max(1, n) for j in range(4)])).alias("j", "i"))
+            drawn = drawn.where(4 * c("k") + c("j") < n).select("resample", "i")
+        else:
+            rng = random.Random(seed)
+            drawn = spark.createDataFrame([(r, [rng.randrange(n) for _ in range(n)]) for r in range(resamples)], "resample long, ix array<long>").select("resample", F.explode("ix").alias("i"))
+        sums = drawn.join(numbered, "i").groupBy("resample").agg(*[F.sum(k).alias(k) for k in COUNTS])
+    score = lambda s: f_half(precision(c(f"tp_{s}"), c(f"fp_{s}"), c(f"fn_{s}")), recall(c(f"tp_{s}"), c(f"fn_{s}")))
     deltas = sums.select((score("b") - score("a")).alias("delta")).agg(F.sort_array(F.collect_list("delta")).alias("d"))  # `resamples` numbers
     at = lambda q: F.get("d", F.floor(q * (F.size("d") - 1)).cast("int"))
     edge = (1 - level) / 2
     return deltas.select((F.aggregate("d", F.lit(0.0), lambda s, x: s + x) / F.size("d")).alias("mean_delta"), at(F.lit(edge)).alias("low"), at(F.lit(1 - edge)).alias("high"))
 
 
+def _numbered(df: DataFrame) -> DataFrame:
+    """df with i, its place in order of sample_id from 0: ranges are sorted apart and offset by the rows before them, so no task sorts all."""
+    ordered = df.repartitionByRange("sample_id").withColumn("__part", F.spark_partition_id())
+    ordered = ordered.withColumn("i", F.row_number().over(Window.partitionBy("__part").orderBy("sample_id")).cast("long") - 1)
+    sizes = sorted((r[0], r[1]) for r in ordered.groupBy("__part").count().collect())  # one row per partition
+    offsets, before = [], 0
+    for part, n in sizes:
+        offsets.append((part, before))
+        before += n
+    return ordered.join(df.sparkSession.createDataFrame(offsets, "__part int, __before long"), "__part").withColumn("i", F.col("i") + F.col("__before")).drop("__part", "__before", "sample_id")
+
+
 def inject_noise(samples: DataFrame, rules: DataFrame, seed: int) -> DataFrame:
     """One edit per sample and category: of all places where a rule(id, category, source, target) fits a whole word, the least by hash.
 

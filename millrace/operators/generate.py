@@ -1,7 +1,7 @@
 """Single-edit generators: correct sentences in, (wrong, correct) pairs out, one row per candidate.
 
-Every sentence is tokenised once. Only tokens that some rule may touch are exploded, and one
-broadcast join with the rule table (fixed size: the profile's vocabulary) decides what happens to them.
+Every sentence is read and tokenised once. Only tokens that some rule may touch are exploded, and beside them one row for the
+sentence as a whole; one broadcast join with the rule table (fixed size: the profile's vocabulary) decides what happens to them.
 """
 
 from __future__ import annotations
@@ -13,78 +13,85 @@ from millrace.functions.profile import MARKS, UNTARGETED_STATES, Profile
 from millrace.functions.text import bare, core, prefix, suffix, tokens
 
 CANDIDATE = ["clean_id", "tag", "family", "kind", "position", "correct", "wrong", "source_text", "target_text", "confidence"]
-RULES = "correct string, wrong string, tag string, family string, kind string, after_vowel boolean, confidence string"
+#: What stands for the whole sentence among its tokens.
+WHOLE = "\x00"
+RULES = "key string, correct string, wrong string, tag string, family string, kind string, after_vowel boolean, confidence string"
 
 
 def rule_table(spark: SparkSession, profile: Profile) -> DataFrame:
-    """One row per (word, thing that may be done to it)."""
-    rows = [(c, w, f"$REPLACE_{c}", profile.swap_family, "swap", None, "high") for c, w in profile.swaps.items()]
-    rows += [(c, w, f"$REPLACE_{c}", "pronoun", "swap", None, "medium") for c, w in profile.pronouns.items()]
-    rows += [(c, w, f"$REPLACE_{c}", "enclitic", "contextual", v, "high") for c, (w, v) in profile.contextual.items()]
-    rows += [(c, None, "$DELETE", "duplicate_word", "duplicate", None, "provisional") for c in profile.edit_contexts]
-    rows += [(c, None, "$APPEND_t1", "missing_word", "missing", None, "provisional") for c in profile.edit_contexts]
-    rows += [(c, c[:1].upper() + c[1:], "$TRANSFORM_CASE_LOWER", "casing", "case_lower", None, "high") for c in profile.case_words]
+    """One row per (word or whole sentence, thing that may be done to it)."""
+    rows = [(c, c, w, f"$REPLACE_{c}", profile.swap_family, "swap", None, "high") for c, w in profile.swaps.items()]
+    rows += [(c, c, w, f"$REPLACE_{c}", "pronoun", "swap", None, "medium") for c, w in profile.pronouns.items()]
+    rows += [(c, c, w, f"$REPLACE_{c}", "enclitic", "contextual", v, "high") for c, (w, v) in profile.contextual.items()]
+    rows += [(c, c, None, "$DELETE", "duplicate_word", "duplicate", None, "provisional") for c in profile.edit_contexts]
+    rows += [(c, c, None, "$APPEND_t1", "missing_word", "missing", None, "provisional") for c in profile.edit_contexts]
+    rows += [(c, c, c[:1].upper() + c[1:], "$TRANSFORM_CASE_LOWER", "casing", "case_lower", None, "high") for c in profile.case_words]
+    rows += [(WHOLE, mark, "", f"$ADD_PUNC_{name}", "punctuation", "add_mark", None, "high") for name, mark in MARKS.items()]
+    rows += [(WHOLE, None, None, "$TRANSFORM_CASE_CAPITAL", "casing", "case_capital", None, "high")]
     return spark.createDataFrame(rows, RULES)
 
 
-def touched_tokens(sentences: DataFrame, words: list[str]) -> DataFrame:
-    """sentences with one row per token whose core, in lower case, is among words: index, token, core, prefix, suffix, prev and n."""
-    known = F.array(*[F.lit(w) for w in sorted(set(words))])
+def touched_tokens(sentences: DataFrame, words: list[str], whole: bool = False) -> DataFrame:
+    """sentences with one row per token whose core, in lower case, is among words: index, token, core, prefix, suffix, prev and n.
+
+    With ``whole``, one more row per sentence, with index -1 and core WHOLE.
+    """
     pairs = F.transform(F.col("tokens"), lambda t, i: F.struct(i.alias("index"), t.alias("token")))
-    hits = F.filter(pairs, lambda x: F.array_contains(known, F.lower(core(x["token"]))))
+    hits = F.filter(pairs, lambda x: F.lower(core(x["token"])).isin(*sorted(set(words))))
+    if whole:
+        hits = F.concat(hits, F.array(F.struct(F.lit(-1).alias("index"), F.lit("").alias("token"))))
     df = sentences.withColumn("tokens", tokens(F.col("text"))).withColumn("hit", F.explode(hits)).withColumns({"index": F.col("hit.index"), "token": F.col("hit.token")})
     previous = F.when(F.col("index") > 0, F.get("tokens", F.col("index") - 1))
-    return df.drop("hit").withColumns({"core": core(F.col("token")), "prefix": prefix(F.col("token")), "suffix": suffix(F.col("token")), "prev": F.lower(core(previous)), "n": F.size("tokens")})
+    bare_word = F.when(F.col("index") < 0, F.lit(WHOLE)).otherwise(core(F.col("token")))
+    return df.drop("hit").withColumns({"core": bare_word, "prefix": prefix(F.col("token")), "suffix": suffix(F.col("token")), "prev": F.lower(core(previous)), "n": F.size("tokens")})
 
 
 def _with_token(replacement: Column) -> Column:
     """The sentence with its token at index replaced (or removed, by the empty array)."""
-    i = F.col("index")
+    i = F.greatest(F.col("index"), F.lit(0))
     return F.concat_ws(" ", F.slice("tokens", F.lit(1), i), replacement, F.slice("tokens", i + 2, F.greatest(F.col("n") - i - 1, F.lit(0))))
 
 
-def token_candidates(sentences: DataFrame, profile: Profile) -> DataFrame:
-    """Swaps, contextual forms, duplicated words, missing words and lower-case errors."""
+def generated(sentences: DataFrame, profile: Profile) -> DataFrame:
+    """Swaps, contextual forms, duplicated words, missing words, lower-case errors, dropped terminal marks and lost sentence capitals."""
+    c, text = F.col, F.col("text")
     rules = rule_table(sentences.sparkSession, profile)
     words = [*profile.swaps, *profile.pronouns, *profile.contextual, *profile.edit_contexts, *profile.case_words]
-    touched = touched_tokens(sentences, words)
-    joined = touched.join(F.broadcast(rules), F.lower(touched["core"]) == rules["correct"])
-    exact, whole = F.col("core") == F.col("correct"), (F.col("prefix") == "") & (F.col("suffix") == "")
-    last = bare(F.right(F.col("prev"), F.lit(1)))
-    open_ = last.isin(*"aeiouwy")
-    excepted = F.col("correct").isin(*profile.exception_words) & bare(F.col("prev")).rlike(f"(?:{'|'.join(profile.exception_endings)})$")
-    fits = F.coalesce((open_ & ~excepted) == F.col("after_vowel"), F.lit(False)) & F.col("prev").rlike("\\p{L}$")
-    interior = (F.col("index") > 0) & (F.col("index") < F.col("n") - 1)
+    touched = touched_tokens(sentences, words, whole=True)
+    joined = touched.join(F.broadcast(rules), F.lower(touched["core"]) == rules["key"])
+    exact, alone = c("core") == c("correct"), (c("prefix") == "") & (c("suffix") == "")
+    open_ = bare(F.right(c("prev"), F.lit(1))).isin(*"aeiouwy")
+    excepted = c("correct").isin(*profile.exception_words) & bare(c("prev")).rlike(f"(?:{'|'.join(profile.exception_endings)})$")
+    fits = F.coalesce((open_ & ~excepted) == c("after_vowel"), F.lit(False)) & c("prev").rlike("\\p{L}$")
+    interior = (c("index") > 0) & (c("index") < c("n") - 1)
+    first = F.get("tokens", F.lit(0))
+    lead, body = prefix(first), core(first)
+    small = F.concat(F.lower(F.left(body, F.lit(1))), F.substring(body, F.lit(2), F.length(body)))
     keep = (
-        F.when(F.col("kind") == "swap", exact & whole)
-        .when(F.col("kind") == "contextual", exact & (F.col("index") > 0) & (F.col("prefix") == "") & fits)
-        .when(F.col("kind") == "duplicate", whole & interior)
-        .when(F.col("kind") == "missing", whole & ~((F.col("index") == F.col("n") - 1) & (F.col("index") > 0)) & (F.col("n") > 1))
-        .when(F.col("kind") == "case_lower", exact & whole & (F.col("index") > 0))
+        F.when(c("kind") == "swap", exact & alone)
+        .when(c("kind") == "contextual", exact & (c("index") > 0) & (c("prefix") == "") & fits)
+        .when(c("kind") == "duplicate", alone & interior)
+        .when(c("kind") == "missing", alone & ~((c("index") == c("n") - 1) & (c("index") > 0)) & (c("n") > 1))
+        .when(c("kind") == "case_lower", exact & alone & (c("index") > 0))
+        .when(c("kind") == "add_mark", text.endswith(c("correct")))
+        .when(c("kind") == "case_capital", body.rlike("^\\p{Lu}") & (body != F.upper(body)))
     )
     made = (
-        F.when(F.col("kind") == "duplicate", F.array("token", "token"))
-        .when(F.col("kind") == "missing", F.array().cast("array<string>"))
-        .otherwise(F.array(F.concat(F.col("prefix"), F.coalesce("wrong", F.lit("")), F.col("suffix"))))
+        F.when(c("kind") == "duplicate", F.array("token", "token"))
+        .when(c("kind") == "missing", F.array().cast("array<string>"))
+        .otherwise(F.array(F.concat(c("prefix"), F.coalesce("wrong", F.lit("")), c("suffix"))))
     )
-    out = joined.where(keep).withColumns({"source_text": _with_token(made), "target_text": F.col("text"), "position": F.col("index").cast("long"), "wrong": F.coalesce("wrong", F.lit(""))})
+    source = (
+        F.when(c("kind") == "add_mark", F.left(text, F.length(text) - 1))
+        .when(c("kind") == "case_capital", F.concat(lead, F.lower(F.left(body, F.lit(1))), F.substring(text, F.length(lead) + 2, F.length(text))))
+        .otherwise(_with_token(made))
+    )
+    capital = c("kind") == "case_capital"
+    out = joined.where(keep).withColumns({"source_text": source, "target_text": text, "position": F.when(c("index") >= 0, c("index").cast("long"))})
+    out = out.withColumns({"correct": F.when(capital, body).otherwise(c("correct")), "wrong": F.when(capital, small).otherwise(F.coalesce("wrong", F.lit("")))})
     return out.where("source_text <> target_text")
 
 
-def sentence_candidates(sentences: DataFrame) -> DataFrame:
-    """Dropped terminal marks and lost sentence capitals."""
-    text = F.col("text")
-    first = F.regexp_extract(text, "^(\\S+)", 1)
-    lead, body = prefix(first), core(first)
-    cased = body.rlike("^\\p{Lu}") & (body != F.upper(body))
-    lowered = F.concat(lead, F.lower(F.left(body, F.lit(1))), F.substring(text, F.length(lead) + 2, F.length(text)))
-    at_end = [F.when(text.endswith(mark), F.struct(F.lit(f"$ADD_PUNC_{name}").alias("tag"), F.lit("punctuation").alias("family"), F.lit("add_mark").alias("kind"), F.lit(mark).alias("correct"), F.lit("").alias("wrong"), F.left(text, F.length(text) - 1).alias("source_text"))) for name, mark in MARKS.items()]
-    capital = F.when(cased, F.struct(F.lit("$TRANSFORM_CASE_CAPITAL").alias("tag"), F.lit("casing").alias("family"), F.lit("case_capital").alias("kind"), body.alias("correct"), F.concat(F.lower(F.left(body, F.lit(1))), F.substring(body, 2, 1_000_000)).alias("wrong"), lowered.alias("source_text")))
-    made = sentences.withColumn("made", F.explode(F.filter(F.array(*at_end, capital), lambda x: x.isNotNull())))
-    columns = {k: F.col(f"made.{k}") for k in ("tag", "family", "kind", "correct", "wrong", "source_text")}
-    return made.withColumns(columns | {"position": F.lit(None).cast("long"), "target_text": text, "confidence": F.lit("high")}).drop("made")
-
-
 def changed_marks(sentences: DataFrame, contexts: DataFrame) -> DataFrame:
     """Terminal marks changed where the whole sentence is a reviewed context(context, correct, wrong, tag)."""
     joined = sentences.join(contexts, F.col("text") == F.concat("context", "correct"))
@@ -92,7 +99,7 @@ def changed_marks(sentences: DataFrame, contexts: DataFrame) -> DataFrame:
 
 
 def constructions(sentences: DataFrame, resource: DataFrame) -> DataFrame:
-    """Each non-overlapping occurrence, between non-alphanumeric neighbours, of a reviewed construction(correct, wrong, tag, family).
+    """Each non-overlapping occurrence, between neighbours that are no word characters (letters, digits, underscore), of a reviewed construction(correct, wrong, tag, family).
 
     The resource is a reviewed word list; it is joined on its first word, so that a sentence meets only what it may contain.
     """
@@ -105,7 +112,7 @@ def constructions(sentences: DataFrame, resource: DataFrame) -> DataFrame:
     left = F.array_join(F.slice("pieces", F.lit(1), F.col("position")), "\x00")
     left = F.replace(left, F.lit("\x00"), F.col("correct"))
     joined = joined.withColumn("left", left).withColumn("right", F.substring(F.col("text"), F.length("left") + F.length("correct") + 1, F.length("text")))
-    free = ~F.col("left").rlike("[\\p{L}\\p{N}]$") & ~F.col("right").rlike("^[\\p{L}\\p{N}]")
+    free = ~F.col("left").rlike("[\\p{L}\\p{N}_]$") & ~F.col("right").rlike("^[\\p{L}\\p{N}_]")
     out = joined.where(free).withColumns({"kind": F.lit("construction"), "source_text": F.concat("left", "wrong", "right"), "target_text": F.col("text"), "position": F.length("left").cast("long"), "confidence": F.lit("reviewed")})
     return out.where("source_text <> target_text")
 
@@ -124,8 +131,7 @@ def verb_states(sentences: DataFrame, paradigm: DataFrame) -> DataFrame:
 def generate(sentences: DataFrame, profile: Profile) -> DataFrame:
     """All candidates that need no reviewed resource, with the sentences' split and publisher if they have them."""
     extra = [c for c in ("split", "publisher", "source_doc_id") if c in sentences.columns]
-    made = token_candidates(sentences, profile).select(*CANDIDATE, *extra)
-    return made.unionByName(sentence_candidates(sentences).select(*CANDIDATE, *extra))
+    return generated(sentences, profile).select(*CANDIDATE, *extra)
 
 
 def census(spark: SparkSession, candidates: DataFrame, profile: Profile) -> DataFrame:
@@ -140,20 +146,24 @@ def census(spark: SparkSession, candidates: DataFrame, profile: Profile) -> Data
     return registry.join(counted, "tag", "left").fillna(0)
 
 
-def replay(source: Column, kind: Column, position: Column, correct: Column, wrong: Column) -> Column:
-    """The correct sentence again, from the wrong one and what was done to it."""
-    words = tokens(source)
-    n, i = F.size(words), position.cast("int")
-    put = lambda new, skip: F.concat_ws(" ", F.slice(words, F.lit(1), i), new, F.slice(words, i + 1 + skip, F.greatest(n - i - skip, F.lit(0))))
-    token = F.get(words, i)
-    swapped = F.array(F.concat(prefix(token), correct, suffix(token)))
-    lead = prefix(F.get(words, F.lit(0)))
-    return (
-        F.when(kind.isin("swap", "contextual", "case_lower", "morphology"), put(swapped, 1))
-        .when(kind == "duplicate", put(F.array(token), 2))
-        .when(kind == "missing", put(F.array(correct), 0))
-        .when(kind == "add_mark", F.concat(source, correct))
-        .when(kind == "change_mark", F.concat(F.left(source, F.length(source) - F.length(wrong)), correct))
-        .when(kind == "case_capital", F.concat(lead, correct, F.substring(source, F.length(lead) + F.length(correct) + 1, F.length(source))))
-        .when(kind == "construction", F.concat(F.left(source, i), correct, F.substring(source, i + F.length(wrong) + 1, F.length(source))))
+def with_replay(df: DataFrame, to: str = "again") -> DataFrame:
+    """df(source_text, kind, position, correct, wrong) with the correct sentence again, from the wrong one and what was done to it.
+
+    Steps are columns of their own, so that words are split once and the plan stays small.
+    """
+    c, i = F.col, F.greatest(F.coalesce(F.col("position"), F.lit(0)).cast("int"), F.lit(0))
+    df = df.withColumns({"__words": tokens(c("source_text")), "__i": i})
+    df = df.withColumns({"__token": F.get("__words", c("__i")), "__n": F.size("__words"), "__first": F.get("__words", F.lit(0))})
+    df = df.withColumns({"__swapped": F.concat(prefix(c("__token")), c("correct"), suffix(c("__token"))), "__lead": prefix(c("__first"))})
+    skip = F.when(c("kind") == "missing", 0).when(c("kind") == "duplicate", 2).otherwise(1)
+    new = F.when(c("kind") == "missing", c("correct")).when(c("kind") == "duplicate", c("__token")).otherwise(c("__swapped"))
+    put = F.concat_ws(" ", F.slice("__words", F.lit(1), c("__i")), new, F.slice("__words", c("__i") + 1 + skip, F.greatest(c("__n") - c("__i") - skip, F.lit(0))))
+    source, tail = c("source_text"), F.length("source_text")
+    again = (
+        F.when(c("kind").isin("swap", "contextual", "case_lower", "morphology", "duplicate", "missing"), put)
+        .when(c("kind") == "add_mark", F.concat(source, c("correct")))
+        .when(c("kind") == "change_mark", F.concat(F.left(source, tail - F.length("wrong")), c("correct")))
+        .when(c("kind") == "case_capital", F.concat(c("__lead"), c("correct"), F.substring(source, F.length("__lead") + F.length("correct") + 1, tail)))
+        .when(c("kind") == "construction", F.concat(F.left(source, c("__i")), c("correct"), F.substring(source, c("__i") + F.length("wrong") + 1, tail)))
     )
+    return df.withColumn(to, again).drop("__words", "__i", "__token", "__n", "__first", "__swapped", "__lead")

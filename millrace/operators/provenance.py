@@ -1,4 +1,4 @@
-"""What makes a build trustworthy: hashes, plans, shard manifests, review gates and contract checks.
+"""What makes a build trustworthy: hashes, plans, shard manifests and review gates (contracts of rows are in ``contracts``).
 
 Decisions are small (manifests, one row per tag or shard) and live on the driver; whatever is as large as the data is a
 DataFrame of faults that has to be empty.
@@ -13,11 +13,9 @@ from collections.abc import Iterable
 from datetime import datetime
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.evaluate import apply_edits
-
 
 class GateClosed(Exception):
     """A precondition that does not hold; raised before anything is written."""
@@ -131,59 +129,3 @@ def review_status(sample: DataFrame, decisions: DataFrame, manifest: dict, revie
 def require_review(*args: object, **options: object) -> None:
     if (status := review_status(*args, **options)) != "complete":
         raise GateClosed(f"review is {status}")
-
-
-def route_faults(samples: DataFrame, predictions: DataFrame) -> DataFrame:
-    """(sample_id, condition, fault) of predictions that break what their condition means."""
-    p = predictions.join(samples.select("sample_id", "raw", "gold_normalised"), "sample_id", "left")
-    fed = F.when(F.col("condition") == "A", F.col("raw")).when(F.col("condition") == "B", F.col("normalizer_output")).when(F.col("condition") == "C", F.col("gold_normalised"))
-    fault = (
-        F.when(F.col("raw").isNull(), "unknown_sample")
-        .when(~F.col("condition").isin("A", "B", "C"), "unknown_condition")
-        .when(~F.col("raw_input").eqNullSafe(F.col("raw")), "raw_input_differs")
-        .when((F.col("condition") == "B") != F.col("normalizer_output").isNotNull(), "normalizer_output_misplaced")
-        .when(~F.col("gec_input").eqNullSafe(fed), "wrong_input")
-        .when(F.col("gec_output").isNull(), "no_output")
-    )
-    return p.select("sample_id", "condition", fault.alias("fault")).where("fault is not null")
-
-
-def record_faults(items: DataFrame, tags: list[str]) -> DataFrame:
-    """(sample_id, faults) of evaluation items that break their contract.
-
-    items: sample_id, source_type, raw, normalised, gold, normalization_edits and grammar_edits (start, end, source, target, ...),
-    grammar_tags, annotator_1, annotator_2, adjudication_status.
-    """
-    c, clean = F.col, F.col("source_type") == "clean_control"
-    as_edits = lambda e: F.transform(e, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["target"].alias("target")))
-    replays = lambda text, e, to: F.coalesce(apply_edits(text, as_edits(e)) == to, F.lit(False))
-    matches = lambda text, e: F.forall(e, lambda x: F.substring(text, x["start"] + 1, x["end"] - x["start"]) == x["source"])
-    checks: list[tuple[str, Column]] = [
-        ("missing_text", c("raw").isNull() | c("normalised").isNull() | c("gold").isNull()),
-        ("clean_control_edited", clean & ((c("raw") != c("gold")) | (F.size("normalization_edits") > 0) | (F.size("grammar_edits") > 0))),
-        ("without_edits", ~clean & (F.size("normalization_edits") + F.size("grammar_edits") == 0)),
-        ("normalization_replay", ~replays(c("raw"), c("normalization_edits"), c("normalised"))),
-        ("grammar_replay", ~replays(c("normalised"), c("grammar_edits"), c("gold"))),
-        ("edit_source_differs", ~(matches(c("raw"), c("normalization_edits")) & matches(c("normalised"), c("grammar_edits")))),
-        ("no_op_edit", F.exists("grammar_edits", lambda x: x["source"] == x["target"]) | F.exists("normalization_edits", lambda x: x["source"] == x["target"])),
-        ("unregistered_tag", F.exists("grammar_tags", lambda t: ~t.isin(*tags))),
-        ("tags_differ_from_edits", F.sort_array("grammar_tags") != F.sort_array(F.transform("grammar_edits", lambda x: x["tag"]))),
-        ("annotators", ~F.coalesce((c("annotator_1") != c("annotator_2")) & (F.trim("annotator_1") != "") & (F.trim("annotator_2") != ""), F.lit(False))),
-        ("not_adjudicated", ~F.coalesce(c("adjudication_status") == "adjudicated", F.lit(False))),
-    ]
-    faults = F.filter(F.array(*[F.when(test, F.lit(name)) for name, test in checks]), lambda x: x.isNotNull())
-    return items.select("sample_id", faults.alias("faults")).where(F.size("faults") > 0)
-
-
-def candidate_faults(candidates: DataFrame, tags: list[str], replayed: Column) -> DataFrame:
-    """(pair_id, reject_code): the first reason why a candidate may not be used."""
-    c = F.col
-    tidy = lambda text: (text == F.trim(text)) & ~text.rlike("[\\s\\p{Z}]{2,}")
-    code = (
-        F.when(~c("tag").isin(*tags), "unregistered_tag")
-        .when(c("source_text") == c("target_text"), "source_equals_target")
-        .when(~tidy(c("target_text")), "target_not_normalized")
-        .when(~tidy(c("source_text")), "source_not_normalized")
-        .when(~F.coalesce(replayed == c("target_text"), F.lit(False)), "alignment_replay_failed")
-    )
-    return candidates.select("pair_id", code.alias("reject_code")).where("reject_code is not null")

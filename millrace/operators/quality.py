@@ -8,8 +8,17 @@ from pyspark.sql import functions as F
 from millrace.functions.profile import QualityRules
 from millrace.functions.text import tokens
 
+# Patterns of the gate.
 CONTROL = "[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\x7F]"
 URL_OR_EMAIL = "(?i)(?:https?://|www\\.|[\\w.+-]+@[\\w.-]+\\.[A-Za-z]{2,})"
+# End of fixed values.
+
+#: Every reason, in the order in which a row lists them.
+CODES = (
+    "empty_text nul_character no_letter too_long low_alphabetic_ratio repeated_punctuation boilerplate upstream_duplicate_marker language_mismatch "
+    "low_language_confidence language_code_switch_ratio language_code_switch_borderline language_code_switch_clause unbalanced_bracket unbalanced_quote "
+    "control_character sentence_integrity_too_short sentence_integrity_leading_closer sentence_integrity_trailing_opener suspicious_encoding informal_marker url_or_email"
+).split()
 
 
 def unbalanced_brackets(text: Column) -> Column:
@@ -30,8 +39,8 @@ def _count(text: Column, mark: str) -> Column:
 
 def code_switch(df: DataFrame, rules: QualityRules, text: str = "text") -> DataFrame:
     """df with n_words, n_markers, marker_ratio and the flags of ratio and clause rules."""
-    among = lambda values: lambda w: F.array_contains(F.array(*[F.lit(v) for v in values]), w)
-    df = df.withColumn("__w", F.transform(F.regexp_extract_all(F.col(text), F.lit("([A-Za-z]+)"), 1), F.lower))
+    among = lambda values: lambda w: w.isin(*values)  # noqa: E731  (a set lookup)
+    df = df.withColumn("__w", F.regexp_extract_all(F.lower(F.translate(text, "\u0130\u212a", "  ")), F.lit("([a-z]+)"), 1))
     df = df.withColumn("__b", F.filter(F.transform("__w", lambda w, i: F.when(among(rules.boundaries)(w), i)), lambda i: i.isNotNull()))
     w, b, n = F.col("__w"), F.col("__b"), F.size("__w")
     marked = lambda part: (F.size(F.filter(part, among(rules.markers))) >= rules.clause_min_markers) & (F.size(F.filter(part, among(rules.content))) >= rules.clause_min_content)
@@ -85,8 +94,10 @@ def with_reasons(df: DataFrame, rules: QualityRules, text: str = "text") -> Data
         ("url_or_email", t.rlike(URL_OR_EMAIL)),
     ]
     switched = code_switch(df, rules, text)
-    codes = F.filter(F.array(*[F.when(test, F.lit(code)) for code, test in checks]), lambda c: c.isNotNull())
-    return switched.withColumn("reason_codes", codes).drop("n_words", "n_markers", "marker_ratio", "switch_ratio", "switch_borderline", "switch_clause")
+    # One string of the codes that hold (concat_ws skips nulls), as that compiles and an array of tests with a lambda does not.
+    said = F.concat_ws(",", *[F.when(test, F.lit(code)) for code, test in checks])
+    codes = F.when(F.col("__said") == "", F.array().cast("array<string>")).otherwise(F.split("__said", ","))
+    return switched.withColumn("__said", said).withColumn("reason_codes", codes).drop("__said").drop("n_words", "n_markers", "marker_ratio", "switch_ratio", "switch_borderline", "switch_clause")
 
 
 def accepted(df: DataFrame) -> DataFrame:
@@ -98,5 +109,6 @@ def quarantined(df: DataFrame) -> DataFrame:
 
 
 def histogram(df: DataFrame) -> DataFrame:
-    """Rows per reason; a row counts once for each of its reasons."""
-    return df.select(F.explode("reason_codes").alias("reason")).groupBy("reason").agg(F.count("*").alias("n_rows"))
+    """Rows per reason that occurs; a row counts once for each of its reasons. One count per code, so nothing is exploded or shuffled but a row per task."""
+    counts = df.select(F.col("reason_codes").alias("__codes")).agg(*[F.count_if(F.array_contains("__codes", c)).alias(c) for c in CODES])
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("reason"), F.col(c).alias("n_rows")) for c in CODES])).alias("r")).select("r.*").where("n_rows > 0")

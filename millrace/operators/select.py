@@ -32,21 +32,26 @@ def top_k(df: DataFrame, by: list[str], k: int, order: list[str]) -> DataFrame:
 
 
 def first_pairs(df: DataFrame, order: list[str]) -> DataFrame:
-    """One row per (source, target) pair: the first in order."""
-    return top_k(df, ["source_text", "target_text"], 1, order)
+    """One row per (source, target) pair: the first in order. Pairs are told apart by 128 bits of hash, so that keys are short."""
+    keyed = df.withColumns({"__p": F.xxhash64("source_text", "target_text"), "__q": F.xxhash64("target_text", "source_text")})
+    return top_k(keyed, ["__p", "__q"], 1, order).drop("__p", "__q")
 
 
-def quota_select(df: DataFrame, quotas: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(selected, left over): the first quota rows by rank of each (split, tag), among pairs kept once, in their first group."""
+def quota_select(df: DataFrame, quotas: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """(selected, left over): the first quota rows by rank of each (split, tag), among pairs kept once, in their first group.
+
+    ``most`` is the greatest quota: as a literal, it limits groups before the shuffle, so that no group is sorted whole in one task.
+    """
     unique = first_pairs(df, ["split", "tag", "rank", "pair_id"])
-    placed = unique.withColumn("n", F.row_number().over(Window.partitionBy("split", "tag").orderBy("rank", "pair_id"))).join(quotas, ["split", "tag"])
-    return placed.where("n <= quota").drop("n", "quota"), placed.where("n > quota").drop("n", "quota")
+    best = unique.withColumn("n", F.row_number().over(Window.partitionBy("split", "tag").orderBy("rank", "pair_id"))).where(F.col("n") <= most)
+    selected = best.join(quotas, ["split", "tag"]).where("n <= quota").drop("n", "quota")
+    return selected, unique.join(selected.select("split", "tag", "pair_id"), ["split", "tag", "pair_id"], "left_anti")
 
 
-def refill(left: DataFrame, gaps: DataFrame) -> DataFrame:
-    """The best left-over rows of each split, as many as its gap(split, gap)."""
-    placed = left.withColumn("n", F.row_number().over(Window.partitionBy("split").orderBy("rank", "pair_id"))).join(gaps, "split")
-    return placed.where("n <= gap").drop("n", "gap")
+def refill(left: DataFrame, gaps: DataFrame, most: int) -> DataFrame:
+    """The best left-over rows of each split, as many as its gap(split, gap), none of which is over ``most``."""
+    best = left.withColumn("n", F.row_number().over(Window.partitionBy("split").orderBy("rank", "pair_id"))).where(F.col("n") <= most)
+    return best.join(gaps, "split").where("n <= gap").drop("n", "gap")
 
 
 def identity_rows(sentences: DataFrame, seed: int, per_split: int) -> DataFrame:
@@ -61,8 +66,9 @@ def pair_id_identity(seed: int) -> Column:
 
 def stage_views(final: DataFrame, first: int) -> DataFrame:
     """final with stage: the first errorful rows of each split by pair_id are dataset1; the others and the identities dataset2."""
-    n = F.row_number().over(Window.partitionBy("split", "is_errorful").orderBy("pair_id"))
-    return final.withColumn("n", n).withColumn("stage", F.when(F.col("is_errorful") & (F.col("n") <= first), "dataset1_stage2").otherwise("dataset2_stage3")).drop("n")
+    picked = top_k(final.where("is_errorful").select("split", "pair_id"), ["split"], first, ["pair_id"]).distinct().withColumn("__first", F.lit(True))
+    joined = final.join(picked, ["split", "pair_id"], "left")
+    return joined.withColumn("stage", F.when(F.col("is_errorful") & F.col("__first"), "dataset1_stage2").otherwise("dataset2_stage3")).drop("__first")
 
 
 # --- Allocation: exact arithmetic over a few dozen keys, on the driver. -------------------------------------------
@@ -125,19 +131,28 @@ def shard_quotas(capacity: list[int], target: int) -> list[int]:
     return out
 
 
-def greedy_quota_select(reserve: DataFrame, quotas: dict[tuple[str, str], int]) -> DataFrame:
+def greedy_quota_select(candidates: DataFrame, quotas: dict[tuple[str, str], int], order: list[str], spare: int = 8) -> DataFrame:
     """Groups in order of (split, tag); each takes its best ranked pairs that no group before it took, up to its quota.
 
-    What a group takes depends on all groups before it. reserve holds a bounded number of rows per group (``top_k``), so
-    the fold runs on the driver over (group, rank, pair) only, and never over the candidates themselves.
+    What a group takes depends on all groups before it, so the fold runs on the driver, over (group, rank, pair) of a reserve: the best rows of
+    each group, ``spare`` more than its quota. If collisions leave a quota short while its group has more rows, the reserve is
+    widened fourfold and the fold repeated, until every quota is filled or its group exhausted.
     """
-    keys = reserve.select("split", "tag", "rank", "pair_id", F.xxhash64("source_text", "target_text").alias("p"), F.xxhash64("target_text", "source_text").alias("q"))
-    taken, out, filled = set(), [], dict.fromkeys(quotas, 0)
-    for r in sorted(keys.collect(), key=lambda r: (r.split, r.tag, r.rank, r.pair_id)):
-        group = (r.split, r.tag)
-        if filled.get(group, 0) < quotas.get(group, 0) and (r.p, r.q) not in taken:
-            taken.add((r.p, r.q))
-            filled[group] += 1
-            out.append((r.split, r.tag, r.pair_id))
-    chosen = reserve.sparkSession.createDataFrame(out, "split string, tag string, pair_id string")
-    return reserve.join(chosen, ["split", "tag", "pair_id"], "left_semi")
+    by, most, hashed = ["split", "tag"], max(quotas.values(), default=0) + spare, candidates.withColumns({"__p": F.xxhash64("source_text", "target_text"), "__q": F.xxhash64("target_text", "source_text")})
+    while True:
+        reserve = top_k(hashed, by, most, order)
+        keys = [tuple(r) for r in reserve.select("split", "tag", "rank", "pair_id", "__p", "__q").collect()]
+        taken, out, filled, seen = set(), [], dict.fromkeys(quotas, 0), dict.fromkeys(quotas, 0)
+        for split, tag, _, pair, p, q in sorted(keys):
+            group = (split, tag)
+            seen[group] = seen.get(group, 0) + 1
+            if filled.get(group, 0) < quotas.get(group, 0) and (p, q) not in taken:
+                taken.add((p, q))
+                filled[group] += 1
+                out.append((split, tag, pair, p, q))
+        if all(filled[g] == n or seen[g] < most for g, n in quotas.items()):
+            break
+        most *= 4
+    chosen = candidates.sparkSession.createDataFrame(out, "split string, tag string, pair_id string, __p long, __q long")  # at most the sum of the quotas
+    once = top_k(reserve, [*by, "__p", "__q"], 1, order)
+    return once.join(chosen, ["split", "tag", "pair_id", "__p", "__q"], "left_semi").drop("__p", "__q")

@@ -30,8 +30,9 @@ def assign(counts: dict[str, int], seed: int, ratios: dict[str, float] = RATIOS)
 
 
 def greedy_split(df: DataFrame, seed: int, key: str = "group_key") -> DataFrame:
-    """df with split. The group table (one row per document) is folded on the driver, as its order is global."""
-    counted = {r[0]: r[1] for r in df.groupBy(key).count().collect()}
+    """df with split. The group table (one row per document) is folded on the driver, as its order is global: about 200 bytes a document,
+    so some ten million of them at most; ``hash_split`` has no such bound."""
+    counted = {r[0]: r[1] for r in df.groupBy(key).count().toLocalIterator()}
     rows = list(assign(counted, seed).items())
     assigned = df.sparkSession.createDataFrame(rows, f"{key} string, split string") if rows else df.select(F.col(key), F.lit("").alias("split")).limit(0)
     return df.join(assigned, key)

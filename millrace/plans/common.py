@@ -15,9 +15,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """df, dealt out by key where it has fewer files than there are cores, so that a small table uses them; a large one is never shuffled for it."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(2 * cores, key) if len(df.inputFiles()) < cores else df
+
+
 def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line of a document that has text after normalisation."""
-    docs = table(spark, sf_dir, "documents")
+    docs = dealt(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
     lines = docs.select(
         F.col("doc_id").cast("string").alias("source_doc_id"),
         F.col("source").alias("publisher"),
@@ -38,6 +44,7 @@ def split_column() -> object:
 
 
 def split_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The English sentences, as the registered queries run the English profile, with the split of their documents."""
     return sentences(spark, sf_dir).where("language = 'EN'").select("clean_id", "source_doc_id", "publisher", "text").withColumn("split", split_column())
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions.profile import ENGLISH
 from millrace.functions.text import core, length_bucket, prefix, shard_of, suffix, tokens, with_normalised
 from millrace.operators import quality, splits
+from millrace.operators.splits import RATIOS
 from millrace.plans.common import SEED, SENTENCES_SQL, core_sql, norm_sql, prefix_sql, sentences, split_column, suffix_sql, table, words_sql
 from millrace.plans.common import SPLIT_SQL as _SPLIT
 
@@ -103,8 +104,7 @@ def conversation_turns(spark: SparkSession, d: str) -> DataFrame:
 
 def schema_catalog(spark: SparkSession, d: str) -> DataFrame:
     """Columns and types of every table, from the files' footers."""
-    names = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-    rows = [(t, f.name, f.dataType.simpleString(), i) for t in names for i, f in enumerate(table(spark, d, t).schema.fields)]
+    rows = [(t, f.name, f.dataType.simpleString(), i) for t in TABLES for i, f in enumerate(table(spark, d, t).schema.fields)]
     return spark.createDataFrame(rows, "table_name string, column_name string, type string, position int")
 
 
@@ -160,6 +160,17 @@ _CHECKS = [
 _REASONS = f"""{_SWITCH},
 reasoned AS (SELECT *, list_filter([{', '.join(f"CASE WHEN {test} THEN '{code}' END" for code, test in _CHECKS)}], lambda c: c IS NOT NULL) AS codes FROM switched)"""
 
+_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "FLOAT": "float", "DATE": "date", "TIMESTAMP": "timestamp_ntz", "TIMESTAMP WITH TIME ZONE": "timestamp", "BOOLEAN": "boolean", "FLOAT[]": "array<float>", "DOUBLE[]": "array<double>"}
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+_FILL = [f"{{'fill': f{i} / (total * {r}), 'tie': sha256('{SEED}' || chr(0) || k || ':{s}'), 'split': '{s}'}}" for i, (s, r) in enumerate(RATIOS.items())]
+_GREEDY = f"""WITH RECURSIVE {SENTENCES_SQL},
+    counted AS MATERIALIZED (SELECT 'document:' || source_doc_id AS k, count(*)::BIGINT AS n FROM sentences GROUP BY source_doc_id),
+    ordered AS MATERIALIZED (SELECT k, n, sum(n) OVER ()::BIGINT AS total, row_number() OVER (ORDER BY n DESC, sha256('{SEED}' || chr(0) || k)) AS g FROM counted),
+    fold(g, {', '.join(f'f{i}' for i in range(len(RATIOS)))}, split, n) AS (SELECT 0::BIGINT, {', '.join('0::BIGINT' for _ in RATIOS)}, '', 0::BIGINT
+        UNION ALL SELECT g, {', '.join(f"f{i} + CASE WHEN split = '{s}' THEN n ELSE 0 END" for i, s in enumerate(RATIOS))}, split, n
+        FROM (SELECT o.g, {', '.join(f'f.f{i}' for i in range(len(RATIOS)))}, list_min([{', '.join(_FILL)}]).split AS split, o.n FROM fold f JOIN ordered o ON o.g = f.g + 1))
+    SELECT split, sum(n)::BIGINT AS n_rows, count(*) AS n_groups FROM fold WHERE g > 0 GROUP BY split"""
+
 QUERIES = {f.__name__: f for f in (norm_text_hash, uniqueness_assertion, integrity_summary, source_left_joins, quality_reasons, quality_histogram, quality_split_counts, code_switch_metrics, token_explode, token_parts, length_buckets, group_split, hash_group_split, shard_assignment, leakage_semi_join, conversation_turns, schema_catalog)}
 ORACLES = {
     "norm_text_hash": f"SELECT doc_id, sha256({norm_sql('text')}) AS text_hash, length({norm_sql('text')}) AS norm_length FROM documents",
@@ -173,6 +184,8 @@ ORACLES = {
     "token_explode": f"WITH {SENTENCES_SQL}, t AS (SELECT clean_id, unnest(string_split(text, ' ')) AS token, unnest(range(len(string_split(text, ' ')))) AS position FROM sentences) SELECT token, count(*) AS n, count(DISTINCT clean_id) AS n_sentences, min(position) AS first_position FROM t GROUP BY token",
     "token_parts": f"WITH {SENTENCES_SQL}, t AS (SELECT unnest(string_split(text, ' ')) AS token FROM sentences), g AS (SELECT token, count(*) AS n FROM t GROUP BY token) SELECT token, n, {core_sql('token')} AS core, {prefix_sql('token')} AS prefix, {suffix_sql('token')} AS suffix FROM g",
     "length_buckets": f"WITH {SENTENCES_SQL}, l AS (SELECT len(string_split(text, ' ')) AS n FROM sentences), b(bucket) AS (VALUES ('<10'), ('10-19'), ('20-29'), ('30-49'), ('50+')), c AS (SELECT CASE WHEN n < 10 THEN '<10' WHEN n < 20 THEN '10-19' WHEN n < 30 THEN '20-29' WHEN n < 50 THEN '30-49' ELSE '50+' END AS bucket, count(*) AS n FROM l GROUP BY 1) SELECT bucket, coalesce(n, 0) AS n FROM b LEFT JOIN c USING (bucket)",
+    "group_split": _GREEDY,
+    "schema_catalog": f"SELECT table_name, column_name, CASE data_type {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in _TYPES.items())} ELSE data_type END AS type, (ordinal_position - 1)::INTEGER AS position FROM information_schema.columns WHERE table_name IN {words_sql(TABLES)}",
     "hash_group_split": f"WITH {SENTENCES_SQL} SELECT {_SPLIT} AS split, count(*) AS n_rows, count(DISTINCT source_doc_id) AS n_groups FROM sentences GROUP BY 1",
     "shard_assignment": f"WITH {SENTENCES_SQL} SELECT list_reduce(list_transform(range(16), lambda i: ('0x' || substr(sha256(clean_id), (4 * i + 1)::BIGINT, 4))::BIGINT), lambda a, x: (a * 65536 + x) % 7, 0::BIGINT) AS shard, count(*) AS n_rows FROM sentences GROUP BY 1",
     "leakage_semi_join": f"WITH {SENTENCES_SQL}, k AS (SELECT DISTINCT {norm_sql('line')} AS text FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM benchmark)) SELECT clean_id, publisher FROM sentences WHERE text IN (SELECT text FROM k)",

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.text import osa_distance, with_normalised
-from millrace.operators import evaluate, select
+from millrace.operators import contracts, evaluate, select
 from millrace.plans.common import EN_SQL, norm_sql, split_sentences, table
 from millrace.sources import resources
 
@@ -47,6 +47,23 @@ def edit_breakdown(spark: SparkSession, d: str) -> DataFrame:
     return evaluate.scores(evaluate.with_edit_counts(_routed(spark, d), "raw", "gold", "gec_output"), "condition", "source")
 
 
+def metric_summary(spark: SparkSession, d: str) -> DataFrame:
+    """Scores, exact rate, error reduction and mean distances per condition, end to end (word edits by longest matching blocks: no SQL)."""
+    return evaluate.summary(_routed(spark, d), "raw", "gold", "gec_output", "condition")
+
+
+def prediction_faults(spark: SparkSession, d: str) -> DataFrame:
+    """Predictions of all conditions with planted faults of routes and bindings: the first fault of each."""
+    c, n = F.col, F.length("gold")
+    r = _routed(spark, d)
+    made = r.select(
+        F.when(n % 17 == 0, F.concat(F.lit("x"), "sample_id")).otherwise(c("sample_id")).alias("sample_id"), "condition", F.when(n % 19 == 0, F.lit("?")).otherwise(c("raw")).alias("raw_input"),
+        F.when((c("condition") == "B") & (n % 23 != 0), _normalise(c("raw"))).when(c("condition") == "C", c("gold_normalised")).alias("normalizer_output"), F.when(n % 29 == 0, F.lit("?")).otherwise(c("gec_input")).alias("gec_input"), "gec_output",
+        F.when(n % 31 == 0, "other").otherwise("g").alias("gec_version"), F.when(n % 37 != 0, "m").alias("model_version"),
+    )
+    return contracts.route_faults(_samples(spark, d), made, bindings={"gec_version": "g"})
+
+
 def exact_rates(spark: SparkSession, d: str) -> DataFrame:
     """Exact matches, errors before and after (word positions that differ from gold), and overcorrection on clean inputs."""
     differs = lambda a: F.size(F.filter(F.zip_with(F.split(a, " "), F.split("gold", " "), lambda x, y: ~x.eqNullSafe(y)), lambda b: b))
@@ -61,14 +78,14 @@ def exact_rates(spark: SparkSession, d: str) -> DataFrame:
 
 
 def levenshtein_mean(spark: SparkSession, d: str) -> DataFrame:
-    r = _routed(spark, d).where(~F.col("gold").rlike("[^\\x00-\\x7F]"))
-    return r.groupBy("condition").agg(F.sum(F.levenshtein("gec_output", "gold")).alias("total"), F.count("*").alias("n"))
+    """Distance in code points of every routed output to its gold."""
+    return _routed(spark, d).groupBy("condition").agg(F.sum(F.levenshtein("gec_output", "gold")).alias("total"), F.count("*").alias("n"))
 
 
 def osa_total(spark: SparkSession, d: str) -> DataFrame:
-    """Distance of noisy benchmark items to the clean ones (common ends are cut first, so that it is short work)."""
-    made = _noisy(spark, d)
-    return made.groupBy("category").agg(F.sum(osa_distance("noisy_text", "text")).alias("total"))
+    """Distance with transpositions of every routed output to its gold; equal texts never leave the JVM."""
+    distance = F.coalesce(osa_distance(F.when(F.col("gec_output") != F.col("gold"), F.col("gec_output")), F.col("gold")), F.lit(0))
+    return _routed(spark, d).groupBy("condition").agg(F.sum(distance).alias("total"), F.count("*").alias("n"))
 
 
 def per_tag_metrics(spark: SparkSession, d: str) -> DataFrame:
@@ -99,17 +116,18 @@ def mcnemar(spark: SparkSession, d: str) -> DataFrame:
 
 
 def bootstrap_ci(spark: SparkSession, d: str) -> DataFrame:
-    """Hash mode over all samples' word counts; the Mersenne mode is the same sums with other indexes."""
-    counts = _counted(spark, d)
-    return evaluate.bootstrap(counts, counts.count(), resamples=100, seed=7, hashed=True).select(*[F.round(c, 9).alias(c) for c in ("mean_delta", "low", "high")])
+    """Every sample's word edits under A and B, resampled 2000 times; indexes come from MD5, so that SQL can draw them too."""
+    return evaluate.bootstrap(_counted(spark, d), resamples=2000, seed=7, indexes="hashed").select(*[F.round(c, 9).alias(c) for c in ("mean_delta", "low", "high")])
 
 
 def _counted(spark: SparkSession, d: str) -> DataFrame:
-    """Additive counts per publisher: the unit of resampling."""
-    words = lambda w: F.sum(F.size(F.filter(F.split("gold", " "), lambda x: x == w))).cast("long")
-    rows = _samples(spark, d).groupBy("source").agg(words("of").alias("tp_b"), words("in").alias("fp_b"), words("the").alias("fn_a"))
-    numbered = rows.withColumn("i", F.row_number().over(select.Window.orderBy("source")) - 1)  # one row per publisher
-    return numbered.select(F.col("i").cast("long").alias("i"), "tp_b", "fp_b", F.lit(0).cast("long").alias("fn_b"), F.col("tp_b").alias("tp_a"), F.col("fp_b").alias("fp_a"), "fn_a")
+    """(sample_id, tp_a, fp_a, fn_a, tp_b, fp_b, fn_b) of every sample: words that were to change and are right, that were right and are not, that are still wrong."""
+    r = _routed(spark, d).where("condition <> 'C'")
+    zipped = F.arrays_zip(F.split("raw", " ").alias("x"), F.split("gold", " ").alias("y"), F.split("gec_output", " ").alias("z"))
+    kinds = F.transform(zipped, lambda w: F.when(w["x"].eqNullSafe(w["y"]), F.when(~w["z"].eqNullSafe(w["y"]), "fp")).otherwise(F.when(w["z"].eqNullSafe(w["y"]), "tp").otherwise("fn")))
+    marked = r.select("sample_id", "condition", kinds.alias("kinds"))
+    n = lambda k, c: F.sum(F.when(F.col("condition") == c.upper(), F.size(F.filter("kinds", lambda w: w == k)).cast("long"))).alias(f"{k}_{c}")
+    return marked.groupBy("sample_id").agg(*[n(k, c) for c in "ab" for k in ("tp", "fp", "fn")])
 
 
 def _noisy(spark: SparkSession, d: str) -> DataFrame:
@@ -151,7 +169,7 @@ def eval_composition(spark: SparkSession, d: str) -> DataFrame:
     return types.groupBy(F.when(F.size("types") == 0, "clean_control").when(F.size("types") > 1, "mixed").otherwise(F.get("types", F.lit(0))).alias("kind")).agg(F.count("*").alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (route_abc, edit_metrics, edit_breakdown, exact_rates, levenshtein_mean, osa_total, per_tag_metrics, missing_extra_keys, mcnemar, bootstrap_ci, noise_inject, noise_replay, feature_map, resource_freeze_checks, largest_remainder, eval_composition)}
+QUERIES = {f.__name__: f for f in (route_abc, edit_metrics, edit_breakdown, metric_summary, prediction_faults, exact_rates, levenshtein_mean, osa_total, per_tag_metrics, missing_extra_keys, mcnemar, bootstrap_ci, noise_inject, noise_replay, feature_map, resource_freeze_checks, largest_remainder, eval_composition)}
 
 _S = f"""{EN_SQL},
 samples AS (SELECT clean_id AS sample_id, publisher AS source, text AS gold, replace(replace(text, ' the ', ' da '), ' of ', ' in ') AS raw, replace(text, ' of ', ' in ') AS gold_normalised FROM en)"""
@@ -160,6 +178,13 @@ r0 AS (SELECT *, unnest(['A', 'B', 'C']) AS condition FROM samples),
 r1 AS (SELECT *, CASE condition WHEN 'A' THEN raw WHEN 'B' THEN replace(raw, ' da ', ' the ') ELSE gold_normalised END AS gec_input FROM r0),
 routed AS (SELECT *, replace(replace(gec_input, ' in ', ' of '), ' da da ', ' da ') AS gec_output FROM r1)"""
 _DIFFERS = "len(list_filter(range(greatest(len(string_split({0}, ' ')), len(string_split(gold, ' ')))), lambda i: string_split({0}, ' ')[i + 1] IS DISTINCT FROM string_split(gold, ' ')[i + 1]))"
+_ASCII = "regexp_replace({0}, '[^\\x00-\\x7F]', '#', 'g')"  # its distance functions count bytes; what differs here is ASCII, so one byte may stand for each other character
+_AT = "string_split({0}, ' ')[i + 1]"
+_KINDS = f"""list_transform(range(greatest(len(string_split(raw, ' ')), len(string_split(gold, ' ')), len(string_split(gec_output, ' ')))), lambda i: CASE
+    WHEN {_AT.format('raw')} IS NOT DISTINCT FROM {_AT.format('gold')} THEN CASE WHEN {_AT.format('gec_output')} IS DISTINCT FROM {_AT.format('gold')} THEN 'fp' ELSE '' END
+    WHEN {_AT.format('gec_output')} IS NOT DISTINCT FROM {_AT.format('gold')} THEN 'tp' ELSE 'fn' END)"""
+_EDITS = f"""{_R},
+edits AS (SELECT sample_id, condition, len(list_filter(kinds, lambda k: k = 'tp')) AS tp, len(list_filter(kinds, lambda k: k = 'fp')) AS fp, len(list_filter(kinds, lambda k: k = 'fn')) AS fn FROM (SELECT *, {_KINDS} AS kinds FROM routed WHERE condition <> 'C'))"""
 _NOISE = f"""b AS (SELECT item_id AS sample_id, {norm_sql('text')} AS text FROM benchmark), rules(id, category, source, target) AS (VALUES {', '.join(str(r) for r in NOISE)}),
 w AS (SELECT *, string_split(text, ' ') AS ws, unnest(range(len(string_split(text, ' ')))) AS k FROM b),
 h AS (SELECT *, CASE WHEN k = 0 THEN 0 ELSE length(array_to_string(ws[1:k], ' ')) + 1 END AS start FROM w JOIN rules ON ws[k + 1] = target),
@@ -167,10 +192,6 @@ made AS (SELECT sample_id, category, id AS rule_id, start, left(text, start) ||
     QUALIFY row_number() OVER (PARTITION BY sample_id, category ORDER BY sha256(concat_ws('|', '7', sample_id::VARCHAR, category, id, start::VARCHAR)), id, start) = 1)"""
 
 
-def _count(text: str, word: str) -> str:
-    return f"len(list_filter(string_split({text}, ' '), lambda x: x = '{word}'))"
-
-
 def _f(tp: str, fp: str, fn: str) -> str:
     p = f"(CASE WHEN {tp} + {fp} > 0 THEN {tp}::DOUBLE / ({tp} + {fp}) WHEN {fn} = 0 THEN 1.0 ELSE 0.0 END)"
     r = f"(CASE WHEN {tp} + {fn} > 0 THEN {tp}::DOUBLE / ({tp} + {fn}) ELSE 1.0 END)"
@@ -182,7 +203,10 @@ _MAPPED = f"f(lemma, surface, features) AS (VALUES {', '.join(str(r) for r in FE
 ORACLES = {
     "route_abc": f"WITH {_R} SELECT sample_id, condition, gec_input, gec_output FROM routed",
     "exact_rates": f"WITH {_R} SELECT condition, count(*) AS n, count(*) FILTER (gec_output = gold) AS n_exact, sum({_DIFFERS.format('gec_input')})::BIGINT AS errors_before, sum({_DIFFERS.format('gec_output')})::BIGINT AS errors_after, count(*) FILTER (gec_input = gold AND gec_output <> gold) AS n_overcorrected FROM routed GROUP BY condition",
-    "levenshtein_mean": f"WITH {_R} SELECT condition, sum(levenshtein(gec_output, gold))::BIGINT AS total, count(*) AS n FROM routed WHERE NOT regexp_matches(gold, '[^\\x00-\\x7F]') GROUP BY condition",
+    "levenshtein_mean": f"WITH {_R} SELECT condition, sum(levenshtein({_ASCII.format('gec_output')}, {_ASCII.format('gold')}))::BIGINT AS total, count(*) AS n FROM routed GROUP BY condition",
+    "prediction_faults": f"""WITH {_R}, l AS (SELECT *, length(gold) AS n FROM routed), f AS (SELECT CASE WHEN n % 17 = 0 THEN 'x' || sample_id ELSE sample_id END AS sample_id, condition, CASE WHEN n % 17 = 0 THEN 'unknown_sample' WHEN n % 31 = 0 THEN 'bound_to_other_gec_version' WHEN n % 37 = 0 THEN 'no_model_version'
+        WHEN n % 19 = 0 AND raw <> '?' THEN 'raw_input_differs' WHEN condition = 'B' AND n % 23 = 0 THEN 'normalizer_output_misplaced' WHEN n % 29 = 0 AND gec_input <> '?' THEN 'wrong_input' END AS fault FROM l) SELECT * FROM f WHERE fault IS NOT NULL""",
+    "osa_total": f"WITH {_R} SELECT condition, sum(CASE WHEN gec_output = gold THEN 0 ELSE damerau_levenshtein({_ASCII.format('gec_output')}, {_ASCII.format('gold')}) END)::BIGINT AS total, count(*) AS n FROM routed GROUP BY condition",
     "per_tag_metrics": f"""WITH {_S}, g AS (SELECT sample_id, unnest(string_split(gold, ' ')) AS w, unnest(range(len(string_split(gold, ' ')))) AS k FROM samples), p AS (SELECT sample_id, unnest(string_split(raw, ' ')) AS w, unnest(range(len(string_split(raw, ' ')))) AS k FROM samples),
         c AS (SELECT count(*) FILTER (g.w = 'of' AND p.w = 'in') AS tp, count(*) FILTER (g.w = 'of') AS support, count(*) FILTER (p.w = 'in') AS n_predicted FROM g FULL JOIN p USING (sample_id, k)),
         z AS (SELECT '$REPLACE_of' AS tag, tp, support, n_predicted, tp / n_predicted AS precision, tp / support AS recall FROM c UNION ALL SELECT '$DELETE', 0, 0, 0, 0.0, 0.0)
@@ -192,11 +216,12 @@ ORACLES = {
         c AS (SELECT count(*) FILTER (a AND NOT b) AS x, count(*) FILTER (b AND NOT a) AS y FROM p),
         t AS (SELECT x, y, unnest(range(least(x, y) + 1)) AS i FROM c)
         SELECT x AS only_a, y AS only_b, round(least(1.0, sum(2 * exp(lgamma(x + y + 1) - lgamma(i + 1) - lgamma(x + y - i + 1) - (x + y) * ln(2)))), 9) AS p FROM t GROUP BY x, y""",
-    "bootstrap_ci": f"""WITH {_S}, g AS (SELECT source, sum({_count('gold', 'of')}) AS tp, sum({_count('gold', 'in')}) AS fp, sum({_count('gold', 'the')}) AS fn FROM samples GROUP BY source),
-        c AS (SELECT row_number() OVER (ORDER BY source) - 1 AS i, tp, fp, fn, count(*) OVER () AS n FROM g),
-        d AS (SELECT r, ('0x' || left(md5(concat_ws(':', '7', r::VARCHAR, k::VARCHAR)), 8))::BIGINT % (SELECT count(*) FROM c) AS i FROM range(100) a(r), range((SELECT count(*) FROM c)) b(k)),
-        s AS (SELECT r, sum(tp) AS tp, sum(fp) AS fp, sum(fn) AS fn FROM d JOIN c USING (i) GROUP BY r),
-        e AS (SELECT list_sort(list({_f('tp', 'fp', '0')} - ({_f('tp', 'fp', 'fn')}))) AS v FROM s)
+    "bootstrap_ci": f"""WITH {_EDITS},
+        c AS (SELECT sample_id, row_number() OVER (ORDER BY sample_id) - 1 AS i, count(*) OVER () AS n, *  EXCLUDE (sample_id) FROM (SELECT sample_id, {', '.join(f"sum({k}) FILTER (condition = '{c.upper()}')::BIGINT AS {k}_{c}" for c in 'ab' for k in ('tp', 'fp', 'fn'))} FROM edits GROUP BY sample_id)),
+        m AS (SELECT r, md5(concat_ws(':', '7', r::VARCHAR, k::VARCHAR)) AS h, k FROM range(2000) a(r), range((SELECT (count(*) + 3) // 4 FROM c)) b(k)),
+        d AS (SELECT r, ('0x' || substr(h, (8 * j + 1)::BIGINT, 8))::BIGINT % (SELECT count(*) FROM c) AS i FROM m, range(4) q(j) WHERE 4 * k + j < (SELECT count(*) FROM c)),
+        s AS (SELECT r, {', '.join(f'sum({k}_{c}) AS {k}_{c}' for c in 'ab' for k in ('tp', 'fp', 'fn'))} FROM d JOIN c USING (i) GROUP BY r),
+        e AS (SELECT list_sort(list(({_f('tp_b', 'fp_b', 'fn_b')}) - ({_f('tp_a', 'fp_a', 'fn_a')}))) AS v FROM s)
         SELECT round(list_sum(v) / len(v), 9) AS mean_delta, round(v[floor(0.025 * (len(v) - 1))::INT + 1], 9) AS low, round(v[floor(0.975 * (len(v) - 1))::INT + 1], 9) AS high FROM e""",
     "noise_inject": f"WITH {_NOISE} SELECT * FROM made",
     "noise_replay": f"WITH {_NOISE} SELECT category, count(*) AS n, count(*) AS n_replayed FROM made GROUP BY category",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.profile import ENGLISH
 from millrace.functions.text import length_bucket, shard_of
-from millrace.operators import generate, select
+from millrace.operators import contracts, generate, select
 from millrace.plans.common import BRANCHES, CANDIDATES_SQL, EN_SQL, RANKED_SQL, SEED, TOKENS_SQL, split_sentences
 
 QUOTA, GAP, IDENTITIES, FIRST, SAMPLE = 5, 40, 60, 20, 5
@@ -56,9 +56,8 @@ def gen_morphology(spark: SparkSession, d: str) -> DataFrame:
 
 
 def replay_check(spark: SparkSession, d: str) -> DataFrame:
-    made = _candidates(spark, d)
-    again = generate.replay(F.col("source_text"), F.col("kind"), F.col("position"), F.col("correct"), F.col("wrong"))
-    return made.groupBy("kind").agg(F.count("*").alias("n"), F.count_if(F.lower(again) == F.lower("target_text")).alias("n_replayed"))
+    made = generate.with_replay(_candidates(spark, d))
+    return made.groupBy("kind").agg(F.count("*").alias("n"), F.count_if(F.lower("again") == F.lower("target_text")).alias("n_replayed"))
 
 
 def capacity_census(spark: SparkSession, d: str) -> DataFrame:
@@ -79,7 +78,7 @@ def review_sample(spark: SparkSession, d: str) -> DataFrame:
 
 def _selected(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     quotas = spark.createDataFrame([(s, t, QUOTA) for t, _ in dict.fromkeys(ENGLISH.tags) for s in ("train", "dev", "synthetic_test")], "split string, tag string, quota int").distinct()
-    return select.quota_select(_ranked(spark, d), quotas)
+    return select.quota_select(_ranked(spark, d), quotas, QUOTA)
 
 
 def quota_selection(spark: SparkSession, d: str) -> DataFrame:
@@ -87,13 +86,13 @@ def quota_selection(spark: SparkSession, d: str) -> DataFrame:
 
 
 def greedy_quota_selection(spark: SparkSession, d: str) -> DataFrame:
-    reserve = select.top_k(_ranked(spark, d), ["split", "tag"], QUOTA + 8, ["rank", "pair_id", "clean_id", "position"])
-    return select.greedy_quota_select(reserve, {(s, t): QUOTA for t, _ in ENGLISH.tags for s in ("train", "dev", "synthetic_test")}).select("split", "tag", "pair_id", "rank")
+    quotas = {(s, t): QUOTA for t, _ in ENGLISH.tags for s in ("train", "dev", "synthetic_test")}
+    return select.greedy_quota_select(_ranked(spark, d), quotas, ["rank", "pair_id", "clean_id", "position"]).select("split", "tag", "pair_id", "rank")
 
 
 def overflow_refill(spark: SparkSession, d: str) -> DataFrame:
     gaps = spark.createDataFrame([(s, GAP) for s in ("train", "dev", "synthetic_test")], "split string, gap int")
-    return select.refill(_selected(spark, d)[1], gaps).select("split", "tag", "pair_id", "rank")
+    return select.refill(_selected(spark, d)[1], gaps, GAP).select("split", "tag", "pair_id", "rank")
 
 
 def identity_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -138,6 +137,34 @@ def telemetry_rollup(spark: SparkSession, d: str) -> DataFrame:
     return shards.groupBy("reason").agg(F.sum("n").alias("n"), F.min("sample").alias("sample"))
 
 
+def candidate_gate(spark: SparkSession, d: str) -> DataFrame:
+    """The structural gate over all candidates, with faults planted by position and length: rows per reject code, or accepted."""
+    c, n = F.col, F.length("target_text")
+    made = generate.with_replay(_candidates(spark, d)).withColumn("pair_id", F.col("clean_id"))
+    planted = made.select(
+        F.concat_ws(":", "pair_id", F.coalesce(c("position"), F.lit(-1)).cast("string")).alias("pair_id"),
+        F.when(n % 31 == 0, "$UNKNOWN").otherwise(c("tag")).alias("tag"),
+        F.when(n % 37 == 0, c("target_text")).otherwise(c("source_text")).alias("source_text"),
+        F.when(n % 41 == 0, F.concat("target_text", F.lit("  x"))).otherwise(c("target_text")).alias("target_text"),
+        F.when(n % 43 == 0, "unheard_of").otherwise("replace").alias("operation"),
+        F.when(n % 47 == 0, "lemma").alias("morphology_lemma"),
+        F.when(n % 53 == 0, F.lit("lost")).otherwise(F.when(F.lower("again") == F.lower("target_text"), c("target_text"))).alias("again"),
+    )
+    found = contracts.candidate_codes(planted, [t for t, _ in ENGLISH.tags], c("again"))
+    return found.groupBy(F.coalesce("reject_code", F.lit("accepted")).alias("code")).agg(F.count("*").alias("n"))
+
+
+def pair_contract(spark: SparkSession, d: str) -> DataFrame:
+    """The contract of errorful and identity rows over the final dataset, with planted faults."""
+    c, n = F.col, F.length("target_text")
+    rows = _final(spark, d).select(
+        "pair_id", "clean_id", F.when(n % 19 == 0, "nowhere").otherwise(c("split")).alias("split"), F.when(n % 23 == 0, c("target_text")).otherwise(c("source_text")).alias("source_text"),
+        F.when(~c("is_errorful") & (n % 7 == 0), F.concat("target_text", F.lit("!"))).otherwise(c("target_text")).alias("target_text"), "is_errorful",
+        F.when(n % 29 == 0, 2).otherwise(c("is_errorful").cast("int")).alias("num_errors"), F.when(c("is_errorful"), F.array("tag")).otherwise(F.array().cast("array<string>")).alias("correction_tags"),
+    )
+    return contracts.pair_faults(rows, [t for t, _ in ENGLISH.tags]).select("pair_id", F.concat_ws(",", "faults").alias("faults"))
+
+
 QUERIES = {
     "gen_swap": _kind("swap", family="swap"),
     "gen_pronoun": _kind("swap", family="pronoun"),
@@ -147,7 +174,7 @@ QUERIES = {
     "gen_add_punct": _kind("add_mark"),
     "gen_case_cap": _kind("case_capital"),
     "gen_case_lower": _kind("case_lower"),
-} | {f.__name__: f for f in (gen_change_punct, gen_construction, gen_morphology, replay_check, capacity_census, shard_capacity, topk_rank_per_group, review_sample, quota_selection, greedy_quota_selection, overflow_refill, identity_rows, final_dataset, stage_views, provenance_mismatch, diagnostics_tags, diagnostics_publishers, telemetry_rollup)}
+} | {f.__name__: f for f in (gen_change_punct, gen_construction, gen_morphology, replay_check, capacity_census, shard_capacity, topk_rank_per_group, review_sample, quota_selection, greedy_quota_selection, overflow_refill, identity_rows, final_dataset, stage_views, provenance_mismatch, diagnostics_tags, diagnostics_publishers, telemetry_rollup, candidate_gate, pair_contract)}
 
 _PLACED = f"""{RANKED_SQL},
 uniq AS (SELECT * FROM ranked QUALIFY row_number() OVER (PARTITION BY source_text, target_text ORDER BY split, tag, rank, pair_id) = 1),
@@ -165,7 +192,7 @@ ORACLES = {
         p AS (SELECT *, string_split(text, correct) AS pieces, unnest(range(1, len(string_split(text, correct)))) AS k FROM en JOIN r ON contains(text, correct)),
         q AS (SELECT *, left(text, (list_sum(list_transform(pieces[1:k], lambda x: length(x))) + (k - 1) * length(correct))::BIGINT) AS l FROM p), s AS (SELECT *, text[length(l) + length(correct) + 1:] AS rr FROM q)
         SELECT clean_id, tag, family, 'construction' AS kind, length(l) AS position, correct, wrong, l || wrong || rr AS source_text, text AS target_text, 'reviewed' AS confidence FROM s
-        WHERE NOT regexp_matches(l, '[\\p{{L}}\\p{{N}}]$') AND NOT regexp_matches(rr, '^[\\p{{L}}\\p{{N}}]')""",
+        WHERE NOT regexp_matches(l, '[\\p{{L}}\\p{{N}}_]$') AND NOT regexp_matches(rr, '^[\\p{{L}}\\p{{N}}_]')""",
     "gen_morphology": f"""WITH {TOKENS_SQL}, v(lemma, surface, state) AS (VALUES {_TUPLES(PARADIGM)})
         SELECT clean_id, '$TRANSFORM_VERB_' || a.state AS tag, 'morphology' AS family, 'morphology' AS kind, i AS position, a.surface AS correct, b.surface AS wrong,
         array_to_string(list_concat(list_concat(words[1:i], [prefix || b.surface || suffix]), words[i + 2:]), ' ') AS source_text, text AS target_text, 'reviewed' AS confidence
@@ -178,6 +205,14 @@ ORACLES = {
     "topk_rank_per_group": f"WITH {RANKED_SQL} SELECT split, tag, pair_id, rank, clean_id, position FROM ranked QUALIFY row_number() OVER (PARTITION BY split, tag ORDER BY rank, pair_id, clean_id, position) <= 25",
     "review_sample": f"WITH {RANKED_SQL} SELECT split, tag, clean_id, pair_id FROM ranked QUALIFY row_number() OVER (PARTITION BY split, tag ORDER BY clean_id, pair_id, position) <= {SAMPLE}",
     "quota_selection": f"WITH {_PLACED} SELECT split, tag, pair_id, rank FROM placed WHERE n <= {QUOTA}",
+    "greedy_quota_selection": f"""WITH RECURSIVE {RANKED_SQL.strip()},
+        keyed AS (SELECT split, tag, rank, pair_id, source_text || chr(1) || target_text AS pair FROM ranked QUALIFY row_number() OVER (PARTITION BY split, tag, source_text, target_text ORDER BY rank, pair_id) = 1),
+        numbered AS (SELECT split, tag, row_number() OVER (ORDER BY split, tag) AS g, list({{'rank': rank, 'pair_id': pair_id, 'pair': pair}} ORDER BY rank, pair_id) AS best FROM keyed
+            WHERE tag IN ({', '.join(f"'{t}'" for t, _ in dict.fromkeys(ENGLISH.tags))}) GROUP BY split, tag),
+        fold(g, taken, picked) AS (SELECT 0::BIGINT, []::VARCHAR[], []::STRUCT(rank VARCHAR, pair_id VARCHAR, pair VARCHAR)[]
+            UNION ALL SELECT n.g, list_concat(f.taken, list_transform(list_filter(n.best, lambda b: NOT list_contains(f.taken, b.pair))[1:{QUOTA}], lambda b: b.pair)), list_filter(n.best, lambda b: NOT list_contains(f.taken, b.pair))[1:{QUOTA}] FROM fold f JOIN numbered n ON n.g = f.g + 1),
+        chosen AS (SELECT g, unnest(picked) AS b FROM fold)
+        SELECT split, tag, b.pair_id AS pair_id, b.rank AS rank FROM chosen JOIN numbered USING (g)""",
     "overflow_refill": f"WITH {_PLACED} SELECT split, tag, pair_id, rank FROM placed WHERE n > {QUOTA} QUALIFY row_number() OVER (PARTITION BY split ORDER BY rank, pair_id) <= {GAP}",
     "identity_rows": f"WITH {EN_SQL} {_IDENTITY}",
     "final_dataset": f"WITH {_FINAL} SELECT * FROM final",
@@ -185,5 +220,13 @@ ORACLES = {
     "provenance_mismatch": f"WITH {CANDIDATES_SQL} SELECT count(*) AS n_candidates, count(*) FILTER (en.text IS NULL) AS n_missing, count(*) FILTER (c.target_text IS DISTINCT FROM en.text OR c.publisher IS DISTINCT FROM en.publisher OR c.source_doc_id IS DISTINCT FROM en.source_doc_id) AS n_mismatched FROM candidates c LEFT JOIN en USING (clean_id)",
     "diagnostics_tags": f"WITH {_FINAL} SELECT split, coalesce(tag, '<identity>') AS tag, {_LENGTH} AS bucket, count(*) AS n FROM final GROUP BY 1, 2, 3",
     "diagnostics_publishers": f"WITH {_FINAL} SELECT coalesce(publisher, '<unknown>') AS publisher, count(*) FILTER (is_errorful) AS n_errorful, count(*) FILTER (NOT is_errorful) AS n_identity FROM final JOIN en USING (clean_id) GROUP BY 1",
+    "candidate_gate": f"""WITH {CANDIDATES_SQL}, n AS (SELECT length(target_text) AS n FROM candidates),
+        f AS (SELECT CASE WHEN n % 31 = 0 THEN 'unregistered_tag' WHEN n % 37 = 0 AND n % 41 <> 0 THEN 'source_equals_target' WHEN n % 41 = 0 THEN 'target_not_normalized' WHEN n % 47 = 0 THEN 'unexpected_morphology_provenance'
+            WHEN n % 43 = 0 THEN 'unknown_operation' WHEN n % 53 = 0 THEN 'alignment_replay_failed' ELSE 'accepted' END AS code FROM n)
+        SELECT code, count(*) AS n FROM f GROUP BY code""",
+    "pair_contract": f"""WITH {_FINAL}, r AS (SELECT *, length(target_text) AS n, CASE WHEN NOT is_errorful AND length(target_text) % 7 = 0 THEN target_text || '!' ELSE target_text END AS t, CASE WHEN length(target_text) % 23 = 0 THEN target_text ELSE source_text END AS s FROM final),
+        f AS (SELECT pair_id, concat_ws(',', CASE WHEN n % 19 = 0 THEN 'unknown_split' END, CASE WHEN is_errorful AND s = t THEN 'errorful_texts' END, CASE WHEN is_errorful AND n % 29 = 0 THEN 'errorful_count' END,
+            CASE WHEN NOT is_errorful AND s <> t THEN 'identity_changed' END, CASE WHEN NOT is_errorful AND n % 29 = 0 THEN 'identity_count' END) AS faults FROM r)
+        SELECT * FROM f WHERE faults <> ''""",
     "telemetry_rollup": f"WITH {TOKENS_SQL} SELECT CASE WHEN prefix <> '' OR suffix <> '' THEN 'affixed' WHEN i = 0 OR i = n - 1 THEN 'unsafe_or_ambiguous_construction' ELSE 'accepted' END AS reason, count(*) AS n, min(clean_id) AS sample FROM toks WHERE lower(core) IN {_CONTEXTS} GROUP BY 1",
 }

@@ -64,12 +64,12 @@ def inventory(spark: SparkSession, document: dict) -> DataFrame:
 
 
 def seen_status(edits: DataFrame, held: DataFrame) -> DataFrame:
-    """edits(rule_id, pattern_id) with seen_status: a known rule is judged by its own patterns, an unknown one by all."""
+    """edits(rule_id, pattern_id) with seen_status: a known rule is judged by its own patterns, an unknown one by those of all rules."""
     own = held.select("rule_id", "pattern_id", F.lit(True).alias("own")).distinct()
     rules = held.select("rule_id", F.lit(True).alias("known")).distinct()
     anywhere = held.select("pattern_id", F.lit(True).alias("anywhere")).distinct()
     joined = edits.join(own, ["rule_id", "pattern_id"], "left").join(rules, "rule_id", "left").join(anywhere, "pattern_id", "left")
-    status = F.when(F.col("own"), "seen_rule").when(F.col("known").isNull() & F.col("anywhere"), "seen_pattern").otherwise("unseen_pattern")
+    status = F.when(F.col("own") | (F.col("known").isNull() & F.col("anywhere")), "seen_rule").otherwise("unseen_pattern")
     return joined.withColumn("seen_status", status).drop("own", "known", "anywhere")
 
 

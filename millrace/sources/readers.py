@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import shutil
 import sqlite3
 from collections.abc import Iterator
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -106,10 +109,18 @@ def sentence_scan(sentences: DataFrame, articles: DataFrame, sources: DataFrame)
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """JSON lines of a schema; the first malformed one fails the read."""
+    """JSON lines of a schema; the first malformed one fails the read, with its text."""
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
+def json_line_faults(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line, fault) of lines that are no JSON object, numbered from 1 in each file; blank lines are passed over."""
+    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.posexplode(F.split("value", "\n")).alias("line", "value"))
+    value = F.trim("value")
+    kind = F.when(value.startswith("{"), F.when(F.try_parse_json(value).isNull(), "invalid JSON")).otherwise("not an object")
+    return whole.where(value != "").select("file", (F.col("line") + 1).cast("long").alias("line"), kind.alias("fault")).where("fault is not null")
+
+
 def read_predictions(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """(predictions, metadata lines) of a JSON lines file that may begin with a ``_metadata`` object."""
     lines = spark.read.text(path).where("trim(value) <> ''")
@@ -123,13 +134,54 @@ def external_keys(df: DataFrame, id_columns: list[str], text_columns: list[str])
     return df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").where("value is not null").distinct()
 
 
-def export_gate(annotated: DataFrame, target: str) -> dict[str, int]:
-    """Writes base, validated and quarantined rows (from reason_codes) to new folders; the counts come from one pass."""
-    counts = annotated.agg(F.count("*").alias("base"), F.count_if(F.size("reason_codes") == 0).alias("validated"), F.count_if(F.size("reason_codes") > 0).alias("quarantined")).first().asDict()
-    parts = {"base": annotated.drop("reason_codes"), "validated": annotated.where(F.size("reason_codes") == 0).drop("reason_codes"), "quarantined": annotated.where(F.size("reason_codes") > 0)}
-    for name, df in parts.items():
-        df.write.mode("errorifexists").option("compression", "zstd").parquet(f"{target}/{name}")
-    return counts
+class Blocked(Exception):
+    """An export that may not happen; ``report`` says why, and was published beside the target."""
+
+    def __init__(self, report: dict):
+        super().__init__(report["reason"])
+        self.report = report
+
+
+def blocked(target: str, reason: str, **facts: object) -> Blocked:
+    """A failure with its report, published as a new file ``<target>.blocked.json`` (an earlier one is kept)."""
+    report = {"status": "blocked", "reason": reason, **facts}
+    path = Path(f"{target}.blocked.json")
+    if not path.exists():
+        publish(path, json.dumps(report, indent=2, sort_keys=True).encode())
+    return Blocked(report)
+
+
+def export_gate(annotated: DataFrame, target: str, *, text: str = "text", kind: str = "parquet") -> dict:
+    """Writes base, validated and quarantined rows of annotated (with reason_codes) as a new folder each, in Parquet (zstd) or JSON lines.
+
+    Uniqueness of texts comes first: repeated texts block the export, and nothing is written. Rows are computed once, into one
+    hidden folder partitioned by outcome that only gets its name when all of it is there; ``base`` is the two partitions read together.
+    Returns the quality report: rows, unique texts, outcomes and reasons.
+    """
+    out, hidden = Path(target), Path(f"{target}.part")
+    if out.exists():
+        raise FileExistsError(f"{target} exists")
+    codes = F.col("reason_codes")
+    outcome = F.when(F.size(codes) == 0, "validated").otherwise("quarantined")
+    flat = annotated.withColumns({"outcome": outcome, "reason_codes": F.concat_ws(",", codes)}) if kind == "json" else annotated.withColumn("outcome", outcome)
+    writer = flat.write.mode("overwrite").partitionBy("outcome")
+    (writer.option("compression", "zstd").parquet if kind == "parquet" else writer.json)(str(hidden))
+    spark = annotated.sparkSession
+    written = spark.read.schema(flat.schema).format(kind).load(str(hidden))
+    n = written.agg(F.count("*").alias("rows"), F.countDistinct(F.sha2(text, 256)).alias("unique_texts"), F.count_if(F.col("outcome") == "validated").alias("validated"), F.count_if(F.col("outcome") == "quarantined").alias("quarantined")).first().asDict()
+    if n["rows"] != n["unique_texts"]:
+        shutil.rmtree(hidden)
+        raise blocked(target, "texts are not unique", **n)
+    said = F.split("reason_codes", ",") if kind == "json" else F.col("reason_codes")
+    reasons = {r.reason: r.n for r in written.where("outcome = 'quarantined'").select(F.explode(said).alias("reason")).groupBy("reason").agg(F.count("*").alias("n")).collect()}
+    hidden.rename(out)
+    return n | {"status": "complete", "reasons": dict(sorted(reasons.items()))}
+
+
+def read_export(spark: SparkSession, target: str, part: str = "base", *, kind: str = "parquet") -> DataFrame:
+    """base, validated or quarantined rows of an export."""
+    rows = spark.read.format(kind).load(target)
+    return rows.drop("outcome", "reason_codes") if part == "base" else rows.where(F.col("outcome") == part).drop(*(["outcome", "reason_codes"] if part == "validated" else ["outcome"]))
 
 
 def write_views(final: DataFrame, target: str) -> None:
@@ -139,4 +191,4 @@ def write_views(final: DataFrame, target: str) -> None:
     final.write.mode("errorifexists").partitionBy("split", "stage").option("compression", "zstd").parquet(target)
 
 
-__all__ = ["SqliteSource", "catalogue", "export_gate", "external_keys", "publish", "read_json_lines", "read_predictions", "read_sqlite", "sentence_scan", "write_views"]
+__all__ = ["Blocked", "SqliteSource", "blocked", "catalogue", "export_gate", "external_keys", "json_line_faults", "publish", "read_export", "read_json_lines", "read_predictions", "read_sqlite", "sentence_scan", "write_views"]

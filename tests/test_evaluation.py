@@ -1,7 +1,10 @@
 import math
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
+from millrace.functions.text import osa
 from millrace.operators import evaluate
 from millrace.sources import readers, resources
 
@@ -33,10 +36,42 @@ def test_mcnemar_and_bootstrap(spark):
     df = spark.createDataFrame([(True, False)] * 3 + [(False, True)] * 9 + [(True, True)], "a boolean, b boolean")
     x, y, p = evaluate.mcnemar(df, "a", "b")
     assert (x, y) == (3, 9) and math.isclose(p, 2 * sum(math.comb(12, i) for i in range(4)) / 2**12)
-    counts = spark.createDataFrame([(i, 1, 0, i % 2, 1, 0, 0) for i in range(8)], "i long, tp_a long, fp_a long, fn_a long, tp_b long, fp_b long, fn_b long")
-    for hashed in (False, True):
-        r = evaluate.bootstrap(counts, 8, resamples=40, hashed=hashed).first()
-        assert 0 <= r.low <= r.mean_delta <= r.high
+    assert math.isclose(evaluate.mcnemar_p(400, 470), min(1, 2 * sum(math.comb(870, i) for i in range(401)) / 2**870), rel_tol=1e-9) and evaluate.mcnemar_p(0, 0) == 1.0
+    assert 0 < evaluate.mcnemar_p(499_000_000, 500_000_000) < 1e-200 or evaluate.mcnemar_p(499_000_000, 500_000_000) == 0
+    rng = random.Random(1)
+    rows = [(f"s{i}", *[rng.randint(0, 2) for _ in range(6)]) for i in range(200)]
+    counts = spark.createDataFrame(rows, "sample_id string, tp_a long, fp_a long, fn_a long, tp_b long, fp_b long, fn_b long")
+    found = {indexes: evaluate.bootstrap(counts, resamples=400, indexes=indexes).first() for indexes in ("vectors", "hashed", "mersenne")}
+    for r in found.values():  # the same distribution, drawn in three ways
+        assert r.low < r.mean_delta < r.high and abs(r.mean_delta - found["mersenne"].mean_delta) < 0.01 and abs(r.low - found["mersenne"].low) < 0.02
+
+    def f_half(tp, fp, fn):
+        p, r = (tp / (tp + fp) if tp + fp else float(fn == 0)), (tp / (tp + fn) if tp + fn else 1.0)
+        return 1.25 * p * r / (0.25 * p + r) if p + r else 0.0
+
+    ordered, draws, deltas = sorted(rows), random.Random(7), []
+    for _ in range(400):
+        sums = [sum(v) for v in zip(*[ordered[draws.randrange(200)][1:] for _ in range(200)], strict=True)]
+        deltas.append(f_half(*sums[3:]) - f_half(*sums[:3]))
+    deltas.sort()
+    r = found["mersenne"]
+    assert math.isclose(r.low, deltas[int(0.025 * 399)]) and math.isclose(r.high, deltas[int(0.975 * 399)]) and math.isclose(r.mean_delta, sum(deltas) / 400)
+
+
+def test_banded_distance_is_the_plain_one():
+    def plain(a, b):
+        d = [[max(i, j) if not min(i, j) else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+        for i in range(1, len(a) + 1):
+            for j in range(1, len(b) + 1):
+                d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+                if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                    d[i][j] = min(d[i][j], d[i - 2][j - 2] + 1)
+        return d[-1][-1]
+
+    rng = random.Random(5)
+    for _ in range(1500):
+        a, b = ("".join(rng.choice("abcé") for _ in range(rng.randint(0, 14))) for _ in range(2))
+        assert osa(a, b) == plain(a, b), (a, b)
 
 
 def test_noise(spark):
@@ -86,3 +121,32 @@ def test_sqlite(spark, tmp_path):
     got = {r.clean_id: r for r in readers.sentence_scan(*tables).collect()}
     assert len(got) == 10 and got["x1"].publisher == "test.example" and got["x0"].publisher is None and got["x1"].url_hash
     assert {t["name"]: t["rows"] for t in readers.catalogue(path)} == {"sentences": 10, "articles": 1, "sources": 1}
+
+
+def test_summary_and_breakdowns(spark):
+    rows = [("1", "controlled", "gud ng", "good ng", "good nang", ["slang", "noise"], "seen_rule"), ("2", "controlled", "a b c", "a x c", "a x d", ["slang"], None), ("3", "clean_control", "z", "z", "z", [], None)]
+    samples = spark.createDataFrame(rows, "sample_id string, source_type string, raw string, gold_normalised string, gold string, normalization_types array<string>, normalization_rule_seen_status string")
+    said = {"1": "good ng", "2": "a b c", "3": "z"}
+    predictions = spark.createDataFrame([(k, "B", v) for k, v in said.items()], "sample_id string, condition string, normalizer_output string")
+    got = {(r.breakdown, r.value): (r.n, r.tp, r.fn, r.exact_rate, r.error_reduction_rate, r.mean_distance) for r in evaluate.normalization_breakdowns(samples, predictions).collect()}
+    assert got == {("all", ""): (2, 1, 1, 0.5, 0.5, 0.5), ("type", "slang"): (2, 1, 1, 0.5, 0.5, 0.5), ("type", "noise"): (1, 1, 0, 1.0, 1.0, 0.0), ("seen_status", "seen_rule"): (1, 1, 0, 1.0, 1.0, 0.0), ("seen_status", "unknown"): (1, 0, 1, 0.0, 0.0, 1.0)}
+    routed = samples.select("*", F.lit("A").alias("condition"), F.col("raw").alias("gec_input"), F.when(F.col("sample_id") == "2", "a x cd").otherwise(F.col("gold")).alias("gec_output"))
+    ends = {r.value: (r.n, r.tp, r.fp, r.fn, r.n_exact, r.errors_before, r.errors_after, r.mean_osa_distance) for r in evaluate.breakdown(routed, "normalization_types").collect()}
+    assert ends == {"slang": (2, 1, 1, 1, 1, 2, 1, 0.5), "noise": (1, 1, 0, 0, 1, 1, 0, 0.0)}
+    assert {r.value for r in evaluate.breakdown(routed, "source_type", baseline="gec_input").collect()} == {"controlled"}
+
+
+def test_exports(spark, tmp_path):
+    rows = spark.createDataFrame([("1", "good one", []), ("2", "bad", ["no_letter", "too_long"]), ("3", "other", ["too_long"])], "clean_id string, text string, reason_codes array<string>")
+    for kind in ("parquet", "json"):
+        target = str(tmp_path / kind)
+        report = readers.export_gate(rows, target, kind=kind)
+        assert report["status"] == "complete" and report["reasons"] == {"no_letter": 1, "too_long": 2} and (report["validated"], report["quarantined"]) == (1, 2)
+        assert {r.clean_id for r in readers.read_export(spark, target, kind=kind).collect()} == {"1", "2", "3"} and [r.clean_id for r in readers.read_export(spark, target, "validated", kind=kind).collect()] == ["1"]
+        with pytest.raises(FileExistsError):
+            readers.export_gate(rows, target, kind=kind)
+    with pytest.raises(readers.Blocked) as why:
+        readers.export_gate(rows.unionByName(rows), str(tmp_path / "twice"))
+    assert why.value.report["unique_texts"] == 3 and (tmp_path / "twice.blocked.json").exists() and not (tmp_path / "twice").exists()
+    (tmp_path / "x.jsonl").write_text('{"a": 1}\n\n[1]\n{"a": \n')
+    assert sorted((r.line, r.fault) for r in readers.json_line_faults(spark, str(tmp_path / "x.jsonl")).collect()) == [(3, "not an object"), (4, "invalid JSON")]

@@ -57,9 +57,17 @@ def test_reviewed_generators(spark):
 
 def test_replay(spark):
     df = spark.createDataFrame([("1", "Sabi niya ang (bata) rin ay kumain ng isda at siya.")], "clean_id string, text string")
-    made = generate.generate(df, FILIPINO)
-    again = generate.replay(F.col("source_text"), F.col("kind"), F.col("position"), F.col("correct"), F.col("wrong"))
-    assert made.count() >= 5 and made.where(again != F.col("target_text")).isEmpty()
+    made = generate.with_replay(generate.generate(df, FILIPINO))
+    assert made.count() >= 5 and made.where(~F.col("again").eqNullSafe(F.col("target_text"))).isEmpty()
+
+
+def test_constructions_end_at_word_characters_and_long_words_stay_whole(spark):
+    df = spark.createDataFrame([("1", "ako pa rin_ito at pa rin.")], "clean_id string, text string")
+    built = spark.createDataFrame([("pa rin", "parin", "$MERGE_SPACE", "space")], "correct string, wrong string, tag string, family string")
+    assert [r.source_text for r in generate.constructions(df, built).collect()] == ["ako pa rin_ito at parin."]
+    word = "Ab" + "c" * 1_200_000
+    made = generate.generate(spark.createDataFrame([("1", word)], "clean_id string, text string"), FILIPINO).where("kind = 'case_capital'").first()
+    assert (made.wrong, made.correct, made.source_text) == ("a" + word[1:], word, "a" + word[1:])
 
 
 def test_allocation():
@@ -86,8 +94,16 @@ def test_selection_ignores_input_order(spark):
     for seed in (1, 2):
         random.Random(seed).shuffle(rows)
         df = select.ranked(spark.createDataFrame(rows, "clean_id string, split string, tag string, source_text string, target_text string"), 5)
-        taken, left = select.quota_select(df, quotas)
-        results.append((sorted(r.pair_id for r in taken.collect()), sorted(r.pair_id for r in select.refill(left, spark.createDataFrame([("train", 3)], "split string, gap int")).collect())))
-        greedy = select.greedy_quota_select(select.top_k(df, ["split", "tag"], 20, ["rank", "pair_id"]), {("train", f"t{k}"): 4 for k in range(3)})
+        taken, left = select.quota_select(df, quotas, 4)
+        results.append((sorted(r.pair_id for r in taken.collect()), sorted(r.pair_id for r in select.refill(left, spark.createDataFrame([("train", 3)], "split string, gap int"), 3).collect())))
+        greedy = select.greedy_quota_select(df, {("train", f"t{k}"): 4 for k in range(3)}, ["rank", "pair_id"])
         assert greedy.count() == 12
     assert results[0] == results[1] and len(results[0][0]) <= 12 and len(results[0][1]) == 3
+
+
+def test_greedy_quotas_are_filled_past_any_number_of_collisions(spark):
+    """Two groups of the same pairs: the second one's best rows are all taken, and it is filled from far down its order."""
+    rows = [("train", tag, f"{k:04d}", f"p{tag}{k}", f"s{k}", f"t{k}") for tag in ("a", "b") for k in range(120)] + [("train", "c", "0", "pc", "s0", "t0")]
+    df = spark.createDataFrame(rows, "split string, tag string, rank string, pair_id string, source_text string, target_text string")
+    got = select.greedy_quota_select(df, {("train", "a"): 50, ("train", "b"): 50, ("train", "c"): 5}, ["rank", "pair_id"], spare=2).collect()
+    assert sorted((r.tag, r["rank"]) for r in got) == [("a", f"{k:04d}") for k in range(50)] + [("b", f"{k:04d}") for k in range(50, 100)]

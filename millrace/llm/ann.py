@@ -148,7 +148,7 @@ def _usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame
     return vectors.select(vectors[id_column].alias("id"), vectors[vector_column].cast("array<double>").alias("v")).where(F.col("id").isNotNull() & v.isNotNull()).where(F.coalesce(finite, F.lit(False)))
 
 
-def search(vectors: DataFrame, is_query: Column, *, k: int = 20, id_column: str = "vec_id", vector_column: str = "embedding", recall: float = 0.97, copies: int = 3, closure: float = 1.1, sample_rows: int = 8000, per_list: int = 16, chunk: int = 8192) -> DataFrame:
+def search(vectors: DataFrame, is_query: Column, *, k: int = 20, id_column: str = "vec_id", vector_column: str = "embedding", recall: float = 0.97, copies: int = 3, closure: float = 1.1, sample_rows: int = 8000, per_list: int = 16, chunk: int = 2048) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best candidates found for each row of vectors that is_query holds for."""
     spark, ws = vectors.sparkSession, Workspace(vectors.sparkSession, "ann")
     usable = _usable(vectors, id_column, vector_column)

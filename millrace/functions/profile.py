@@ -11,7 +11,7 @@ BOILERPLATE = ["^(read more|advertisement)$"]
 MARKERS = "the and of to in for with on from is are was were this that it as at by be have has had will can you we they he she a an".split()
 CONTENT = "act announced change changes city climate country government hold local new people plan policy responsible team teams them".split()
 BOUNDARIES = "ang ng mga sa para kay ni si at na ay dahil kung nang upang ito iyon".split()
-INFORMAL = ["lol|lmao|omg|hahaha+|hehe+", "xd|wla|d2|aq"]
+INFORMAL = ["(?i)(?<!\\w)(lol|lmao|omg|hahaha+|hehe+)(?!\\w)", "(?i)(?<!\\w)(xd|wla|d2|aq)(?!\\w)"]
 FUNCTION_WORDS = "ang ng mga sa at na ay si ni kay para kung dahil nang upang ito iyon isang ako ikaw siya sila nila niya din rin daw raw".split()
 EDIT_CONTEXTS = "ang ng mga sa at na ay si ni kay para kung dahil nang upang".split()
 SWAPS = {"nang": "ng", "ng": "nang"}

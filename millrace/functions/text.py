@@ -86,6 +86,12 @@ def length_bucket(text: Column) -> Column:
     return F.when(n < 10, "<10").when(n < 20, "10-19").when(n < 30, "20-29").when(n < 50, "30-49").otherwise("50+")
 
 
+def edit_distance(a: Column, b: Column) -> Column:
+    """Edit distance in code points. Narrow bands are tried first, as most texts are close: work is the length times the distance."""
+    within = lambda k: F.nullif(F.levenshtein(a, b, k), F.lit(-1))
+    return F.when(a == b, F.lit(0)).otherwise(F.coalesce(within(16), within(128), within(1024), F.levenshtein(a, b)))
+
+
 def osa(a: str, b: str) -> int:
     """Edit distance with adjacent transpositions, none of which is edited again.
 

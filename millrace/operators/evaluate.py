@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
-from millrace.functions.text import osa_distance
+from millrace.functions.text import edit_distance, osa_distance
 
 EDIT = StructType([StructField("op", StringType()), StructField("start", LongType()), StructField("end", LongType()), StructField("words", StringType())])
 SPAN = StructType([StructField("start", LongType()), StructField("end", LongType()), StructField("target", StringType())])
@@ -89,7 +89,7 @@ def summary(df: DataFrame, source: str, gold: str, output: str, *by: str) -> Dat
             "__exact": (~changed).cast("long"),
             "__before": F.col("tp") + F.col("fn"),
             "__after": F.when(changed, F.size(F.array_distinct(left))).otherwise(0),
-            "__levenshtein": F.when(changed, F.levenshtein(output, gold)).otherwise(0),
+            "__levenshtein": edit_distance(F.col(output), F.col(gold)),
             "__osa": F.coalesce(osa_distance(F.when(changed, F.col(output)), F.col(gold)), F.lit(0)),
         }
     )

@@ -133,6 +133,11 @@ def _text(value: str) -> str:
     return " || ".join(f"chr({ord(c)})" for c in value)
 
 
+def _around(pattern: str) -> str:
+    """A pattern whose looks around it are written as what may stand there, for an engine without them."""
+    return pattern.replace("(?<!\\w)", "(?:^|[^\\p{L}\\p{N}_])").replace("(?!\\w)", "(?:$|[^\\p{L}\\p{N}_])")
+
+
 _CHECKS = [
     ("empty_text", "text = ''"),
     ("nul_character", "contains(text, chr(0))"),
@@ -154,7 +159,7 @@ _CHECKS = [
     ("sentence_integrity_leading_closer", "left(text, 1) IN ('.', ',', ';', ':', '!', '?', ')', ']', '}')"),
     ("sentence_integrity_trailing_opener", "right(text, 1) IN ('(', '[', '{')"),
     ("suspicious_encoding", " OR ".join(f"contains(text, {_text(m)})" for m in R.mojibake)),
-    ("informal_marker", " OR ".join(f"regexp_matches(text, '(?i)(?:^|[^\\p{{L}}\\p{{N}}_])(?:{p})(?:$|[^\\p{{L}}\\p{{N}}_])')" for p in R.informal)),
+    ("informal_marker", " OR ".join(f"regexp_matches(text, '{_around(p)}')" for p in R.informal)),
     ("url_or_email", "regexp_matches(text, '(?i)(?:https?://|www\\.|[A-Za-z0-9_.+-]+@[A-Za-z0-9_.-]+\\.[A-Za-z]{2,})')"),
 ]
 _REASONS = f"""{_SWITCH},

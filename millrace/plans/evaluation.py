@@ -7,7 +7,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.text import osa_distance, with_normalised
+from millrace.functions.text import edit_distance, osa_distance, with_normalised
 from millrace.operators import contracts, evaluate, select
 from millrace.plans.common import EN_SQL, norm_sql, split_sentences, table
 from millrace.sources import resources
@@ -79,7 +79,7 @@ def exact_rates(spark: SparkSession, d: str) -> DataFrame:
 
 def levenshtein_mean(spark: SparkSession, d: str) -> DataFrame:
     """Distance in code points of every routed output to its gold."""
-    return _routed(spark, d).groupBy("condition").agg(F.sum(F.levenshtein("gec_output", "gold")).alias("total"), F.count("*").alias("n"))
+    return _routed(spark, d).groupBy("condition").agg(F.sum(edit_distance(F.col("gec_output"), F.col("gold"))).alias("total"), F.count("*").alias("n"))
 
 
 def osa_total(spark: SparkSession, d: str) -> DataFrame:

@@ -15,15 +15,20 @@ def pair_id(seed: int, *parts: Column) -> Column:
     return F.left(rank_hash(seed, *parts), F.lit(32))
 
 
-def ranked(candidates: DataFrame, seed: int) -> DataFrame:
-    """candidates with pair_id and rank; the rank depends on nothing but seed and content."""
+def with_rank(candidates: DataFrame, seed: int) -> DataFrame:
+    """candidates with rank, which depends on nothing but seed and content. Equal ranks mean equal content, so it needs no other tie breaker than places."""
+    c = F.col
+    return candidates.withColumn("rank", rank_hash(seed, c("clean_id"), c("split"), c("tag"), c("source_text"), c("target_text")))
+
+
+def with_pair_id(candidates: DataFrame, seed: int) -> DataFrame:
+    """candidates with pair_id: best asked for after selection, as it is a hash of whole texts."""
     c = F.col
-    return candidates.withColumns(
-        {
-            "pair_id": pair_id(seed, c("clean_id"), c("tag"), c("source_text"), c("target_text")),
-            "rank": rank_hash(seed, c("clean_id"), c("split"), c("tag"), c("source_text"), c("target_text")),
-        }
-    )
+    return candidates.withColumn("pair_id", pair_id(seed, c("clean_id"), c("tag"), c("source_text"), c("target_text")))
+
+
+def ranked(candidates: DataFrame, seed: int) -> DataFrame:
+    return with_rank(with_pair_id(candidates, seed), seed)
 
 
 def top_k(df: DataFrame, by: list[str], k: int, order: list[str]) -> DataFrame:
@@ -42,15 +47,15 @@ def quota_select(df: DataFrame, quotas: DataFrame, most: int) -> tuple[DataFrame
 
     ``most`` is the greatest quota: as a literal, it limits groups before the shuffle, so that no group is sorted whole in one task.
     """
-    unique = first_pairs(df, ["split", "tag", "rank", "pair_id"])
-    best = unique.withColumn("n", F.row_number().over(Window.partitionBy("split", "tag").orderBy("rank", "pair_id"))).where(F.col("n") <= most)
+    unique = first_pairs(df, ["split", "tag", "rank"])
+    best = unique.withColumn("n", F.row_number().over(Window.partitionBy("split", "tag").orderBy("rank"))).where(F.col("n") <= most)
     selected = best.join(quotas, ["split", "tag"]).where("n <= quota").drop("n", "quota")
-    return selected, unique.join(selected.select("split", "tag", "pair_id"), ["split", "tag", "pair_id"], "left_anti")
+    return selected, unique.join(selected.select("split", "tag", "rank"), ["split", "tag", "rank"], "left_anti")
 
 
 def refill(left: DataFrame, gaps: DataFrame, most: int) -> DataFrame:
     """The best left-over rows of each split, as many as its gap(split, gap), none of which is over ``most``."""
-    best = left.withColumn("n", F.row_number().over(Window.partitionBy("split").orderBy("rank", "pair_id"))).where(F.col("n") <= most)
+    best = left.withColumn("n", F.row_number().over(Window.partitionBy("split").orderBy("rank"))).where(F.col("n") <= most)
     return best.join(gaps, "split").where("n <= gap").drop("n", "gap")
 
 

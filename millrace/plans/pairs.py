@@ -69,16 +69,18 @@ def shard_capacity(spark: SparkSession, d: str) -> DataFrame:
 
 
 def topk_rank_per_group(spark: SparkSession, d: str) -> DataFrame:
-    return select.top_k(_ranked(spark, d), ["split", "tag"], 25, ["rank", "pair_id", "clean_id", "position"]).select("split", "tag", "pair_id", "rank", "clean_id", "position")
+    best = select.top_k(select.with_rank(_candidates(spark, d), SEED), ["split", "tag"], 25, ["rank", "clean_id", "position"])
+    return select.with_pair_id(best, SEED).select("split", "tag", "pair_id", "rank", "clean_id", "position")
 
 
 def review_sample(spark: SparkSession, d: str) -> DataFrame:
-    return select.top_k(_ranked(spark, d), ["split", "tag"], SAMPLE, ["clean_id", "pair_id", "position"]).select("split", "tag", "clean_id", "pair_id")
+    return select.top_k(select.with_pair_id(_candidates(spark, d), SEED), ["split", "tag"], SAMPLE, ["clean_id", "pair_id", "position"]).select("split", "tag", "clean_id", "pair_id")
 
 
 def _selected(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     quotas = spark.createDataFrame([(s, t, QUOTA) for t, _ in dict.fromkeys(ENGLISH.tags) for s in ("train", "dev", "synthetic_test")], "split string, tag string, quota int").distinct()
-    return select.quota_select(_ranked(spark, d), quotas, QUOTA)
+    taken, left = select.quota_select(select.with_rank(_candidates(spark, d), SEED), quotas, QUOTA)
+    return select.with_pair_id(taken, SEED), left
 
 
 def quota_selection(spark: SparkSession, d: str) -> DataFrame:
@@ -92,7 +94,7 @@ def greedy_quota_selection(spark: SparkSession, d: str) -> DataFrame:
 
 def overflow_refill(spark: SparkSession, d: str) -> DataFrame:
     gaps = spark.createDataFrame([(s, GAP) for s in ("train", "dev", "synthetic_test")], "split string, gap int")
-    return select.refill(_selected(spark, d)[1], gaps, GAP).select("split", "tag", "pair_id", "rank")
+    return select.with_pair_id(select.refill(_selected(spark, d)[1], gaps, GAP), SEED).select("split", "tag", "pair_id", "rank")
 
 
 def identity_rows(spark: SparkSession, d: str) -> DataFrame:

@@ -36,18 +36,27 @@ def top_k(df: DataFrame, by: list[str], k: int, order: list[str]) -> DataFrame:
     return df.withColumn("n", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("n") <= k).drop("n")
 
 
-def first_pairs(df: DataFrame, order: list[str]) -> DataFrame:
-    """One row per (source, target) pair: the first in order. Pairs are told apart by 128 bits of hash, so that keys are short."""
-    keyed = df.withColumns({"__p": F.xxhash64("source_text", "target_text"), "__q": F.xxhash64("target_text", "source_text")})
-    return top_k(keyed, ["__p", "__q"], 1, order).drop("__p", "__q")
+def first_pairs(df: DataFrame) -> DataFrame:
+    """(split, tag, rank, clean_id) of one row per (source, target) pair: its first in that order.
+
+    Texts are never sorted or shuffled: pairs are told apart by 128 bits of hash, and rows are told by their rank.
+    """
+    keyed = df.select("split", "tag", "rank", "clean_id", F.xxhash64("source_text", "target_text").alias("p"), F.xxhash64("target_text", "source_text").alias("q"))
+    return keyed.groupBy("p", "q").agg(F.min(F.struct("split", "tag", "rank", "clean_id")).alias("first")).select("first.*")
+
+
+def fetch(df: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The rows of df that chosen(split, tag, rank) names, one of each. df may be made anew, from the sentences of chosen's clean_id alone."""
+    held = df.join(chosen.select("split", "tag", "rank").distinct(), ["split", "tag", "rank"], "left_semi")
+    return held.dropDuplicates(["split", "tag", "rank"])  # rows of one rank are equal in content
 
 
 def quota_select(df: DataFrame, quotas: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
-    """(selected, left over): the first quota rows by rank of each (split, tag), among pairs kept once, in their first group.
+    """(selected, left over) as (split, tag, rank, clean_id): the first quota rows by rank of each (split, tag), among pairs kept once, in their first group.
 
     ``most`` is the greatest quota: as a literal, it limits groups before the shuffle, so that no group is sorted whole in one task.
     """
-    unique = first_pairs(df, ["split", "tag", "rank"])
+    unique = first_pairs(df)
     best = unique.withColumn("n", F.row_number().over(Window.partitionBy("split", "tag").orderBy("rank"))).where(F.col("n") <= most)
     selected = best.join(quotas, ["split", "tag"]).where("n <= quota").drop("n", "quota")
     return selected, unique.join(selected.select("split", "tag", "rank"), ["split", "tag", "rank"], "left_anti")

@@ -69,18 +69,26 @@ def shard_capacity(spark: SparkSession, d: str) -> DataFrame:
 
 
 def topk_rank_per_group(spark: SparkSession, d: str) -> DataFrame:
-    best = select.top_k(select.with_rank(_candidates(spark, d), SEED), ["split", "tag"], 25, ["rank", "clean_id", "position"])
-    return select.with_pair_id(best, SEED).select("split", "tag", "pair_id", "rank", "clean_id", "position")
+    narrow = _ranked(spark, d).select("split", "tag", "pair_id", "rank", "clean_id", "position")
+    return select.top_k(narrow, ["split", "tag"], 25, ["rank", "clean_id", "position"]).select("split", "tag", "pair_id", "rank", "clean_id", "position")
 
 
 def review_sample(spark: SparkSession, d: str) -> DataFrame:
-    return select.top_k(select.with_pair_id(_candidates(spark, d), SEED), ["split", "tag"], SAMPLE, ["clean_id", "pair_id", "position"]).select("split", "tag", "clean_id", "pair_id")
+    narrow = select.with_pair_id(_candidates(spark, d), SEED).select("split", "tag", "clean_id", "pair_id", "position")
+    return select.top_k(narrow, ["split", "tag"], SAMPLE, ["clean_id", "pair_id", "position"]).select("split", "tag", "clean_id", "pair_id")
 
 
 def _selected(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     quotas = spark.createDataFrame([(s, t, QUOTA) for t, _ in dict.fromkeys(ENGLISH.tags) for s in ("train", "dev", "synthetic_test")], "split string, tag string, quota int").distinct()
     taken, left = select.quota_select(select.with_rank(_candidates(spark, d), SEED), quotas, QUOTA)
-    return select.with_pair_id(taken, SEED), left
+    return _fetched(spark, d, taken), left
+
+
+def _fetched(spark: SparkSession, d: str, chosen: DataFrame) -> DataFrame:
+    """The candidates that chosen names, with texts: made again from their sentences, so that no other texts are ever shuffled."""
+    sentences = split_sentences(spark, d).join(chosen.select("clean_id").distinct(), "clean_id", "left_semi")
+    made = select.with_rank(generate.generate(sentences, ENGLISH), SEED)
+    return select.with_pair_id(select.fetch(made, chosen), SEED)
 
 
 def quota_selection(spark: SparkSession, d: str) -> DataFrame:
@@ -94,7 +102,7 @@ def greedy_quota_selection(spark: SparkSession, d: str) -> DataFrame:
 
 def overflow_refill(spark: SparkSession, d: str) -> DataFrame:
     gaps = spark.createDataFrame([(s, GAP) for s in ("train", "dev", "synthetic_test")], "split string, gap int")
-    return select.with_pair_id(select.refill(_selected(spark, d)[1], gaps, GAP), SEED).select("split", "tag", "pair_id", "rank")
+    return _fetched(spark, d, select.refill(_selected(spark, d)[1], gaps, GAP)).select("split", "tag", "pair_id", "rank")
 
 
 def identity_rows(spark: SparkSession, d: str) -> DataFrame:

@@ -95,7 +95,7 @@ def test_selection_ignores_input_order(spark):
         random.Random(seed).shuffle(rows)
         df = select.ranked(spark.createDataFrame(rows, "clean_id string, split string, tag string, source_text string, target_text string"), 5)
         taken, left = select.quota_select(df, quotas, 4)
-        results.append((sorted(r.pair_id for r in taken.collect()), sorted(r.pair_id for r in select.refill(left, spark.createDataFrame([("train", 3)], "split string, gap int"), 3).collect())))
+        results.append((sorted(r.pair_id for r in select.fetch(df, taken).collect()), sorted(r.pair_id for r in select.fetch(df, select.refill(left, spark.createDataFrame([("train", 3)], "split string, gap int"), 3)).collect())))
         greedy = select.greedy_quota_select(df, {("train", f"t{k}"): 4 for k in range(3)}, ["rank", "pair_id"])
         assert greedy.count() == 12
     assert results[0] == results[1] and len(results[0][0]) <= 12 and len(results[0][1]) == 3

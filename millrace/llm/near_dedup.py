@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.bytewords import LOWER_BYTES, Words, mix, shingles, sub_batches
+from millrace.llm.bytewords import LOWER_BYTES, Words, mix, release, shingles, sub_batches
 from millrace.llm.components import components
 from millrace.llm.workspace import Workspace
 
@@ -80,6 +80,7 @@ def _signatures(docs: DataFrame, id_column: str, text_column: str, k: int, n: in
                         signs[i] = row.astype(np.uint16).tobytes()  # the low half
                         digests[i] = hashlib.blake2b(b" ".join(texts[i].translate(LOWER_BYTES).split()), digest_size=16).digest()
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(distinct), pa.array(digests, pa.binary()), pa.array(signs, pa.binary())], ["doc_id", "n_shingles", "digest", "signature"])
+        release()
 
     return source.mapInArrow(run, schema)
 

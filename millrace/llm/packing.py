@@ -33,6 +33,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from millrace.llm.bytewords import release
+
 PIECES = "doc_id {id}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, sequence_tokens long"
 
 
@@ -246,5 +248,6 @@ def pack(docs: DataFrame, tokenizer: str, *, id_column: str = "doc_id", text_col
         packer.close()
         if packer.rows:
             yield emit()
+        release()
 
     return source.mapInArrow(run, schema)

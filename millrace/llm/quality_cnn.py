@@ -32,7 +32,7 @@ from pyspark.sql.pandas.functions import ArrowUDFType
 from pyspark.sql.types import DoubleType
 from pyspark.sql.window import Window
 
-from millrace.llm.bytewords import Words, sub_batches
+from millrace.llm.bytewords import Words, release, sub_batches
 
 WIDTH, STRIDE, DIM = 12, 4, 6
 CHUNK, OVERLAP = 4096, WIDTH - STRIDE
@@ -183,6 +183,7 @@ def score(docs: DataFrame, net: ByteConvolution | float, *, keep: list[str] | No
             batch = pa.RecordBatch.from_arrays([array], ["text"])
             scores = [score_texts(net, part) for _, part in sub_batches(batch, "text", 1 << 18)]
             yield pa.array(np.concatenate(scores) if scores else [], pa.float64())
+        release()
 
     scored = F.arrow_udf(run, DoubleType(), ArrowUDFType.SCALAR_ITER)
     return docs.select(*[docs[c] for c in keep or ["doc_id"]], scored(docs["text"]).alias("score"))

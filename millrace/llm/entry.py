@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import ann, html_extract, line_dedup, mixing, near_dedup, packing, quality_cnn, quality_rules, secret_scan, toxicity
+from millrace.llm import ann, conversation_repair, html_extract, line_dedup, mixing, near_dedup, packing, quality_cnn, quality_rules, secret_scan, simhash, toxicity, whitening
 from millrace.llm.oracles import ORACLES
 from millrace.llm.workspace import Workspace
 
@@ -67,6 +67,19 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_novel")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings")).withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _table(spark, sf_dir, "conversations")
+    return conversation_repair.repair(conversation_repair.damage(conversations), conversations.select("conv_id"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_line_dedup": op2_line_dedup,
@@ -78,4 +91,7 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_quality_rules": op9_quality_rules,
     "op10_secret_scan": op10_secret_scan,
+    "op11_whitening": op11_whitening,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_simhash": op13_simhash,
 }

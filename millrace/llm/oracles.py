@@ -5,6 +5,7 @@ Networks, trees, hashes of this library, approximate indexes and compressors hav
 
 from __future__ import annotations
 
+from millrace.llm import conversation_repair
 from millrace.llm.quality_rules import RATES, SKETCH_BITS, SYMBOLS, WINDOW
 
 _BLANKS = "[\\x20\\x09-\\x0D]+"
@@ -93,4 +94,55 @@ MIXING = f"""
     SELECT doc_id, source, n AS n_tokens, round(weight, 9) AS weight, unnest(range(copies))::INTEGER AS epoch, block, position::INTEGER AS position FROM counted
 """
 
-ORACLES: dict[str, str] = {"op2_line_dedup": LINE_DEDUP, "op3_near_dedup": NEAR_DEDUP, "op7_mixing": MIXING, "op9_quality_rules": QUALITY_RULES}
+
+def _repair_values() -> str:
+    """(state, initial, next, cost, code, inserted lines, new role) of every macro edit, from the operator's own grammar."""
+    out = []
+    for state in range(4):
+        for initial in ("s", "u", "a", ""):
+            for following, cost, code in conversation_repair.macros(state, initial):
+                at, lines, role = state, [], None
+                for c in code:
+                    before, at = at, conversation_repair.made(at)
+                    if c == "I":
+                        lines.append("user:" if at == 2 else "assistant:")
+                    elif c == "R":
+                        role = "user" if at == 2 else "assistant"
+                    else:
+                        at = before
+                out.append(f"({state}, '{initial}', {following}, {cost}, '{code}', {lines}::VARCHAR[], {f"'{role}'" if role else 'NULL'})")
+    return ", ".join(out)
+
+
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(k, ''), lambda c: ord(c)::BIGINT)), lambda c, b:
+    list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
+
+#: The same grammar, with whole audits and texts carried along instead of ranks and pointers.
+CONVERSATION_REPAIR = f"""
+    WITH RECURSIVE keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+    kinds AS (SELECT *, {_CRC32} % 20 AS kind FROM keyed),
+    damaged AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(CASE kind WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM kinds WHERE kind <> 0),
+    numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+        CASE WHEN substr(role, 1, 1) IN ('s', 'u', 'a') THEN substr(role, 1, 1) ELSE '' END AS initial FROM damaged),
+    marked AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+        WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+        lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair FROM numbered),
+    told AS (SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+        count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (i > 1 AND pair NOT IN ('su', 'ua', 'au')) AS illegal FROM marked GROUP BY conv_id),
+    macros(state, initial, following, price, code, inserted, new_role) AS (VALUES {_repair_values()}),
+    walk(conv_id, i, state, best) AS (
+        SELECT conv_id, 0::BIGINT, 0, {{'cost': 0::BIGINT, 'audit': '', 'body': []::VARCHAR[]}} FROM told
+        UNION ALL
+        SELECT w.conv_id, w.i + 1, m.following, min({{'cost': best.cost + price + CASE WHEN fault = 'truncated' AND code <> 'D' THEN 3 ELSE 0 END, 'audit': best.audit || code,
+            'body': list_concat(best.body, inserted, CASE WHEN code = 'D' THEN []::VARCHAR[] ELSE [coalesce(new_role, role) || ':' || text] END)}})
+        FROM walk w JOIN marked r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i + 1 JOIN macros m ON m.state = w.state AND m.initial = r.initial AND (fault IN ('', 'truncated') OR code = 'D')
+        GROUP BY w.conv_id, w.i + 1, m.following),
+    ends AS (SELECT w.conv_id, min({{'cost': best.cost + len(tail) * 3, 'audit': best.audit || tail, 'body': list_concat(best.body, lines)}}) AS best
+        FROM walk w JOIN told t ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND t.n = w.i JOIN (VALUES (0, '', []::VARCHAR[]), (1, 'II', ['user:', 'assistant:']), (2, 'I', ['assistant:']), (3, '', [])) x(state, tail, lines) ON x.state = w.state GROUP BY w.conv_id)
+    SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+        coalesce(best.cost, 0)::BIGINT AS cost, coalesce(best.audit, '') AS audit, sha256(coalesce(array_to_string(best.body, chr(10)), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN told t ON t.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+ORACLES: dict[str, str] = {"op2_line_dedup": LINE_DEDUP, "op3_near_dedup": NEAR_DEDUP, "op7_mixing": MIXING, "op9_quality_rules": QUALITY_RULES, "op12_conversation_repair": CONVERSATION_REPAIR}

@@ -15,6 +15,7 @@ from pyspark.sql.types import ArrayType, LongType, StringType, StructField, Stru
 from pyspark.sql.window import Window
 
 from millrace.functions.text import edit_distance, osa_distance
+from millrace.operators.generate import bounded, keys_of
 
 EDIT = StructType([StructField("op", StringType()), StructField("start", LongType()), StructField("end", LongType()), StructField("words", StringType())])
 SPAN = StructType([StructField("start", LongType()), StructField("end", LongType()), StructField("target", StringType())])
@@ -237,16 +238,81 @@ def _numbered(df: DataFrame) -> DataFrame:
     return ordered.join(df.sparkSession.createDataFrame(offsets, "__part int, __before long"), "__part").withColumn("i", F.col("i") + F.col("__before")).drop("__part", "__before", "sample_id")
 
 
+def noise_places(samples: DataFrame, rules: DataFrame, seed: int, category: str | None = None) -> DataFrame:
+    """(sample_id, text, category, id, source, target, start, rank, ...) of every whole word of samples(sample_id, text) that a rule(id, category, source, target, ...) fits.
+
+    Further columns of the rules come along. ``category`` stands in the rank instead of the rule's own, if given. If samples have ``protected``, an array of spans
+    (start, end), places that overlap one are left out. Only words that are some rule's target are exploded, and the rules, which are counted first, are broadcast.
+    """
+    forms, pairs = keys_of(rules, "target"), F.transform("w", lambda w, i: F.struct(i.alias("at"), w.alias("word")))
+    hits = pairs if forms is None else F.filter(pairs, lambda x: x["word"].isin(*forms))
+    spans = [c for c in ("protected",) if c in samples.columns]
+    words = samples.withColumn("w", F.split("text", " ")).select("sample_id", "text", *spans, "w", F.explode(hits).alias("hit")).select("sample_id", "text", *spans, "w", "hit.*")
+    start = F.when(F.col("at") == 0, 0).otherwise(F.length(F.array_join(F.slice("w", F.lit(1), F.col("at")), " ")) + 1)
+    hit = words.join(bounded(rules), words["word"] == rules["target"]).withColumn("start", start.cast("long"))
+    if spans:
+        free = ~F.exists("protected", lambda p: (p["start"] < F.col("start") + F.length("target")) & (p["end"] > F.col("start")))
+        hit = hit.where(F.coalesce(free, F.lit(True))).drop("protected")
+    named = F.col("category") if category is None else F.lit(category)
+    return hit.withColumn("rank", F.sha2(F.concat_ws("|", F.lit(str(seed)), "sample_id", named, "id", F.col("start").cast("string")), 256)).drop("w", "word", "at")
+
+
+def _noisy(text: Column, start: Column, source: Column, target: Column) -> Column:
+    return F.concat(F.left(text, start.cast("int")), source, F.substring(text, (start + F.length(target) + 1).cast("int"), F.length(text)))
+
+
 def inject_noise(samples: DataFrame, rules: DataFrame, seed: int) -> DataFrame:
     """One edit per sample and category: of all places where a rule(id, category, source, target) fits a whole word, the least by hash.
 
-    samples(sample_id, text): text holds targets; the edit puts the informal source there. Rules join on the word.
+    samples(sample_id, text): text holds targets; the edit puts the informal source there.
     """
-    words = samples.withColumn("w", F.split("text", " ")).select("sample_id", "text", "w", F.posexplode("w").alias("at", "word"))
-    start = F.when(F.col("at") == 0, 0).otherwise(F.length(F.array_join(F.slice("w", F.lit(1), F.col("at")), " ")) + 1)
-    hit = words.join(rules, words["word"] == rules["target"]).withColumn("start", start)
-    rank = F.sha2(F.concat_ws("|", F.lit(str(seed)), "sample_id", "category", "id", F.col("start").cast("string")), 256)
-    best = hit.withColumn("n", F.row_number().over(Window.partitionBy("sample_id", "category").orderBy(rank, "id", "start"))).where("n = 1")
-    end = F.col("start") + F.length("target")
-    noisy = F.concat(F.left("text", F.col("start")), F.col("source"), F.substring(F.col("text"), end + 1, F.length("text")))
-    return best.select("sample_id", "category", F.col("id").alias("rule_id"), F.col("start").cast("long").alias("start"), F.length("source").cast("long").alias("n_chars"), noisy.alias("noisy_text"), "text", "source", "target")
+    least = F.min(F.struct("rank", "id", "start", "source", "target")).alias("best")
+    best = noise_places(samples, rules, seed).groupBy("sample_id", "text", "category").agg(least).select("sample_id", "text", "category", "best.*")
+    noisy = _noisy(F.col("text"), F.col("start"), F.col("source"), F.col("target"))
+    return best.select("sample_id", "category", F.col("id").alias("rule_id"), "start", F.length("source").cast("long").alias("n_chars"), noisy.alias("noisy_text"), "text", "source", "target")
+
+
+def inject_mixed_noise(samples: DataFrame, rules: DataFrame, seed: int) -> DataFrame:
+    """Two edits per sample, of rules of distinct categories and one status, that don't overlap; samples without such two give no row.
+
+    rules have ``seen`` besides the columns of ``inject_noise``: whether the normaliser knows the rule. Of the seen places, then of the unseen ones, the
+    least by hash is taken, and with it the least that goes with it; the first status that has both decides. A sample's places are no more than its
+    words times the rules of a word, so the choice is one expression in its row.
+
+    Returns sample_id, text, noisy_text, seen_status and edits, which replay noisy_text to text.
+    """
+    item = F.struct("rank", "id", "start", "category", "source", "target")
+    places = noise_places(samples, rules, seed, "mixed_noise")
+    held = places.groupBy("sample_id", "text").agg(*[F.array_sort(F.collect_list(F.when(F.col("seen") == known, item))).alias(name) for name, known in (("seen_rule", True), ("unseen_pattern", False))])
+
+    def goes_with(x: Column, y: Column) -> Column:
+        apart = (y["start"] >= x["start"] + F.length(x["target"])) | (y["start"] + F.length(y["target"]) <= x["start"])
+        return apart & (y["category"] != x["category"])
+
+    def pair(name: str) -> Column:
+        first = F.get(name, F.lit(0))
+        return F.struct(F.lit(name).alias("status"), first.alias("a"), F.get(F.filter(name, lambda y: goes_with(first, y)), F.lit(0)).alias("b")).alias(name)
+
+    held = held.select("sample_id", "text", pair("seen_rule"), pair("unseen_pattern"))
+    two = F.when(F.col("seen_rule.b").isNotNull(), F.col("seen_rule")).when(F.col("unseen_pattern.b").isNotNull(), F.col("unseen_pattern"))
+    chosen = held.withColumn("two", two).where("two is not null").select("sample_id", "text", F.col("two.status").alias("seen_status"), *[F.struct(*[F.col(f"two.{e}.{f}").alias(f) for f in ("start", "id", "category", "source", "target")]).alias(e) for e in "ab"])
+    chosen = chosen.withColumns({"l": F.least("a", "b"), "r": F.greatest("a", "b")})
+    once = _noisy(F.col("text"), F.col("r.start"), F.col("r.source"), F.col("r.target"))  # the later one first, so that the earlier one's place holds
+    noisy = _noisy(once, F.col("l.start"), F.col("l.source"), F.col("l.target"))
+    moved = F.col("r.start") + F.length("l.source") - F.length("l.target")
+    edit = lambda e, start: F.struct(start.alias("start"), (start + F.length(f"{e}.source")).alias("end"), *[F.col(f"{e}.{f}").alias(f) for f in ("source", "target", "id", "category")])
+    return chosen.select("sample_id", "text", noisy.alias("noisy_text"), "seen_status", F.array(edit("l", F.col("l.start")), edit("r", moved)).alias("edits"))
+
+
+def controlled_rows(samples: DataFrame, rules: DataFrame, seed: int) -> DataFrame:
+    """Evaluation rows with planted noise, awaiting annotation, from samples(sample_id, base_clean_id, errorful, correct, grammar_edits) and reviewed rules.
+
+    grammar_edits(start, end, source, target) turn errorful into correct, and their spans take no noise. Rows are returned only if the noise replays to errorful and the
+    grammar edits replay to correct. Samples without two places for noise give no row.
+    """
+    spans = F.transform("grammar_edits", lambda e: F.struct(e["start"].alias("start"), e["end"].alias("end")))
+    made = inject_mixed_noise(samples.select("sample_id", F.col("errorful").alias("text"), spans.alias("protected")), rules, seed)
+    rows = samples.join(made.drop("text"), "sample_id").withColumnRenamed("edits", "normalization_edits")
+    same = (apply_edits(F.col("noisy_text"), F.col("normalization_edits")) == F.col("errorful")) & (apply_edits(F.col("errorful"), F.col("grammar_edits")) == F.col("correct"))
+    fixed = {"normalization_types": F.array(F.lit("mixed_noise")), "source_type": F.lit("controlled"), "annotator_1": F.lit(""), "annotator_2": F.lit(""), "adjudication_status": F.lit("pending"), "split": F.lit("test_only"), "generation_status": F.lit("pending_annotation")}
+    return rows.where(same).withColumnRenamed("noisy_text", "raw_informal").withColumns(fixed)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.profile import MARKS, UNTARGETED_STATES, Profile
 from millrace.functions.text import bare, core, prefix, suffix, tokens
+from millrace.operators.replay import replayed, with_operation
 
 CANDIDATE = ["clean_id", "tag", "family", "kind", "position", "correct", "wrong", "source_text", "target_text", "confidence"]
 #: What stands for the whole sentence among its tokens.
@@ -31,13 +32,13 @@ def rule_table(spark: SparkSession, profile: Profile) -> DataFrame:
     return spark.createDataFrame(rows, RULES)
 
 
-def touched_tokens(sentences: DataFrame, words: list[str], whole: bool = False) -> DataFrame:
-    """sentences with one row per token whose core, in lower case, is among words: index, token, core, prefix, suffix, prev and n.
+def touched_tokens(sentences: DataFrame, words: list[str] | None, whole: bool = False) -> DataFrame:
+    """sentences with one row per token whose core, in lower case, is among words (None: any): index, token, core, prefix, suffix, prev and n.
 
     With ``whole``, one more row per sentence, with index -1 and core WHOLE.
     """
     pairs = F.transform(F.col("tokens"), lambda t, i: F.struct(i.alias("index"), t.alias("token")))
-    hits = F.filter(pairs, lambda x: F.lower(core(x["token"])).isin(*sorted(set(words))))
+    hits = pairs if words is None else F.filter(pairs, lambda x: F.lower(core(x["token"])).isin(*sorted(set(words))))
     if whole:
         hits = F.concat(hits, F.array(F.struct(F.lit(-1).alias("index"), F.lit("").alias("token"))))
     df = sentences.withColumn("tokens", tokens(F.col("text"))).withColumn("hit", F.explode(hits)).withColumns({"index": F.col("hit.index"), "token": F.col("hit.token")})
@@ -86,12 +87,27 @@ def generated(sentences: DataFrame, profile: Profile) -> DataFrame:
         .when(c("kind") == "case_capital", F.concat(lead, F.lower(F.left(body, F.lit(1))), F.substring(text, F.length(lead) + 2, F.length(text))))
         .otherwise(_with_token(made))
     )
-    capital = c("kind") == "case_capital"
+    capital, own = c("kind") == "case_capital", c("kind").isin("duplicate", "missing")
     out = joined.where(keep).withColumns({"source_text": source, "target_text": text, "position": F.when(c("index") >= 0, c("index").cast("long"))})
-    out = out.withColumns({"correct": F.when(capital, body).otherwise(c("correct")), "wrong": F.when(capital, small).otherwise(F.coalesce("wrong", F.lit("")))})
+    out = out.withColumns({"correct": F.when(capital, body).when(own, c("token")).otherwise(c("correct")), "wrong": F.when(capital, small).otherwise(F.coalesce("wrong", F.lit("")))})
     return out.where("source_text <> target_text")
 
 
+#: Rules over this number are joined like any other table; up to it they are counted first and broadcast.
+MOST_RULES = 100_000
+
+
+def bounded(rules: DataFrame, most: int = MOST_RULES) -> DataFrame:
+    """rules, to be broadcast if there are no more than ``most`` of them; no more than that are ever counted."""
+    return F.broadcast(rules) if rules.limit(most + 1).count() <= most else rules
+
+
+def keys_of(rules: DataFrame, column: str, most: int = 2_000) -> list[str] | None:
+    """The distinct values of a column of rules, or nothing if there are more than ``most``: too many for a test of each word."""
+    held = [r[0] for r in rules.select(column).distinct().limit(most + 1).collect() if r[0] is not None]
+    return sorted(held) if len(held) <= most else None
+
+
 def changed_marks(sentences: DataFrame, contexts: DataFrame) -> DataFrame:
     """Terminal marks changed where the whole sentence is a reviewed context(context, correct, wrong, tag)."""
     joined = sentences.join(contexts, F.col("text") == F.concat("context", "correct"))
@@ -105,8 +121,9 @@ def constructions(sentences: DataFrame, resource: DataFrame) -> DataFrame:
     """
     first = lambda c: F.regexp_extract(F.lower(c), "^([\\p{L}\\p{N}]*)", 1)
     keyed = resource.withColumn("key", first(F.col("correct")))
-    words = sentences.withColumn("key", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("([\\p{L}\\p{N}]+)"), 1))))
-    joined = words.join(keyed, "key").where(F.contains("text", "correct"))
+    held, keys = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("([\\p{L}\\p{N}]+)"), 1)), keys_of(keyed, "key")
+    words = sentences.withColumn("key", F.explode(held if keys is None else F.filter(held, lambda w: w.isin(*keys))))
+    joined = words.join(bounded(keyed), "key").where(F.contains("text", "correct"))
     pieces = F.split(F.col("text"), F.concat(F.lit("\\Q"), F.col("correct"), F.lit("\\E")), -1)
     joined = joined.withColumn("pieces", pieces).withColumn("position", F.explode(F.sequence(F.lit(1), F.size("pieces") - 1)))
     left = F.array_join(F.slice("pieces", F.lit(1), F.col("position")), "\x00")
@@ -119,18 +136,19 @@ def constructions(sentences: DataFrame, resource: DataFrame) -> DataFrame:
 
 def verb_states(sentences: DataFrame, paradigm: DataFrame) -> DataFrame:
     """Verb forms swapped within their paradigm(lemma, surface, state): another state of the same lemma with another surface."""
-    touched = sentences.withColumn("tokens", tokens(F.col("text"))).select("*", F.posexplode("tokens").alias("index", "token"))
-    touched = touched.withColumns({"core": core(F.col("token")), "prefix": prefix(F.col("token")), "suffix": suffix(F.col("token")), "n": F.size("tokens")})
     target = paradigm.where(~F.col("state").isin(*UNTARGETED_STATES)).toDF("lemma", "correct", "state")
     other = paradigm.toDF("lemma", "wrong", "source_state")
-    joined = touched.join(target, touched["core"] == target["correct"]).join(other, "lemma").where("state <> source_state and correct <> wrong")
+    swaps = target.join(other, "lemma").where("state <> source_state and correct <> wrong")  # within the resource, before any sentence is read
+    forms = keys_of(paradigm.select(F.lower("surface").alias("surface")), "surface")
+    touched = touched_tokens(sentences, forms)
+    joined = touched.join(bounded(swaps), touched["core"] == swaps["correct"])
     made = F.array(F.concat("prefix", "wrong", "suffix"))
-    return joined.withColumns({"tag": F.concat(F.lit("$TRANSFORM_VERB_"), F.col("state")), "family": F.lit("morphology"), "kind": F.lit("morphology"), "position": F.col("index").cast("long"), "source_text": _with_token(made), "target_text": F.col("text"), "confidence": F.lit("reviewed")})
+    return joined.withColumns({"tag": F.concat(F.lit("$TRANSFORM_VERB_"), F.col("state")), "family": F.lit("morphology"), "kind": F.lit("morphology"), "position": F.col("index").cast("long"), "source_text": _with_token(made), "target_text": F.col("text"), "confidence": F.lit("reviewed"), "target_state": F.col("state")})
 
 
 def generate(sentences: DataFrame, profile: Profile) -> DataFrame:
     """All candidates that need no reviewed resource, with the sentences' split and publisher if they have them."""
-    extra = [c for c in ("split", "publisher", "source_doc_id") if c in sentences.columns]
+    extra = [c for c in ("split", "publisher", "source_doc_id", "file", "row", "line") if c in sentences.columns]
     return generated(sentences, profile).select(*CANDIDATE, *extra)
 
 
@@ -147,23 +165,6 @@ def census(spark: SparkSession, candidates: DataFrame, profile: Profile) -> Data
 
 
 def with_replay(df: DataFrame, to: str = "again") -> DataFrame:
-    """df(source_text, kind, position, correct, wrong) with the correct sentence again, from the wrong one and what was done to it.
-
-    Steps are columns of their own, so that words are split once and the plan stays small.
-    """
-    c, i = F.col, F.greatest(F.coalesce(F.col("position"), F.lit(0)).cast("int"), F.lit(0))
-    df = df.withColumns({"__words": tokens(c("source_text")), "__i": i})
-    df = df.withColumns({"__token": F.get("__words", c("__i")), "__n": F.size("__words"), "__first": F.get("__words", F.lit(0))})
-    df = df.withColumns({"__swapped": F.concat(prefix(c("__token")), c("correct"), suffix(c("__token"))), "__lead": prefix(c("__first"))})
-    skip = F.when(c("kind") == "missing", 0).when(c("kind") == "duplicate", 2).otherwise(1)
-    new = F.when(c("kind") == "missing", c("correct")).when(c("kind") == "duplicate", c("__token")).otherwise(c("__swapped"))
-    put = F.concat_ws(" ", F.slice("__words", F.lit(1), c("__i")), new, F.slice("__words", c("__i") + 1 + skip, F.greatest(c("__n") - c("__i") - skip, F.lit(0))))
-    source, tail = c("source_text"), F.length("source_text")
-    again = (
-        F.when(c("kind").isin("swap", "contextual", "case_lower", "morphology", "duplicate", "missing"), put)
-        .when(c("kind") == "add_mark", F.concat(source, c("correct")))
-        .when(c("kind") == "change_mark", F.concat(F.left(source, tail - F.length("wrong")), c("correct")))
-        .when(c("kind") == "case_capital", F.concat(c("__lead"), c("correct"), F.substring(source, F.length("__lead") + F.length("correct") + 1, tail)))
-        .when(c("kind") == "construction", F.concat(F.left(source, c("__i")), c("correct"), F.substring(source, c("__i") + F.length("wrong") + 1, tail)))
-    )
-    return df.withColumn(to, again).drop("__words", "__i", "__token", "__n", "__first", "__swapped", "__lead")
+    """df(source_text, kind, position, correct, wrong) with the correct sentence again, from the wrong one and what was done to it."""
+    made = with_operation(df, "__operation")
+    return made.withColumn(to, replayed(F.col("source_text"), F.col("__operation"))).drop("__operation")

@@ -10,7 +10,7 @@ from millrace.functions.text import tokens
 
 # Patterns of the gate.
 CONTROL = "[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\x7F]"
-URL_OR_EMAIL = "(?i)(?:https?://|www\\.|[\\w.+-]+@[\\w.-]+\\.[A-Za-z]{2,})"
+URL_OR_EMAIL = "(?i)(?:https?://|www\\.|[\\p{L}\\p{N}_.+-]+@[\\p{L}\\p{N}_.-]+\\.[A-Za-z]{2,})"
 # End of fixed values.
 
 #: Every reason, in the order in which a row lists them.

@@ -18,23 +18,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def dealt(df: DataFrame, key: str) -> DataFrame:
     """df, dealt out by key where it has fewer files than there are cores, so that a small table uses them; a large one is never shuffled for it."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(2 * cores, key) if len(df.inputFiles()) < cores else df
+    return df.repartition(2 * cores, key) if df.rdd.getNumPartitions() < cores else df  # asks the plan, not for the files
 
 
-def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per line of a document that has text after normalisation."""
-    docs = dealt(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
+def sentences(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per line of a document (of docs, if given) that has text after normalisation; ``carry`` names further columns of docs, or ``line``."""
+    docs = dealt(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), "doc_id") if docs is None else docs
     lines = docs.select(
         F.col("doc_id").cast("string").alias("source_doc_id"),
         F.col("source").alias("publisher"),
         F.upper("lang").alias("language"),
         ((F.col("doc_id") % 100) / 100.0).alias("language_confidence"),
         (F.col("doc_id") % 97 == 0).alias("is_duplicate"),
-        F.posexplode(F.split("text", "\n")).alias("pos", "line"),
+        *[c for c in carry if c != "line"],
+        F.posexplode(F.split("text", "\n")).alias("line", "said"),
     )
-    lines = lines.withColumn("clean_id", F.concat_ws(":", "source_doc_id", F.col("pos").cast("string"))).drop("pos")
-    written = lines.where(F.col("line").rlike("[^\\s\\x1c-\\x1f\\x85\\p{Z}]"))  # the same as text <> '', said before Python is involved
-    return with_normalised(written, "line", "text").drop("line")
+    lines = lines.withColumn("clean_id", F.concat_ws(":", "source_doc_id", F.col("line").cast("string")))
+    written = lines.where(F.col("said").rlike("[^\\s\\x1c-\\x1f\\x85\\p{Z}]"))  # the same as text <> '', said before Python is involved
+    made = with_normalised(written, "said", "text").drop("said")
+    return made if "line" in carry else made.drop("line")
 
 
 def split_column() -> object:
@@ -43,9 +45,9 @@ def split_column() -> object:
     return F.when(spot < 70, "train").when(spot < 85, "dev").otherwise("synthetic_test")
 
 
-def split_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+def split_sentences(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """The English sentences, as the registered queries run the English profile, with the split of their documents."""
-    return sentences(spark, sf_dir).where("language = 'EN'").select("clean_id", "source_doc_id", "publisher", "text").withColumn("split", split_column())
+    return sentences(spark, sf_dir, docs, carry).where("language = 'EN'").select("clean_id", "source_doc_id", "publisher", "text", *carry).withColumn("split", split_column())
 
 
 SPACE_SQL = r"[\s\x0B\x1c-\x1f\x{85}\p{Z}]+"
@@ -105,8 +107,8 @@ BRANCHES = {
     "swap": _branch("swap", "'$REPLACE_' || core", P.swap_family, f"core IN {words_sql(P.swaps)} AND {_WHOLE}", f"[{cases_sql('core', P.swaps)}]", "core", cases_sql("core", P.swaps), "high"),
     "pronoun": _branch("swap", "'$REPLACE_' || core", "pronoun", f"core IN {words_sql(P.pronouns)} AND {_WHOLE}", f"[{cases_sql('core', P.pronouns)}]", "core", cases_sql("core", P.pronouns), "medium"),
     "contextual": _branch("contextual", "'$REPLACE_' || core", "enclitic", f"core IN {words_sql(P.contextual)} AND i > 0 AND prefix = '' AND regexp_matches(prev, '\\p{{L}}$') AND ({_OPEN} AND NOT {_EXCEPTED}) = {_CTX_AFTER}", f"[{_CTX_WRONG} || suffix]", "core", _CTX_WRONG, "high"),
-    "duplicate": _branch("duplicate", "'$DELETE'", "duplicate_word", f"lower(core) IN {words_sql(P.edit_contexts)} AND {_WHOLE} AND i > 0 AND i < n - 1", "[tok, tok]", "lower(core)", "''", "provisional"),
-    "missing": _branch("missing", "'$APPEND_t1'", "missing_word", f"lower(core) IN {words_sql(P.edit_contexts)} AND {_WHOLE} AND n > 1 AND NOT (i = n - 1 AND i > 0)", "[]::VARCHAR[]", "lower(core)", "''", "provisional"),
+    "duplicate": _branch("duplicate", "'$DELETE'", "duplicate_word", f"lower(core) IN {words_sql(P.edit_contexts)} AND {_WHOLE} AND i > 0 AND i < n - 1", "[tok, tok]", "core", "''", "provisional"),
+    "missing": _branch("missing", "'$APPEND_t1'", "missing_word", f"lower(core) IN {words_sql(P.edit_contexts)} AND {_WHOLE} AND n > 1 AND NOT (i = n - 1 AND i > 0)", "[]::VARCHAR[]", "core", "''", "provisional"),
     "case_lower": _branch("case_lower", "'$TRANSFORM_CASE_LOWER'", "casing", f"core IN {words_sql(P.case_words)} AND {_WHOLE} AND i > 0", "[upper(left(core, 1)) || core[2:]]", "core", "upper(left(core, 1)) || core[2:]", "high"),
     "add_mark": "SELECT clean_id, '$ADD_PUNC_' || CASE right(text, 1) WHEN '!' THEN 'EMARK' WHEN '.' THEN 'PERIOD' ELSE 'QMARK' END AS tag, 'punctuation' AS family, 'add_mark' AS kind, NULL::BIGINT AS position, right(text, 1) AS correct, '' AS wrong, left(text, length(text) - 1) AS source_text, text AS target_text, 'high' AS confidence, split, publisher, source_doc_id FROM en WHERE right(text, 1) IN ('!', '.', '?')",
     "case_capital": f"SELECT clean_id, '$TRANSFORM_CASE_CAPITAL' AS tag, 'casing' AS family, 'case_capital' AS kind, NULL::BIGINT AS position, core AS correct, lower(left(core, 1)) || core[2:] AS wrong, prefix || lower(left(core, 1)) || text[length(prefix) + 2:] AS source_text, text AS target_text, 'high' AS confidence, split, publisher, source_doc_id FROM toks WHERE i = 0 AND regexp_matches(core, '^\\p{{Lu}}') AND core <> upper(core)",

@@ -160,7 +160,7 @@ _CHECKS = [
     ("sentence_integrity_trailing_opener", "right(text, 1) IN ('(', '[', '{')"),
     ("suspicious_encoding", " OR ".join(f"contains(text, {_text(m)})" for m in R.mojibake)),
     ("informal_marker", " OR ".join(f"regexp_matches(text, '{_around(p)}')" for p in R.informal)),
-    ("url_or_email", "regexp_matches(text, '(?i)(?:https?://|www\\.|[A-Za-z0-9_.+-]+@[A-Za-z0-9_.-]+\\.[A-Za-z]{2,})')"),
+    ("url_or_email", "regexp_matches(text, '(?i)(?:https?://|www\\.|[\\p{L}\\p{N}_.+-]+@[\\p{L}\\p{N}_.-]+\\.[A-Za-z]{2,})')"),
 ]
 _REASONS = f"""{_SWITCH},
 reasoned AS (SELECT *, list_filter([{', '.join(f"CASE WHEN {test} THEN '{code}' END" for code, test in _CHECKS)}], lambda c: c IS NOT NULL) AS codes FROM switched)"""

@@ -57,7 +57,7 @@ def gen_morphology(spark: SparkSession, d: str) -> DataFrame:
 
 def replay_check(spark: SparkSession, d: str) -> DataFrame:
     made = generate.with_replay(_candidates(spark, d))
-    return made.groupBy("kind").agg(F.count("*").alias("n"), F.count_if(F.lower("again") == F.lower("target_text")).alias("n_replayed"))
+    return made.groupBy("kind").agg(F.count("*").alias("n"), F.count_if(F.col("again") == F.col("target_text")).alias("n_replayed"))
 
 
 def capacity_census(spark: SparkSession, d: str) -> DataFrame:
@@ -158,7 +158,7 @@ def candidate_gate(spark: SparkSession, d: str) -> DataFrame:
         F.when(n % 41 == 0, F.concat("target_text", F.lit("  x"))).otherwise(c("target_text")).alias("target_text"),
         F.when(n % 43 == 0, "unheard_of").otherwise("replace").alias("operation"),
         F.when(n % 47 == 0, "lemma").alias("morphology_lemma"),
-        F.when(n % 53 == 0, F.lit("lost")).otherwise(F.when(F.lower("again") == F.lower("target_text"), c("target_text"))).alias("again"),
+        F.when(n % 53 == 0, F.lit("lost")).otherwise(c("again")).alias("again"),
     )
     found = contracts.candidate_codes(planted, [t for t, _ in ENGLISH.tags], c("again"))
     return found.groupBy(F.coalesce("reject_code", F.lit("accepted")).alias("code")).agg(F.count("*").alias("n"))

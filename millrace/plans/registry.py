@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.plans import corpus, evaluation, pairs
+from millrace.plans import corpus, evaluation, pairs, records
 
-QUERIES = {**corpus.QUERIES, **pairs.QUERIES, **evaluation.QUERIES}
-ORACLES = {**corpus.ORACLES, **pairs.ORACLES, **evaluation.ORACLES}
+QUERIES = {**corpus.QUERIES, **pairs.QUERIES, **evaluation.QUERIES, **records.QUERIES}
+ORACLES = {**corpus.ORACLES, **pairs.ORACLES, **evaluation.ORACLES, **records.ORACLES}

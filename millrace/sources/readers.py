@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-import json
-import shutil
 import sqlite3
 from collections.abc import Iterator
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
+from millrace.sources.positions import json_line_faults
+from millrace.sources.publish import POINTER, Place, create_json, manifest_of, publish_folder, published_path
 from millrace.sources.resources import publish
 
 _TYPES = {"INT": "long", "REAL": "double", "FLOA": "double", "DOUB": "double", "BOOL": "boolean"}
@@ -113,14 +112,6 @@ def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
-def json_line_faults(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line, fault) of lines that are no JSON object, numbered from 1 in each file; blank lines are passed over."""
-    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.posexplode(F.split("value", "\n")).alias("line", "value"))
-    value = F.trim("value")
-    kind = F.when(value.startswith("{"), F.when(F.try_parse_json(value).isNull(), "invalid JSON")).otherwise("not an object")
-    return whole.where(value != "").select("file", (F.col("line") + 1).cast("long").alias("line"), kind.alias("fault")).where("fault is not null")
-
-
 def read_predictions(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """(predictions, metadata lines) of a JSON lines file that may begin with a ``_metadata`` object."""
     lines = spark.read.text(path).where("trim(value) <> ''")
@@ -128,10 +119,53 @@ def read_predictions(spark: SparkSession, path: str, schema: str) -> tuple[DataF
     return lines.where(~is_meta).select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*"), lines.where(is_meta).select(F.get_json_object("value", "$._metadata").alias("metadata"))
 
 
+# The columns of external sets that hold ids and texts.
+ID_COLUMNS = ["clean_id", "source_clean_id", "base_clean_id"]
+TEXT_COLUMNS = ["source_text", "target_text", "text", "raw", "normalized", "source", "target", "nonstandard", "standardized", "raw_informal", "gold_normalized_errorful"]
+# End of fixed values.
+EXTERNAL_KINDS = ("json", "jsonl", "parquet")
+
+
 def external_keys(df: DataFrame, id_columns: list[str], text_columns: list[str]) -> DataFrame:
-    """(kind, value) of every id and text of an external set, whichever of its possible columns it has."""
+    """(kind, value) of every id and text of an external set, whichever of its possible columns it has; empty and null ones aside."""
     pairs = [F.struct(F.lit(k).alias("kind"), F.col(c).cast("string").alias("value")) for k, cs in (("id", id_columns), ("text", text_columns)) for c in cs if c in df.columns]
-    return df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").where("value is not null").distinct()
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "kind string, value string")
+    return df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").where("value <> ''").distinct()
+
+
+def external_scan(spark: SparkSession, path: str, id_columns: list[str] | None = None, text_columns: list[str] | None = None) -> DataFrame:
+    """(kind, value) of the ids and texts of all JSON, JSON lines and Parquet files below path, each with whichever of the columns it holds.
+
+    Each format is read once, by Spark, through all folders below. JSON files may hold an array of records, one record, or an object whose ``rows`` are
+    the records; JSON lines hold one record a line, and lines that are no object are passed over. The columns of Parquet files are united by name; those that none has are
+    passed over. A path without any such file raises, as a scan of nothing proves nothing.
+    """
+    ids, texts = id_columns or ID_COLUMNS, text_columns or TEXT_COLUMNS
+    record = ", ".join(f"`{c}` string" for c in [*ids, *texts])
+    deep = {"recursiveFileLookup": "true"}
+    found = []
+
+    def present(kind: str) -> bool:
+        return not spark.read.format("binaryFile").options(pathGlobFilter=f"*.{kind}", **deep).load(path).select("path").limit(1).isEmpty()
+
+    kinds = [k for k in EXTERNAL_KINDS if present(k)]
+    if not kinds:
+        raise FileNotFoundError(f"{path} has no JSON, JSON lines or Parquet files")
+    if "jsonl" in kinds:
+        lines = spark.read.options(pathGlobFilter="*.jsonl", **deep).text(path).where("trim(value) like '{%'")
+        found.append(lines.select(F.from_json("value", record).alias("r")).select("r.*"))
+    if "json" in kinds:
+        held = spark.read.options(pathGlobFilter="*.json", multiLine="true", **deep).schema(f"{record}, rows array<struct<{record.replace(' string', ':string')}>>").json(path)
+        one = F.array(F.struct(*[c for c in [*ids, *texts]]))
+        found.append(held.select(F.explode(F.when(F.col("rows").isNotNull(), F.col("rows")).otherwise(one)).alias("r")).select("r.*"))
+    if "parquet" in kinds:
+        found.append(spark.read.options(pathGlobFilter="*.parquet", mergeSchema="true", **deep).parquet(path))
+    keys = [external_keys(df, ids, texts) for df in found]
+    out = keys[0]
+    for more in keys[1:]:
+        out = out.unionByName(more)
+    return out.distinct()
 
 
 class Blocked(Exception):
@@ -142,53 +176,75 @@ class Blocked(Exception):
         self.report = report
 
 
-def blocked(target: str, reason: str, **facts: object) -> Blocked:
+def blocked(spark: SparkSession, target: str, reason: str, **facts: object) -> Blocked:
     """A failure with its report, published as a new file ``<target>.blocked.json`` (an earlier one is kept)."""
     report = {"status": "blocked", "reason": reason, **facts}
-    path = Path(f"{target}.blocked.json")
-    if not path.exists():
-        publish(path, json.dumps(report, indent=2, sort_keys=True).encode())
+    if not Place(spark, f"{target}.blocked.json").exists():
+        create_json(spark, f"{target}.blocked.json", report)
     return Blocked(report)
 
 
-def export_gate(annotated: DataFrame, target: str, *, text: str = "text", kind: str = "parquet") -> dict:
-    """Writes base, validated and quarantined rows of annotated (with reason_codes) as a new folder each, in Parquet (zstd) or JSON lines.
+def integrity(rows: DataFrame, text: str = "text") -> dict:
+    """Rows, distinct texts, repeated ones and missing ones, by the texts' hashes alone."""
+    held = rows.select(F.sha2(text, 256).alias("h")).groupBy("h").agg(F.count("*").alias("n"))
+    many = F.col("h").isNotNull() & (F.col("n") > 1)
+    told = held.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count("h").alias("unique_texts"), F.count_if(many).alias("repeated_texts"), F.coalesce(F.sum(F.when(F.col("h").isNull(), F.col("n"))), F.lit(0)).alias("missing_texts"))
+    return told.first().asDict()
+
+
+def export_gate(annotated: DataFrame, target: str, *, text: str = "text", kind: str = "parquet", run: dict | None = None) -> dict:
+    """Publishes base, validated and quarantined rows of annotated (with reason_codes), in Parquet (zstd) or JSON lines, on any file system.
 
-    Uniqueness of texts comes first: repeated texts block the export, and nothing is written. Rows are computed once, into one
-    hidden folder partitioned by outcome that only gets its name when all of it is there; ``base`` is the two partitions read together.
-    Returns the quality report: rows, unique texts, outcomes and reasons.
+    Uniqueness of texts is checked first, over their hashes: repeated or missing texts block the export before a row is written. Rows are then computed once, into one
+    folder partitioned by outcome that is published when all of it is there; ``base`` is the two partitions read together. If what was
+    written is not as many rows as were checked, nothing is published. Returns the manifest: integrity, outcomes, reasons and what ``run`` says (configuration, versions).
     """
-    out, hidden = Path(target), Path(f"{target}.part")
-    if out.exists():
-        raise FileExistsError(f"{target} exists")
+    spark = annotated.sparkSession
+    if Place(spark, target).below(POINTER).exists():
+        raise FileExistsError(f"{target} is published")
+    facts = integrity(annotated, text)
+    if facts["rows"] != facts["unique_texts"]:
+        raise blocked(spark, target, "texts are missing" if facts["missing_texts"] else "texts are not unique", **facts)
     codes = F.col("reason_codes")
     outcome = F.when(F.size(codes) == 0, "validated").otherwise("quarantined")
     flat = annotated.withColumns({"outcome": outcome, "reason_codes": F.concat_ws(",", codes)}) if kind == "json" else annotated.withColumn("outcome", outcome)
-    writer = flat.write.mode("overwrite").partitionBy("outcome")
-    (writer.option("compression", "zstd").parquet if kind == "parquet" else writer.json)(str(hidden))
-    spark = annotated.sparkSession
-    written = spark.read.schema(flat.schema).format(kind).load(str(hidden))
-    n = written.agg(F.count("*").alias("rows"), F.countDistinct(F.sha2(text, 256)).alias("unique_texts"), F.count_if(F.col("outcome") == "validated").alias("validated"), F.count_if(F.col("outcome") == "quarantined").alias("quarantined")).first().asDict()
-    if n["rows"] != n["unique_texts"]:
-        shutil.rmtree(hidden)
-        raise blocked(target, "texts are not unique", **n)
-    said = F.split("reason_codes", ",") if kind == "json" else F.col("reason_codes")
-    reasons = {r.reason: r.n for r in written.where("outcome = 'quarantined'").select(F.explode(said).alias("reason")).groupBy("reason").agg(F.count("*").alias("n")).collect()}
-    hidden.rename(out)
-    return n | {"status": "complete", "reasons": dict(sorted(reasons.items()))}
-
-
-def read_export(spark: SparkSession, target: str, part: str = "base", *, kind: str = "parquet") -> DataFrame:
+
+    def write(path: str) -> dict:
+        writer = flat.write.mode("errorifexists").partitionBy("outcome")
+        (writer.option("compression", "zstd").parquet if kind == "parquet" else writer.json)(path)
+        written = spark.read.schema(flat.schema).format(kind).load(path)
+        counts = {r.outcome: r.n for r in written.groupBy("outcome").agg(F.count("*").alias("n")).collect()}
+        if sum(counts.values()) != facts["rows"]:
+            raise RuntimeError(f"{sum(counts.values())} rows were written of {facts['rows']} that were checked")
+        said = F.split("reason_codes", ",") if kind == "json" else F.col("reason_codes")
+        reasons = {r.reason: r.n for r in written.where("outcome = 'quarantined'").select(F.explode(said).alias("reason")).groupBy("reason").agg(F.count("*").alias("n")).collect()}
+        return facts | {"validated": counts.get("validated", 0), "quarantined": counts.get("quarantined", 0), "reasons": dict(sorted(reasons.items())), "format": kind, "schema": annotated.schema.simpleString(), "run": run or {}}
+
+    return publish_folder(spark, target, write)
+
+
+def read_export(spark: SparkSession, target: str, part: str = "base", *, kind: str | None = None) -> DataFrame:
     """base, validated or quarantined rows of an export."""
-    rows = spark.read.format(kind).load(target)
+    manifest = manifest_of(spark, target)
+    rows = spark.read.format(kind or manifest["format"]).load(published_path(spark, target))
     return rows.drop("outcome", "reason_codes") if part == "base" else rows.where(F.col("outcome") == part).drop(*(["outcome", "reason_codes"] if part == "validated" else ["outcome"]))
 
 
-def write_views(final: DataFrame, target: str) -> None:
-    """final partitioned by split and stage, in new folders; empty input is refused."""
+def write_views(final: DataFrame, target: str) -> dict:
+    """Publishes final partitioned by split and stage, with its rows by both; empty input is refused."""
     if final.isEmpty():
         raise ValueError("an empty dataset is not written")
-    final.write.mode("errorifexists").partitionBy("split", "stage").option("compression", "zstd").parquet(target)
+
+    def write(path: str) -> dict:
+        final.write.mode("errorifexists").partitionBy("split", "stage").option("compression", "zstd").parquet(path)
+        counts = final.sparkSession.read.parquet(path).groupBy("split", "stage").agg(F.count("*").alias("n")).orderBy("split", "stage").collect()
+        return {"rows": [r.asDict() for r in counts]}
+
+    return publish_folder(final.sparkSession, target, write)
+
+
+def read_views(spark: SparkSession, target: str) -> DataFrame:
+    return spark.read.parquet(published_path(spark, target))
 
 
-__all__ = ["Blocked", "SqliteSource", "blocked", "catalogue", "export_gate", "external_keys", "json_line_faults", "publish", "read_export", "read_json_lines", "read_predictions", "read_sqlite", "sentence_scan", "write_views"]
+__all__ = ["Blocked", "SqliteSource", "blocked", "catalogue", "export_gate", "external_keys", "external_scan", "integrity", "json_line_faults", "publish", "read_export", "read_json_lines", "read_predictions", "read_sqlite", "read_views", "sentence_scan", "write_views"]

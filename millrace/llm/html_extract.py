@@ -1,9 +1,14 @@
 """Main text of web pages from flat text blocks and a decision tree.
 
 A page is read once into flat blocks: runs of text between block-level tags, each with its word count and
-link density. A block is described by its own figures, those of its neighbours (the block before and the one after), and what
-encloses it (an article, or something whose tag, class, id or role names page furniture). A decision tree, grown in
-numpy on the small labelled table below, tells main text from the rest; blocks it accepts are joined in page order.
+link density. A block is described by these two figures, by those of its neighbours (the block before and the one after; none at
+the ends of the page), and by whether it is a heading. A decision tree, grown in numpy on the small labelled
+table below, tells main text from the rest; blocks it accepts are joined in page order.
+
+Menus, link lists, teasers, adverts, notices and footers of few words are told by these figures alone, whatever their tags and names. What
+figures can't tell is a long unlinked text that is no part of the article (a sidebar, a comment, a consent text), or a short one among unlinked neighbours. The tree may
+therefore also ask for marks: whether a block lies in an article, in furniture, or beside the article that the page has. Short blocks outside of an article have marks only
+where both of their neighbours are there and have no links, so that figures say nothing. The table holds every page with and without its marks.
 
 Names of furniture are whole class tokens, or the first or last part of one (``ad-slot``, ``site-footer``), not any part
 (``has-sidebar``, ``tag-economy``); they don't count on html, body, main and article, nor, like ``form``, on a wrapper that holds
@@ -11,7 +16,7 @@ the main heading or article and most words of the page.
 
 One Arrow map: no shuffle, memory bounded by a batch. Reading is linear in the page: every pattern is possessive.
 
-Defined cases: null html is empty and gives an empty text; very long pages are read whole; a page without main text gives an
+Defined cases: null html is empty and gives an empty text; bytes that are not UTF-8 are read as the replacement character; very long pages are read whole; a page without main text gives an
 empty text; a leaf of the tree that holds as many blocks of either kind accepts; null ids and urls pass through; repeated rows
 are extracted each; empty tables give empty results; other columns are ignored.
 """
@@ -26,6 +31,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([A-Za-z][^\s/>]*+)([^>\"']*+(?:(?:\"[^\"]*+\"|'[^']*+')[^>\"']*+)*+|[^>]*+)(?:>|\Z)|<", re.DOTALL)
 _NAMED = re.compile(r"(?:^|[\s\"'/])(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>\"']++))", re.IGNORECASE)
@@ -47,56 +53,85 @@ FURNITURE_NAMES = frozenset(
 STATE_PARTS = frozenset("has have no not with without is js tag tags category".split())
 WRAPPERS = frozenset("html body main article".split())
 
-#: What describes a block, in this order.
-FEATURES = ("words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after", "in_main", "furniture", "heading", "page_has_main")
+#: What describes a block, in this order. ``around`` is 1 in an article, -1 in furniture or beside the page's article, 0 if nothing is known or the figures can tell.
+FEATURES = ("words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after", "heading", "around")
+LONG = 16
 
-# The labelled table: pages as their blocks in order, each "words links where label" with where m (in an article or main), f (furniture),
-# a (article's furniture), h / mh (heading, outside or inside an article), or . (nothing known); label + is main text.
+# The labelled table: pages as their blocks in order, each "words links element around label"; element is h(eading) or, which makes no difference, p(aragraph) or o(ther);
+# around a (article), f (furniture, or beside an article) or . (nothing known), label + is main text. Pages with marks are taken without them too, but for blocks that only marks can tell.
 LABELLED = """
-1 1 f -, 1 1 f -, 2 2 f -, 1 1 f -, 8 0 f -, 7 0 mh +, 60 0 m +, 34 2 m +, 5 0 m +, 90 0 m +, 12 0 f -
-1 1 f -, 1 1 f -, 54 0 f -, 9 0 mh +, 20 0 m +, 3 0 m +, 41 6 m +, 6 6 m +, 52 0 m +, 18 0 a -, 30 0 m +, 54 0 f -
-4 4 . -, 8 0 mh +, 120 0 m +, 15 0 m +, 2 0 m +, 33 1 m +, 62 0 . -, 9 9 . -
-1 1 . -, 1 1 . -, 3 0 h -, 11 0 mh +, 45 0 m +, 70 0 m +, 1 1 m -, 2 2 m -, 1 1 m -, 40 0 . -, 25 0 . -
-5 0 mh +, 7 0 m +, 9 0 m +, 6 0 m +, 12 0 m +, 3 3 a -, 3 3 a -, 85 0 a -, 2 0 a -, 14 0 f -
-6 6 . -, 12 0 mh +, 25 0 m +, 4 0 mh +, 210 0 m +, 8 8 m +, 44 0 m +, 2 2 m -, 2 2 m -, 3 3 m -, 30 4 f -, 70 0 f -
-10 0 m +, 22 5 m +, 3 0 mh +, 18 0 m +, 1 0 m +, 5 5 m +, 66 0 m +, 4 0 . -, 60 0 . -, 28 0 . -, 16 0 h -
-1 1 . -, 1 1 . -, 2 2 . -, 1 1 . -, 9 0 h +, 40 0 . +, 62 3 . +, 33 0 . +, 21 0 . +, 5 5 . -, 4 4 . -, 3 3 . -
-1 1 . -, 2 2 . -, 1 1 . -, 20 0 . +, 20 0 . +, 20 0 . +, 20 0 . +, 20 0 . +, 20 0 . +, 20 0 . +, 20 0 . +
-20 0 . +, 22 0 . +, 19 0 . +, 24 0 . +, 12 0 f -
-7 0 h +, 16 0 . +, 28 2 . +, 3 0 h +, 55 0 . +, 14 0 . +, 90 0 . +, 6 4 . -, 8 7 . -, 2 2 . -
-1 1 . -, 1 1 . -, 150 0 . +, 48 9 . +, 11 0 . +, 75 0 . +, 2 0 f -, 54 0 f -, 3 0 f -
-3 3 . -, 3 3 . -, 5 5 . -, 3 0 h -, 2 2 . -, 4 4 . -, 9 7 . -, 2 0 h -, 3 3 . -, 2 2 . -
-12 12 . -, 14 12 . -, 11 11 . -, 30 27 . -, 8 0 h +, 65 0 . +, 38 1 . +, 47 0 . +, 25 22 . -, 18 18 . -, 40 36 . -
-4 0 h +, 100 4 . +, 30 0 . +, 8 0 . +, 26 0 . +, 1 1 . -, 1 1 . -, 3 0 . -, 1 1 . -, 2 0 . -
-1 1 . -, 1 1 . -, 1 1 . -, 12 0 . +, 17 0 . +, 10 0 . +, 15 0 . +, 13 0 . +, 4 3 . -, 5 4 . -
-2 2 . -, 2 0 . -, 2 2 . -, 6 0 h +, 31 0 . +, 9 0 . +, 27 0 . +, 18 6 . +, 24 0 . +, 3 0 . -, 2 2 . -, 2 2 . -
-30 0 f -, 60 0 f -, 45 0 f -, 10 0 mh +, 4 0 m +, 35 0 m +, 15 4 m +, 5 5 m +, 28 0 m +, 90 0 f -, 20 0 f -, 20 20 f -
-""".strip()
+1 1 o . -, 1 1 o . -, 1 1 o . -, 2 2 o . -, 8 0 o . -, 9 0 h a +, 60 0 p a +, 34 2 p a +, 1 0 p a +, 90 0 p a +, 3 0 p a +, 9 0 o . -
+1 1 o . -, 2 2 o . -, 1 1 o . -, 13 0 o . -, 7 0 h a +, 14 0 p a +, 2 0 p a +, 7 0 p a +, 40 0 p a +, 1 0 p a +, 6 0 o . -
+3 3 o . -, 1 1 o . -, 5 0 o . -, 12 0 h a +, 4 0 p a +, 1 0 p a +, 2 0 p a +, 5 0 p a +, 3 0 p a +, 14 0 o . -
+1 1 o . -, 1 1 o . -, 10 0 h a +, 2 0 p a +, 120 0 p a +, 15 0 p a +, 33 1 p a +, 62 0 p f -, 9 9 o . -, 7 0 o . -
+1 1 o . -, 1 1 o . -, 11 0 h . +, 45 0 p . +, 70 0 p . +, 21 0 p . +, 8 8 o . -, 9 9 o . -, 11 10 o . -, 5 0 o . -
+2 2 o . -, 2 2 o . -, 6 0 h a +, 31 0 p a +, 9 0 p a +, 27 0 p a +, 8 8 p a -, 24 0 p a +, 12 0 p f -, 1 0 h f -, 40 0 p a +, 4 0 o . -, 2 2 o . -, 2 2 o . -
+4 4 o . -, 3 3 o . -, 22 0 o f -, 8 0 h . +, 55 0 p . +, 12 3 p . +, 90 0 p . +, 7 6 p . -, 64 2 p . +, 3 0 h . +, 30 0 p . +, 11 0 o . -
+1 1 o . -, 1 1 o . -, 1 1 o . -, 9 0 h a +, 28 0 o a +, 20 0 o a +, 4 0 o a +, 26 0 o a +, 17 0 o a +, 1 1 o . -, 1 1 o . -, 3 0 o . -
+6 6 o . -, 5 5 o . -, 7 0 o . -, 8 0 h . +, 65 0 p . +, 38 1 p . +, 47 0 p . +, 35 22 o . -, 18 18 o . -, 40 36 o . -
+1 1 o . -, 2 2 o . -, 5 0 h . +, 20 0 p . +, 3 0 h . +, 25 0 p . +, 4 0 h . +, 6 0 o . +, 7 0 o . +, 5 0 o . +, 33 0 p . +, 6 0 o . -
+1 1 o . -, 10 0 o . -, 12 0 h a +, 150 0 p a +, 48 9 p a +, 11 0 p a +, 75 0 p a +, 54 0 o f -, 80 3 o f -, 30 0 p f -, 4 0 o . -
+3 3 o . -, 3 3 o . -, 9 7 o . -, 6 6 o . -, 7 6 o . -, 2 2 o . -, 3 3 o . -
+12 12 o . -, 14 12 o . -, 11 11 o . -, 30 27 o . -, 8 0 h . +, 65 0 p . +, 38 1 p . +, 47 0 p . +, 25 22 o . -, 18 18 o . -, 4 4 o . -
+4 0 h . +, 100 4 p . +, 30 0 p . +, 8 0 p . +, 26 0 p . +, 1 1 o . -, 1 1 o . -, 7 0 o . -
+17 0 o f -, 45 0 o f -, 10 0 h a +, 4 0 p a +, 35 0 p a +, 25 4 p a +, 28 0 p a +, 90 0 p f -, 20 0 p f -, 20 20 o . -
+7 0 h . +, 16 0 p . +, 28 2 p . +, 3 0 h . +, 55 0 p . +, 14 0 p . +, 90 0 p . +, 6 4 o . -, 8 7 o . -, 2 2 o . -
+1 1 o . -, 2 2 o . -, 20 0 o . +, 24 0 o . +, 22 0 o . +, 19 0 o . +, 21 0 o . +, 25 0 o . +, 5 0 o . -
+9 0 h a +, 40 0 p a +, 5 5 p a -, 44 0 p a +, 3 3 o a -, 2 2 o a -, 40 0 p f -, 12 0 o . -
+2 2 o . -, 1 1 o . -, 6 0 o . -, 8 0 h a +, 3 0 p a +, 1 0 p a +, 1 0 p a +, 12 0 p a +, 2 0 p a +, 8 0 o . -
+1 1 o . -, 1 1 o . -, 21 0 p . +, 17 0 p . +, 10 0 p . +, 15 0 p . +, 13 0 p . +, 4 3 o . -, 5 4 o . -
+1 1 o . -, 15 0 o . -, 20 0 h a +, 28 0 p a +, 90 0 p a +, 2 0 p a +, 15 0 o . -
+6 0 h . +, 30 0 p . +, 50 0 p . +, 41 0 p . +
+1 1 o . -, 1 1 o . -, 12 0 o . -, 20 0 h a +, 3 0 p a +, 26 0 p a +, 9 0 o . -
+2 2 o . -, 1 1 o . -, 5 0 o . -, 16 0 h . +, 60 0 p . +, 1 0 p . +, 18 0 o f -
+1 1 o . -, 1 1 o . -, 14 0 o . -, 24 0 h . +, 18 0 p . +, 8 0 p . +, 12 0 o . -
+20 0 o . +, 20 0 o . +, 20 0 o . +, 20 0 o . +, 18 0 o . +, 16 0 o . +, 20 0 o . +, 17 0 o . +
+4 4 o . -, 60 0 p a +
+1 0 h a +, 40 0 p a +
+3 3 o . -, 1 0 h a +, 4 0 p a +, 3 0 p a +, 2 0 p a +
+8 0 h a +, 6 0 p a +, 5 0 p a +, 54 0 o f -
+5 0 p a +, 90 0 p a +, 20 0 p a +, 3 0 p a +, 1 1 o a -, 1 1 o a -
+2 2 o . -, 1 1 o . -, 8 0 o . -, 11 0 h a +, 50 0 p a +, 13 0 p a +, 79 0 p a +, 16 0 o f -
+1 1 o . -, 2 2 o . -, 9 0 o . -, 12 0 h a +, 33 0 p a +, 12 0 p a +, 18 0 o f -
+1 1 o . -, 1 1 o . -, 6 0 o . -, 9 0 h a +, 3 0 p a +, 70 0 p a +, 24 0 o f -
+4 0 h a +, 40 0 p a +, 12 0 p f -, 1 0 h f -, 30 0 p a +
+6 0 h a +, 22 0 p a +, 9 0 p f -, 19 0 p a +
+2 2 o . -, 2 2 o . -, 9 0 h . +, 30 0 p . +, 60 0 p . +, 1 0 o . -
+1 1 o . -, 9 0 h . +, 44 0 p . +, 7 0 p . +, 2 0 o . -
+1 0 h . -, 1 1 o . -, 1 1 o . -, 8 0 o . -, 4 0 h a +, 12 1 p a +, 2 0 p a +, 3 0 o f -, 6 0 p f -, 1 0 o f -, 8 0 p f -, 2 0 o . -
+3 0 h . -, 1 1 o . -, 2 2 o . -, 9 0 h a +, 40 0 p a +, 3 0 p a +, 5 0 o f -, 9 0 o . -
+2 0 h . -, 2 2 o . -, 1 1 o . -, 12 0 h . +, 30 0 p . +, 25 0 p . +, 10 0 o . -
+"""
 
 
 def described(rows: list[tuple]) -> list[tuple]:
-    """The features of each of a page's blocks (words, link density, in main, furniture, heading), in order."""
-    has_main, out = any(r[2] for r in rows), []
-    for i, (words, links, main, furniture, heading) in enumerate(rows):
+    """The features of each of a page's blocks (words, link density, heading, around), in order."""
+    out = []
+    for i, (words, links, heading, around) in enumerate(rows):
         b = rows[i - 1] if i else (0, 0.0)
         a = rows[i + 1] if i + 1 < len(rows) else (0, 0.0)
-        out.append((words, links, b[0], b[1], a[0], a[1], main, furniture, heading, has_main))
+        out.append((words, links, b[0], b[1], a[0], a[1], heading, around))
     return out
 
 
-#: Each labelled page is taken at several sizes: inside and around a marked article, blocks of any length are what they are;
-#: elsewhere length is evidence, and varies less.
-SIZES_MARKED, SIZES_BARE = (0.1, 0.25, 0.5, 1, 2, 4), (0.8, 1, 1.4)
+#: Each labelled page is taken at several sizes of its long blocks: an article's paragraphs may be of any length.
+SIZES = (1, 1.4, 4)
 
 
+@lru_cache(maxsize=1)
 def labelled_table() -> tuple[np.ndarray, np.ndarray]:
     """Features and labels of the blocks of LABELLED."""
     x, y = [], []
-    for line in LABELLED.split("\n"):
+    for line in LABELLED.strip().split("\n"):
         blocks = [b.split() for b in line.split(", ")]
-        for size in SIZES_MARKED if any(b[2] in ("m", "mh") for b in blocks) else SIZES_BARE:
-            x += described([(max(1, round(int(w) * size)), int(links) / int(w), "m" in where or where == "a", where in "fa", "h" in where) for w, links, where, _ in blocks])
-            y += [label == "+" for *_, label in blocks]
+        words = [int(b[0]) for b in blocks]
+        plain = min(words[:1] + words[-1:]) < LONG <= max(words)  # nothing is known of an article that ends with the page
+        for size in SIZES:
+            grown = [round(n * size) if n >= LONG else n for n in words]
+            for marked in (True, False) if plain else (True,):
+                marks = [{".": 0, "a": int(marked), "f": -1}[b[3]] for b in blocks]
+                x += described([(n, int(b[1]) / int(b[0]), b[2] == "h", m) for n, b, m in zip(grown, blocks, marks, strict=True)])
+                y += [b[4] == "+" for b in blocks]
     return np.array(x, float), np.array(y, float)
 
 
@@ -253,7 +288,16 @@ class Blocks:
         """The features of each block."""
         most = sum(r[1] for r in self.rows) / 2
         cleared = {k for k, (words, main) in enumerate(self.wrappers) if main and words > most}
-        return described([(words, links, main, any(k not in cleared for k in around), heading) for _, words, links, main, around, heading in self.rows])
+        article = any(main for _, _, _, main, _, _ in self.rows)
+
+        def mark(i: int) -> int:
+            _, words, _, main, around, _ = self.rows[i]
+            plain = 0 < i < len(self.rows) - 1 and not self.rows[i - 1][2] and not self.rows[i + 1][2]
+            if main or words >= LONG or plain:
+                return -1 if any(k not in cleared for k in around) or (article and not main) else int(main)
+            return 0
+
+        return described([(r[1], r[2], r[5], mark(i)) for i, r in enumerate(self.rows)])
 
 
 @lru_cache(maxsize=64)
@@ -270,7 +314,7 @@ def extract_text(page: str | None, tree: tuple | float | None = None) -> str:
 def extract(pages: DataFrame, *, html_column: str = "html", keep: list[str] | None = None, tree: tuple | float | None = None) -> DataFrame:
     """The ``keep`` columns (by default page_id and url), text and n_chars (code points) of every page."""
     keep = keep or ["page_id", "url"]
-    source = pages.select(*[pages[c] for c in keep], pages[html_column].alias("__html"))
+    source = pages.select(*[pages[c] for c in keep], F.make_valid_utf8(pages[html_column]).alias("__html"))
     schema = source.drop("__html").schema.add("text", "string").add("n_chars", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -20,7 +20,7 @@ Texts are moved once, and only those of members of buckets; those of survivors o
 With 32 bands of 5 rows a pair at similarity 0.8 shares no bucket with probability 3e-6, and less above.
 
 Defined cases: null text counts as empty; a text without words has no shingles and is linked with nothing; a row
-with a null id has no component and is kept; very long texts are read whole; a pair at exactly the threshold is linked; repeated rows are returned as often as they occur; if an id occurs with different texts, each row keeps
+with a null id has no component and is kept; very long texts are read whole; bytes that are not UTF-8 are compared as they are; a pair at exactly the threshold is linked; repeated rows are returned as often as they occur; if an id occurs with different texts, each row keeps
 its own shingle count and the id has the links of all its texts; empty tables give empty results; other columns
 are ignored.
 """
@@ -148,8 +148,8 @@ def _sequential(pairs: DataFrame, classes: DataFrame, n: int, threshold: float,
     return joined.mapInArrow(run, schema)
 
 
-def shingle_set(text: str | None, k: int) -> frozenset:
-    words = (text or "").encode("utf-8", "replace").translate(LOWER_BYTES).split()
+def shingle_set(text: str | bytes | None, k: int) -> frozenset:
+    words = (text.encode("utf-8", "replace") if isinstance(text, str) else text or b"").translate(LOWER_BYTES).split()
     return frozenset(zip(*[words[i:] for i in range(k)], strict=False)) if len(words) >= k else frozenset([tuple(words)] if words else [])
 
 
@@ -179,7 +179,7 @@ def near_duplicates(docs: DataFrame, *, shingle_words: int = 5, percent: int = 8
     classes = ws.save(usable.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature")), "classes")
     signed = signed.drop("signature")
     members = _members(ws, classes, bands, rows)
-    texts_all = docs.select(docs[id_column].alias("doc_id"), docs[text_column].alias("text"))
+    texts_all = docs.select(docs[id_column].alias("doc_id"), docs[text_column].cast("binary").alias("text"))
     needed = members.select(F.col("rep").alias("doc_id")).distinct().hint("merge")  # no broadcast at any size: the members grow with the table
     texts = ws.save(texts_all.join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]), "texts")
 
@@ -332,7 +332,7 @@ def _joining(rows: DataFrame, classes: DataFrame, texts: DataFrame, k: int, n: i
 
         def own(i: int) -> np.ndarray:
             if i not in sets:
-                sets[i] = np.unique(shingles(Words([(rows[i][4] or "").encode("utf-8", "replace")], lower=True), k)[0])
+                sets[i] = np.unique(shingles(Words([rows[i][4] or b""], lower=True), k)[0])
             return sets[i]
 
         for i, survivors in _surviving(rows, n, bounds, step):

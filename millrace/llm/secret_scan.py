@@ -1,17 +1,19 @@
 """Secret scans: base patterns plus dictionary-primed zstandard novelty.
 
-Base spans are found by three fixed patterns. Beyond them, every token-like string (with letters and digits) that stands within ``near``
-characters after or before a word for something sensitive is a candidate, and so are the lines that follow one (``near=None``: all
-strings of a text that has such a word). Its novelty is the number of bytes it adds when it is compressed after ``context`` characters
+Base spans are found by three fixed patterns. Beyond them, every token-like string of a text that has a word for something sensitive is a candidate; with
+``near``, only those within so many characters after or before such a word, and the lines or dotted parts that follow one. Its novelty is the number of bytes it adds when it is compressed after ``context`` characters
 of its own surroundings, with a dictionary of code words and identifiers: ordinary words, identifiers and anything that already
 stands nearby cost little, random keys cost close to their entropy. Candidates over a rate of
 marginal bits per character are reported as ``novel`` unless they overlap a base span; novel spans never overlap each other.
 
+Words of one case alone (with hyphens and underscores) are taken for words, as so short a text gives no compressor the means to tell an unknown word from a key;
+``plain`` judges them too.
+
 One Arrow map: no shuffle, no state between rows but the dictionary.
 
 Defined cases: null text is empty and has no spans; very long texts are scanned whole, in time linear in their length; spans that start
 together are listed in the order assign, access, hex, novel; null ids pass through; repeated rows are scanned each; spans count code
-points; empty tables give empty results; other columns pass only if asked for.
+points; bytes that are not UTF-8 are read, and counted, as the replacement character; empty tables give empty results; other columns pass only if asked for.
 """
 
 from __future__ import annotations
@@ -22,15 +24,16 @@ from collections.abc import Iterator
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 KINDS = ("assign", "access", "hex", "novel")
 _ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=\-]+)", re.IGNORECASE | re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _SENSITIVE = re.compile(r"pass(?:word|wd|phrase)|secret|token|api[_-]?key|credential|private|auth|bearer|signature|access[_-]?key|client[_-]?id", re.IGNORECASE | re.ASCII)
-_DIGIT, _LETTER = re.compile(r"[0-9]"), re.compile(r"[A-Za-z]")
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=\-]{16,}")
-_GAP = re.compile(r"[^\S\n]*\n\s*")  # a line break and nothing but white space
+_WORD = re.compile(r"[A-Z]?[a-z]+(?:[_-]+[A-Z]?[a-z]+)*[_-]*|[A-Z_-]+")
+_GAP = re.compile(r"[^\S\n]*\n\s*|\.")  # a line break and nothing but white space, or a dot
 
 # Common code words, identifiers and encodings that a candidate may be made of.
 IDENTIFIERS = """
@@ -47,8 +50,8 @@ getElementById addEventListener toString valueOf hashCode createElement querySel
 
 
 class Scanner:
-    def __init__(self, *, context: int = 160, near: int | None = 48, bits: float = 5.5, level: int = 3):
-        self.context, self.near, self.bits = context, near, bits
+    def __init__(self, *, context: int = 160, near: int | None = None, bits: float = 6.5, plain: bool = False, level: int = 3):
+        self.context, self.near, self.bits, self.plain = context, near, bits, plain
         primed = zstandard.ZstdCompressionDict(IDENTIFIERS.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         primed.precompute_compress(level=level)
         self.compressor = zstandard.ZstdCompressor(level=level, dict_data=primed, write_checksum=False, write_content_size=False)
@@ -100,7 +103,7 @@ class Scanner:
                     reach = max(reach, base[held][2])
                     held += 1
                 value = text[a:b]
-                if len(value) < 16 or reach > a or not (_DIGIT.search(value) and _LETTER.search(value)):
+                if len(value) < 16 or reach > a or (not self.plain and _WORD.fullmatch(value)):
                     continue
                 if self.novelty(text[max(0, a - self.context) : a], value, text[b : b + self.context]) >= self.bits:
                     out.append(("novel", a, b))
@@ -119,7 +122,7 @@ def spell(spans: list[tuple[str, int, int]]) -> str:
 def scan(docs: DataFrame, *, text_column: str = "text", keep: list[str] | None = None, **options: float) -> DataFrame:
     """The ``keep`` columns (by default doc_id), n_assign, n_access, n_hex, n_novel, base_spans and spans of every whole text."""
     keep = keep or ["doc_id"]
-    source = docs.select(*[docs[c] for c in keep], docs[text_column].alias("__text"))
+    source = docs.select(*[docs[c] for c in keep], F.make_valid_utf8(docs[text_column]).alias("__text"))
     schema = source.drop("__text").schema
     for name in ("n_assign", "n_access", "n_hex", "n_novel"):
         schema = schema.add(name, "long")

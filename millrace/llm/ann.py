@@ -3,8 +3,9 @@
 Centroids are fitted on the driver by k-means with a penalty on crowded clusters, to a sample that is chosen by a hash of the id before
 anything is ordered: at most ``sample_rows`` ids, or ``per_list`` for each list where that is more. There is a list for every
 ``4 * sqrt(n)`` vectors of n, so lists grow neither faster nor slower than their number. Every vector of the table is indexed: it goes to the list of its nearest centroid and is replicated to those
-almost as near. Centroids are searched through an in-memory neighbour graph, best first. A query visits
-the lists whose centroids are within a ratio of its nearest one's distance; the ratio is the smallest at which
+almost as near. Centroids are searched through an in-memory neighbour graph, best first: a search opens some multiple of the
+logarithm of their number and measures only the neighbours of those. A query visits
+the lists it met whose centroids are within a ratio of its nearest one's distance; the ratio is the smallest at which
 sampled queries reach ``recall`` against brute force over the sample, which is the harder case, as its neighbours are
 farther apart than the table's.
 
@@ -68,53 +69,83 @@ class Index:
     entries: np.ndarray
     top_norm: float
     ratio: float = 1.0
+    measured: int = 0  # distances to centroids so far
 
     @classmethod
-    def build(cls, sample: np.ndarray, k: int, top_norm: float, degree: int = 12) -> Index:
+    def build(cls, sample: np.ndarray, k: int, top_norm: float) -> Index:
         centres = balanced_kmeans(lift(sample, top_norm), k)
-        order = np.concatenate([_distances(centres[at : at + 1024], centres).argsort(1)[:, : degree + 1] for at in range(0, len(centres), 1024)])
-        rng = np.random.default_rng(5)
-        far = rng.integers(0, len(centres), (len(centres), 4))  # long links keep the graph in one piece
-        graph = np.concatenate([order[:, 1:], far, np.roll(np.arange(len(centres)), 1)[:, None]], 1)
-        return cls(centres, graph, np.unique(np.linspace(0, len(centres) - 1, 8).astype(int)), top_norm)
-
-    def search(self, x: np.ndarray, beam: int) -> np.ndarray:
-        """Distances to the centroids found (infinite for the rest), best first through the graph, for a block of lifted vectors."""
-        n, k = len(x), len(self.centres)
-        out, opened = np.full((n, k), np.inf), np.zeros((n, k), bool)
-        out[:, self.entries] = _distances(x, self.centres[self.entries])
-        beam = min(beam, k)
-        while True:
-            best = np.argpartition(out, beam - 1, 1)[:, :beam] if beam < k else np.broadcast_to(np.arange(k), (n, k))
-            rows, cols = np.nonzero(np.isfinite(np.take_along_axis(out, best, 1)) & ~np.take_along_axis(opened, best, 1))
-            if not len(rows):
-                return out
-            nodes = best[rows, cols]
-            opened[rows, nodes] = True
-            wanted = np.zeros((n, k), bool)
-            wanted[np.repeat(rows, self.graph.shape[1]), self.graph[nodes].ravel()] = True
-            r, c = np.nonzero(wanted & ~np.isfinite(out))
+        n = len(centres)
+        degree = min(n - 1, max(4, int(np.ceil(np.log2(n))))) if n > 1 else 0
+        order = np.concatenate([_distances(centres[at : at + 1024], centres).argsort(1)[:, : degree + 1] for at in range(0, n, 1024)])
+        far = np.random.default_rng(5).integers(0, n, (n, 2))  # long links, and a ring, keep the graph in one piece
+        graph = np.concatenate([order[:, 1:], far, np.roll(np.arange(n), 1)[:, None]], 1)
+        return cls(centres, graph, np.unique(np.linspace(0, n - 1, int(np.ceil(np.log2(n + 1)))).astype(int)), top_norm)
+
+    def beam(self, width: int) -> int:
+        """How many centroids a search opens: some multiple of the logarithm of their number."""
+        return width * max(1, int(np.ceil(np.log2(len(self.centres) + 1))))
+
+    def search(self, x: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each of a block of lifted vectors the centroids met, nearest first, and their distances; -1 and infinite where fewer were met.
+
+        Best first through the graph: each hop opens every vector's nearest unopened centroid among its ``beam(width)`` nearest and measures those of its
+        neighbours that it has not met. Nothing is as wide as the number of centroids.
+        """
+        n, beam = len(x), self.beam(width)
+        ids = np.broadcast_to(self.entries, (n, len(self.entries))).copy()
+        far = np.stack([np.sqrt(((x - self.centres[e]) ** 2).sum(1)) for e in self.entries], 1)
+        opened, live = np.zeros(ids.shape, bool), np.arange(n)
+        self.measured += ids.size
+        while len(live):
+            order = np.argsort(far[live], 1, kind="stable")
+            ids[live], far[live], opened[live] = (np.take_along_axis(v[live], order, 1) for v in (ids, far, opened))
+            able = ~opened[live, :beam] & np.isfinite(far[live, :beam])
+            rows = np.flatnonzero(able.any(1))
+            live = live[rows]
+            if not len(live):
+                break
+            first = able[rows].argmax(1)
+            opened[live, first] = True
+            near = self.graph[ids[live, first]]
+            new = ~(near[:, :, None] == ids[live][:, None, :]).any(2)
+            new[:, 1:] &= ~((near[:, 1:, None] == near[:, None, :]) & (np.arange(near.shape[1])[None, :] < np.arange(1, near.shape[1])[:, None])).any(2)  # a link may be there twice
+            r, c = np.nonzero(new)
+            added = np.full(near.shape, np.inf)
             for at in range(0, len(r), 65_536):
-                s = slice(at, at + 65_536)
-                out[r[s], c[s]] = np.sqrt(((x[r[s]] - self.centres[c[s]]) ** 2).sum(1))
+                q = slice(at, at + 65_536)
+                added[r[q], c[q]] = np.sqrt(((x[live[r[q]]] - self.centres[near[r[q], c[q]]]) ** 2).sum(1))
+            self.measured += len(r)
+            wide = int(new.sum(1).max(initial=0))
+            if wide:
+                pick = np.argsort(added, 1, kind="stable")[:, :wide]
+                more_far = np.full((n, wide), np.inf)
+                more_ids = np.full((n, wide), -1)
+                more_far[live] = np.take_along_axis(added, pick, 1)
+                more_ids[live] = np.where(np.isfinite(more_far[live]), np.take_along_axis(near, pick, 1), -1)
+                ids, far, opened = np.concatenate([ids, more_ids], 1), np.concatenate([far, more_far], 1), np.concatenate([opened, np.zeros(more_ids.shape, bool)], 1)
+        order = np.argsort(far, 1, kind="stable")
+        return np.take_along_axis(ids, order, 1), np.take_along_axis(far, order, 1)
 
     def homes(self, x: np.ndarray, copies: int, closure: float) -> tuple[np.ndarray, np.ndarray]:
         """(row, list) of every placement of a block of lifted vectors: the nearest centroid, and up to copies - 1 almost as near."""
-        d = self.search(x, 24)
-        near = d.argsort(1)[:, :copies]
-        far = np.take_along_axis(d, near, 1)
+        near, far = (v[:, :copies] for v in self.search(x, 2))
         rows, cols = np.nonzero((far <= far[:, :1] * closure) & np.isfinite(far))
         return rows, near[rows, cols]
 
-    def lists(self, x: np.ndarray, ratio: float | None = None, sizes: np.ndarray | None = None, least: int = 0) -> np.ndarray:
-        """Which lists each lifted query visits: those within the ratio, and the nearest ones that together hold ``least`` vectors."""
-        d = self.search(x, 64)
-        out = d <= d.min(1, keepdims=True) * (self.ratio if ratio is None else ratio)
-        if sizes is not None:
-            order = d.argsort(1)
-            before = np.cumsum(sizes[order], 1) - sizes[order]
-            np.put_along_axis(out, order, np.take_along_axis(out, order, 1) | (before < least), 1)
-        return out
+    def visits(self, x: np.ndarray, sizes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """(row, list) of the lists each lifted query visits: those met within the ratio, and the nearest ones that together hold ``least`` vectors.
+
+        A query whose lists met don't hold as many visits all lists.
+        """
+        near, far = self.search(x, 3)
+        held = np.where(near >= 0, sizes[near], 0)
+        before = np.cumsum(held, 1) - held
+        rows, cols = np.nonzero((near >= 0) & ((far <= far[:, :1] * self.ratio) | (before < least)))
+        lists = near[rows, cols]
+        few = np.flatnonzero(held.sum(1) < least)
+        keep = ~np.isin(rows, few)
+        k = len(self.centres)
+        return np.concatenate([rows[keep], np.repeat(few, k)]), np.concatenate([lists[keep], np.tile(np.arange(k), len(few))])
 
     def calibrate(self, sample: np.ndarray, k: int, recall: float, copies: int, closure: float, queries: int = 200) -> None:
         """Sets the smallest ratio that reaches the recall on the sample."""
@@ -125,16 +156,19 @@ class Index:
         if k < 1:
             return
         truth = np.argpartition(-scores, k - 1, 1)[:, :k]
-        rows, lists = self.homes(lifted, copies, closure)
         homes = np.full((len(sample), copies), -1)
-        homes[rows, np.arange(len(rows)) - np.searchsorted(rows, rows)] = lists
-        d = self.search(np.concatenate([q, np.zeros((len(q), 1))], 1), 64)
-        near, held = d.min(1, keepdims=True), homes[truth]  # queries x k x copies
-        reach = np.take_along_axis(d, np.maximum(held, 0).reshape(len(q), -1), 1).reshape(held.shape)
-        best = np.where(held >= 0, reach, np.inf).min(2)
+        for at in range(0, len(sample), 512):
+            rows, lists = self.homes(lifted[at : at + 512], copies, closure)
+            homes[at + rows, np.arange(len(rows)) - np.searchsorted(rows, rows)] = lists
+        near, far = self.search(np.concatenate([q, np.zeros((len(q), 1))], 1), 3)
+        reach = np.full((len(q), k), np.inf)  # the distance of the nearest list met that holds a true neighbour
+        for i in range(len(q)):
+            met = dict(zip(near[i].tolist(), far[i].tolist(), strict=True))
+            met[-1] = np.inf
+            reach[i] = [min(met.get(h, np.inf) for h in homes[t].tolist()) for t in truth[i]]
         for ratio in (*np.arange(1.0, 2.0, 0.01), np.inf):
             self.ratio = float(ratio)
-            if (best <= near * ratio).mean() >= recall:
+            if (reach <= far[:, :1] * ratio).mean() >= recall:
                 return
 
 
@@ -181,7 +215,7 @@ def search(vectors: DataFrame, is_query: Column, *, k: int = 20, id_column: str
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 x = _matrix(part.column(1))
-                r, lists = np.nonzero(index.lists(np.concatenate([x, np.zeros((len(x), 1))], 1), sizes=sizes, least=4 * copies * (k + 1)))
+                r, lists = index.visits(np.concatenate([x, np.zeros((len(x), 1))], 1), sizes, 4 * copies * (k + 1))
                 yield pa.RecordBatch.from_arrays([pa.array(lists.astype(np.int32)), part.column(0).take(pa.array(r)), part.column(1).take(pa.array(r))], ["list", "id", "v"])
 
     placed = ws.save(usable.mapInArrow(place, f"list int, id {kind}, v array<double>"), "lists")

@@ -3,12 +3,14 @@
 A word's vector is the sum of learned embeddings of hashes of the word and of its
 first four, five and six bytes, so that inflected forms share what was learned.
 Filters of widths 1, 2 and 3 run over the words of the whole text and are
-max-pooled; a logistic unit combines them. Thresholds are calibrated by language
-on labelled rows set apart from training. The language is guessed from the text's
+max-pooled; a logistic unit combines them. Thresholds are calibrated by language,
+on scores that every labelled row got from a network trained without it (``FOLDS`` networks, each trained without one part
+of the rows). Each language's threshold, of any number of rows, is drawn toward the one of all rows, the more the fewer rows of
+its rarer class it has (``PRIOR`` of them weigh as much as all rows). The language is guessed from the text's
 own function words, never read from a column, and the threshold is folded into
 the score: 0.5 is the calibrated threshold of the guessed language.
 
-Training happens on the driver, on a bounded sample (``sample_rows``) of whole texts. Scoring is one
+Networks are trained beside each other, a task each, on a bounded sample (``sample_rows``) of whole texts. Scoring is one
 Arrow map: no shuffle, memory bounded by a batch.
 
 Defined cases: null or wordless text has one empty window and is scored like any other; very long texts
@@ -20,6 +22,7 @@ without any); empty tables give empty results; other columns are ignored.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -27,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from millrace.llm.bytewords import Words, sub_batches
+from millrace.llm.bytewords import Words, release, sub_batches
 from millrace.llm.quality_cnn import training_rows
 
 # Common function words by language.
@@ -38,6 +41,7 @@ FUNCTION_WORDS = {
     "es": "el los las y por con para se del que una al lo su no como más o en un la".split(),
 }
 WIDTHS = (1, 2, 3)
+FOLDS, PRIOR = 4, 10
 PREFIXES = (4, 5, 6)
 _PUNCTUATION = np.zeros(256, dtype=bool)
 _PUNCTUATION[list(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")] = True
@@ -124,16 +128,11 @@ def _threshold(p: np.ndarray, y: np.ndarray) -> float:
     return float(np.clip(1 / (1 + np.exp(-edges[best[len(best) // 2]])), 0.05, 0.95))
 
 
-def train(rows: list[tuple[str, int]], *, buckets: int = 1 << 16, dim: int = 8, n_filters: int = 8, epochs: int = 8, batch: int = 32, rate: float = 0.05, seed: int = 11, least: int = 25, least_steps: int = 600) -> WordConvolution | float:
-    """Fits by Adagrad on three quarters of the rows and calibrates thresholds on the rest."""
-    y = np.array([r[1] for r in rows])
-    if len(rows) == 0 or y.min() == y.max():
-        return float(y.mean()) if len(rows) else 0.5
-    feats = [features([r[0].encode("utf-8", "replace")], buckets)[0] for r in rows]
-    net, rng = WordConvolution.fresh(buckets, dim, n_filters, seed), np.random.default_rng(seed)
-    mixed = rng.permutation(len(rows))
-    held, used = (mixed[::4], np.delete(mixed, np.s_[::4])) if len(rows) >= 16 else (mixed, mixed)
-    weight = np.where(y == 1, 0.5 / max(y[used].mean(), 1e-3), 0.5 / max(1 - y[used].mean(), 1e-3))
+def _optimised(feats: list[tuple[np.ndarray, int]], y: np.ndarray, used: np.ndarray, *, buckets: int, dim: int, n_filters: int, epochs: int, batch: int, rate: float, seed: int, least_steps: int) -> WordConvolution:
+    """A network fitted to the used rows by Adagrad; the gradient of a max reaches only the window that won it."""
+    net, rng, share = WordConvolution.fresh(buckets, dim, n_filters, seed), np.random.default_rng(seed), float(y[used].mean())
+    weight = np.where(y == 1, 0.5 / max(share, 1e-3), 0.5 / max(1 - share, 1e-3))
+    used = rng.permutation(used)
     sums = {"table": np.full(net.table.shape, 1e-4, np.float32), "bias": np.full_like(net.bias, 1e-4), "out": np.full_like(net.out, 1e-4), "filters": [np.full_like(f, 1e-4) for f in net.filters]}
     bias_sum = 1e-4
     for _ in range(max(epochs, -(-least_steps * batch // len(used)))):
@@ -174,17 +173,68 @@ def train(rows: list[tuple[str, int]], *, buckets: int = 1 << 16, dim: int = 8,
             bias_sum += g_b * g_b
             net.out_bias -= rate * g_b / bias_sum**0.5
         used = rng.permutation(used)
-    p, langs = net.scores([feats[i] for i in held], calibrated=False), np.array([feats[i][1] for i in held])
-    net.thresholds = {-1: _threshold(p, y[held])}
+    return net
+
+
+def train_part(rows: list[tuple[str, int]], part: int, *, buckets: int = 1 << 16, dim: int = 8, n_filters: int = 8, epochs: int = 8, batch: int = 32, rate: float = 0.05, seed: int = 11, least_steps: int = 600) -> WordConvolution | tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One of the networks: for a part under FOLDS (rows, scores, languages) of the rows left out; for FOLDS, the network of all rows."""
+    y, feats = np.array([r[1] for r in rows]), [features([r[0].encode("utf-8", "replace")], buckets)[0] for r in rows]
+    fold = np.random.default_rng(seed).permutation(len(rows)) % FOLDS
+    used, left = np.flatnonzero(fold != part), np.flatnonzero(fold == part)
+    options = {"buckets": buckets, "dim": dim, "n_filters": n_filters, "epochs": epochs, "batch": batch, "rate": rate, "seed": seed, "least_steps": least_steps}
+    if part == FOLDS:
+        return _optimised(feats, y, used, **options)
+    langs = np.array([feats[i][1] for i in left], int)
+    if not len(used) or y[used].min() == y[used].max():
+        return left, np.full(len(left), float(y.mean())), langs
+    return left, _optimised(feats, y, used, **options).scores([feats[i] for i in left], calibrated=False), langs
+
+
+def calibrated(net: WordConvolution, y: np.ndarray, parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> WordConvolution:
+    """net with a threshold for every language and one (-1) for texts of none, from the scores of rows left out."""
+    at, p, langs = (np.concatenate([part[k] for part in parts]) for k in range(3))
+    y = y[at]
+    common = _threshold(p, y)
+    net.thresholds = {-1: common}
     for k in range(len(_LANGUAGES)):
-        part = langs == k
-        if min((y[held][part] == 1).sum(), (y[held][part] == 0).sum()) >= least:
-            net.thresholds[k] = _threshold(p[part], y[held][part])
+        own = langs == k
+        n = min((y[own] == 1).sum(), (y[own] == 0).sum())
+        z = (n * _logit(np.array(_threshold(p[own], y[own]) if n else common)) + PRIOR * _logit(np.array(common))) / (n + PRIOR)
+        net.thresholds[k] = float(1 / (1 + np.exp(-z)))
     return net
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, sample_rows: int = 6000) -> WordConvolution | float:
-    return train(training_rows(docs, labels, "toxic", sample_rows))
+def _trivial(rows: list[tuple[str, int]]) -> float | None:
+    """The share of ones, if there is only one class or none."""
+    y = [r[1] for r in rows]
+    return None if len(set(y)) > 1 else float(np.mean(y)) if y else 0.5
+
+
+def train(rows: list[tuple[str, int]], **options: float) -> WordConvolution | float:
+    """The calibrated network of labelled rows, trained in this process."""
+    if (share := _trivial(rows)) is not None:
+        return share
+    return calibrated(train_part(rows, FOLDS, **options), np.array([r[1] for r in rows]), [train_part(rows, k, **options) for k in range(FOLDS)])
+
+
+def fit(docs: DataFrame, labels: DataFrame, *, sample_rows: int = 6000, **options: float) -> WordConvolution | float:
+    """The same, each network in a task of its own; rows are a bounded sample, sent to the tasks whole."""
+    rows = training_rows(docs, labels, "toxic", sample_rows)
+    if (share := _trivial(rows)) is not None:
+        return share
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(rows)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = batch.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([pickle.dumps(train_part(shared.value, k, **options)) for k in parts], pa.binary())], ["id", "made"])
+        release()
+
+    made = spark.range(0, FOLDS + 1, 1, FOLDS + 1).mapInArrow(run, "id long, made binary").collect()  # FOLDS + 1 rows
+    shared.unpersist()
+    made = {r.id: pickle.loads(r.made) for r in made}
+    return calibrated(made.pop(FOLDS), np.array([r[1] for r in rows]), [made[k] for k in sorted(made)])
 
 
 def score_texts(net: WordConvolution | float, texts: list[bytes]) -> tuple[np.ndarray, list[str]]:

@@ -214,6 +214,25 @@ def test_nearest_neighbours(spark):
     assert sorted(r.vec_id for r in few) == [1, 2, 3, 4] and ann.search(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_the_centroid_graph_measures_few_centroids():
+    """A search opens fewer centroids than there are, at every size, measures a small share of many, and finds most of the nearest."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(40, 12))[rng.integers(0, 40, 12_000)] + 0.7 * rng.normal(size=(12_000, 12))
+    shares = []
+    for lists in (1, 2, 16, 64, 1200):
+        index = ann.Index.build(x[:6000] if lists > 1 else x[:1], lists, float(np.sqrt((x * x).sum(1).max())))
+        k, queries = len(index.centres), ann.lift(x[:400], float(np.sqrt((x * x).sum(1).max())))
+        assert index.beam(3) < max(k, 4) or k < 16
+        near, far = index.search(queries, 3)
+        shares.append(index.measured / (len(queries) * k))
+        plain = ann._distances(queries, index.centres)
+        for i in range(0, 400, 40):
+            met = near[i][near[i] >= 0]
+            assert len(set(met.tolist())) == len(met) and np.allclose(plain[i, met], far[i][: len(met)], atol=1e-6) and (np.diff(far[i][: len(met)]) >= 0).all()
+        assert (near[:, 0] == plain.argmin(1)).mean() > 0.9
+    assert shares[-1] < 1 / 3 and max(shares) <= 1
+
+
 def test_nearest_neighbours_with_repeated_ids(spark):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(60, 8)) + 5

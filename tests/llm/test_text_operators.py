@@ -423,6 +423,78 @@ def test_classifiers_generalise(spark, module, label, mark):
     assert np.mean([(got[i] >= 0.5) == bool(y[i]) for i in held]) >= 0.95
 
 
+def _slow_toxicity(net, text):
+    """A score by plain loops over words, widths and filters."""
+    import math
+
+    (rows, lang), = toxicity.features([text.encode()], len(net.table))
+    vectors = [[sum(float(net.table[r][j]) for r in word) for j in range(net.table.shape[1])] for word in rows.tolist()]
+    vectors += [[0.0] * net.table.shape[1]] * (3 - len(vectors))
+    z, k = float(net.out_bias), 0
+    for width, filters in zip((1, 2, 3), net.filters, strict=True):
+        for f in range(filters.shape[1]):
+            windows = [[v for word in vectors[at : at + width] for v in word] for at in range(len(vectors) - width + 1)]
+            best = max(sum(a * float(b) for a, b in zip(w, filters[:, f], strict=True)) for w in windows)
+            z += max(0.0, best + float(net.bias[k])) * float(net.out[k])
+            k += 1
+    t = net.thresholds[lang]
+    return 1 / (1 + math.exp(-(max(-30, min(30, z)) - math.log(t / (1 - t)))))
+
+
+def test_toxicity_scores_match_plain_loops_and_every_language_has_a_threshold(spark):
+    rows = [(t, y) for _, t, y in _corpus(90, lambda t, r: [*t[:5], "vilestuff", *t[5:]])]
+    rows = [(f"{t} {'the of and' if i % 3 else 'der die und ist'}", y) for i, (t, y) in enumerate(rows)]
+    options = {"buckets": 1 << 10, "dim": 4, "n_filters": 3, "epochs": 1, "least_steps": 20}
+    net = toxicity.train(rows, **options)
+    assert set(net.thresholds) == {-1, 0, 1, 2, 3} and net.thresholds[2] == pytest.approx(net.thresholds[-1])
+    net.thresholds.update({0: 0.3, 1: 0.6})
+    texts = [t for t, _ in rows[:6]] + ["", "one", "one two", "der die das vilestuff, le la"]
+    assert np.allclose(toxicity.score_texts(net, [t.encode() for t in texts])[0], [_slow_toxicity(net, t) for t in texts], atol=1e-4)
+    df = spark.createDataFrame([(3 * i + 1, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    labels = spark.createDataFrame([(3 * i + 1, y) for i, (_, y) in enumerate(rows)], "doc_id long, toxic int")
+    used = quality_cnn.training_rows(df, labels, "toxic", 6000)
+    apart, here = toxicity.fit(df, labels, **options), toxicity.train(used, **options)
+    assert np.array_equal(apart.table, here.table) and apart.thresholds == here.thresholds
+
+
+def test_thresholds_are_drawn_to_the_common_one_by_count():
+    """The rows left out of a network are each scored once; a language's threshold moves from the common one as its rows grow."""
+    net = toxicity.WordConvolution.fresh(8, 2, 1, 0)
+    own = []
+    for n in (1, 5, 100):
+        p = np.array([0.95] * 300 + [0.8] * 300 + [0.5] * n + [0.3] * n)
+        y, langs = np.array([1] * 300 + [0] * 300 + [1] * n + [0] * n), np.array([0] * 600 + [1] * 2 * n)
+        at = np.random.default_rng(1).permutation(len(p))
+        toxicity.calibrated(net, y, [(at[k::4], p[at[k::4]], langs[at[k::4]]) for k in range(4)])
+        own.append(net.thresholds[1])
+    assert 0.8 > own[0] > own[1] > own[2] and 0.4 < own[2] < 0.5
+
+
+def _slow_quality(net, text):
+    import math
+
+    words = quality_cnn.Words([text.encode()])
+    symbols = quality_cnn._symbols(words).tolist()
+    width, stride, dim = quality_cnn.WIDTH, quality_cnn.STRIDE, quality_cnn.DIM
+    z = float(net.out_bias)
+    windows = []
+    for start in range(0, max(1, len(symbols) - quality_cnn.OVERLAP), quality_cnn.CHUNK - quality_cnn.OVERLAP):
+        chunk = symbols[start : start + quality_cnn.CHUNK]
+        n = max(0, -(-(len(chunk) - width) // stride)) + 1
+        chunk = chunk + [32] * ((n - 1) * stride + width - len(chunk))
+        windows += [chunk[k * stride : k * stride + width] for k in range(n)]
+    for f in range(net.filters.shape[1]):
+        best = max(sum(float(net.embedding[s][j]) * float(net.filters[i * dim + j][f]) for i, s in enumerate(w) for j in range(dim)) for w in windows)
+        z += max(0.0, best + float(net.bias[f])) * float(net.out[f])
+    return 1 / (1 + math.exp(-max(-30, min(30, z))))
+
+
+def test_quality_scores_match_plain_loops():
+    net = quality_cnn.train([(t, y) for _, t, y in _corpus(40, lambda t, r: [w.upper() for w in t])], n_filters=3, epochs=1, least_steps=5)
+    texts = ["", "x", "Ünïcode text, somewhat longer than that.", "again again word " * 30, "y" * (quality_cnn.CHUNK + 77)]
+    assert np.allclose(quality_cnn.score_texts(net, [t.encode() for t in texts]), [_slow_quality(net, t) for t in texts], atol=1e-4)
+
+
 def test_training_rows_are_whole_bounded_and_drawn_once(spark):
     """Labels without documents don't use up the sample, long texts are learned from whole, repeated rows once."""
     long = "a very long text " * 20_000

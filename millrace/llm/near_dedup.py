@@ -133,7 +133,7 @@ def _sequential(pairs: DataFrame, classes: DataFrame, n: int, threshold: float,
     """pairs(a, b) with ``near``, the share of equal positions, and ``alive``, whether it survived."""
     bounds = least_matches(n, step, threshold, miss)
     side = lambda c: classes.select(F.col("rep").alias(c), F.col("signature").alias(f"sign_{c}"))
-    joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sign_a", "sign_b")
+    joined = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "sign_a", "sign_b")  # b may be the hub of many: it meets bare ids
     schema = pairs.select("a", "b").schema.add("near", "double").add("alive", "boolean")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,6 +144,7 @@ def _sequential(pairs: DataFrame, classes: DataFrame, n: int, threshold: float,
                 alive = _survive(x, y, bounds, step)
                 near = (x == y).mean(1)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(near), pa.array(alive)], ["a", "b", "near", "alive"])
+        release()
 
     return joined.mapInArrow(run, schema)
 
@@ -156,7 +157,7 @@ def shingle_set(text: str | bytes | None, k: int) -> frozenset:
 def _exact(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Those pairs(a, b) whose full shingle sets have 100 * intersection >= percent * union."""
     side = lambda c: texts.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}"))
-    joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b")
+    joined = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b")  # b may be the hub of many: it meets bare ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = lru_cache(maxsize=16)(lambda text: shingle_set(text, k))
@@ -167,6 +168,7 @@ def _exact(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFram
                 common = len(p & q)
                 keep.append(100 * common >= percent * (len(p) + len(q) - common))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        release()
 
     return joined.mapInArrow(run, pairs.select("a", "b").schema)
 
@@ -226,13 +228,16 @@ def _grouped(units: DataFrame, keys: list[str], schema: object, compare: Callabl
         unit, rows, out, kind = None, [], [], None
         for batch in batches:
             kind = batch.schema.field(k).type
-            for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if row[:k] != unit:
-                    out += compare(rows)
-                    unit, rows = row[:k], []
-                rows.append(row[k:])
+            for at in range(0, batch.num_rows, 256):  # a batch of texts is never all Python objects at once
+                for row in zip(*[c.to_pylist() for c in batch.slice(at, 256).columns], strict=True):
+                    if row[:k] != unit:
+                        out += compare(rows)
+                        unit, rows = row[:k], []
+                    rows.append(row[k:])
         if out := out + compare(rows):
             yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], kind) for i in (0, 1)], ["a", "b"])
+        rows.clear()
+        release()
 
     return units.mapInArrow(run, schema)
 

@@ -36,13 +36,18 @@ def top_k(df: DataFrame, by: list[str], k: int, order: list[str]) -> DataFrame:
     return df.withColumn("n", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("n") <= k).drop("n")
 
 
+def keyed(df: DataFrame) -> DataFrame:
+    """(split, tag, rank, clean_id, p, q) of ranked candidates: pairs are told apart by 128 bits of hash."""
+    return df.select("split", "tag", "rank", "clean_id", F.xxhash64("source_text", "target_text").alias("p"), F.xxhash64("target_text", "source_text").alias("q"))
+
+
 def first_pairs(df: DataFrame) -> DataFrame:
     """(split, tag, rank, clean_id) of one row per (source, target) pair: its first in that order.
 
-    Texts are never sorted or shuffled: pairs are told apart by 128 bits of hash, and rows are told by their rank.
+    df holds texts, or is what ``keyed`` makes of them. Texts are never sorted or shuffled, and rows are told by their rank.
     """
-    keyed = df.select("split", "tag", "rank", "clean_id", F.xxhash64("source_text", "target_text").alias("p"), F.xxhash64("target_text", "source_text").alias("q"))
-    return keyed.groupBy("p", "q").agg(F.min(F.struct("split", "tag", "rank", "clean_id")).alias("first")).select("first.*")
+    pairs = df if "p" in df.columns else keyed(df)
+    return pairs.groupBy("p", "q").agg(F.min(F.struct("split", "tag", "rank", "clean_id")).alias("first")).select("first.*")
 
 
 def fetch(df: DataFrame, chosen: DataFrame) -> DataFrame:

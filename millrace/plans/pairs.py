@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from millrace.functions.profile import ENGLISH
 from millrace.functions.text import length_bucket, shard_of
 from millrace.operators import contracts, generate, select
-from millrace.plans.common import BRANCHES, CANDIDATES_SQL, EN_SQL, RANKED_SQL, SEED, TOKENS_SQL, split_sentences
+from millrace.plans.common import BRANCHES, CANDIDATES_SQL, EN_SQL, RANKED_SQL, SEED, TOKENS_SQL, dealt, split_sentences, table
+from millrace.sources.workspace import Workspace
 
 QUOTA, GAP, IDENTITIES, FIRST, SAMPLE = 5, 40, 60, 20, 5
 CONSTRUCTIONS = [("of the", "ofthe", "$MERGE_SPACE", "space"), ("to the", "to-the", "$TRANSFORM_SPLIT_HYPHEN", "hyphen"), ("in", "i n", "$TRANSFORM_SPLIT_SPACE", "space")]
@@ -69,8 +70,11 @@ def shard_capacity(spark: SparkSession, d: str) -> DataFrame:
 
 
 def topk_rank_per_group(spark: SparkSession, d: str) -> DataFrame:
-    narrow = _ranked(spark, d).select("split", "tag", "pair_id", "rank", "clean_id", "position")
-    return select.top_k(narrow, ["split", "tag"], 25, ["rank", "clean_id", "position"]).select("split", "tag", "pair_id", "rank", "clean_id", "position")
+    """Ranks alone are compared; pair_id, a hash of whole texts, is made for what was kept."""
+    narrow = select.with_rank(_candidates(spark, d), SEED).select("split", "tag", "rank", "clean_id", "position")
+    best = Workspace(spark, "top").save(select.top_k(narrow, ["split", "tag"], 25, ["rank", "clean_id", "position"]), "best")
+    named = _fetched(spark, d, best.select("split", "tag", "rank", "clean_id").distinct()).select("split", "tag", "rank", "pair_id")
+    return best.join(named, ["split", "tag", "rank"]).select("split", "tag", "pair_id", "rank", "clean_id", "position")
 
 
 def review_sample(spark: SparkSession, d: str) -> DataFrame:
@@ -78,15 +82,28 @@ def review_sample(spark: SparkSession, d: str) -> DataFrame:
     return select.top_k(narrow, ["split", "tag"], SAMPLE, ["clean_id", "pair_id", "position"]).select("split", "tag", "clean_id", "pair_id")
 
 
+def _narrow(spark: SparkSession, d: str) -> DataFrame:
+    """Ranks and pairs' hashes of all candidates, computed once: what selection works on, without a text."""
+    keyed = select.keyed(select.with_rank(_candidates(spark, d), SEED))
+    return Workspace(spark, "selection").save(keyed, "ranked")
+
+
 def _selected(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     quotas = spark.createDataFrame([(s, t, QUOTA) for t, _ in dict.fromkeys(ENGLISH.tags) for s in ("train", "dev", "synthetic_test")], "split string, tag string, quota int").distinct()
-    taken, left = select.quota_select(select.with_rank(_candidates(spark, d), SEED), quotas, QUOTA)
+    taken, left = select.quota_select(_narrow(spark, d), quotas, QUOTA)
     return _fetched(spark, d, taken), left
 
 
 def _fetched(spark: SparkSession, d: str, chosen: DataFrame) -> DataFrame:
-    """The candidates that chosen names, with texts: made again from their sentences, so that no other texts are ever shuffled."""
-    sentences = split_sentences(spark, d).join(chosen.select("clean_id").distinct(), "clean_id", "left_semi")
+    """The candidates that chosen names, with texts: made again from their documents alone, so that no other texts are normalised or shuffled.
+
+    What is chosen is bounded by quotas; it is saved, and counted before it is broadcast.
+    """
+    chosen = Workspace(spark, "selection").save(chosen, "chosen")
+    ids = chosen.select("clean_id").distinct()
+    docs = ids.select(F.substring_index("clean_id", ":", 1).cast("long").alias("doc_id")).distinct()
+    few = dealt(table(spark, d, "documents").select("doc_id", "text", "lang", "source").join(generate.bounded(docs), "doc_id", "left_semi"), "doc_id")
+    sentences = split_sentences(spark, d, few).join(generate.bounded(ids), "clean_id", "left_semi")
     made = select.with_rank(generate.generate(sentences, ENGLISH), SEED)
     return select.with_pair_id(select.fetch(made, chosen), SEED)
 

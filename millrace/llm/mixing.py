@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.llm.workspace import Workspace
+from millrace.operators.generate import bounded
 
 _WIDTH = 16
 
@@ -98,10 +99,13 @@ def mix(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text"
     ws.drop(counts)
     plan = plan.select(F.col("source").alias("__source"), "weight", F.col("epochs").alias("__epochs"), F.col("blocks").alias("__blocks"))
     clean = docs.drop("n_tokens", "weight", "epoch", "block", "position")
-    rows = clean.withColumns({"n_tokens": n_tokens(F.col(text_column)), "__digest": digest}).join(plan, F.col(source_column).eqNullSafe(F.col("__source"))).drop("__source")
+    rows = clean.withColumns({"n_tokens": n_tokens(F.col(text_column)), "__digest": digest}).join(bounded(plan), F.col(source_column).eqNullSafe(F.col("__source"))).drop("__source")
     rows = rows.withColumns({"__spot": _number(F.col("__digest"), 1), "__order": _number(F.col("__digest"), 16)})
-    rows = rows.join(often, F.col("__spot") == F.col("__often"), "left")
-    spread = F.when(F.col("__often").isNotNull(), F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 31))).otherwise(0)
+    spread = F.lit(0)
+    if not often.isEmpty():  # rows that repeat are numbered before a saved step, so that a task that runs again deals them as before
+        hot = ws.save(rows.join(often, F.col("__spot") == F.col("__often"), "left_semi").withColumn("__number", F.monotonically_increasing_id()), "hot")
+        rows = rows.join(often, F.col("__spot") == F.col("__often"), "left_anti").withColumn("__number", F.lit(None).cast("long")).unionByName(hot)
+        spread = F.when(F.col("__number").isNotNull(), F.pmod(F.xxhash64("__number"), F.lit(1 << 31))).otherwise(0)
     rows = rows.withColumn("block", F.pmod(F.col("__spot") + spread, F.col("__blocks")).cast("int"))
     block = Window.partitionBy(source_column, "block")
     order = block.orderBy("__order", "__spot")
@@ -111,4 +115,4 @@ def mix(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text"
     extra = (F.col("__through") <= (F.col("__epochs") - whole) * F.col("__all")) & (F.col("n_tokens") > 0)
     copies = whole.cast("int") + extra.cast("int")
     rows = rows.where(copies > 0).withColumn("epoch", F.explode(F.sequence(F.lit(0), copies - 1)))
-    return rows.drop("__digest", "__epochs", "__blocks", "__order", "__spot", "__often", "__through", "__all")
+    return rows.drop("__digest", "__epochs", "__blocks", "__order", "__spot", "__number", "__through", "__all")

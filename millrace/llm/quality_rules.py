@@ -26,6 +26,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from millrace.llm.workspace import Workspace
+from millrace.operators.generate import bounded
+
 SPACES = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -135,7 +138,7 @@ def fences(measured: DataFrame, *, spread: int = 6, least: int = 200) -> DataFra
 
 def judge(measured: DataFrame, **options: int) -> DataFrame:
     """measured (from ``measures``, best saved first, as it is read twice) with ``kept``."""
-    limits = fences(measured, **options).withColumnsRenamed({"lang": "__lang", "source": "__source"})
-    joined = measured.join(limits, F.col("lang").eqNullSafe(F.col("__lang")) & F.col("source").eqNullSafe(F.col("__source")), "left").drop("__lang", "__source")
+    limits = Workspace(measured.sparkSession, "fences").save(fences(measured, **options).withColumnsRenamed({"lang": "__lang", "source": "__source"}), "limits")
+    joined = measured.join(bounded(limits), F.col("lang").eqNullSafe(F.col("__lang")) & F.col("source").eqNullSafe(F.col("__source")), "left").drop("__lang", "__source")
     under = reduce(lambda a, b: a & b, [rate(k) <= F.col(f"{k}_fence") for k in RATES])
     return joined.withColumn("kept", ~F.col("base_failed") & F.coalesce(under, F.lit(False)))

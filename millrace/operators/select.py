@@ -103,6 +103,15 @@ def largest_remainder(total: int, ratios: list[Decimal]) -> list[int]:
     return out
 
 
+def shares_of(total: Column, percents: list[int]) -> Column:
+    """The same as a column: an array of whole shares of total by percents (which add up to 100), in integer arithmetic."""
+    exact = F.array(*[F.struct((-(total * p % 100)).alias("rest"), F.lit(i).alias("i")) for i, p in enumerate(percents)])
+    whole = [((total * p - total * p % 100) / 100).cast("long") for p in percents]
+    left = (total - sum(whole[1:], whole[0])).cast("int")
+    extra = F.transform(F.slice(F.array_sort(exact), F.lit(1), F.greatest(left, F.lit(0))), lambda x: x["i"])
+    return F.array(*[w + F.array_contains(extra, F.lit(i)).cast("long") for i, w in enumerate(whole)])
+
+
 def composition(total: int, errorful: Decimal, splits: list[Decimal]) -> dict[str, list[int] | int]:
     """Errorful and identity rows, whole and by split."""
     wrong = int(Decimal(total) * errorful)

@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.text import edit_distance, osa_distance, with_normalised
+from millrace.functions.text import core, edit_distance, osa_distance, tokens, with_normalised
 from millrace.operators import contracts, evaluate, select
-from millrace.plans.common import EN_SQL, norm_sql, split_sentences, table
+from millrace.plans.common import EN_SQL, TOKENS_SQL, norm_sql, split_sentences, table
 from millrace.sources import resources
 
 NOISE = [("n1", "abbreviation", "w/", "with"), ("n2", "abbreviation", "4", "for"), ("n3", "slang", "da", "the"), ("n4", "slang", "dat", "that"), ("n5", "slang", "n", "and")]
-FEATURES = [("sulat", "nagsulat", "V;PFV;AF"), ("sulat", "sumulat", "V|PFV|AGFOC"), ("sulat", "isinulat", "V;PFV;PFOC"), ("sulat", "susulat", "V;PROSP;AF"), ("sulat", "sumusulat", "V;IPFV;AF"), ("sulat", "sulat", "V;NFIN"), ("sulat", "kasusulat", "V;STATE=RECCOMP"), ("basa", "bumasa", "V;PFV;AF"), ("basa", "basa", "N;SG"), ("basa", "babasa", "V;PROSP;AF")]
+BUNDLES = ["V;PFV;AF", "V|PFV|AGFOC", "V;PFV;PFOC", "V;PROSP;AF", "V;IPFV;AF", "V;NFIN", "V;STATE=RECCOMP", "N;SG", "INFINITIVE", "V;IMP;OF", "V;RECENT", "V;PRS;OBJECTFOCUS"]
 
 
 def _samples(spark: SparkSession, d: str) -> DataFrame:
@@ -146,19 +144,40 @@ def noise_replay(spark: SparkSession, d: str) -> DataFrame:
     return made.groupBy("category").agg(F.count("*").alias("n"), F.count_if(evaluate.apply_edits(F.col("noisy_text"), edit) == F.col("text")).alias("n_replayed"))
 
 
+def _featured(spark: SparkSession, d: str) -> DataFrame:
+    """Words of the English sentences as surfaces of a made paradigm: the lemma is their beginning, the feature bundle goes by their length."""
+    words = split_sentences(spark, d).select(F.explode(tokens(F.col("text"))).alias("t")).select(F.lower(core(F.col("t"))).alias("surface")).where(F.col("surface").rlike("^[a-z]+$")).distinct()
+    bundle = F.element_at(F.array(*[F.lit(f) for f in BUNDLES]), F.length("surface") % len(BUNDLES) + 1)
+    return words.select(F.left("surface", F.lit(2)).alias("lemma"), "surface", bundle.alias("features"))
+
+
 def feature_map(spark: SparkSession, d: str) -> DataFrame:
-    rows = spark.createDataFrame(FEATURES, "lemma string, surface string, features string")
-    return rows.select("lemma", "surface", resources.state_of(F.col("features")).alias("state"))
+    return _featured(spark, d).select("lemma", "surface", resources.state_of(F.col("features")).alias("state"))
 
 
 def resource_freeze_checks(spark: SparkSession, d: str) -> DataFrame:
-    rows = spark.createDataFrame(FEATURES, "lemma string, surface string, features string")
-    return resources.paradigm_report(rows.select("lemma", "surface", resources.state_of(F.col("features")).alias("state")).where("state is not null"), least=3)
+    mapped = _featured(spark, d).select("lemma", "surface", resources.state_of(F.col("features")).alias("state"))
+    return resources.paradigm_report(mapped.where("state is not null"), least=3)
 
 
 def largest_remainder(spark: SparkSession, d: str) -> DataFrame:
-    rows = [(t, *select.largest_remainder(t, [Decimal("0.70"), Decimal("0.15"), Decimal("0.15")])) for t in (10, 101, 830_000, 170_000, 7)]
-    return spark.createDataFrame(rows, "total long, train long, dev long, test long")
+    """The documents of each source shared out over the splits, whole and exact."""
+    held = table(spark, d, "documents").groupBy("source").agg(F.count("*").alias("total")).withColumn("s", select.shares_of(F.col("total"), [70, 15, 15]))
+    return held.select("source", "total", *[F.get("s", F.lit(i)).alias(name) for i, name in enumerate(("train", "dev", "test"))])
+
+
+def prediction_edit_faults(spark: SparkSession, d: str) -> DataFrame:
+    """Predictions with their edits, and a fault of every kind that edits can have planted by length: the first fault of each."""
+    c, n = F.col, F.length("gold")
+    r = _routed(spark, d)
+    tag = F.when(n % 13 == 4, F.lit(None).cast("string")).when(n % 13 == 5, "$UNKNOWN").otherwise("$DELETE")
+    edit = F.struct(F.lit(0).cast("long").alias("start"), F.length("gec_input").cast("long").alias("end"), F.when(n % 13 == 3, F.lit("?")).otherwise(c("gec_input")).alias("source"), c("gec_output").alias("target"), tag.alias("tag"))
+    made = r.select(
+        "sample_id", "condition", c("raw").alias("raw_input"), F.when(c("condition") == "B", _normalise(c("raw"))).when(c("condition") == "C", c("gold_normalised")).alias("normalizer_output"), "gec_input", F.when(n % 13 != 7, c("gec_output")).alias("gec_output"),
+        F.when(n % 13 != 7, F.array(edit)).alias("predicted_edits"), F.when(~(n % 13).isin(1, 7), F.array(F.when(n % 13 == 6, "$ADD_PUNC_PERIOD").otherwise(tag))).alias("predicted_tags"),
+        F.when(n % 13 == 2, "nowhere").otherwise("gec_input").alias("predicted_edits_coordinate_space"),
+    )
+    return contracts.route_faults(_samples(spark, d), made, tags=["$DELETE", "$ADD_PUNC_PERIOD"])
 
 
 def eval_composition(spark: SparkSession, d: str) -> DataFrame:
@@ -169,7 +188,7 @@ def eval_composition(spark: SparkSession, d: str) -> DataFrame:
     return types.groupBy(F.when(F.size("types") == 0, "clean_control").when(F.size("types") > 1, "mixed").otherwise(F.get("types", F.lit(0))).alias("kind")).agg(F.count("*").alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (route_abc, edit_metrics, edit_breakdown, metric_summary, prediction_faults, exact_rates, levenshtein_mean, osa_total, per_tag_metrics, missing_extra_keys, mcnemar, bootstrap_ci, noise_inject, noise_replay, feature_map, resource_freeze_checks, largest_remainder, eval_composition)}
+QUERIES = {f.__name__: f for f in (route_abc, edit_metrics, edit_breakdown, metric_summary, prediction_faults, exact_rates, levenshtein_mean, osa_total, per_tag_metrics, missing_extra_keys, mcnemar, bootstrap_ci, noise_inject, noise_replay, prediction_edit_faults, feature_map, resource_freeze_checks, largest_remainder, eval_composition)}
 
 _S = f"""{EN_SQL},
 samples AS (SELECT clean_id AS sample_id, publisher AS source, text AS gold, replace(replace(text, ' the ', ' da '), ' of ', ' in ') AS raw, replace(text, ' of ', ' in ') AS gold_normalised FROM en)"""
@@ -199,7 +218,8 @@ def _f(tp: str, fp: str, fn: str) -> str:
 
 
 _STATE = " ".join(f"WHEN {test} THEN '{state}'" for state, test in resources.STATE_SQL)
-_MAPPED = f"f(lemma, surface, features) AS (VALUES {', '.join(str(r) for r in FEATURES)}), g AS (SELECT *, string_split(upper(replace(features, '|', ';')), ';') AS fs FROM f), m AS (SELECT lemma, surface, CASE {_STATE} END AS state FROM g)"
+_MAPPED = f"""{TOKENS_SQL}, s AS (SELECT DISTINCT lower(core) AS surface FROM toks WHERE regexp_full_match(lower(core), '[a-z]+')),
+f AS (SELECT left(surface, 2) AS lemma, surface, {BUNDLES}[length(surface) % {len(BUNDLES)} + 1] AS features FROM s), g AS (SELECT *, string_split(upper(replace(features, '|', ';')), ';') AS fs FROM f), m AS (SELECT lemma, surface, CASE {_STATE} END AS state FROM g)"""
 ORACLES = {
     "route_abc": f"WITH {_R} SELECT sample_id, condition, gec_input, gec_output FROM routed",
     "exact_rates": f"WITH {_R} SELECT condition, count(*) AS n, count(*) FILTER (gec_output = gold) AS n_exact, sum({_DIFFERS.format('gec_input')})::BIGINT AS errors_before, sum({_DIFFERS.format('gec_output')})::BIGINT AS errors_after, count(*) FILTER (gec_input = gold AND gec_output <> gold) AS n_overcorrected FROM routed GROUP BY condition",
@@ -227,6 +247,10 @@ ORACLES = {
     "noise_replay": f"WITH {_NOISE} SELECT category, count(*) AS n, count(*) AS n_replayed FROM made GROUP BY category",
     "feature_map": f"WITH {_MAPPED} SELECT * FROM m",
     "resource_freeze_checks": f"WITH {_MAPPED}, k AS (SELECT * FROM m WHERE state IS NOT NULL) SELECT lemma, count(DISTINCT state) AS n_states, count(DISTINCT state) >= 3 AS enough, count(*) AS n_rows FROM k GROUP BY lemma",
-    "largest_remainder": "SELECT * FROM (VALUES (10, 7, 2, 1), (101, 71, 15, 15), (830000, 581000, 124500, 124500), (170000, 119000, 25500, 25500), (7, 5, 1, 1)) AS t(total, train, dev, test)",
+    "largest_remainder": """WITH t AS (SELECT source, count(*) AS total FROM documents GROUP BY source), p AS (SELECT source, total, unnest([0, 1, 2]) AS i, unnest([70, 15, 15]) AS p FROM t),
+        w AS (SELECT *, total * p // 100 AS whole, row_number() OVER (PARTITION BY source ORDER BY total * p % 100 DESC, i) AS place FROM p), l AS (SELECT *, total - sum(whole) OVER (PARTITION BY source) AS rest FROM w),
+        s AS (SELECT source, total, i, whole + CASE WHEN place <= rest THEN 1 ELSE 0 END AS n FROM l)
+        SELECT source, total, max(n) FILTER (i = 0)::BIGINT AS train, max(n) FILTER (i = 1)::BIGINT AS dev, max(n) FILTER (i = 2)::BIGINT AS test FROM s GROUP BY source, total""",
+    "prediction_edit_faults": f"WITH {_R}, l AS (SELECT sample_id, condition, length(gold) % 13 AS n FROM routed) SELECT sample_id, condition, ['tags_without_edits', 'unknown_coordinate_space', 'edits_do_not_replay', 'untagged_edit', 'unregistered_tag', 'tags_differ_from_edits', 'no_output'][n] AS fault FROM l WHERE n BETWEEN 1 AND 7",
     "eval_composition": f"WITH {_NOISE}, t AS (SELECT item_id, count(DISTINCT category) AS n, min(category) AS c FROM benchmark LEFT JOIN made ON item_id = sample_id GROUP BY item_id) SELECT CASE WHEN n = 0 THEN 'clean_control' WHEN n > 1 THEN 'mixed' ELSE c END AS kind, count(*) AS n FROM t GROUP BY 1",
 }

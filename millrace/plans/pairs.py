@@ -181,6 +181,45 @@ def candidate_gate(spark: SparkSession, d: str) -> DataFrame:
     return found.groupBy(F.coalesce("reject_code", F.lit("accepted")).alias("code")).agg(F.count("*").alias("n"))
 
 
+#: Planted faults of the gate by bucket, in the order in which the gate asks: every reject code has one; later buckets are sound.
+GATE_CODES = (
+    "unregistered_tag source_equals_target target_not_normalized source_not_normalized incomplete_morphology_provenance unexpected_morphology_provenance invalid_morphology_state "
+    "unsupported_morphology_target_state same_morphology_state morphology_resource_version_mismatch unknown_operation append_anchor_index_mismatch append_start_sentinel_missing "
+    "append_anchor_missing alignment_replay_failed alignment_span_mismatch"
+).split()
+
+
+def candidate_gate_codes(spark: SparkSession, d: str) -> DataFrame:
+    """The structural gate over all candidates with a fault of every kind planted by bucket, and sound verb forms and insertions: rows per tag and reject code."""
+    c = F.col
+    made = generate.with_replay(_candidates(spark, d)).withColumn("b", F.pmod(F.length("target_text") * 31 + F.coalesce("position", F.lit(0)), F.lit(20)))
+    at = lambda *names: c("b").isin(*[GATE_CODES.index(n) for n in names])
+    verb = c("b").isin(4, 6, 7, 8, 9, 16)
+    told = c("b").isin(6, 7, 8, 9, 16)
+    appended = c("b").isin(11, 12, 13, 17)
+    planted = made.select(
+        F.concat_ws(":", "clean_id", "tag", F.coalesce(c("position"), F.lit(-1)).cast("string")).alias("pair_id"),
+        c("tag").alias("was"),
+        F.when(at("unregistered_tag"), "$UNKNOWN").when(verb, "$TRANSFORM_VERB_BASE").otherwise(c("tag")).alias("tag"),
+        F.when(at("source_equals_target"), c("target_text")).when(at("source_not_normalized"), F.concat("source_text", F.lit(" "))).otherwise(c("source_text")).alias("source_text"),
+        F.when(at("target_not_normalized"), F.concat("target_text", F.lit("  x"))).otherwise(c("target_text")).alias("target_text"),
+        F.when(at("invalid_morphology_state"), "ODD").when(at("same_morphology_state"), "BASE").when(told, "COMPACT").alias("morphology_source_state"),
+        F.when(at("unsupported_morphology_target_state"), "IMPACT").when(told, "BASE").alias("morphology_target_state"),
+        F.when(told | at("unexpected_morphology_provenance"), "lemma").alias("morphology_lemma"),
+        F.when(at("morphology_resource_version_mismatch"), "2").when(told, "1").alias("morphology_resource_version"),
+        F.when(at("unknown_operation"), "melt").when(appended, "append").otherwise("replace").alias("operation"),
+        F.when(at("append_anchor_index_mismatch"), "previous_token").when(c("b").isin(12, 17), "$START").alias("append_anchor"),
+        F.when(appended, "prepend").alias("append_position"),
+        F.when(c("b") == 17, "$START").alias("append_sentinel"),
+        F.when(at("append_anchor_index_mismatch"), 1).cast("long").alias("append_index_anchor"),
+        F.when(at("append_anchor_index_mismatch"), 1).cast("long").alias("target_token_index"),
+        F.when(at("alignment_span_mismatch"), "0:1").otherwise("0:2").alias("spans"),
+        F.when(at("alignment_replay_failed"), F.lit("lost")).otherwise(c("again")).alias("again"),
+    )
+    found = contracts.candidate_codes(planted, [t for t, _ in ENGLISH.tags], c("again"), morphology_version="1", replayed_spans=F.lit("0:2"))
+    return found.groupBy(F.coalesce("reject_code", F.lit("accepted")).alias("code")).agg(F.count("*").alias("n"))
+
+
 def pair_contract(spark: SparkSession, d: str) -> DataFrame:
     """The contract of errorful and identity rows over the final dataset, with planted faults."""
     c, n = F.col, F.length("target_text")
@@ -201,7 +240,7 @@ QUERIES = {
     "gen_add_punct": _kind("add_mark"),
     "gen_case_cap": _kind("case_capital"),
     "gen_case_lower": _kind("case_lower"),
-} | {f.__name__: f for f in (gen_change_punct, gen_construction, gen_morphology, replay_check, capacity_census, shard_capacity, topk_rank_per_group, review_sample, quota_selection, greedy_quota_selection, overflow_refill, identity_rows, final_dataset, stage_views, provenance_mismatch, diagnostics_tags, diagnostics_publishers, telemetry_rollup, candidate_gate, pair_contract)}
+} | {f.__name__: f for f in (gen_change_punct, gen_construction, gen_morphology, replay_check, capacity_census, shard_capacity, topk_rank_per_group, review_sample, quota_selection, greedy_quota_selection, overflow_refill, identity_rows, final_dataset, stage_views, provenance_mismatch, diagnostics_tags, diagnostics_publishers, telemetry_rollup, candidate_gate, candidate_gate_codes, pair_contract)}
 
 _PLACED = f"""{RANKED_SQL},
 uniq AS (SELECT * FROM ranked QUALIFY row_number() OVER (PARTITION BY source_text, target_text ORDER BY split, tag, rank, pair_id) = 1),
@@ -251,6 +290,7 @@ ORACLES = {
         f AS (SELECT CASE WHEN n % 31 = 0 THEN 'unregistered_tag' WHEN n % 37 = 0 AND n % 41 <> 0 THEN 'source_equals_target' WHEN n % 41 = 0 THEN 'target_not_normalized' WHEN n % 47 = 0 THEN 'unexpected_morphology_provenance'
             WHEN n % 43 = 0 THEN 'unknown_operation' WHEN n % 53 = 0 THEN 'alignment_replay_failed' ELSE 'accepted' END AS code FROM n)
         SELECT code, count(*) AS n FROM f GROUP BY code""",
+    "candidate_gate_codes": f"WITH {CANDIDATES_SQL} SELECT CASE WHEN b < 16 THEN {GATE_CODES}[b + 1] ELSE 'accepted' END AS code, count(*) AS n FROM (SELECT (length(target_text) * 31 + coalesce(position, 0)) % 20 AS b FROM candidates) GROUP BY 1",
     "pair_contract": f"""WITH {_FINAL}, r AS (SELECT *, length(target_text) AS n, CASE WHEN NOT is_errorful AND length(target_text) % 7 = 0 THEN target_text || '!' ELSE target_text END AS t, CASE WHEN length(target_text) % 23 = 0 THEN target_text ELSE source_text END AS s FROM final),
         f AS (SELECT pair_id, concat_ws(',', CASE WHEN n % 19 = 0 THEN 'unknown_split' END, CASE WHEN is_errorful AND s = t THEN 'errorful_texts' END, CASE WHEN is_errorful AND n % 29 = 0 THEN 'errorful_count' END,
             CASE WHEN NOT is_errorful AND s <> t THEN 'identity_changed' END, CASE WHEN NOT is_errorful AND n % 29 = 0 THEN 'identity_count' END) AS faults FROM r)

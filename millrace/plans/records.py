@@ -152,7 +152,25 @@ def frozen_digest(spark: SparkSession, d: str) -> DataFrame:
     return held.select("lang", frozen.row_hash(held).alias("h")).groupBy("lang").agg(F.count("*").alias("rows"), part(0), part(7))
 
 
-QUERIES = {f.__name__: f for f in (first_come_selection, first_come_rejections, operation_spans, token_offsets, json_line_numbers, ordered_output, diagnostics_report, telemetry_samples, noise_mixed, leakage_mixed, frozen_digest)}
+def sentence_metadata(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of documents as sentences with articles and sources: staged, with a hash of their metadata as JSON."""
+    docs, c = table(spark, d, "documents"), F.col
+    lines = docs.select("doc_id", "lang", "source", F.posexplode(F.split("text", "\n")).alias("pos", "said"))
+    none = lambda kind: F.lit(None).cast(kind)
+    sentences = lines.select(
+        F.concat_ws(":", c("doc_id").cast("string"), c("pos").cast("string")).alias("sentence_id"), c("doc_id").cast("string").alias("article_id"), c("source").alias("source_id"), c("said").alias("sentence_text"), none("string").alias("normalized_text"), c("lang").alias("language"),
+        ((c("doc_id") % 100) / 100.0).alias("language_confidence"), F.size(F.split("said", " ")).alias("token_count"), none("double").alias("quality_score"), c("said").startswith('"').cast("int").alias("is_quote"), (c("pos") == 0).cast("int").alias("is_headline"), F.sha2("said", 256).alias("content_hash"),
+        (c("doc_id") % 97 == 0).cast("int").alias("is_duplicate"), none("string").alias("duplicate_group_id"),
+    )
+    url = F.concat(F.lit("https://"), F.coalesce("source", F.lit("x")), F.lit("/"), c("doc_id").cast("string"))
+    articles = docs.where("doc_id % 11 <> 0").select(c("doc_id").cast("string").alias("article_id"), F.when(c("doc_id") % 7 != 0, url).otherwise("").alias("url"), F.when(c("doc_id") % 2 == 0, "").otherwise(F.upper(url)).alias("canonical_url"), none("string").alias("publication_date"), F.element_at(F.split("text", "\n"), 1).alias("headline"))
+    names = docs.select("source").distinct().where("source is not null")
+    sources = names.select(c("source").alias("source_id"), F.when(F.length("source") % 2 == 0, F.upper("source")).otherwise("").alias("name"), F.concat("source", F.lit(".example")).alias("domain"))
+    staged = readers.staged(readers.sentence_rows(sentences, articles, sources))
+    return staged.select("clean_id", "publisher", "source_doc_id", "url_hash", F.sha2("metadata_json", 256).alias("metadata_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (first_come_selection, first_come_rejections, operation_spans, token_offsets, json_line_numbers, ordered_output, diagnostics_report, telemetry_samples, noise_mixed, leakage_mixed, frozen_digest, sentence_metadata)}
 
 _FIRST = f"""{CANDIDATES_SQL},
 ordered AS (SELECT *, source_doc_id::BIGINT AS doc, split_part(clean_id, ':', 2)::BIGINT AS line, coalesce(position, -1)::BIGINT AS spot FROM candidates),
@@ -215,6 +233,15 @@ ORACLES = {
             UNION SELECT 'id', n_nationkey::VARCHAR FROM nation UNION SELECT 'text', n_name FROM nation),
         o AS (SELECT 'id' AS kind, doc_id::VARCHAR AS value FROM documents UNION SELECT 'text', text FROM documents)
         SELECT kind, count(*) AS n_external, count(*) FILTER ((kind, value) IN (SELECT (kind, value) FROM o)) AS n_leaked FROM e WHERE value <> '' GROUP BY kind""",
+    "sentence_metadata": f"""WITH l AS (SELECT doc_id, lang, source, unnest(string_split(text, chr(10))) AS said, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents),
+        s AS (SELECT doc_id::VARCHAR || ':' || pos AS sentence_id, doc_id::VARCHAR AS article_id, source AS source_id, said AS sentence_text, lang AS language, (doc_id % 100) / 100.0::DOUBLE AS language_confidence, len(string_split(said, ' ')) AS token_count, NULL AS quality_score,
+            starts_with(said, '"')::INT AS is_quote, (pos = 0)::INT AS is_headline, sha256(said) AS content_hash, (doc_id % 97 = 0)::INT AS is_duplicate, NULL AS duplicate_group_id FROM l),
+        u AS (SELECT doc_id::VARCHAR AS article_id, CASE WHEN doc_id % 7 <> 0 THEN url ELSE '' END AS article_url, CASE WHEN doc_id % 2 = 0 THEN '' ELSE upper(url) END AS canonical_url, NULL AS publication_date, string_split(text, chr(10))[1] AS headline
+            FROM (SELECT *, 'https://' || coalesce(source, 'x') || '/' || doc_id AS url FROM documents) WHERE doc_id % 11 <> 0),
+        n AS (SELECT DISTINCT source AS source_id, CASE WHEN length(source) % 2 = 0 THEN upper(source) ELSE '' END AS source_name, source || '.example' AS source_domain FROM documents WHERE source IS NOT NULL),
+        j AS (SELECT * FROM s LEFT JOIN u USING (article_id) LEFT JOIN n USING (source_id))
+        SELECT sentence_id AS clean_id, coalesce(nullif(source_name, ''), source_domain) AS publisher, article_id AS source_doc_id, sha256(coalesce(nullif(canonical_url, ''), nullif(article_url, ''))) AS url_hash,
+            sha256('{{' || concat_ws(', ', {', '.join(f"""'"{k}": ' || coalesce(to_json({k})::VARCHAR, 'null')""" for k in sorted(readers.METADATA))}) || '}}') AS metadata_sha256 FROM j""",
     "frozen_digest": """WITH h AS (SELECT lang, sha256('{"doc_id":' || doc_id || ',"lang":' || to_json(lang) || ',"n_chars":' || n_chars || ',"source":' || to_json(source) || '}') AS h FROM documents)
         SELECT lang, count(*) AS rows, sum(('0x' || substr(h, 1, 8))::BIGINT)::BIGINT AS sum_0, sum(('0x' || substr(h, 57, 8))::BIGINT)::BIGINT AS sum_7 FROM h GROUP BY lang""",
 }

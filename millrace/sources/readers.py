@@ -5,7 +5,7 @@ from __future__ import annotations
 import sqlite3
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
@@ -89,6 +89,42 @@ def catalogue(path: str) -> list[dict]:
     return out
 
 
+# What is known of a sentence, by the table it comes from, and what of it is metadata.
+SENTENCE_COLUMNS = "sentence_id article_id source_id sentence_text normalized_text language language_confidence token_count quality_score is_quote is_headline content_hash is_duplicate duplicate_group_id".split()
+ARTICLE_COLUMNS = {"url": "article_url", "canonical_url": "canonical_url", "publication_date": "publication_date", "headline": "headline"}
+SOURCE_COLUMNS = {"name": "source_name", "domain": "source_domain"}
+METADATA = "sentence_id article_id source_id sentence_text language language_confidence token_count quality_score is_quote is_headline content_hash is_duplicate duplicate_group_id article_url canonical_url publication_date headline source_name source_domain".split()
+# End of fixed values.
+
+
+def sentence_rows(sentences: DataFrame, articles: DataFrame, sources: DataFrame) -> DataFrame:
+    """Sentences with all that is known of them, their article and their source (20 columns, and ``sqlite_rowid`` where sentences have it); neither of the two has to exist.
+
+    No order: sinks that need one sort (``positions.write_ordered``).
+    """
+    a = articles.select("article_id", *[F.col(c).alias(to) for c, to in ARTICLE_COLUMNS.items()])
+    s = sources.select("source_id", *[F.col(c).alias(to) for c, to in SOURCE_COLUMNS.items()])
+    row = [c for c in ("sqlite_rowid",) if c in sentences.columns]
+    joined = sentences.select(*row, *SENTENCE_COLUMNS).join(a, "article_id", "left").join(s, "source_id", "left")
+    return joined.select(*row, *SENTENCE_COLUMNS, *ARTICLE_COLUMNS.values(), *SOURCE_COLUMNS.values())
+
+
+def metadata_json(columns: list[str] = METADATA) -> Column:
+    """The columns as one JSON object with sorted keys, nulls written out, letters of all scripts as they are, and a space after each comma and colon.
+
+    Numbers and strings are written by Spark's own JSON: control characters have capital hex digits, very large and very small numbers an exponent.
+    """
+    value = lambda c: F.coalesce(F.regexp_replace(F.to_json(F.array(F.col(c)), {"ignoreNullFields": "false"}), "(?s)^\\[(.*)\\]$", "$1"), F.lit("null"))
+    return F.concat(F.lit("{"), F.concat_ws(", ", *[F.concat(F.lit(f'"{c}": '), value(c)) for c in sorted(columns)]), F.lit("}"))
+
+
+def staged(rows: DataFrame) -> DataFrame:
+    """What the gate works on: clean_id, raw_text, publisher (name, or else domain), source_doc_id, published_at, url_hash (of the canonical URL, or else the article's) and metadata_json."""
+    blank = lambda c: F.when(F.col(c) != "", F.col(c))
+    url = F.coalesce(blank("canonical_url"), blank("article_url"))
+    return rows.select(F.col("sentence_id").alias("clean_id"), F.col("sentence_text").alias("raw_text"), F.coalesce(blank("source_name"), F.col("source_domain")).alias("publisher"), F.col("article_id").alias("source_doc_id"), F.col("publication_date").alias("published_at"), F.sha2(url, 256).alias("url_hash"), metadata_json().alias("metadata_json"))
+
+
 def sentence_scan(sentences: DataFrame, articles: DataFrame, sources: DataFrame) -> DataFrame:
     """Sentences with what is known of their article and publisher; neither has to exist."""
     joined = sentences.join(articles.withColumnsRenamed({"source_id": "article_source_id"}), "article_id", "left").join(sources, "source_id", "left")
@@ -247,4 +283,4 @@ def read_views(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(published_path(spark, target))
 
 
-__all__ = ["Blocked", "SqliteSource", "blocked", "catalogue", "export_gate", "external_keys", "external_scan", "integrity", "json_line_faults", "publish", "read_export", "read_json_lines", "read_predictions", "read_sqlite", "read_views", "sentence_scan", "write_views"]
+__all__ = ["Blocked", "SqliteSource", "blocked", "catalogue", "export_gate", "external_keys", "external_scan", "integrity", "json_line_faults", "metadata_json", "publish", "read_export", "read_json_lines", "read_predictions", "read_sqlite", "read_views", "sentence_rows", "sentence_scan", "staged", "write_views"]

@@ -337,3 +337,28 @@ def test_addresses_with_any_letters_are_found(spark):
     rows = [("sulat kay josé@x.com", True), ("a@b", False), ("ñ_1@é.org", True), ("WWW.x", True)]
     got = spark.createDataFrame(rows, "t string, w boolean").select(F.col("t").rlike(URL_OR_EMAIL).alias("g"), "w").collect()
     assert all(r.g == r.w for r in got)
+
+
+def test_metadata_is_json_with_sorted_keys_and_nulls(spark):
+    words = {k: [None] for k in readers.SENTENCE_COLUMNS}
+    words |= {"sentence_id": ["s"], "article_id": ["a"], "source_id": ["z"], "sentence_text": ['Ang "ñ" [at]\n漢字 \\ /'], "language_confidence": [0.5], "token_count": [3], "is_duplicate": [0]}
+    kinds = {"language_confidence": "double", "token_count": "bigint", "is_duplicate": "int"}
+    sentences = spark.createDataFrame([tuple(v[0] for v in words.values())], ", ".join(f"{k} {kinds.get(k, 'string')}" for k in words))
+    articles = spark.createDataFrame([("a", "u", "", "2026-01-01", None)], "article_id string, url string, canonical_url string, publication_date string, headline string")
+    sources = spark.createDataFrame([("other", "n", "d")], "source_id string, name string, domain string")
+    rows = readers.sentence_rows(sentences, articles, sources)
+    assert len(rows.columns) == 20
+    got = readers.staged(rows).first()
+    wanted = {k: words.get(k, [None])[0] for k in readers.METADATA} | {"article_url": "u", "canonical_url": "", "publication_date": "2026-01-01"}
+    assert got.metadata_json == json.dumps(wanted, ensure_ascii=False, sort_keys=True) and len(wanted) == 19
+    assert got.publisher is None and got.url_hash is not None
+
+
+def test_shares_are_whole_and_exact(spark):
+    from decimal import Decimal
+
+    from millrace.operators import select
+
+    totals = [0, 1, 7, 10, 101, 830_000, 170_003, 10**12 + 7]
+    got = {r.n: r.s for r in spark.createDataFrame([(n,) for n in totals], "n long").withColumn("s", select.shares_of(F.col("n"), [70, 15, 15])).collect()}
+    assert all(got[n] == select.largest_remainder(n, [Decimal("0.70"), Decimal("0.15"), Decimal("0.15")]) for n in totals)

@@ -156,6 +156,50 @@ def route(samples: DataFrame, normalise: Callable[[Column], Column], correct: Ca
     return out.withColumn("gec_input", fed).withColumn("gec_output", correct(F.col("gec_input")))
 
 
+# The longer names of the routes.
+ROUTES = {"raw_to_gec": "A", "raw_to_normalizer_to_gec": "B", "oracle_normalized_to_gec": "C"}
+# End of fixed values.
+
+
+def with_prediction(df: DataFrame, column: str, *, output: str, tags: str | None = None, edits: str | None = None) -> DataFrame:
+    """df with what a model's column says in the names given, and without that column.
+
+    A model returns a text, or a struct of ``text`` (or ``output``) with or without ``predicted_tags`` and ``predicted_edits``, or a tuple of the three or the first two
+    (a struct of ``_1``, ``_2``, ``_3``). Any other shape is refused before anything runs; tags and edits that it doesn't return are null.
+    """
+    kind = df.schema[column].dataType
+    fields = {f.name: f.dataType for f in kind.fields} if isinstance(kind, StructType) else {}
+    text = next((n for n in ("text", "output", "_1") if n in fields), None)
+    if not isinstance(kind, StringType) and not (text and isinstance(fields[text], StringType)):
+        raise ValueError(f"a model returns a text, or a struct or tuple that begins with one, not {kind.simpleString()}")
+    out = df.withColumn(output, F.col(column) if text is None else F.col(column)[text])
+    for to, names, none in ((tags, ("predicted_tags", "_2"), "array<string>"), (edits, ("predicted_edits", "_3"), "array<struct<start:bigint,end:bigint,source:string,target:string,tag:string>>")):
+        if to is not None:
+            held = next((n for n in names if n in fields), None)
+            out = out.withColumn(to, F.lit(None).cast(none) if held is None else F.col(column)[held])
+    return out.drop(column)
+
+
+def predict(samples: DataFrame, normalise: Callable[[Column], Column], correct: Callable[[Column], Column], *, conditions: tuple[str, ...] = ("A", "B", "C"), versions: dict[str, str] | None = None) -> DataFrame:
+    """Predictions of samples(sample_id, raw, gold_normalised) under each condition, by models of any shape (``with_prediction``), once per condition however it is named.
+
+    Each has what its route says (raw_input, normalizer_output for B and the gold one for C, gec_input), gec_output, tags and edits if the corrector gives them, and the
+    versions it is bound to. Samples without id or texts fail the job.
+    """
+    wanted = list(dict.fromkeys(ROUTES.get(c, c) for c in conditions))
+    if unknown := [c for c in wanted if c not in ROUTES.values()]:
+        raise ValueError(f"unknown conditions: {unknown}")
+    c = F.col
+    whole = F.coalesce(c("sample_id").cast("string") != "", F.lit(False)) & c("raw").isNotNull() & c("gold_normalised").isNotNull()
+    rows = samples.where(F.when(whole, F.lit(True)).otherwise(F.raise_error(F.lit("a sample needs an id, a raw text and a gold normalisation")).cast("boolean")))
+    rows = rows.withColumn("condition", F.explode(F.array(*[F.lit(x) for x in wanted]))).withColumn("__n", normalise(c("raw")))
+    rows = with_prediction(rows, "__n", output="__normalised")
+    b, oracle = c("condition") == "B", c("condition") == "C"
+    rows = rows.withColumns({"raw_input": c("raw"), "normalizer_output": F.when(b, c("__normalised")).when(oracle, c("gold_normalised")), "gec_input": F.when(b, c("__normalised")).when(oracle, c("gold_normalised")).otherwise(c("raw"))}).drop("__normalised")
+    rows = with_prediction(rows.withColumn("__g", correct(c("gec_input"))), "__g", output="gec_output", tags="predicted_tags", edits="predicted_edits")
+    return rows.withColumns({k: F.lit(v) for k, v in (versions or {}).items()})
+
+
 def key_faults(samples: DataFrame, predictions: DataFrame) -> DataFrame:
     """(sample_id, condition, fault) of expected keys that are missing, and of extra or repeated ones."""
     wanted = samples.select("sample_id", F.explode(F.array(F.lit("A"), F.lit("B"), F.lit("C"))).alias("condition"))

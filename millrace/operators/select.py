@@ -36,6 +36,24 @@ def top_k(df: DataFrame, by: list[str], k: int, order: list[str]) -> DataFrame:
     return df.withColumn("n", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("n") <= k).drop("n")
 
 
+def reserve_of(quota: int) -> int:
+    """How many ranked candidates a group holds for its quota: a quarter more, at least 8 and at most 1000 more."""
+    return quota + max(8, min(1000, quota // 4))
+
+
+def ranked_reserve(df: DataFrame, quotas: dict[tuple[str, str], int]) -> DataFrame:
+    """The reserve of each (split, tag) of df(split, tag, rank, pair_id, ...): its least ranks, rows that repeat a pair_id once.
+
+    The greatest reserve is a literal, so that groups are limited before they are sorted whole.
+    """
+    table = df.sparkSession.createDataFrame([(*k, reserve_of(q)) for k, q in quotas.items()], "split string, tag string, __reserve int")  # splits * tags rows
+    keys = ["split", "tag", "rank", "pair_id"]
+    once = df.groupBy(*keys).agg(F.min(F.struct(F.lit(0).alias("__"), *[c for c in df.columns if c not in keys])).alias("__row"))
+    most = max((reserve_of(q) for q in quotas.values()), default=0)
+    best = once.withColumn("__n", F.row_number().over(Window.partitionBy("split", "tag").orderBy("rank", "pair_id"))).where(F.col("__n") <= most)
+    return best.join(F.broadcast(table), ["split", "tag"]).where("__n <= __reserve").select(*keys, "__row.*").drop("__")
+
+
 def keyed(df: DataFrame) -> DataFrame:
     """(split, tag, rank, clean_id, p, q) of ranked candidates: pairs are told apart by 128 bits of hash."""
     return df.select("split", "tag", "rank", "clean_id", F.xxhash64("source_text", "target_text").alias("p"), F.xxhash64("target_text", "source_text").alias("q"))

@@ -37,6 +37,17 @@ def route_abc(spark: SparkSession, d: str) -> DataFrame:
     return _routed(spark, d).select("sample_id", "condition", "gec_input", "gec_output")
 
 
+def routed_predictions(spark: SparkSession, d: str) -> DataFrame:
+    """Predictions by a corrector that returns a text with tags and a normaliser that returns a tuple."""
+
+    def tagged(text: Column) -> Column:
+        said = _correct(text)
+        return F.struct(said.alias("text"), F.when(said != text, F.array(F.lit("$REPLACE_of"))).otherwise(F.array().cast("array<string>")).alias("predicted_tags"))
+
+    made = evaluate.predict(_samples(spark, d), lambda t: F.struct(_normalise(t).alias("_1"), F.lit(None).cast("array<string>").alias("_2")), tagged, conditions=("A", "raw_to_normalizer_to_gec", "C", "raw_to_gec"), versions={"gec_version": "g"})
+    return made.select("sample_id", "condition", "raw_input", "normalizer_output", "gec_input", "gec_output", F.concat_ws(",", "predicted_tags").alias("tags"), "gec_version")
+
+
 def edit_metrics(spark: SparkSession, d: str) -> DataFrame:
     return evaluate.scores(evaluate.with_edit_counts(_routed(spark, d), "raw", "gold", "gec_output"), "condition")
 
@@ -188,7 +199,7 @@ def eval_composition(spark: SparkSession, d: str) -> DataFrame:
     return types.groupBy(F.when(F.size("types") == 0, "clean_control").when(F.size("types") > 1, "mixed").otherwise(F.get("types", F.lit(0))).alias("kind")).agg(F.count("*").alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (route_abc, edit_metrics, edit_breakdown, metric_summary, prediction_faults, exact_rates, levenshtein_mean, osa_total, per_tag_metrics, missing_extra_keys, mcnemar, bootstrap_ci, noise_inject, noise_replay, prediction_edit_faults, feature_map, resource_freeze_checks, largest_remainder, eval_composition)}
+QUERIES = {f.__name__: f for f in (route_abc, routed_predictions, edit_metrics, edit_breakdown, metric_summary, prediction_faults, exact_rates, levenshtein_mean, osa_total, per_tag_metrics, missing_extra_keys, mcnemar, bootstrap_ci, noise_inject, noise_replay, prediction_edit_faults, feature_map, resource_freeze_checks, largest_remainder, eval_composition)}
 
 _S = f"""{EN_SQL},
 samples AS (SELECT clean_id AS sample_id, publisher AS source, text AS gold, replace(replace(text, ' the ', ' da '), ' of ', ' in ') AS raw, replace(text, ' of ', ' in ') AS gold_normalised FROM en)"""
@@ -222,6 +233,7 @@ _MAPPED = f"""{TOKENS_SQL}, s AS (SELECT DISTINCT lower(core) AS surface FROM to
 f AS (SELECT left(surface, 2) AS lemma, surface, {BUNDLES}[length(surface) % {len(BUNDLES)} + 1] AS features FROM s), g AS (SELECT *, string_split(upper(replace(features, '|', ';')), ';') AS fs FROM f), m AS (SELECT lemma, surface, CASE {_STATE} END AS state FROM g)"""
 ORACLES = {
     "route_abc": f"WITH {_R} SELECT sample_id, condition, gec_input, gec_output FROM routed",
+    "routed_predictions": f"WITH {_R} SELECT sample_id, condition, raw AS raw_input, CASE condition WHEN 'B' THEN replace(raw, ' da ', ' the ') WHEN 'C' THEN gold_normalised END AS normalizer_output, gec_input, gec_output, CASE WHEN gec_output <> gec_input THEN '$REPLACE_of' ELSE '' END AS tags, 'g' AS gec_version FROM routed",
     "exact_rates": f"WITH {_R} SELECT condition, count(*) AS n, count(*) FILTER (gec_output = gold) AS n_exact, sum({_DIFFERS.format('gec_input')})::BIGINT AS errors_before, sum({_DIFFERS.format('gec_output')})::BIGINT AS errors_after, count(*) FILTER (gec_input = gold AND gec_output <> gold) AS n_overcorrected FROM routed GROUP BY condition",
     "levenshtein_mean": f"WITH {_R} SELECT condition, sum(levenshtein({_ASCII.format('gec_output')}, {_ASCII.format('gold')}))::BIGINT AS total, count(*) AS n FROM routed GROUP BY condition",
     "prediction_faults": f"""WITH {_R}, l AS (SELECT *, length(gold) AS n FROM routed), f AS (SELECT CASE WHEN n % 17 = 0 THEN 'x' || sample_id ELSE sample_id END AS sample_id, condition, CASE WHEN n % 17 = 0 THEN 'unknown_sample' WHEN n % 31 = 0 THEN 'bound_to_other_gec_version' WHEN n % 37 = 0 THEN 'no_model_version'

@@ -150,3 +150,26 @@ def test_exports(spark, tmp_path):
     assert why.value.report["unique_texts"] == 3 and (tmp_path / "twice.blocked.json").exists() and not (tmp_path / "twice").exists()
     (tmp_path / "x.jsonl").write_text('{"a": 1}\n\n[1]\n{"a": \n')
     assert sorted((r.line, r.fault) for r in readers.json_line_faults(spark, str(tmp_path / "x.jsonl")).collect()) == [(3, "not an object"), (4, "invalid JSON")]
+
+
+def test_models_of_any_shape(spark):
+    samples = spark.createDataFrame([("1", "a b", "a c")], "sample_id string, raw string, gold_normalised string")
+    edit = "array<struct<start:bigint,end:bigint,source:string,target:string,tag:string>>"
+    shapes = {
+        "text": (lambda t: F.upper(t), None, None),
+        "mapping": (lambda t: F.struct(F.upper(t).alias("text"), F.array(F.lit("$X")).alias("predicted_tags")), ["$X"], None),
+        "output": (lambda t: F.struct(F.upper(t).alias("output"), F.lit(None).cast(edit).alias("predicted_edits")), None, None),
+        "pair": (lambda t: F.struct(F.upper(t).alias("_1"), F.array(F.lit("$Y")).alias("_2")), ["$Y"], None),
+        "triple": (lambda t: F.struct(F.upper(t).alias("_1"), F.array(F.lit("$Y")).alias("_2"), F.array().cast(edit).alias("_3")), ["$Y"], []),
+    }
+    for model, tags, edits in shapes.values():
+        got = {r.condition: r for r in evaluate.predict(samples, lambda t: F.concat(t, F.lit("!")), model, conditions=("C", "raw_to_gec", "B", "A"), versions={"gec_version": "7"}).collect()}
+        assert {k: (r.raw_input, r.normalizer_output, r.gec_input, r.gec_output) for k, r in got.items()} == {"A": ("a b", None, "a b", "A B"), "B": ("a b", "a b!", "a b!", "A B!"), "C": ("a b", "a c", "a c", "A C")}
+        assert all(r.predicted_tags == tags and r.predicted_edits == edits and r.gec_version == "7" for r in got.values())
+    for bad in (lambda t: F.length(t), lambda t: F.struct(F.length(t).alias("text")), lambda t: F.array(t)):
+        with pytest.raises(ValueError, match="model"):
+            evaluate.predict(samples, F.upper, bad)
+    with pytest.raises(ValueError, match="conditions"):
+        evaluate.predict(samples, F.upper, F.upper, conditions=("D",))
+    with pytest.raises(Exception, match="a sample needs"):
+        evaluate.predict(samples.withColumn("raw", F.lit(None).cast("string")), F.upper, F.upper).collect()

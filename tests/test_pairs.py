@@ -107,3 +107,14 @@ def test_greedy_quotas_are_filled_past_any_number_of_collisions(spark):
     df = spark.createDataFrame(rows, "split string, tag string, rank string, pair_id string, source_text string, target_text string")
     got = select.greedy_quota_select(df, {("train", "a"): 50, ("train", "b"): 50, ("train", "c"): 5}, ["rank", "pair_id"], spare=2).collect()
     assert sorted((r.tag, r["rank"]) for r in got) == [("a", f"{k:04d}") for k in range(50)] + [("b", f"{k:04d}") for k in range(50, 100)]
+
+
+def test_reserves_hold_the_least_ranks_of_distinct_pairs(spark):
+    assert [select.reserve_of(q) for q in (0, 5, 100, 40_000)] == [8, 13, 125, 41_000]
+    rng = random.Random(2)
+    rows = [(rng.choice(["train", "dev"]), rng.choice(["a", "b"]), f"{k:05d}", f"p{k}", "x") for k in range(300) for _ in range(rng.randint(1, 3))]
+    rng.shuffle(rows)
+    quotas = {("train", "a"): 5, ("dev", "b"): 40}
+    got = select.ranked_reserve(spark.createDataFrame(rows, "split string, tag string, rank string, pair_id string, more string"), quotas).collect()
+    wanted = [(*g, *p) for g, q in quotas.items() for p in sorted({r[2:4] for r in rows if r[:2] == g})[: select.reserve_of(q)]]
+    assert sorted((r.split, r.tag, r["rank"], r.pair_id) for r in got) == sorted(wanted)

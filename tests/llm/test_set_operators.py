@@ -346,7 +346,13 @@ def test_every_registered_query(spark, tmp_path):
     spark.createDataFrame([(i, i % 3 and 1, int(i % 5 == 0)) for i in range(150)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([(i, [rng.gauss(0, 1) for _ in range(8)]) for i in range(100)], "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
     spark.createDataFrame([(1, "u", "<article><p>a b c d e f</p></article>"), (2, "v", None)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    turns = [(c, t, rng.choice(["user", "assistant"]), rng.choice(["Yes.", "No, it is", "Well!"]) + str(t % 3)) for c in range(20) for t in range(6)]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     out = {name: query(spark, str(tmp_path)).collect() for name, query in entry.QUERIES.items()}
+    assert len(out["op11_whitening"]) == 400 and {r.component for r in out["op11_whitening"]} == {1, 2, 3, 4} and out["op11_whitening"][0].identity_error < 1e-4
+    assert isinstance(out["op11_whitening"][0].deviation, int) and {r.n for r in out["op11_whitening"]} == {100}
+    assert {r.conv_id for r in out["op12_conversation_repair"]} == set(range(20)) and all(len(r.repaired_sha256) == 64 and set(r.audit) <= set("DIKR") for r in out["op12_conversation_repair"])
+    assert len(out["op13_simhash"]) == 151 and all(len(r.fingerprint) == 16 for r in out["op13_simhash"]) and [r.fingerprint for r in out["op13_simhash"] if r.doc_id == 150] == ["0" * 16]
     texts, fold = {i: t or "" for i, t, *_ in rows}, lambda i: zlib.crc32(str(i).encode()) % 5 == 0
     tokenizer = Tokenizer.from_file(str(public_tokenizers.path("word_bpe_49k.json")))
     for r in out["op1_packing"]:
@@ -357,7 +363,8 @@ def test_every_registered_query(spark, tmp_path):
         assert {r.doc_id for r in out[name]} == set(texts)
         assert all(r.held_out == fold(r.doc_id) and r.predicted == int(r.score >= least) and 0 <= r.score <= 1 for r in out[name])
     for r in out["op10_secret_scan"]:
-        spans = [(m.start(), m.end(), k) for k, p in enumerate((r"(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]{12,}", r"AKIA[A-Z0-9]{14,}", r"[0-9a-f]{16,}")) for m in re.finditer(p, texts[r.doc_id])]
+        base = ((r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 12, re.IGNORECASE | re.ASCII), (r"AKIA[A-Z0-9]+()", 18, 0), (r"[0-9a-f]+()", 16, 0))
+        spans = [(m.start(), m.end(), k) for k, (p, least, flags) in enumerate(base) for m in re.finditer(p, texts[r.doc_id], flags) if len(m[2] if k == 0 else m[0]) >= least]
         said = ",".join(f"{('assign', 'access', 'hex')[k]}:{s}:{e}" for s, e, k in sorted(spans, key=lambda x: (x[0], x[2])))
         assert r.base_sha256 == hashlib.sha256(said.encode()).hexdigest() and (r.n_assign, r.n_hex) == (sum(k == 0 for *_, k in spans), sum(k == 2 for *_, k in spans))
     assert [(r.query_id, r["rank"]) for r in sorted(out["op5_nearest_neighbours"], key=lambda r: (r.query_id, r["rank"]))] == [(q, k) for q in range(0, 100, 20) for k in range(1, 21)]

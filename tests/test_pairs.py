@@ -4,7 +4,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from millrace.functions.profile import FILIPINO
-from millrace.operators import generate, select, splits
+from millrace.operators import contracts, generate, replay, select, splits
 
 
 def _made(spark, text):
@@ -118,3 +118,25 @@ def test_reserves_hold_the_least_ranks_of_distinct_pairs(spark):
     got = select.ranked_reserve(spark.createDataFrame(rows, "split string, tag string, rank string, pair_id string, more string"), quotas).collect()
     wanted = [(*g, *p) for g, q in quotas.items() for p in sorted({r[2:4] for r in rows if r[:2] == g})[: select.reserve_of(q)]]
     assert sorted((r.split, r.tag, r["rank"], r.pair_id) for r in got) == sorted(wanted)
+
+
+def test_wrong_sentences_are_not_made_for_counting_and_compile_small(spark):
+    """Counting candidates builds no text, and no step of the gate over them is a method that the JVM is too large to compile (8000 bytes)."""
+    rows = spark.createDataFrame([("1:0", "1", "p", "He is in the house of the man, as it is.", "train")], "clean_id string, source_doc_id string, publisher string, text string, split string")
+    made = generate.generate(rows, FILIPINO)
+    counted = made.groupBy("tag").count()._jdf.queryExecution().optimizedPlan().toString()
+    assert "concat_ws" not in counted
+    judged = contracts.candidate_codes(generate.with_replay(made).withColumn("pair_id", F.col("clean_id")), [t for t, _ in FILIPINO.tags], F.col("again")).groupBy("reject_code").count()
+    stages = judged._jdf.queryExecution().debug().codegenToSeq()
+    assert 0 < max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())) < 8000
+
+
+def test_operations_beyond_the_words_have_no_place(spark):
+    rows = [(kind, at, "a", "a", text) for text in ("a b", "a", "") for at in (0, 1, 2, 3, 9) for kind in ("swap", "duplicate", "missing")]
+    df = spark.createDataFrame(rows, "kind string, position long, correct string, wrong string, source_text string")
+    for r in replay.with_operation(df).collect():
+        words, i, o = r.source_text.split(" ") if r.source_text else [], r.position, r.operation
+        left = " ".join(words[:i])
+        assert o.anchor_surface == (words[i - 1] if r.kind == "missing" and 0 < i <= len(words) else None)
+        assert o.start == (None if r.kind == "missing" or i >= len(words) else len(left) + (i > 0) + (len(words[i]) if r.kind == "duplicate" else 0))
+        assert r.kind != "duplicate" or o.source_surface == (" " + words[i + 1] if i + 1 < len(words) else None)

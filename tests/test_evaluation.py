@@ -1,10 +1,11 @@
 import math
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.functions.text import osa
+from millrace.functions.text import distance, osa
 from millrace.operators import evaluate
 from millrace.sources import readers, resources
 
@@ -173,3 +174,24 @@ def test_models_of_any_shape(spark):
         evaluate.predict(samples, F.upper, F.upper, conditions=("D",))
     with pytest.raises(Exception, match="a sample needs"):
         evaluate.predict(samples.withColumn("raw", F.lit(None).cast("string")), F.upper, F.upper).collect()
+
+
+def test_distances_of_long_texts_against_the_whole_table():
+    """Any lengths and many edits, against plain tables; long texts take as many steps as they have characters, not times their distance."""
+
+    def plain(a, b, swaps):
+        d = [[i + j if not i * j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+        for i in range(1, len(a) + 1):
+            for j in range(1, len(b) + 1):
+                d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+                if swaps and i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                    d[i][j] = min(d[i][j], d[i - 2][j - 2] + 1)
+        return d[-1][-1]
+
+    rng = random.Random(4)
+    for k in range(3000):
+        a, b = ("".join(rng.choice("abé😀"[: 2 + k % 3]) for _ in range(rng.randint(0, 12))) for _ in "ab")
+        assert [distance(a, b, s) for s in (False, True)] == [plain(a, b, s) for s in (False, True)], (a, b)
+    text, began = "the house of the man " * 1000, time.time()
+    assert distance(text, text.replace("the", "da"), True) == distance(text, text.replace("the", "da")) == 6000
+    assert time.time() - began < 10

@@ -3,7 +3,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from millrace.functions.profile import FILIPINO
+from millrace.functions.profile import ENGLISH, FILIPINO
 from millrace.operators import contracts, generate, replay, select, splits
 
 
@@ -145,3 +145,9 @@ def test_operations_beyond_the_words_have_no_place(spark):
         assert o.anchor_surface == (words[i - 1] if r.kind == "missing" and 0 < i <= len(words) else None)
         assert o.start == (None if r.kind == "missing" or i >= len(words) else len(left) + (i > 0) + (len(words[i]) if r.kind == "duplicate" else 0))
         assert r.kind != "duplicate" or o.source_surface == (" " + words[i + 1] if i + 1 < len(words) else None)
+
+
+def test_accents_are_folded_by_profile(spark):
+    df = spark.createDataFrame([("1", "Si oié raw as at.")], "clean_id string, text string")
+    assert [r.tag for r in generate.generate(df, FILIPINO).where("kind = 'contextual'").collect()] == ["$REPLACE_raw"]
+    assert [r.position for r in generate.generate(spark.createDataFrame([("1", "Si oié as oie as x.")], "clean_id string, text string"), ENGLISH).where("kind = 'contextual'").collect()] == [4]

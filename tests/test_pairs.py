@@ -151,3 +151,26 @@ def test_accents_are_folded_by_profile(spark):
     df = spark.createDataFrame([("1", "Si oié raw as at.")], "clean_id string, text string")
     assert [r.tag for r in generate.generate(df, FILIPINO).where("kind = 'contextual'").collect()] == ["$REPLACE_raw"]
     assert [r.position for r in generate.generate(spark.createDataFrame([("1", "Si oié as oie as x.")], "clean_id string, text string"), ENGLISH).where("kind = 'contextual'").collect()] == [4]
+
+
+def test_pairs_are_told_by_whole_numbers_up_to_any_number_of_groups(spark, monkeypatch):
+    """First pairs are aggregated by hash, not sorted, and are the same where groups are too many for one whole number."""
+    rows = [(f"c{i}", "train", f"t{i % 5}", f"s{i % 20}", f"g{i % 20}") for i in range(60)]
+    df = select.ranked(spark.createDataFrame(rows, "clean_id string, split string, tag string, source_text string, target_text string"), 5)
+    wanted = {}
+    for r in df.collect():
+        pair = (r.source_text, r.target_text)
+        wanted[pair] = min(wanted.get(pair, ("~",)), (r.split, r.tag, int(r["rank"][:14], 16)))
+    found = select.first_pairs(df)
+    assert sorted((r.split, r.tag, r.r) for r in found.collect()) == sorted(wanted.values())
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    monkeypatch.setattr(select, "BEGINNING", 61)
+    assert sorted((r.split, r.tag) for r in select.first_pairs(select.keyed(df)).collect()) == sorted(w[:2] for w in wanted.values())
+
+
+def test_sentences_are_cut_by_bytes_at_either_end(spark):
+    """Words of several bytes on both sides of a rule's word, near the beginning and near the end."""
+    text = "é nang 漢字 ññ ü ang ö 漢 nang 字"
+    assert sorted(_of(_made(spark, text), "$REPLACE_nang")) == sorted([text.replace("nang", "ng", 1), "ng".join(text.rsplit("nang", 1))])
+    assert "é 漢字 ññ ü ang ö 漢 nang 字" in _of(_made(spark, text), "$APPEND_t1")

@@ -7,9 +7,11 @@ import random
 from collections.abc import Callable
 from difflib import SequenceMatcher
 from functools import lru_cache
+from hashlib import md5
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
@@ -17,6 +19,7 @@ from pyspark.sql.window import Window
 
 from millrace.functions.text import edit_distance, osa_distance
 from millrace.operators.generate import bounded, keys_of
+from millrace.sources.workspace import Workspace
 
 EDIT = StructType([StructField("op", StringType()), StructField("start", LongType()), StructField("end", LongType()), StructField("words", StringType())])
 SPAN = StructType([StructField("start", LongType()), StructField("end", LongType()), StructField("target", StringType())])
@@ -249,7 +252,7 @@ def bootstrap(df: DataFrame, *, resamples: int = 2000, seed: int = 7, indexes: s
 
     * ``vectors``: samples with equal counts are interchangeable, so a resample is one multinomial draw over the distinct count vectors.
       Their number depends on how many edits sentences have, not on how many sentences there are: this is the way for large sets.
-    * ``hashed``: indexes from MD5, over samples numbered by id. Reproducible in SQL; work is samples times resamples, spread over the executors.
+    * ``hashed``: indexes from MD5, over samples numbered by id. Reproducible in SQL; work is samples times resamples, spread over the executors (``_drawn_sums``).
     * ``mersenne``: indexes from Python's generator over samples in order of id, drawn on the driver; for sets of a few thousand samples.
     """
     spark, c = df.sparkSession, F.col
@@ -260,16 +263,13 @@ def bootstrap(df: DataFrame, *, resamples: int = 2000, seed: int = 7, indexes: s
         sums = spark.createDataFrame([tuple(int(v) for v in row) for row in draws @ vectors], ", ".join(f"{k} long" for k in COUNTS))
     else:
         numbered = _numbered(df.select("sample_id", *COUNTS))
-        n = numbered.count()
         if indexes == "hashed":
-            drawn = spark.range(resamples).select(c("id").alias("resample"), F.explode(F.sequence(F.lit(0), F.lit(max(0, (n + 3) // 4 - 1)))).alias("k")).repartition(2 * spark.sparkContext.defaultParallelism, "resample")
-            drawn = drawn.withColumn("h", F.md5(F.concat_ws(":", F.lit(str(seed)), "resample", "k")))
-            drawn = drawn.select("resample", "k", F.posexplode(F.array(*[F.conv(F.substring("h", 8 * j + 1, 8), 16, 10).cast("long") % max(1, n) for j in range(4)])).alias("j", "i"))
-            drawn = drawn.where(4 * c("k") + c("j") < n).select("resample", "i")
+            sums = _drawn_sums(numbered, resamples, seed)
         else:
+            n = numbered.count()
             rng = random.Random(seed)
             drawn = spark.createDataFrame([(r, [rng.randrange(n) for _ in range(n)]) for r in range(resamples)], "resample long, ix array<long>").select("resample", F.explode("ix").alias("i"))
-        sums = drawn.join(numbered, "i").groupBy("resample").agg(*[F.sum(k).alias(k) for k in COUNTS])
+            sums = drawn.join(numbered, "i").groupBy("resample").agg(*[F.sum(k).alias(k) for k in COUNTS])
     score = lambda s: f_half(precision(c(f"tp_{s}"), c(f"fp_{s}"), c(f"fn_{s}")), recall(c(f"tp_{s}"), c(f"fn_{s}")))
     deltas = sums.select((score("b") - score("a")).alias("delta")).agg(F.sort_array(F.collect_list("delta")).alias("d"))  # `resamples` numbers
     at = lambda q: F.get("d", F.floor(q * (F.size("d") - 1)).cast("int"))
@@ -277,6 +277,49 @@ def bootstrap(df: DataFrame, *, resamples: int = 2000, seed: int = 7, indexes: s
     return deltas.select((F.aggregate("d", F.lit(0.0), lambda s, x: s + x) / F.size("d")).alias("mean_delta"), at(F.lit(edge)).alias("low"), at(F.lit(1 - edge)).alias("high"))
 
 
+#: Samples that a task of hashed draws holds at once, and places that it draws at once.
+BLOCK, DRAWS = 1 << 21, 1 << 18
+
+
+def _drawn_sums(numbered: DataFrame, resamples: int, seed: int, block: int | None = None) -> DataFrame:
+    """(resample, COUNTS) of hashed draws from numbered(i, COUNTS): each draw is looked up where it is made, so that no draw is shuffled.
+
+    Samples go by blocks of i, and each block to every group of resamples: what is shuffled is the counts, as whole columns, times the groups. A task draws its resamples'
+    places anew for its block, and keeps those that fall in it; it holds one block and the places of one batch, whatever the samples and resamples are.
+    """
+    spark, c, size = numbered.sparkSession, F.col, block or BLOCK
+    ws = Workspace(spark, "bootstrap")
+    held = ws.save(numbered.select("i", *COUNTS), "numbered")
+    n = held.count()
+    groups = max(1, min(resamples, 8 * spark.sparkContext.defaultParallelism))
+    schema = ", ".join(f"{k} long" for k in ("resample", *COUNTS))
+    columns = held.groupBy(F.floor(c("i") / size).alias("block")).agg(F.array_sort(F.collect_list(F.struct("i", *[c(k).cast("int").alias(k) for k in COUNTS]))).alias("rows"))
+    columns = columns.select("block", *[c(f"rows.{k}").alias(k) for k in COUNTS])
+
+    def digest(head, k):
+        h = head.copy()
+        h.update(b"%d" % k)
+        return h.digest()
+
+    def summed(batches):
+        for batch in batches:
+            for at in range(batch.num_rows):
+                low, group = batch.column("block")[at].as_py() * size, batch.column("group")[at].as_py()
+                rows = np.stack([batch.column(k)[at].values.to_numpy(zero_copy_only=False) for k in COUNTS], axis=1)
+                out = []
+                for resample in range(group, resamples, groups):
+                    head, times = md5(f"{seed}:{resample}:".encode()), np.zeros(len(rows), dtype=np.int64)
+                    for first in range(0, n, DRAWS):
+                        last = min(n, first + DRAWS)
+                        drawn = np.frombuffer(b"".join([digest(head, k) for k in range(first // 4, (last + 3) // 4)]), dtype=">u4")[: last - first].astype(np.int64) % n - low
+                        times += np.bincount(drawn[(drawn >= 0) & (drawn < len(rows))], minlength=len(rows))
+                    out.append([resample, *(times @ rows).tolist()])
+                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in zip(*out, strict=True)], names=["resample", *COUNTS])
+
+    spread = columns.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).repartition(groups, "block", "group")
+    return spread.mapInArrow(summed, schema).groupBy("resample").agg(*[F.sum(k).alias(k) for k in COUNTS])
+
+
 def _numbered(df: DataFrame) -> DataFrame:
     """df with i, its place in order of sample_id from 0: ranges are sorted apart and offset by the rows before them, so no task sorts all."""
     ordered = df.repartitionByRange("sample_id").withColumn("__part", F.spark_partition_id())

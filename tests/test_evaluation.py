@@ -1,3 +1,4 @@
+import hashlib
 import math
 import random
 import time
@@ -195,3 +196,16 @@ def test_distances_of_long_texts_against_the_whole_table():
     text, began = "the house of the man " * 1000, time.time()
     assert distance(text, text.replace("the", "da"), True) == distance(text, text.replace("the", "da")) == 6000
     assert time.time() - began < 10
+
+
+def test_hashed_draws_are_the_same_over_any_blocks_and_are_not_shuffled(spark, monkeypatch):
+    rows = [(i, *[(i * k) % 5 for k in range(1, 7)]) for i in range(203)]
+    numbered = spark.createDataFrame(rows, "i long, " + ", ".join(f"{k} long" for k in evaluate.COUNTS))
+    wanted = []
+    for r in range(20):
+        digits = "".join(hashlib.md5(f"7:{r}:{k}".encode()).hexdigest() for k in range(51))
+        drawn = [rows[int(digits[8 * j : 8 * j + 8], 16) % 203] for j in range(203)]
+        wanted.append((r, *[sum(x[k] for x in drawn) for k in range(1, 7)]))
+    for block in (None, 50):
+        assert sorted(tuple(r) for r in evaluate._drawn_sums(numbered, 20, 7, block).collect()) == wanted
+    assert evaluate._drawn_sums(numbered.limit(0), 20, 7).count() == 0

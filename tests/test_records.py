@@ -362,3 +362,10 @@ def test_shares_are_whole_and_exact(spark):
     totals = [0, 1, 7, 10, 101, 830_000, 170_003, 10**12 + 7]
     got = {r.n: r.s for r in spark.createDataFrame([(n,) for n in totals], "n long").withColumn("s", select.shares_of(F.col("n"), [70, 15, 15])).collect()}
     assert all(got[n] == select.largest_remainder(n, [Decimal("0.70"), Decimal("0.15"), Decimal("0.15")]) for n in totals)
+
+
+def test_token_spans_take_blocks_by_the_number_of_words(spark):
+    """By default a block grows with the cube root of the words; any block gives the same spans."""
+    df = spark.createDataFrame([("ab  c " * 900,), ("x",), ("",)], "t string")
+    r = df.select(replay.token_spans(F.col("t"), None).alias("own"), replay.token_spans(F.col("t"), 128).alias("fixed")).collect()
+    assert all(x.own == x.fixed for x in r) and len(r[0].own) == 1800

@@ -157,8 +157,9 @@ def noise_replay(spark: SparkSession, d: str) -> DataFrame:
 
 def _featured(spark: SparkSession, d: str) -> DataFrame:
     """Words of the English sentences as surfaces of a made paradigm: the lemma is their beginning, the feature bundle goes by their length."""
-    words = split_sentences(spark, d).select(F.explode(tokens(F.col("text"))).alias("t")).select(F.lower(core(F.col("t"))).alias("surface")).where(F.col("surface").rlike("^[a-z]+$")).distinct()
-    bundle = F.element_at(F.array(*[F.lit(f) for f in BUNDLES]), F.length("surface") % len(BUNDLES) + 1)
+    words = split_sentences(spark, d).select(F.explode(tokens(F.col("text"))).alias("t")).select(F.lower(core(F.col("t"))).alias("surface")).where(F.col("surface").rlike("^[a-z]+$"))
+    words = words.groupBy("surface").agg(F.max(F.length("surface")).alias("letters"))  # what is asked of bundles goes by an aggregate, so Spark cannot ask it of every word that was said
+    bundle = F.element_at(F.array(*[F.lit(f) for f in BUNDLES]), F.col("letters") % len(BUNDLES) + 1)
     return words.select(F.left("surface", F.lit(2)).alias("lemma"), "surface", bundle.alias("features"))
 
 

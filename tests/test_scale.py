@@ -1,7 +1,7 @@
 """What the larger tables asked of the queries: nothing is shuffled, hashed or judged for each word or candidate that can be told for each sentence, document or pair."""
 
 
-from millrace.plans import evaluation
+from millrace.plans import corpus, evaluation
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -14,3 +14,12 @@ def test_states_are_asked_of_distinct_words(spark):
     """Above the grouping by word, not of every word said."""
     above, below = _plan(evaluation.resource_freeze_checks(spark, SMALL)).rsplit("Aggregate [surface", 1)
     assert "lambda" in above and "lambda" not in below
+
+
+def test_tokens_are_counted_where_sentences_are(spark, tmp_path):
+    """No row per token and sentence is grouped; sentences that share an id, as those of repeated documents do, count once all the same."""
+    assert "clean_id" not in _plan(corpus.token_explode(spark, SMALL))
+    rows = [(1, "a b a\nb c", "en", "x"), (1, "a a\nc d", "en", "x"), (2, "a\n\nd d d", "de", None), (None, "z a", "en", "x"), (None, "z", "en", "x"), (3, None, "en", "x")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {tuple(r) for r in corpus.token_explode(spark, str(tmp_path)).collect()}
+    assert got == {("a", 6, 3, 0), ("b", 2, 2, 0), ("c", 2, 1, 0), ("d", 4, 2, 0), ("z", 2, 1, 0)}

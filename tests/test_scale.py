@@ -1,7 +1,8 @@
 """What the larger tables asked of the queries: nothing is shuffled, hashed or judged for each word or candidate that can be told for each sentence, document or pair."""
 
 
-from millrace.plans import corpus, evaluation
+from millrace.operators import select
+from millrace.plans import common, corpus, evaluation, pairs
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -23,3 +24,11 @@ def test_tokens_are_counted_where_sentences_are(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
     got = {tuple(r) for r in corpus.token_explode(spark, str(tmp_path)).collect()}
     assert got == {("a", 6, 3, 0), ("b", 2, 2, 0), ("c", 2, 1, 0), ("d", 4, 2, 0), ("z", 2, 1, 0)}
+
+
+def test_review_sample_reads_the_texts_of_few_documents(spark):
+    query = pairs.review_sample(spark, SMALL)
+    assert "LeftSemi" in _plan(query)
+    ranked = select.ranked(pairs._candidates(spark, SMALL), common.SEED)
+    whole = select.top_k(ranked, ["split", "tag"], pairs.SAMPLE, ["clean_id", "pair_id", "position"]).select("split", "tag", "clean_id", "pair_id")
+    assert sorted(query.collect()) == sorted(whole.collect()) != []

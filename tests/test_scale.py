@@ -1,6 +1,10 @@
 """What the larger tables asked of the queries: nothing is shuffled, hashed or judged for each word or candidate that can be told for each sentence, document or pair."""
 
 
+import random
+
+from pyspark.sql import functions as F
+
 from millrace.operators import select
 from millrace.plans import common, corpus, evaluation, pairs
 
@@ -32,3 +36,16 @@ def test_review_sample_reads_the_texts_of_few_documents(spark):
     ranked = select.ranked(pairs._candidates(spark, SMALL), common.SEED)
     whole = select.top_k(ranked, ["split", "tag"], pairs.SAMPLE, ["clean_id", "pair_id", "position"]).select("split", "tag", "clean_id", "pair_id")
     assert sorted(query.collect()) == sorted(whole.collect()) != []
+
+
+def test_greedy_names_is_the_greedy_selection(spark):
+    """One fold over narrow rows takes what the widening fold over texts takes, however much collides."""
+    dice = random.Random(5)
+    rows = [(f"c{i}", s, t, f"s{dice.randrange(12)}", "t", f"{dice.getrandbits(256):064x}") for i in range(600) for s in ("dev", "train") for t in ("a", "b") if dice.random() < 0.5]
+    df = spark.createDataFrame(rows, "clean_id string, split string, tag string, source_text string, target_text string, rank string").withColumn("pair_id", F.col("clean_id"))
+    quotas = {(s, t): 4 for s in ("dev", "train") for t in ("a", "b", "never")}
+    keyed = select.keyed(df)
+    got = {(r.split, r.tag, r.r) for r in select.greedy_names(keyed, quotas).collect()}
+    want = {(r.split, r.tag, int(r["rank"][:14], 16)) for r in select.greedy_quota_select(df, quotas, ["rank", "pair_id"], spare=1).collect()}
+    assert got == want and len(got) == 12
+    assert select.greedy_names(keyed.limit(0), quotas).isEmpty()

@@ -49,3 +49,14 @@ def test_greedy_names_is_the_greedy_selection(spark):
     want = {(r.split, r.tag, int(r["rank"][:14], 16)) for r in select.greedy_quota_select(df, quotas, ["rank", "pair_id"], spare=1).collect()}
     assert got == want and len(got) == 12
     assert select.greedy_names(keyed.limit(0), quotas).isEmpty()
+
+
+def test_provenance_is_counted_by_sentence(spark):
+    from millrace.operators import contracts
+
+    clean = spark.createDataFrame([("1:0", "A b.", "p", "1"), ("1:1", "C.", None, "1"), ("2:0", "D.", "p", "2")], "clean_id string, text string, publisher string, source_doc_id string")
+    rows = [("1:0", "A b.", "p", "1")] * 3 + [("1:0", "A c.", "p", "1"), ("1:1", "C.", None, "1"), ("1:1", "C.", "p", "1"), ("2:0", None, "p", "2"), ("2:0", "D.", "p", "1"), ("9:9", "X", "p", "9"), ("9:9", "X", "p", "9")]
+    made = spark.createDataFrame(rows, "clean_id string, target_text string, publisher string, source_doc_id string")
+    assert tuple(contracts.provenance_counts(made, clean).first()) == (10, 2, 6)
+    assert tuple(contracts.provenance_counts(made.limit(0), clean).first()) == (0, 0, 0)
+    assert "target_text" not in _plan(pairs.provenance_mismatch(spark, SMALL)).split("Join LeftOuter")[0]

@@ -72,10 +72,13 @@ def json_line_numbers(spark: SparkSession, d: str) -> DataFrame:
 
 def ordered_output(spark: SparkSession, d: str) -> DataFrame:
     """All ranked candidates, written in order and read back with their positions over all files."""
-    path = Workspace(spark, "ordered").path("candidates")
-    ranked = select.with_rank(generate.generate(split_sentences(spark, d), ENGLISH), SEED).select("split", "tag", "rank", "clean_id", F.coalesce("position", F.lit(-1)).alias("spot"))
+    ws = Workspace(spark, "ordered")
+    path, made = ws.path("candidates"), select.with_rank(generate.generate(split_sentences(spark, d), ENGLISH), SEED)
+    # Ranks are kept as bytes, whose order is that of their digits; saved once, as ranges are sampled before they are dealt out.
+    ranked = ws.save(made.select("split", "tag", F.unhex("rank").alias("rank"), "clean_id", F.coalesce("position", F.lit(-1)).alias("spot")), "ranked")
     positions.write_ordered(ranked, path, ["split", "tag", "rank", "clean_id", "spot"])
-    return positions.read_ordered(spark, path).select("position", "split", "tag", "rank", "clean_id", "spot")
+    ws.drop(ranked)
+    return positions.read_ordered(spark, path).select("position", "split", "tag", F.lower(F.hex("rank")).alias("rank"), "clean_id", "spot")
 
 
 def diagnostics_report(spark: SparkSession, d: str) -> DataFrame:

@@ -1,12 +1,11 @@
 """What the larger tables asked of the queries: nothing is shuffled, hashed or judged for each word or candidate that can be told for each sentence, document or pair."""
 
-
 import random
 
 from pyspark.sql import functions as F
 
-from millrace.operators import select
-from millrace.plans import common, corpus, evaluation, pairs
+from millrace.operators import diagnostics, first_come, select
+from millrace.plans import common, corpus, evaluation, pairs, records
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -60,3 +59,38 @@ def test_provenance_is_counted_by_sentence(spark):
     assert tuple(contracts.provenance_counts(made, clean).first()) == (10, 2, 6)
     assert tuple(contracts.provenance_counts(made.limit(0), clean).first()) == (0, 0, 0)
     assert "target_text" not in _plan(pairs.provenance_mismatch(spark, SMALL)).split("Join LeftOuter")[0]
+
+
+def test_ordered_ranks_are_kept_as_bytes(spark):
+    """Half as long as their digits, in the same order."""
+    query = records.ordered_output(spark, SMALL)
+    assert "lower(hex(rank" in _plan(query)
+    keys = [(r.split, r.tag, r["rank"], r.clean_id, r.spot) for r in sorted(query.collect(), key=lambda r: r.position)]
+    assert keys == sorted(keys) and len(keys[0][2]) == 64
+
+
+def test_first_come_takes_the_first_rows_of_each_group(spark):
+    """Against a fold in order; a file may have no name, and rows of one file and row many places."""
+    dice = random.Random(3)
+    rows = sorted({(dice.choice([None, "a", "b"]), dice.randrange(4), dice.randrange(5), dice.choice("xy"), f"s{dice.randrange(60)}") for _ in range(300)}, key=lambda r: (r[0] or "", *r[1:4]))
+    rows = list({r[:3]: r for r in rows}.values())
+    df = spark.createDataFrame(rows, "file string, row int, line int, tag string, source_text string").withColumns({"split": F.lit("train"), "target_text": F.lit("t")})
+    found = first_come.select_first_come(df, order=["file", "row", "line"], quotas={("train", "x"): 6, ("train", "y"): 3})
+    seen, want = set(), {"x": [], "y": []}
+    for r in rows:
+        if r[4] not in seen:
+            seen.add(r[4])
+            want[r[3]].append(r[:3])
+    got = {t: [(r.file, r.row, r.line) for r in sorted(found.selected.where(F.col("tag") == t).collect(), key=lambda r: r.taken)] for t in "xy"}
+    assert got == {"x": want["x"][:6], "y": want["y"][:3]}
+
+
+def test_telemetry_is_counted_in_tasks_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(diagnostics, "PLACES_A_TASK", 7)
+    rows = [(f"c{i % 40}", "$A", i % 3, None if i % 2 else "odd") for i in range(400)]
+    sentences = spark.createDataFrame([(f"c{i}",) for i in range(50)], "clean_id string")
+    got = {r.outcome: r for r in diagnostics.telemetry(spark.createDataFrame(rows, "clean_id string, tag string, position int, reason string"), sentences, ["$A"]).collect()}
+    for outcome, odd in (("selected", 1), ("odd", 0)):
+        places = sorted({(c, p) for (c, _, p, _), i in zip(rows, range(400), strict=True) if i % 2 == odd})
+        assert (got[outcome].n, got[outcome].positions) == (200, len(places)) and [tuple(s) for s in got[outcome].samples] == places[:25]
+    assert got["not_applicable"].n == 10

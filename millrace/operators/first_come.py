@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from millrace.operators.generate import bounded
 from millrace.operators.select import bounded_quotas
 from millrace.sources.workspace import Workspace
 
@@ -53,7 +54,8 @@ def select_first_come(
     """
     ws, place = Workspace(candidates.sparkSession, "first-come"), F.struct(*order)
     pairs = candidates.select(place.alias("place"), "split", "tag", F.xxhash64("source_text", "target_text").alias("p"), F.xxhash64("target_text", "source_text").alias("q"))
-    kept = pairs.groupBy("p", "q").agg(F.min(F.struct("place", "split", "tag")).alias("first"), F.count("*").alias("times"))
+    dealt = pairs.repartition("p", "q")  # few pairs occur twice, so rows are dealt out as they are and sorted only once
+    kept = dealt.groupBy("p", "q").agg(F.min(F.struct("place", "split", "tag")).alias("first"), F.count("*").alias("times"))
     kept = ws.save(kept.select("first.*", "times"), "pairs")
     capacity, collisions = {}, {}
     for r in kept.groupBy("split", "tag").agg(F.count("*").alias("n"), F.sum(F.col("times") - 1).alias("again")).collect():  # splits * tags rows
@@ -68,7 +70,15 @@ def select_first_come(
             quotas |= {(split, t): q for t, q in bounded_quotas(held, target).items()}
     most = max(quotas.values(), default=0)
     table = candidates.sparkSession.createDataFrame([(*k, q) for k, q in quotas.items()], "split string, tag string, quota long")  # splits * tags rows
-    best = kept.withColumn("taken", F.row_number().over(Window.partitionBy("split", "tag").orderBy("place"))).where(F.col("taken") <= most)
+    # A group's first rows are among its first beginnings of places (file and row, say): as many of these as rows are wanted.
+    lead = {f"__{k}": F.col(f"place.{c}") for k, c in enumerate(order[:2])}
+    begun = kept.groupBy(F.col("split").alias("__s"), F.col("tag").alias("__t"), *[c.alias(k) for k, c in lead.items()]).agg(F.count("*").alias("__n"))
+    begun = begun.withColumn("__n", F.row_number().over(Window.partitionBy("__s", "__t").orderBy(*lead))).where(F.col("__n") <= most).drop("__n")
+    same = (F.col("split") == F.col("__s")) & (F.col("tag") == F.col("__t"))
+    for k, c in lead.items():
+        same &= c.eqNullSafe(F.col(k))
+    early = kept.join(bounded(ws.save(begun, "begun")), same, "left_semi")
+    best = early.withColumn("taken", F.row_number().over(Window.partitionBy("split", "tag").orderBy("place"))).where(F.col("taken") <= most)
     chosen = ws.save(best.join(F.broadcast(table), ["split", "tag"]).where("taken <= quota").select("split", "tag", "place", "taken"), "chosen")
     over = kept.join(chosen.select("split", "tag", "place"), ["split", "tag", "place"], "left_anti").select("split", "tag", "place.*")
     return FirstCome(chosen.select("split", "tag", "place.*", "taken"), quotas, capacity, collisions, over)

@@ -49,8 +49,9 @@ def report(pairs: DataFrame, tags: list[tuple[str, str]]) -> DataFrame:
     """
     ws, rows = Workspace(pairs.sparkSession, "diagnostics"), described(pairs)
     sets = [[], *[[d] for d in [*DIMENSIONS, "fault"]]]
+    rows = rows.groupBy(*DIMENSIONS, "fault").agg(F.count("*").alias("n"), F.count_if("is_errorful").alias("n_errorful"), F.count_if(~F.col("is_errorful")).alias("n_identity"))  # so that the sets are of kinds of rows, not of rows
     names = F.element_at(F.create_map(*[F.lit(x) for k, d in enumerate([*DIMENSIONS, "fault"]) for x in (63 - (1 << (5 - k)), d)], F.lit(63), F.lit("total")), F.grouping_id().cast("int"))
-    counted = rows.groupingSets(sets, *DIMENSIONS, "fault").agg(names.alias("dimension"), F.count("*").alias("n"), F.count_if("is_errorful").alias("n_errorful"), F.count_if(~F.col("is_errorful")).alias("n_identity"))
+    counted = rows.groupingSets(sets, *DIMENSIONS, "fault").agg(names.alias("dimension"), F.sum("n").alias("n"), F.sum("n_errorful").alias("n_errorful"), F.sum("n_identity").alias("n_identity"))
     counted = counted.select("dimension", F.coalesce(*DIMENSIONS, "fault", F.when(F.col("dimension") == "total", "rows")).alias("value"), "n", "n_errorful", "n_identity").where("value is not null")
     counted = ws.save(counted, "counted")
     families = list(dict.fromkeys(f for _, f in tags))
@@ -80,21 +81,29 @@ def check_sums(sums: dict, verbs: int) -> None:
         raise Inconsistent(f"sums disagree with the total: {wrong}")
 
 
+#: Events that one task counts, on average: they take some hundred bytes each, so a task's memory does not grow with the input.
+PLACES_A_TASK = 500_000
+
+
 def telemetry(events: DataFrame, sentences: DataFrame, tags: list[str], sample: int = 25) -> DataFrame:
     """(tag, outcome, n, positions, samples) of events(clean_id, tag, position, reason), where reason is null for a candidate.
 
     ``outcome`` is ``selected``, a reason, or ``not_applicable``: sentences with no place for the tag at all. ``positions`` counts distinct places. ``samples``
-    holds the first ``sample`` places (clean_id, position) of each outcome, in order. Every tag has its ``not_applicable`` row. Groups are limited before the
-    shuffle and counted by partial sums, so a common reason is no large group anywhere.
+    holds the first ``sample`` places (clean_id, position) of each outcome, in order. Every tag has its ``not_applicable`` row. Places are
+    counted by sentence first, and the first places are among those of the first sentences, so a common reason is no large group anywhere.
     """
     ws = Workspace(events.sparkSession, "telemetry")
     told = ws.save(events.select("clean_id", "tag", F.coalesce("position", F.lit(-1)).cast("long").alias("position"), F.coalesce("reason", F.lit("selected")).alias("outcome")), "events")
-    places = told.groupBy("tag", "outcome", "clean_id", "position").agg(F.count("*").alias("n"))
-    counted = places.groupBy("tag", "outcome").agg(F.sum("n").alias("n"), F.count("*").alias("positions"))
+    group = ["clean_id", "tag", "outcome"]
+    dealt = told.repartition(told.count() // PLACES_A_TASK + 1, "clean_id")  # all of a sentence is in one task; files, and shuffled rows, are small only as long as they are compressed
+    places = ws.save(dealt.groupBy(*group, "position").agg(F.count("*").alias("n")).groupBy(*group).agg(F.sum("n").alias("n"), F.count("*").alias("positions")), "places")
+    counted = places.groupBy("tag", "outcome").agg(F.sum("n").alias("n"), F.sum("positions").alias("positions"))
     order = Window.partitionBy("tag", "outcome").orderBy("clean_id", "position")
-    first = told.select("tag", "outcome", "clean_id", "position").distinct().withColumn("k", F.row_number().over(order)).where(F.col("k") <= sample)
+    leading = places.withColumn("k", F.row_number().over(Window.partitionBy("tag", "outcome").orderBy("clean_id"))).where(F.col("k") <= sample).select(group)
+    few = told.join(F.broadcast(leading), group, "left_semi")  # at most sample sentences of each outcome
+    first = few.select("tag", "outcome", "clean_id", "position").distinct().withColumn("k", F.row_number().over(order)).where(F.col("k") <= sample)
     samples = first.groupBy("tag", "outcome").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "clean_id", "position"))), lambda x: F.struct(x["clean_id"].alias("clean_id"), x["position"].alias("position"))).alias("samples"))
-    touched = told.select("tag", "clean_id").distinct().groupBy("tag").agg(F.count("*").alias("touched"))
+    touched = places.select("tag", "clean_id").distinct().groupBy("tag").agg(F.count("*").alias("touched"))
     registry = events.sparkSession.createDataFrame([(t,) for t in dict.fromkeys(tags)], "tag string")  # as long as the registry
     idle = F.broadcast(registry).join(touched, "tag", "left").select("tag", F.lit("not_applicable").alias("outcome"), (F.lit(sentences.count()) - F.coalesce("touched", F.lit(0))).alias("n"), F.lit(0).cast("long").alias("positions"), F.array().cast("array<struct<clean_id:string,position:bigint>>").alias("samples"))
     return counted.join(samples, ["tag", "outcome"]).unionByName(idle)

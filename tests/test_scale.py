@@ -4,7 +4,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from millrace.operators import diagnostics, first_come, select
+from millrace.functions.profile import ENGLISH
+from millrace.operators import diagnostics, first_come, quality, select
 from millrace.plans import common, corpus, evaluation, pairs, records
 
 SMALL = "/root/testdata/sf0.001"
@@ -94,3 +95,18 @@ def test_telemetry_is_counted_in_tasks_of_bounded_size(spark, monkeypatch):
         places = sorted({(c, p) for (c, _, p, _), i in zip(rows, range(400), strict=True) if i % 2 == odd})
         assert (got[outcome].n, got[outcome].positions) == (200, len(places)) and [tuple(s) for s in got[outcome].samples] == places[:25]
     assert got["not_applicable"].n == 10
+
+
+def test_gate_of_ascii_and_other_texts(spark):
+    """Tests that ask less of ASCII text, and look for signs before they match, find what the plain ones find."""
+    words = ["lol", "LoL,", "xd", "éxd", "xdé", "www.x.org", "WWW.", "a@b.co", "é@b.co", "HTTP://x", "://", "@", "(a)", "(é]", "Ã©", "é", "1234567", "…", "Omg!", "K", "word"]
+    df = spark.createDataFrame([(f"{a} {b}", "EN", 1.0, False) for a in words for b in words] + [("", "EN", 1.0, False)], "text string, language string, language_confidence double, is_duplicate boolean")
+    t, rules = F.col("text"), ENGLISH.rules
+    letters = F.length(F.regexp_replace(t, "\\P{L}", "")) / F.greatest(F.length(F.replace(t, F.lit(" "), F.lit(""))), F.lit(1))
+    informal = t.rlike(f"(?U){rules.informal[0]}") | t.rlike(f"(?U){rules.informal[1]}")
+    want = {"url_or_email": t.rlike(quality.URL_OR_EMAIL), "informal_marker": informal, "low_alphabetic_ratio": (t != "") & (letters < rules.min_alphabetic_ratio), "suspicious_encoding": t.contains("Ã©"), "sentence_integrity_too_short": t == "", "unbalanced_bracket": t.contains("]")}
+    judged = quality.with_reasons(df, rules)
+    assert len(quality.URL_SIGNS) == 3
+    for code, test in want.items():
+        assert judged.where(F.array_contains("reason_codes", code) != test).isEmpty(), code
+        assert not judged.where(test).isEmpty(), code

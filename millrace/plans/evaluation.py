@@ -131,12 +131,10 @@ def bootstrap_ci(spark: SparkSession, d: str) -> DataFrame:
 
 def _counted(spark: SparkSession, d: str) -> DataFrame:
     """(sample_id, tp_a, fp_a, fn_a, tp_b, fp_b, fn_b) of every sample: words that were to change and are right, that were right and are not, that are still wrong."""
-    r = _routed(spark, d).where("condition <> 'C'")
-    zipped = F.arrays_zip(F.split("raw", " ").alias("x"), F.split("gold", " ").alias("y"), F.split("gec_output", " ").alias("z"))
-    kinds = F.transform(zipped, lambda w: F.when(w["x"].eqNullSafe(w["y"]), F.when(~w["z"].eqNullSafe(w["y"]), "fp")).otherwise(F.when(w["z"].eqNullSafe(w["y"]), "tp").otherwise("fn")))
-    marked = r.select("sample_id", "condition", kinds.alias("kinds"))
-    n = lambda k, c: F.sum(F.when(F.col("condition") == c.upper(), F.size(F.filter("kinds", lambda w: w == k)).cast("long"))).alias(f"{k}_{c}")
-    return marked.groupBy("sample_id").agg(*[n(k, c) for c in "ab" for k in ("tp", "fp", "fn")])
+    raw = F.col("raw")
+    fed = {"a": raw, "b": _normalise(raw)}
+    marked = _samples(spark, d).select("sample_id", *[evaluate.word_counts("raw", "gold", _correct(text)).alias(s) for s, text in fed.items()])
+    return marked.groupBy("sample_id").agg(*[F.sum(f"{s}.{k}").alias(f"{k}_{s}") for s in fed for k in ("tp", "fp", "fn")])
 
 
 def _noisy(spark: SparkSession, d: str) -> DataFrame:

@@ -1,11 +1,13 @@
 """What the larger tables asked of the queries: nothing is shuffled, hashed or judged for each word or candidate that can be told for each sentence, document or pair."""
 
+import hashlib
 import random
+from itertools import zip_longest
 
 from pyspark.sql import functions as F
 
 from millrace.functions.profile import ENGLISH
-from millrace.operators import diagnostics, first_come, quality, select
+from millrace.operators import diagnostics, evaluate, first_come, quality, select
 from millrace.plans import common, corpus, evaluation, pairs, records
 
 SMALL = "/root/testdata/sf0.001"
@@ -110,3 +112,47 @@ def test_gate_of_ascii_and_other_texts(spark):
     for code, test in want.items():
         assert judged.where(F.array_contains("reason_codes", code) != test).isEmpty(), code
         assert not judged.where(test).isEmpty(), code
+
+
+def test_samples_are_numbered_in_order_however_partitions_are_merged(spark):
+    """A plan that reads ids alone shuffles less, and small partitions are merged by their size: places were counted over other partitions than those that were offset."""
+    held = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    before = {k: spark.conf.get(k, None) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.range(6000).select(F.col("id").cast("string").alias("sample_id"), *[F.xxhash64("id", F.lit(k)).alias(k) for k in evaluate.COUNTS])
+        got = {r.tp_a: r.i for r in evaluate._numbered(df).collect()}
+        wanted = {r.tp_a: i for i, r in enumerate(sorted(df.collect()))}
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == wanted
+
+
+def test_hashes_of_many_numbers_at_once():
+    for head in (b"7:0:", b"-12:1999:", b"x" * 47, b"x" * 53, b"x" * 70):
+        for first, last in ((0, 1203), (99_998, 100_003), (4, 4)):
+            digests = [hashlib.md5(head + str(k).encode()).hexdigest() for k in range(first, last)]
+            assert evaluate.md5_words(head, first, last).tolist() == [[int(h[j : j + 8], 16) for h in digests] for j in (0, 8, 16, 24)]
+
+
+def test_words_are_counted_by_place(spark):
+    dice = random.Random(2)
+    text = lambda: " ".join(dice.choice("ab") for _ in range(dice.randint(1, 5)))
+    rows = [(i, text(), text(), text()) for i in range(400)] + [(400, None, "a", "a"), (401, "", "a", "")]
+    want = {}
+    for i, *texts in rows:
+        words = list(zip_longest(*[(t or "").split(" ") for t in texts]))
+        want[i] = None if None in texts else tuple(sum(kind(x, y, z) for x, y, z in words) for kind in (lambda x, y, z: x != y == z, lambda x, y, z: x == y != z, lambda x, y, z: x != y != z))
+    got = spark.createDataFrame(rows, "i int, x string, y string, z string").select("i", evaluate.word_counts("x", "y", "z").alias("n")).collect()
+    assert {r.i: r.n and tuple(r.n) for r in got} == want
+
+
+def test_draws_over_more_vectors_than_are_named(spark, monkeypatch):
+    rows = [(i, *[(i * k) % 7 for k in range(1, 7)]) for i in range(120)]
+    numbered = spark.createDataFrame(rows, "i long, " + ", ".join(f"{k} long" for k in evaluate.COUNTS))
+    named = sorted(evaluate._drawn_sums(numbered, 9, 7).collect())
+    monkeypatch.setattr(evaluate, "VECTORS", 3)
+    monkeypatch.setattr(evaluate, "CHUNK", 16)
+    assert sorted(evaluate._drawn_sums(numbered, 9, 7).collect()) == sorted(evaluate._drawn_sums(numbered, 9, 7, 50).collect()) == named

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+from collections import Counter
 from collections.abc import Callable
 from difflib import SequenceMatcher
 from functools import lru_cache
@@ -37,12 +38,107 @@ def token_edits(source: pd.Series, target: pd.Series) -> pd.Series:
     def one(a: str | None, b: str | None) -> list[dict]:
         if a == b:
             return []
-        x, y = (a or "").split(), (b or "").split()
-        return [{"op": op, "start": i, "end": j, "words": " ".join(y[k:m])} for op, i, j, k, m in SequenceMatcher(None, x, y, autojunk=False).get_opcodes() if op != "equal"]
+        y = (b or "").split()
+        return [{"op": op, "start": i, "end": j, "words": " ".join(y[k:m])} for op, i, j, k, m in word_changes((a or "").split(), y)]
 
     return pd.Series([one(a, b) for a, b in zip(source, target, strict=True)])
 
 
+#: Words of passages of which none may stand at two places, for ``word_changes`` to go by places: the first length that will do is taken.
+PASSAGES = (2, 3, 4, 6, 9, 14)
+
+
+def word_changes(x: list[str], y: list[str]) -> list[tuple[str, int, int, int, int]]:
+    """(op, start, end, start, end) of what differs between two lists, as SequenceMatcher has it: the longest common passage is matched, then what is left and right of it.
+
+    Where both are of one length, passages at the same places are longest where they are longer than any passage that stands at different places; how long such
+    passages may be is told once. Only the windows that are left over, most of them one word, are compared in the general way.
+    """
+    n, blocks = len(x), []
+    moved = _moved(x, y) if n == len(y) else None
+    if moved is None:
+        blocks = _passages(x, y)
+    else:
+        ends, before = [i for i in range(n) if x[i] != y[i]], 0
+        sure = [(a + 1, b) for a, b in zip([-1, *ends], [*ends, n], strict=True) if b - a - 1 > moved]  # passages at the same places
+        for i, j in [*sure, (n, n)]:
+            if i - before > 1 or (i > before and x[before] == y[before]):
+                blocks += [(before + a, before + b, size) for a, b, size in _passages(x[before:i], y[before:i])]
+            blocks.append((i, i, j - i))
+            before = j
+    out, i, j = [], 0, 0
+    for a, b, size in [*sorted(blocks), (n, len(y), 0)]:
+        if i < a or j < b:
+            out.append(("replace" if i < a and j < b else "delete" if i < a else "insert", i, a, j, b))
+        i, j = a + size, b + size
+    return out
+
+
+def _passages(x: list[str], y: list[str]) -> list[tuple[int, int, int]]:
+    """(start, start, words) of the passages that SequenceMatcher matches, in any order. It looks at every pair of equal words; where those are many, the longest passage is found without."""
+    out, todo = [], [(0, len(x), 0, len(y))]
+    while todo:
+        a, b, c, d = todo.pop()
+        left, right = x[a:b], y[c:d]
+        times = Counter(right)
+        pairs = sum(n * times[w] for w, n in Counter(left).items())
+        if pairs <= 4000 or pairs <= 8 * (b - a + d - c):
+            out += [(a + m.a, c + m.b, m.size) for m in SequenceMatcher(None, left, right, autojunk=False).get_matching_blocks() if m.size]
+            continue
+        i, j, size = _longest_passage(left, right)
+        out.append((a + i, c + j, size))
+        todo += [w for w in ((a, a + i, c, c + j), (a + i + size, b, c + j + size, d)) if w[0] < w[1] and w[2] < w[3]]
+    return out
+
+
+def _longest_passage(x: list[str], y: list[str]) -> tuple[int, int, int]:
+    """The longest passage of both, the first one of x and of y: x is read through the suffix automaton of y, so work is in proportion to the words."""
+    steps, links, sizes, ends, last = [{}], [-1], [0], [-1], 0
+    for j, word in enumerate(y):
+        new, p = len(steps), last
+        steps.append({})
+        links.append(0)
+        sizes.append(j + 1)
+        ends.append(j)
+        while p >= 0 and word not in steps[p]:
+            steps[p][word] = new
+            p = links[p]
+        if p >= 0:
+            q = steps[p][word]
+            if sizes[q] > sizes[p] + 1:
+                clone = len(steps)
+                steps.append(steps[q].copy())
+                links.append(links[q])
+                sizes.append(sizes[p] + 1)
+                ends.append(ends[q])
+                while p >= 0 and steps[p].get(word) == q:
+                    steps[p][word] = clone
+                    p = links[p]
+                links[q] = q = clone
+            links[new] = q
+        last = new
+    at, size, best = 0, 0, (0, 0, 0)
+    for i, word in enumerate(x):
+        while at and word not in steps[at]:
+            at = links[at]
+            size = sizes[at]
+        if word in steps[at]:
+            at, size = steps[at][word], size + 1
+        if size > best[2]:
+            best = (i - size + 1, ends[at] - size + 1, size)
+    return best
+
+
+def _moved(x: list[str], y: list[str]) -> int | None:
+    """A bound on the words of any passage of x that stands at another place in y, or nothing if there are long ones."""
+    for size in PASSAGES:
+        here, there = (list(zip(*[t[k:] for k in range(size)], strict=False)) for t in (x, y))
+        known = set(there)
+        if len(known) == len(there) and not any(a in known for a, b in zip(here, there, strict=True) if a != b):
+            return size - 1
+    return None
+
+
 @F.pandas_udf(ArrayType(SPAN))
 def character_edits(source: pd.Series, target: pd.Series) -> pd.Series:
     """Character edits (start, end in source, replacement) that turn source into target."""

@@ -2,10 +2,13 @@
 
 import hashlib
 import random
+import time
+from difflib import SequenceMatcher
 from itertools import zip_longest
 
 from pyspark.sql import functions as F
 
+from millrace.functions import text
 from millrace.functions.profile import ENGLISH
 from millrace.operators import diagnostics, evaluate, first_come, quality, select
 from millrace.plans import common, corpus, evaluation, pairs, records
@@ -139,8 +142,8 @@ def test_hashes_of_many_numbers_at_once():
 
 def test_words_are_counted_by_place(spark):
     dice = random.Random(2)
-    text = lambda: " ".join(dice.choice("ab") for _ in range(dice.randint(1, 5)))
-    rows = [(i, text(), text(), text()) for i in range(400)] + [(400, None, "a", "a"), (401, "", "a", "")]
+    said = lambda: " ".join(dice.choice("ab") for _ in range(dice.randint(1, 5)))
+    rows = [(i, said(), said(), said()) for i in range(400)] + [(400, None, "a", "a"), (401, "", "a", "")]
     want = {}
     for i, *texts in rows:
         words = list(zip_longest(*[(t or "").split(" ") for t in texts]))
@@ -156,3 +159,41 @@ def test_draws_over_more_vectors_than_are_named(spark, monkeypatch):
     monkeypatch.setattr(evaluate, "VECTORS", 3)
     monkeypatch.setattr(evaluate, "CHUNK", 16)
     assert sorted(evaluate._drawn_sums(numbered, 9, 7).collect()) == sorted(evaluate._drawn_sums(numbered, 9, 7, 50).collect()) == named
+
+
+def test_word_changes_are_those_of_longest_blocks():
+    """Told by places, by windows, or through the automaton: always what SequenceMatcher says; a long text that repeats itself is told in time, not in the square of its words."""
+    plain = lambda x, y: [o for o in SequenceMatcher(None, x, y, autojunk=False).get_opcodes() if o[0] != "equal"]
+    dice = random.Random(6)
+    for k in range(4000):
+        words = "abcdefgh"[: dice.randint(1, 8)]
+        x = [dice.choice(words) for _ in range(dice.randint(0, 14))] * (20 if k % 100 == 0 else 1)
+        y = [dice.choice(words) if dice.random() < 0.2 else w for w in x]
+        y = y[1:] + y[: dice.randint(0, 3)] if k % 5 == 0 else y
+        assert evaluate.word_changes(x, y) == plain(x, y), (x, y)
+        longest = SequenceMatcher(None, x, y, autojunk=False).find_longest_match()
+        assert longest.size == 0 or evaluate._longest_passage(x, y) == tuple(longest)
+    x = [dice.choice("abcdefghi") for _ in range(70)] * 70
+    y, began = [w if i % 17 else "z" for i, w in enumerate(x)], time.time()
+    changes, made = evaluate.word_changes(x, y), list(x)
+    assert time.time() - began < 3
+    for _, i, j, k, m in reversed(changes):
+        made[i:j] = y[k:m]
+    assert made == y
+
+
+def test_distances_that_bounds_tell():
+    """Where the sum over words is as large as the difference in characters, it is the distance; elsewhere nothing is told."""
+    dice, told = random.Random(8), 0
+    word = lambda: "".join(dice.choice("abc") for _ in range(dice.randint(0, 3)))
+    for _ in range(3000):
+        x = [word() for _ in range(dice.randint(1, 6))]
+        a, b = " ".join(x), " ".join(word() if dice.random() < 0.4 else w for w in x)
+        for swaps in (False, True):
+            found = text.told_distance(a, b, swaps)
+            told += found is not None
+            assert found in (None, text.distance(a, b, swaps)), (a, b)
+    assert told > 1000 and text.told_distance("a b", "ab") is None and text.told_distance("ab", "ba", True) is None
+    long = "the house of the man " * 4000
+    began = time.time()
+    assert text.told_distance(long, long.replace("the", "da")) == 24000 and time.time() - began < 1

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text
 from millrace.functions.profile import ENGLISH
-from millrace.operators import diagnostics, evaluate, first_come, quality, select
+from millrace.operators import diagnostics, evaluate, first_come, quality, replay, select
 from millrace.plans import common, corpus, evaluation, pairs, records
 
 SMALL = "/root/testdata/sf0.001"
@@ -197,3 +197,12 @@ def test_distances_that_bounds_tell():
     long = "the house of the man " * 4000
     began = time.time()
     assert text.told_distance(long, long.replace("the", "da")) == 24000 and time.time() - began < 1
+
+
+def test_words_of_an_operation_are_cut_once(spark):
+    """A word is cut out by its spaces; each was cut again for every field that asks for it."""
+    df = spark.createDataFrame([("duplicate", 1, "b", "", "a b b c")], "kind string, position long, correct string, wrong string, source_text string")
+    made = replay.with_operation(df)
+    cuts = _plan(made).count("substring_index")
+    assert cuts < 40, cuts
+    assert tuple(made.first().operation)[:5] == ("duplicate", 3, 5, " b", "")
